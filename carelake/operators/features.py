@@ -111,41 +111,24 @@ def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str)
 def _history_split(
     df: DataFrame, pid: str, order: list[str], no_show_col: str, n_chunks: int
 ) -> DataFrame:
-    """Prefix sums for hot patients without putting a whole patient in one task.
-
-    1. Range-partition the rows on (patient, order...) into ``n_chunks``
-       balanced, ordered chunks; a hot patient spans several chunks.
-    2. Running count / sum inside each (chunk, patient) piece (bounded size).
-    3. Per-piece totals -> exclusive prefix over earlier chunks of the same
-       patient (at most #hot_keys + n_chunks pieces, so broadcasting is safe).
-    4. Final value = local running value + offset of earlier chunks.
+    """History for hot patients via chunked prefix sums (see ``carelake.operators.prefix``).
+
+    The sum is NULL until a non-NULL flag was seen, so the number of known
+    flags is carried along with the count and the sum.
     """
+    from carelake.operators.prefix import running_sums
+
     flag = F.col(no_show_col).cast("int")
-    ranged = df.repartitionByRange(n_chunks, pid, *order).withColumn("_chunk", F.spark_partition_id())
-    w_local = Window.partitionBy("_chunk", pid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumns(
-        {
-            "_ln": F.count(F.lit(1)).over(w_local),
-            "_ls": F.sum(flag).over(w_local),
-            "_lk": F.count(flag).over(w_local),
-        }
-    )
-    pieces = ranged.groupBy(pid, "_chunk").agg(
-        F.count(F.lit(1)).alias("_pn"), F.sum(flag).alias("_ps"), F.count(flag).alias("_pk")
+    out = running_sums(
+        df,
+        [pid],
+        order,
+        {"_n": F.lit(1).cast("bigint"), "_s": flag.cast("bigint"), "_k": flag.isNotNull().cast("bigint")},
+        n_chunks,
     )
-    w_chunk = Window.partitionBy(pid).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        pid,
-        "_chunk",
-        F.sum("_pn").over(w_chunk).alias("_on"),
-        F.sum("_ps").over(w_chunk).alias("_os"),
-        F.sum("_pk").over(w_chunk).alias("_ok"),
+    out = out.withColumns(
+        {"previous_appointments": F.col("_n"), "previous_no_shows": F.when(F.col("_k") > 0, F.col("_s"))}
     )
-    out = local.join(F.broadcast(offsets), [pid, "_chunk"], "left")
-    prev_n = F.col("_ln") + F.coalesce(F.col("_on"), F.lit(0))
-    known = F.col("_lk") + F.coalesce(F.col("_ok"), F.lit(0))
-    prev_ns = F.when(known > 0, F.coalesce(F.col("_ls"), F.lit(0)) + F.coalesce(F.col("_os"), F.lit(0)))
-    out = out.withColumns({"previous_appointments": prev_n, "previous_no_shows": prev_ns.cast("bigint")})
     out = out.withColumn("no_show_rate", _rate(F.col("previous_no_shows"), F.col("previous_appointments")))
     return out.select(*df.columns, "previous_appointments", "previous_no_shows", "no_show_rate")
 
@@ -159,6 +142,7 @@ def calculate_patient_history(
     hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     hot: DataFrame | None = None,
+    max_chunks: int = 16384,
 ) -> DataFrame:
     """Adds ``previous_appointments``, ``previous_no_shows``, ``no_show_rate``.
 
@@ -180,7 +164,8 @@ def calculate_patient_history(
     if not stats["k"]:
         return _history_window(df, patient_id_col, order, no_show_col)
     hot_ids = F.broadcast(hot.select(patient_id_col))
-    n_chunks = max(2, math.ceil(stats["r"] / max(1, hot_group_rows)) + stats["k"])
+    # Enough ordered chunks that none holds more than about hot_group_rows rows.
+    n_chunks = min(max_chunks, max(2, math.ceil(stats["r"] / max(1, hot_group_rows)) + stats["k"]))
     cool = _history_window(df.join(hot_ids, patient_id_col, "left_anti"), patient_id_col, order, no_show_col)
     warm = _history_split(df.join(hot_ids, patient_id_col, "left_semi"), patient_id_col, order, no_show_col, n_chunks)
     return cool.unionByName(warm)
@@ -204,6 +189,7 @@ def generate_features(
     hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     conform: bool = True,
+    max_chunks: int = 16384,
 ) -> DataFrame:
     """The 17-column feature table of the no-show model.
 
@@ -237,7 +223,7 @@ def generate_features(
     hot = hot_keys(appt, "patient_id", hot_group_rows, max_hot_keys)
     df = appt.join(phy, "physician_id", "left").join(pat, "patient_id", "left")
     df = calculate_patient_history(
-        df, hot_group_rows=hot_group_rows, max_hot_keys=max_hot_keys, hot=hot
+        df, hot_group_rows=hot_group_rows, max_hot_keys=max_hot_keys, hot=hot, max_chunks=max_chunks
     )
     df = extract_datetime_features(df)
     df = calculate_appointment_lead_time(df)

@@ -75,3 +75,551 @@ def q_appointment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     a, p, d = _views(spark, sf_dir)
     return generate_features(a, p, d)
+
+
+# --------------------------------------------------------------------------
+# Features: single operators
+# --------------------------------------------------------------------------
+
+HISTORY_SQL = """
+SELECT appointment_id, patient_id,
+  count(*) OVER w AS previous_appointments,
+  CAST(sum(CAST(no_show AS INTEGER)) OVER w AS BIGINT) AS previous_no_shows,
+  CASE WHEN count(*) OVER w > 0
+       THEN CAST(CAST(CAST(sum(CAST(no_show AS INTEGER)) OVER w AS DOUBLE) / count(*) OVER w AS FLOAT) AS DOUBLE)
+       ELSE 0.0 END AS no_show_rate
+FROM appointments
+WINDOW w AS (PARTITION BY patient_id ORDER BY appointment_date, appointment_time, appointment_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+"""
+
+HISTORY_COLS = ["appointment_id", "patient_id", "previous_appointments", "previous_no_shows", "no_show_rate"]
+
+
+@register("patient_history", HISTORY_SQL)
+def q_patient_history(spark, sf_dir):
+    from carelake.operators.features import calculate_patient_history
+
+    return calculate_patient_history(fx.appointments(spark, sf_dir)).select(*HISTORY_COLS)
+
+
+@register("patient_history_skewed", HISTORY_SQL)
+def q_patient_history_skewed(spark, sf_dir):
+    """Same result through the hot-key plan: every patient with more than a
+    handful of visits is treated as hot and split over ordered chunks."""
+    from carelake.operators.features import calculate_patient_history
+
+    return calculate_patient_history(
+        fx.appointments(spark, sf_dir), hot_group_rows=8, max_chunks=16
+    ).select(*HISTORY_COLS)
+
+
+@register(
+    "datetime_features",
+    """
+SELECT appointment_id,
+  CAST(hour(appointment_time) AS INTEGER) AS hour_of_day,
+  dayname(appointment_time) AS day_of_week,
+  CAST(day(appointment_time) AS INTEGER) AS day_of_month,
+  CAST(month(appointment_time) AS INTEGER) AS month,
+  CAST(quarter(appointment_time) AS INTEGER) AS quarter,
+  CAST(year(appointment_time) AS INTEGER) AS year,
+  coalesce(isodow(appointment_time) IN (6, 7), FALSE) AS is_weekend,
+  CASE WHEN month(appointment_time) IN (12, 1, 2) THEN 'Winter'
+       WHEN month(appointment_time) IN (3, 4, 5) THEN 'Spring'
+       WHEN month(appointment_time) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season
+FROM appointments
+""",
+)
+def q_datetime_features(spark, sf_dir):
+    from carelake.operators.features import extract_datetime_features
+
+    out = extract_datetime_features(fx.appointments(spark, sf_dir))
+    return out.select(
+        "appointment_id", "hour_of_day", "day_of_week", "day_of_month", "month", "quarter", "year", "is_weekend", "season"
+    )
+
+
+@register(
+    "patient_age",
+    """
+SELECT a.appointment_id,
+  CAST(floor(date_diff('day', p.date_of_birth, a.appointment_date) / 365.25) AS INTEGER) AS patient_age
+FROM appointments a LEFT JOIN patients p ON a.patient_id = p.patient_id
+""",
+)
+def q_patient_age(spark, sf_dir):
+    from carelake.operators.features import calculate_patient_age
+
+    a, p, _ = _views(spark, sf_dir)
+    df = a.select("appointment_id", "patient_id", "appointment_date").join(
+        p.select("patient_id", "date_of_birth"), "patient_id", "left"
+    )
+    return calculate_patient_age(df).select("appointment_id", "patient_age")
+
+
+@register(
+    "lead_days",
+    """
+SELECT appointment_id,
+  CAST(date_diff('day', CAST(created_at AS DATE), appointment_date) AS INTEGER) AS appointment_lead_days
+FROM appointments
+""",
+)
+def q_lead_days(spark, sf_dir):
+    from carelake.operators.features import calculate_appointment_lead_time
+
+    return calculate_appointment_lead_time(fx.appointments(spark, sf_dir)).select(
+        "appointment_id", "appointment_lead_days"
+    )
+
+
+# --------------------------------------------------------------------------
+# Transforms and joins
+# --------------------------------------------------------------------------
+
+PATIENTS_T_SQL = """
+SELECT *, first_name || ' ' || last_name AS full_name,
+  CAST(floor(date_diff('day', date_of_birth, DATE '2001-01-01') / 365.25) AS BIGINT) AS age,
+  TIMESTAMP '2001-01-01 00:00:00' AS processed_timestamp
+FROM patients
+"""
+
+PHYSICIANS_T_SQL = """
+SELECT * FROM (
+  SELECT *, first_name || ' ' || last_name AS full_name,
+    CAST(floor(date_diff('day', hire_date, DATE '2001-01-01') / 365.25) AS BIGINT) AS years_employed,
+    TIMESTAMP '2001-01-01 00:00:00' AS processed_timestamp
+  FROM physicians) t
+QUALIFY row_number() OVER (PARTITION BY physician_id ORDER BY updated_at DESC NULLS LAST,
+  first_name DESC NULLS LAST, last_name DESC NULLS LAST, specialty DESC NULLS LAST,
+  license_number DESC NULLS LAST, email DESC NULLS LAST, contact_number DESC NULLS LAST,
+  department DESC NULLS LAST, hire_date DESC NULLS LAST, status DESC NULLS LAST,
+  created_at DESC NULLS LAST, full_name DESC NULLS LAST, years_employed DESC NULLS LAST,
+  processed_timestamp DESC NULLS LAST) = 1
+"""
+
+APPT_T_COLS = """a.*, dayname(a.appointment_date) AS day_of_week,
+  coalesce(isodow(a.appointment_date) IN (6, 7), FALSE) AS is_weekend,
+  TIMESTAMP '2001-01-01 00:00:00' AS processed_timestamp"""
+
+APPT_T_SQL = f"SELECT {APPT_T_COLS} FROM appointments a"
+
+ENRICH_PATIENT_SQL = f"""
+SELECT {APPT_T_COLS}, p.first_name || ' ' || p.last_name AS patient_name
+FROM appointments a LEFT JOIN patients p ON a.patient_id = p.patient_id
+"""
+
+ENRICH_BOTH_SQL = f"""
+SELECT {APPT_T_COLS}, p.first_name || ' ' || p.last_name AS patient_name,
+  d.first_name || ' ' || d.last_name AS physician_name, d.specialty
+FROM appointments a
+LEFT JOIN patients p ON a.patient_id = p.patient_id
+LEFT JOIN physicians d ON a.physician_id = d.physician_id
+"""
+
+
+@register("transform_patients", PATIENTS_T_SQL)
+def q_transform_patients(spark, sf_dir):
+    from carelake.operators.transforms import transform_patients
+
+    return transform_patients(fx.patients(spark, sf_dir), AS_OF_TS)
+
+
+@register("transform_physicians", PHYSICIANS_T_SQL)
+def q_transform_physicians(spark, sf_dir):
+    from carelake.operators.transforms import transform_physicians
+
+    return transform_physicians(fx.physicians(spark, sf_dir), AS_OF_TS)
+
+
+@register("transform_appointments", APPT_T_SQL)
+def q_transform_appointments(spark, sf_dir):
+    from carelake.operators.transforms import transform_appointments
+
+    return transform_appointments(fx.appointments(spark, sf_dir), as_of=AS_OF_TS)
+
+
+@register("enrich_patient", ENRICH_PATIENT_SQL)
+def q_enrich_patient(spark, sf_dir):
+    from carelake.operators.transforms import transform_appointments, transform_patients
+
+    a, p, _ = _views(spark, sf_dir)
+    return transform_appointments(a, transform_patients(p, AS_OF_TS), None, AS_OF_TS)
+
+
+@register("enrich_both", ENRICH_BOTH_SQL)
+def q_enrich_both(spark, sf_dir):
+    from carelake.operators.transforms import transform_appointments, transform_patients, transform_physicians
+
+    a, p, d = _views(spark, sf_dir)
+    return transform_appointments(a, transform_patients(p, AS_OF_TS), transform_physicians(d, AS_OF_TS), AS_OF_TS)
+
+
+@register(
+    "audit_columns",
+    """
+SELECT *, TIMESTAMP '2001-01-01 00:00:00' AS etl_timestamp, DATE '2001-01-01' AS etl_date,
+  '20010101000000' AS etl_batch_id
+FROM physicians
+""",
+)
+def q_audit_columns(spark, sf_dir):
+    from carelake.operators.transforms import add_audit_columns
+
+    return add_audit_columns(fx.physicians(spark, sf_dir), AS_OF_TS)
+
+
+@register(
+    "upcoming",
+    "SELECT * FROM appointments WHERE appointment_date > DATE '2001-01-01' AND status = 'Scheduled'",
+)
+def q_upcoming(spark, sf_dir):
+    from carelake.operators.transforms import upcoming_appointments
+
+    return upcoming_appointments(fx.appointments(spark, sf_dir), AS_OF)
+
+
+PARTITION_COLS_SQL = """
+SELECT *, CAST(year(appointment_date) AS INTEGER) AS year, CAST(month(appointment_date) AS INTEGER) AS month,
+  CAST(day(appointment_date) AS INTEGER) AS day
+FROM appointments
+"""
+
+
+@register("partition_columns", PARTITION_COLS_SQL)
+def q_partition_columns(spark, sf_dir):
+    from carelake.operators.transforms import add_partition_columns
+
+    return add_partition_columns(fx.appointments(spark, sf_dir))
+
+
+@register(
+    "surrogate_key",
+    "SELECT count(*) AS row_count, count(*) AS distinct_keys FROM appointments",
+)
+def q_surrogate_key(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from carelake.operators.transforms import add_surrogate_key
+
+    keyed = add_surrogate_key(fx.appointments(spark, sf_dir))
+    return keyed.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("surrogate_key").alias("distinct_keys"))
+
+
+@register(
+    "conform_schema",
+    """
+SELECT appointment_id, patient_id, physician_id, appointment_date,
+  CAST(appointment_time AS TIMESTAMP) AS appointment_time,
+  CAST(NULL AS INTEGER) AS patient_age, CAST(NULL AS VARCHAR) AS patient_gender,
+  CAST(NULL AS VARCHAR) AS physician_specialty,
+  CAST(date_diff('day', CAST(created_at AS DATE), appointment_date) AS INTEGER) AS appointment_lead_days,
+  CAST(NULL AS INTEGER) AS previous_no_shows, CAST(NULL AS INTEGER) AS previous_appointments,
+  CAST(NULL AS FLOAT) AS no_show_rate,
+  dayname(appointment_time) AS day_of_week,
+  coalesce(isodow(appointment_time) IN (6, 7), FALSE) AS is_weekend,
+  CAST(hour(appointment_time) AS INTEGER) AS appointment_hour,
+  CASE WHEN month(appointment_time) IN (12, 1, 2) THEN 'Winter'
+       WHEN month(appointment_time) IN (3, 4, 5) THEN 'Spring'
+       WHEN month(appointment_time) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season,
+  no_show
+FROM appointments
+""",
+)
+def q_conform_schema(spark, sf_dir):
+    """Partial feature frame (no joins, no history) conformed to the declared feature schema."""
+    from carelake.operators.features import (
+        calculate_appointment_lead_time,
+        conform_to_schema,
+        extract_datetime_features,
+    )
+    from carelake.schemas import FEATURES
+
+    df = calculate_appointment_lead_time(extract_datetime_features(fx.appointments(spark, sf_dir)))
+    return conform_to_schema(df.withColumnRenamed("hour_of_day", "appointment_hour"), FEATURES)
+
+
+# --------------------------------------------------------------------------
+# Quality and summaries
+# --------------------------------------------------------------------------
+
+
+@register(
+    "contract_check",
+    """
+SELECT 'patient_id' AS column_name, TRUE AS present, CAST(count_if(patient_id IS NULL) AS BIGINT) AS null_rows,
+  CAST(count(patient_id) - count(DISTINCT patient_id) AS BIGINT) AS duplicate_rows FROM patients
+UNION ALL SELECT 'first_name', TRUE, count_if(first_name IS NULL), NULL FROM patients
+UNION ALL SELECT 'last_name', TRUE, count_if(last_name IS NULL), NULL FROM patients
+UNION ALL SELECT 'gender', TRUE, count_if(gender IS NULL), NULL FROM patients
+UNION ALL SELECT 'clinic_id', FALSE, NULL, NULL
+""",
+)
+def q_contract_check(spark, sf_dir):
+    from carelake.operators.quality import contract_check
+
+    return contract_check(
+        fx.patients(spark, sf_dir), ["patient_id", "first_name", "last_name", "gender", "clinic_id"], ["patient_id"]
+    )
+
+
+@register(
+    "dedup_latest",
+    """
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST,
+  l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST,
+  l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) = 1
+""",
+)
+def q_dedup_latest(spark, sf_dir):
+    from carelake.operators.quality import dedup_latest
+
+    return dedup_latest(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
+
+
+_PATIENT_TYPES = [
+    ("patient_id", "string"), ("first_name", "string"), ("last_name", "string"), ("date_of_birth", "date"),
+    ("gender", "string"), ("contact_number", "string"), ("email", "string"), ("address", "string"),
+    ("city", "string"), ("state", "string"), ("zip_code", "string"), ("insurance_provider", "string"),
+    ("insurance_id", "string"), ("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz"),
+]
+
+
+@register(
+    "profile_table",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS row_count, "
+        f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, count(DISTINCT {c}) AS distinct_count FROM patients"
+        for c, t in _PATIENT_TYPES
+    ),
+)
+def q_profile_table(spark, sf_dir):
+    from carelake.operators.quality import profile_table
+
+    return profile_table(fx.patients(spark, sf_dir), exact=True)
+
+
+_NUMERIC_FEATURES = [
+    "patient_age", "appointment_lead_days", "previous_no_shows", "previous_appointments", "no_show_rate",
+    "appointment_hour",
+]
+
+
+@register(
+    "describe_features",
+    f", f AS ({FEATURES_SQL})\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+        f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+        f"CAST(max({c}) AS DOUBLE) AS max FROM f"
+        for c in _NUMERIC_FEATURES
+    ),
+)
+def q_describe_features(spark, sf_dir):
+    from carelake.operators.features import generate_features
+    from carelake.operators.quality import describe_long
+
+    a, p, d = _views(spark, sf_dir)
+    return describe_long(generate_features(a, p, d), _NUMERIC_FEATURES)
+
+
+@register(
+    "row_counts",
+    """
+SELECT 'patients' AS table_name, count(*) AS row_count FROM patients
+UNION ALL SELECT 'physicians', count(*) FROM physicians
+UNION ALL SELECT 'appointments', count(*) FROM appointments
+""",
+)
+def q_row_counts(spark, sf_dir):
+    from carelake.operators.quality import row_counts
+
+    a, p, d = _views(spark, sf_dir)
+    return row_counts({"patients": p, "physicians": d, "appointments": a})
+
+
+@register("preview", "SELECT * FROM appointments ORDER BY appointment_date, appointment_id LIMIT 10")
+def q_preview(spark, sf_dir):
+    from carelake.operators.quality import preview
+
+    return preview(fx.appointments(spark, sf_dir), ["appointment_date", "appointment_id"], 10)
+
+
+@register(
+    "split_by_key",
+    """
+SELECT appointment_id,
+  CASE WHEN substring(md5(appointment_id), 1, 4) < 'cccd' THEN 'train' ELSE 'test' END AS split
+FROM appointments
+""",
+)
+def q_split_by_key(spark, sf_dir):
+    from carelake.operators.ml import split_label
+
+    return split_label(fx.appointments(spark, sf_dir).select("appointment_id"), "appointment_id")
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks (S1-S14) and the composite ETL jobs
+# --------------------------------------------------------------------------
+
+
+def _uid() -> str:
+    import uuid
+
+    return uuid.uuid4().hex[:10]
+
+
+def _staged(spark, sf_dir, entity):
+    from carelake.plans.etl import stage_csv
+    from carelake.session import scratch_path
+
+    view = {"patients": fx.patients, "physicians": fx.physicians, "appointments": fx.appointments}[entity]
+    return stage_csv(view(spark, sf_dir), scratch_path(spark, f"landing-{entity}"))
+
+
+@register("scan_csv_patients", "SELECT * FROM patients")
+def q_scan_csv_patients(spark, sf_dir):
+    from carelake.sources.readers import extract_patients
+
+    return extract_patients(spark, _staged(spark, sf_dir, "patients"))
+
+
+@register("scan_csv_physicians", "SELECT * FROM physicians")
+def q_scan_csv_physicians(spark, sf_dir):
+    from carelake.sources.readers import extract_physicians
+
+    return extract_physicians(spark, _staged(spark, sf_dir, "physicians"))
+
+
+@register("scan_csv_appointments", "SELECT * FROM appointments")
+def q_scan_csv_appointments(spark, sf_dir):
+    from carelake.sources.readers import extract_appointments
+
+    return extract_appointments(spark, _staged(spark, sf_dir, "appointments"))
+
+
+@register("scan_catalog", "SELECT * FROM patients")
+def q_scan_catalog(spark, sf_dir):
+    from carelake.session import scratch_path
+    from carelake.sources.readers import read_table
+    from carelake.sources.sinks import publish_table
+
+    name = f"patients_{_uid()}"
+    publish_table(fx.patients(spark, sf_dir), name, scratch_path(spark, name))
+    return read_table(spark, name)
+
+
+@register("publish_table", "SELECT * FROM appointments")
+def q_publish_table(spark, sf_dir):
+    from carelake.session import scratch_path
+    from carelake.sources.sinks import publish_table
+
+    name = f"appointments_{_uid()}"
+    return publish_table(fx.appointments(spark, sf_dir), name, scratch_path(spark, name))
+
+
+@register("partitioned_roundtrip", PARTITION_COLS_SQL)
+def q_partitioned_roundtrip(spark, sf_dir):
+    from carelake.operators.transforms import add_partition_columns
+    from carelake.session import scratch_path
+    from carelake.sources.sinks import write_path
+
+    path = scratch_path(spark, "appointments-by-month")
+    write_path(add_partition_columns(fx.appointments(spark, sf_dir)), path, partition_by=["year", "month"])
+    return spark.read.parquet(path)
+
+
+@register(
+    "audited_append",
+    """
+SELECT *, TIMESTAMP '2001-01-01 00:00:00' AS etl_timestamp, DATE '2001-01-01' AS etl_date,
+  '20010101000000' AS etl_batch_id FROM physicians
+UNION ALL
+SELECT *, TIMESTAMP '2001-01-02 06:30:00' AS etl_timestamp, DATE '2001-01-02' AS etl_date,
+  '20010102063000' AS etl_batch_id FROM physicians
+""",
+)
+def q_audited_append(spark, sf_dir):
+    """Audited sink: an overwrite load followed by an append load of a second batch."""
+    from carelake.session import scratch_path
+    from carelake.sources.sinks import publish_audited
+
+    name = f"physicians_audit_{_uid()}"
+    path = scratch_path(spark, name)
+    d = fx.physicians(spark, sf_dir)
+    publish_audited(d, name, path, "overwrite", as_of=AS_OF_TS)
+    return publish_audited(d, name, path, "append", as_of="2001-01-02 06:30:00")
+
+
+@register("feature_table", FEATURES_SQL)
+def q_feature_table(spark, sf_dir):
+    from carelake.operators.features import generate_features
+    from carelake.session import scratch_path
+    from carelake.sources.sinks import publish_table
+
+    a, p, d = _views(spark, sf_dir)
+    name = f"appointment_features_{_uid()}"
+    return publish_table(generate_features(a, p, d), name, scratch_path(spark, name))
+
+
+@register("view_filter_table", "SELECT * FROM trips WHERE fare_amount < 30")
+def q_view_filter_table(spark, sf_dir):
+    from carelake.plans.etl import view_filter_table
+    from carelake.session import scratch_path
+
+    name = f"filtered_taxis_{_uid()}"
+    return view_filter_table(spark, fx.trips(spark, sf_dir), name, scratch_path(spark, name), f"taxi_raw_{_uid()}")
+
+
+@register("etl_patients", PATIENTS_T_SQL)
+def q_etl_patients(spark, sf_dir):
+    from carelake.plans.etl import run_patients
+    from carelake.session import scratch_path
+
+    name = f"patients_{_uid()}"
+    return run_patients(spark, _staged(spark, sf_dir, "patients"), scratch_path(spark, name), name, AS_OF_TS)
+
+
+@register("etl_physicians", PHYSICIANS_T_SQL)
+def q_etl_physicians(spark, sf_dir):
+    from carelake.plans.etl import run_physicians
+    from carelake.session import scratch_path
+
+    name = f"physicians_{_uid()}"
+    return run_physicians(spark, _staged(spark, sf_dir, "physicians"), scratch_path(spark, name), name, AS_OF_TS)
+
+
+@register("etl_appointments", ENRICH_PATIENT_SQL)
+def q_etl_appointments(spark, sf_dir):
+    """Appointment job with only the patient table given (physician enrichment skipped)."""
+    from carelake.plans.etl import run_appointments, run_patients
+    from carelake.session import scratch_path
+
+    pt = f"patients_{_uid()}"
+    run_patients(spark, _staged(spark, sf_dir, "patients"), scratch_path(spark, pt), pt, AS_OF_TS)
+    at = f"appointments_{_uid()}"
+    return run_appointments(
+        spark, _staged(spark, sf_dir, "appointments"), scratch_path(spark, at), pt, None, at, AS_OF_TS
+    )
+
+
+@register("daily_etl", ENRICH_BOTH_SQL)
+def q_daily_etl(spark, sf_dir):
+    from carelake.plans.etl import daily_etl
+    from carelake.session import scratch_path
+
+    sources = {e: _staged(spark, sf_dir, e) for e in ("patients", "physicians", "appointments")}
+    db = f"clinic_{_uid()}"
+    return daily_etl(spark, sources, scratch_path(spark, db), db, AS_OF_TS)["appointments"]
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    """Rows-only: the CSV part files of the staged appointment landing folder."""
+    from carelake.sources.readers import file_inventory
+
+    return file_inventory(spark, _staged(spark, sf_dir, "appointments"), recursive=True, glob="*.csv")
