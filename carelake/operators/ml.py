@@ -46,3 +46,262 @@ def split_by_key(df: DataFrame, key_col: str, cutoff: str = TRAIN_PREFIX_CUTOFF)
     """(train, test): a partition of ``df`` that is the same on every run and every cluster size."""
     cond = is_train(key_col, cutoff)
     return df.filter(cond), df.filter(~cond)
+
+
+def _imputer_and_label(numerical_cols: list[str], target_col: str | None):
+    """SQL stage: ``coalesce(x, 0)`` into ``x_f`` for each numeric input, and a double ``label``.
+
+    Being a pipeline stage, it is applied identically at fit, test and scoring time.
+    """
+    from pyspark.ml.feature import SQLTransformer
+
+    parts = [f"coalesce(`{c}`, 0) AS `{c}_f`" for c in numerical_cols]
+    if target_col:
+        parts.append(f"CAST(`{target_col}` AS DOUBLE) AS label")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
+
+
+def build_pipeline(
+    categorical_cols: list[str] | None = None,
+    numerical_cols: list[str] | None = None,
+    target_col: str | None = "no_show",
+    classifier=None,
+):
+    """Imputer+label, one StringIndexer and OneHotEncoder per categorical column
+    (unseen/NULL categories kept in an extra slot that encodes to all zeros),
+    a VectorAssembler into ``features``, and optionally a classifier.
+
+    Returns ``(Pipeline, assembler_input_names)``.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    cats = list(categorical_cols or CATEGORICAL_COLS)
+    nums = list(numerical_cols or NUMERICAL_COLS)
+    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cats]
+    encoders = [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_vec") for c in cats]
+    inputs = [f"{c}_vec" for c in cats] + [f"{c}_f" for c in nums]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    stages = [_imputer_and_label(nums, target_col), *indexers, *encoders, assembler]
+    if classifier is not None:
+        stages.append(classifier)
+    return Pipeline(stages=stages), inputs
+
+
+def prepare_training_data(
+    df: DataFrame,
+    categorical_cols: list[str] | None = None,
+    numerical_cols: list[str] | None = None,
+    target_col: str = "no_show",
+):
+    """Fit the preparation stages on ``df``; returns ``(PipelineModel, transformed df, input names)``."""
+    pipeline, inputs = build_pipeline(categorical_cols, numerical_cols, target_col)
+    model = pipeline.fit(df)
+    return model, model.transform(df), inputs
+
+
+def random_forest(max_depth: int = RF_MAX_DEPTH, num_trees: int = RF_NUM_TREES, seed: int = SEED, **kw):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    return RandomForestClassifier(
+        featuresCol="features", labelCol="label", maxDepth=max_depth, numTrees=num_trees, seed=seed, **kw
+    )
+
+
+def gbt(max_depth: int = GBT_MAX_DEPTH, max_iter: int = GBT_MAX_ITER, seed: int = SEED, **kw):
+    from pyspark.ml.classification import GBTClassifier
+
+    return GBTClassifier(featuresCol="features", labelCol="label", maxDepth=max_depth, maxIter=max_iter, seed=seed, **kw)
+
+
+def train_random_forest(
+    df: DataFrame, feature_col: str = "features", target_col: str = "label",
+    max_depth: int = RF_MAX_DEPTH, num_trees: int = RF_NUM_TREES,
+):
+    """Random forest on an assembled frame; the label is cast to double and NULL labels are skipped."""
+    data = df.filter(F.col(target_col).isNotNull()).withColumn("label", F.col(target_col).cast("double"))
+    return random_forest(max_depth, num_trees).setFeaturesCol(feature_col).fit(data)
+
+
+def train_gbt(
+    df: DataFrame, feature_col: str = "features", target_col: str = "label",
+    max_depth: int = GBT_MAX_DEPTH, max_iter: int = GBT_MAX_ITER,
+):
+    """Gradient-boosted trees on an assembled frame (labels as in ``train_random_forest``)."""
+    data = df.filter(F.col(target_col).isNotNull()).withColumn("label", F.col(target_col).cast("double"))
+    return gbt(max_depth, max_iter).setFeaturesCol(feature_col).fit(data)
+
+
+def positive_score(prob_col: str = "probability") -> Column:
+    from pyspark.ml.functions import vector_to_array
+
+    return vector_to_array(F.col(prob_col))[1]
+
+
+def auc_frame(df: DataFrame, score_col: str, label_col: str = "label", n_chunks: int | None = None) -> DataFrame:
+    """Area under the ROC curve as a one-row DataFrame ``(auc, positives, negatives)``.
+
+    Ties count one half (same as the trapezoid ROC area).  Rows are first
+    grouped by distinct score (map-side combined), then each score needs the
+    number of negatives ranked below it: a prefix sum over the sorted scores,
+    computed in range-partitioned chunks so no task holds all scores.
+    """
+    from carelake.operators.prefix import running_sums
+
+    y = F.col(label_col).cast("double")
+    s = F.col(score_col).cast("double")
+    grouped = (
+        df.filter(y.isNotNull() & s.isNotNull())
+        .groupBy(s.alias("_score"))
+        .agg(F.sum(y).alias("_pos"), F.sum(F.lit(1.0) - y).alias("_neg"))
+    )
+    if n_chunks is None:
+        n_chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = running_sums(grouped, [], ["_score"], {"_below": F.col("_neg")}, n_chunks)
+    return ranked.agg(
+        F.try_divide(
+            F.sum(F.col("_pos") * (F.col("_below") + F.lit(0.5) * F.col("_neg"))),
+            F.sum("_pos") * F.sum("_neg"),
+        ).alias("auc"),
+        F.sum("_pos").cast("bigint").alias("positives"),
+        F.sum("_neg").cast("bigint").alias("negatives"),
+    )
+
+
+def accuracy_frame(df: DataFrame, prediction_col: str = "prediction", label_col: str = "label") -> DataFrame:
+    """One-row ``(accuracy, n)``: share of labelled rows whose prediction equals the label
+    (a NULL prediction counts as wrong)."""
+    y = F.col(label_col).cast("double")
+    p = F.col(prediction_col).cast("double")
+    hit = F.coalesce(p == y, F.lit(False)).cast("double")
+    return df.filter(y.isNotNull()).agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
+def feature_importance(model, transformed: DataFrame, features_col: str = "features") -> DataFrame:
+    """``(feature, source_column, importance)`` per vector slot.
+
+    Slot names come from the assembled column's ML attributes, so a one-hot
+    column contributes one row per category (``patient_gender_vec_F`` ...);
+    ``source_column`` maps each slot back to its input column.
+    """
+    tree_model = model.stages[-1] if hasattr(model, "stages") else model
+    imp = tree_model.featureImportances.toArray()
+    attrs = transformed.schema[features_col].metadata.get("ml_attr", {}).get("attrs", {})
+    names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
+    inputs = None
+    for st in getattr(model, "stages", []):
+        if hasattr(st, "getInputCols") and st.getOutputCol() == features_col:
+            inputs = st.getInputCols()
+
+    def source(name):
+        for c in inputs or []:
+            if name == c or name.startswith(c + "_"):
+                return c
+        return name
+
+    rows = [(names.get(i, f"f{i}"), source(names.get(i, f"f{i}")), float(v)) for i, v in enumerate(imp)]
+    spark = transformed.sparkSession
+    return spark.createDataFrame(rows, "feature string, source_column string, importance double")
+
+
+def predict_no_shows(model, df: DataFrame, as_of=None, model_version: str | None = None) -> DataFrame:
+    """Score ``df``: ids, ``prediction``, ``prediction_timestamp``, ``no_show_probability`` = P(no-show)."""
+    from carelake.functions.columns import as_of_timestamp
+
+    pred = model.transform(df)
+    out = pred.select(
+        "appointment_id",
+        "patient_id",
+        "appointment_date",
+        "prediction",
+        as_of_timestamp(as_of).alias("prediction_timestamp"),
+        positive_score("probability").alias("no_show_probability"),
+    )
+    if model_version is not None:
+        out = out.withColumn("model_version", F.lit(model_version))
+    return out
+
+
+def conform_predictions(pred: DataFrame, model_version: str) -> DataFrame:
+    """Cast scored rows to the declared prediction schema (float probability, boolean prediction)."""
+    from carelake.operators.features import conform_to_schema
+    from carelake.schemas import PREDICTIONS
+
+    return conform_to_schema(
+        pred.withColumns({"prediction": F.col("prediction") > 0.5, "model_version": F.lit(model_version)}),
+        PREDICTIONS,
+    )
+
+
+def save_model(model, path: str) -> str:
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str):
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
+
+
+def train_and_evaluate(
+    df: DataFrame,
+    categorical_cols: list[str] | None = None,
+    numerical_cols: list[str] | None = None,
+    target_col: str = "no_show",
+    key_col: str = "appointment_id",
+    model_type: str = "random_forest",
+    run_id: str | None = None,
+    **params,
+):
+    """Split by key hash, fit one pipeline (preparation + classifier) on train, evaluate on test.
+
+    Returns ``(PipelineModel, metrics DataFrame, test predictions)``.  The
+    metrics table has ``(run_id, kind, name, value, detail)`` rows for the
+    parameters, split sizes, AUC, accuracy and per-slot importances.
+    """
+    import uuid
+
+    run_id = run_id or uuid.uuid4().hex
+    labeled = df.filter(F.col(target_col).isNotNull())
+    train, test = split_by_key(labeled, key_col)
+    if model_type == "random_forest":
+        clf = random_forest(**params)
+        settings = {"max_depth": clf.getMaxDepth(), "num_trees": clf.getNumTrees()}
+    elif model_type == "gbt":
+        clf = gbt(**params)
+        settings = {"max_depth": clf.getMaxDepth(), "max_iter": clf.getMaxIter()}
+    else:
+        raise ValueError(f"unknown model_type {model_type!r}")
+    pipeline, _ = build_pipeline(categorical_cols, numerical_cols, target_col, clf)
+    model = pipeline.fit(train)
+    pred = model.transform(test)
+
+    spark = df.sparkSession
+    schema = "run_id string, kind string, name string, value double, detail string"
+    param_rows = [(run_id, "param", "model_type", None, model_type)] + [
+        (run_id, "param", k, float(v), None) for k, v in settings.items()
+    ]
+    parts = [spark.createDataFrame(param_rows, schema)]
+
+    def metric(frame: DataFrame, kind: str, name: str, col: str) -> DataFrame:
+        return frame.select(
+            F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"), F.lit(name).alias("name"),
+            F.col(col).cast("double").alias("value"), F.lit(None).cast("string").alias("detail"),
+        )
+
+    parts.append(metric(train.agg(F.count(F.lit(1)).alias("n")), "param", "train_size", "n"))
+    parts.append(metric(test.agg(F.count(F.lit(1)).alias("n")), "param", "test_size", "n"))
+    parts.append(metric(auc_frame(pred.withColumn("_score", positive_score()), "_score"), "metric", "auc", "auc"))
+    parts.append(metric(accuracy_frame(pred), "metric", "accuracy", "accuracy"))
+    imp = feature_importance(model, pred)
+    parts.append(
+        imp.select(
+            F.lit(run_id).alias("run_id"), F.lit("importance").alias("kind"), F.col("feature").alias("name"),
+            F.col("importance").alias("value"), F.col("source_column").alias("detail"),
+        )
+    )
+    from functools import reduce
+
+    metrics = reduce(DataFrame.unionByName, parts)
+    return model, metrics, pred

@@ -623,3 +623,246 @@ def q_file_inventory(spark, sf_dir):
     from carelake.sources.readers import file_inventory
 
     return file_inventory(spark, _staged(spark, sf_dir, "appointments"), recursive=True, glob="*.csv")
+
+
+# --------------------------------------------------------------------------
+# ML (M1-M9, A5-A6, P13-P15, S12-S13, C6)
+# --------------------------------------------------------------------------
+
+_ML_MEMO: dict = {}
+
+
+def _memo(spark, sf_dir, name, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ML_MEMO:
+        _ML_MEMO[key] = build()
+    return _ML_MEMO[key]
+
+
+def _ml_features(spark, sf_dir):
+    """Feature frame for the model keys, checkpointed to the shared folder (lineage cut)."""
+    from carelake.operators.features import generate_features
+    from carelake.session import checkpoint_root
+
+    def build():
+        checkpoint_root(spark)
+        a, p, d = _views(spark, sf_dir)
+        return generate_features(a, p, d).checkpoint()
+
+    return _memo(spark, sf_dir, "features", build)
+
+
+def _rf_run(spark, sf_dir):
+    """Random forest with the reference defaults (100 trees, depth 10), trained once per session."""
+    from carelake.operators.ml import train_and_evaluate
+
+    return _memo(spark, sf_dir, "rf", lambda: train_and_evaluate(_ml_features(spark, sf_dir)))
+
+
+_CATS = ["patient_gender", "physician_specialty", "day_of_week", "season"]
+
+
+def _index_cte(c: str) -> str:
+    return (
+        f"ix_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS i "
+        f"FROM f WHERE {c} IS NOT NULL GROUP BY {c}),\n"
+        f"n_{c} AS (SELECT count(*) AS n FROM ix_{c})"
+    )
+
+
+_INDEX_FROM = "FROM f " + " ".join(
+    f"LEFT JOIN ix_{c} ON f.{c} = ix_{c}.v CROSS JOIN n_{c}" for c in _CATS
+)
+
+STRING_INDEX_SQL = (
+    f", f AS ({FEATURES_SQL}),\n"
+    + ",\n".join(_index_cte(c) for c in _CATS)
+    + "\nSELECT f.appointment_id, "
+    + ", ".join(f"CAST(coalesce(ix_{c}.i, n_{c}.n) AS DOUBLE) AS {c}_idx" for c in _CATS)
+    + "\n"
+    + _INDEX_FROM
+)
+
+ONE_HOT_SQL = (
+    f", f AS ({FEATURES_SQL}),\n"
+    + ",\n".join(_index_cte(c) for c in _CATS)
+    + "\nSELECT f.appointment_id, "
+    + ", ".join(
+        f"list_transform(range(n_{c}.n), lambda j: CASE WHEN j = coalesce(ix_{c}.i, n_{c}.n) THEN 1.0 ELSE 0.0 END)"
+        f" AS {c}_vec"
+        for c in _CATS
+    )
+    + "\n"
+    + _INDEX_FROM
+)
+
+
+@register("string_index", STRING_INDEX_SQL)
+def q_string_index(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+
+    from carelake.operators.features import generate_features
+
+    a, p, d = _views(spark, sf_dir)
+    f = generate_features(a, p, d)
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in _CATS]
+    return Pipeline(stages=stages).fit(f).transform(f).select("appointment_id", *[f"{c}_idx" for c in _CATS])
+
+
+@register("one_hot", ONE_HOT_SQL)
+def q_one_hot(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    from pyspark.ml.functions import vector_to_array
+
+    from carelake.operators.features import generate_features
+
+    a, p, d = _views(spark, sf_dir)
+    f = generate_features(a, p, d)
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in _CATS]
+    stages += [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_v") for c in _CATS]
+    out = Pipeline(stages=stages).fit(f).transform(f)
+    return out.select("appointment_id", *[vector_to_array(f"{c}_v").alias(f"{c}_vec") for c in _CATS])
+
+
+@register(
+    "impute_zero",
+    f", f AS ({FEATURES_SQL})\nSELECT appointment_id, "
+    + ", ".join(f"coalesce({c}, 0) AS {c}_f" for c in _NUMERIC_FEATURES)
+    + ", CAST(no_show AS DOUBLE) AS label FROM f",
+)
+def q_impute_zero(spark, sf_dir):
+    from carelake.operators.features import generate_features
+    from carelake.operators.ml import _imputer_and_label
+
+    a, p, d = _views(spark, sf_dir)
+    out = _imputer_and_label(_NUMERIC_FEATURES, "no_show").transform(generate_features(a, p, d))
+    return out.select("appointment_id", *[f"{c}_f" for c in _NUMERIC_FEATURES], "label")
+
+
+@register(
+    "eval_auc",
+    f", f AS ({FEATURES_SQL}),\n"
+    """s AS (SELECT CAST(no_show_rate AS DOUBLE) AS score, CAST(no_show AS INTEGER) AS y FROM f
+         WHERE no_show IS NOT NULL AND no_show_rate IS NOT NULL),
+r AS (SELECT y, (rank() OVER (ORDER BY score) + rank() OVER (ORDER BY score)
+                 + count(*) OVER (PARTITION BY score) - 1) / 2.0 AS avg_rank FROM s)
+SELECT round((sum(CASE WHEN y = 1 THEN avg_rank ELSE 0 END)
+              - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))), 9) AS auc,
+       CAST(sum(y) AS BIGINT) AS positives, CAST(count(*) - sum(y) AS BIGINT) AS negatives
+FROM r""",
+)
+def q_eval_auc(spark, sf_dir):
+    """AUC of the prior no-show rate as a score for the no-show label (a data-derived score column).
+
+    Rows without a label or without a score (no known prior flag) are left out."""
+    from pyspark.sql import functions as F
+
+    from carelake.operators.features import generate_features
+    from carelake.operators.ml import auc_frame
+
+    a, p, d = _views(spark, sf_dir)
+    out = auc_frame(generate_features(a, p, d), "no_show_rate", "no_show")
+    return out.select(F.round("auc", 9).alias("auc"), "positives", "negatives")
+
+
+@register(
+    "eval_accuracy",
+    f", f AS ({FEATURES_SQL})\n"
+    """SELECT round(avg(CASE WHEN (CASE WHEN no_show_rate >= 0.5 THEN 1.0 ELSE 0.0 END)
+                              = CAST(no_show AS DOUBLE) THEN 1.0 ELSE 0.0 END), 9) AS accuracy,
+       count(*) AS n
+FROM f WHERE no_show IS NOT NULL""",
+)
+def q_eval_accuracy(spark, sf_dir):
+    """Accuracy of the rule ``prior no-show rate >= 0.5`` against the label."""
+    from pyspark.sql import functions as F
+
+    from carelake.operators.features import generate_features
+    from carelake.operators.ml import accuracy_frame
+
+    a, p, d = _views(spark, sf_dir)
+    rule = F.when(F.col("no_show_rate") >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
+    f = generate_features(a, p, d).withColumn("prediction", rule)
+    return accuracy_frame(f, "prediction", "no_show").select(F.round("accuracy", 9).alias("accuracy"), "n")
+
+
+@register("prepared_features")
+def q_prepared_features(spark, sf_dir):
+    from carelake.operators.ml import prepare_training_data
+
+    _, out, _ = prepare_training_data(_ml_features(spark, sf_dir))
+    return out.select("appointment_id", "features", "label")
+
+
+@register("train_random_forest")
+def q_train_random_forest(spark, sf_dir):
+    """Test-split predictions of the random forest (reference defaults)."""
+    _, _, pred = _rf_run(spark, sf_dir)
+    return pred.select("appointment_id", "label", "prediction", "probability")
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    """Test-split predictions of gradient-boosted trees (reference defaults: 50 iterations, depth 5)."""
+    from carelake.operators.ml import train_and_evaluate
+
+    _, _, pred = train_and_evaluate(_ml_features(spark, sf_dir), model_type="gbt")
+    return pred.select("appointment_id", "label", "prediction", "probability")
+
+
+@register("train_and_evaluate")
+def q_train_and_evaluate(spark, sf_dir):
+    _, metrics, _ = _rf_run(spark, sf_dir)
+    return metrics.filter("kind <> 'importance'")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    from carelake.operators.ml import feature_importance
+
+    model, _, pred = _rf_run(spark, sf_dir)
+    return feature_importance(model, pred)
+
+
+@register("predict_no_shows")
+def q_predict_no_shows(spark, sf_dir):
+    from carelake.operators.ml import predict_no_shows
+
+    model, _, _ = _rf_run(spark, sf_dir)
+    return predict_no_shows(model, _ml_features(spark, sf_dir), AS_OF_TS)
+
+
+@register("score_reloaded")
+def q_score_reloaded(spark, sf_dir):
+    """Save the fitted pipeline, load it back and score all rows."""
+    from carelake.operators.ml import load_model, predict_no_shows, save_model
+    from carelake.session import scratch_path
+
+    model, _, _ = _rf_run(spark, sf_dir)
+    reloaded = load_model(save_model(model, scratch_path(spark, "model")))
+    return predict_no_shows(reloaded, _ml_features(spark, sf_dir), AS_OF_TS)
+
+
+@register("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    """Metrics of the run appended to a metrics table and read back."""
+    from carelake.session import scratch_path
+    from carelake.sources.sinks import publish_table
+
+    _, metrics, _ = _rf_run(spark, sf_dir)
+    name = f"model_runs_{_uid()}"
+    return publish_table(metrics, name, scratch_path(spark, name), mode="append")
+
+
+@register("score_upcoming")
+def q_score_upcoming(spark, sf_dir):
+    """The whole ML job: feature table, training, model reload, scoring of upcoming visits."""
+    from carelake.plans.training import ml_training_job
+    from carelake.session import scratch_path
+
+    a, p, d = _views(spark, sf_dir)
+    db = f"clinic_ml_{_uid()}"
+    out = ml_training_job(spark, a, p, d, scratch_path(spark, db), db, as_of=AS_OF)
+    return out["predictions"]
