@@ -22,7 +22,8 @@ def read_csv(
     (``enforceSchema=false``), so a reordered file raises instead of binding
     values to the wrong columns.  Unparsable values become NULL
     (``PERMISSIVE``); with ``corrupt_record_column`` the raw line of such rows
-    is kept in that extra column.
+    is kept in that extra column.  Spark's CSV column pruning parses only the
+    projected columns, so corruption is detected in the columns a query reads.
     """
     if corrupt_record_column:
         schema = StructType(list(schema.fields) + [StructField(corrupt_record_column, StringType(), True)])
