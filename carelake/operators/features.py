@@ -80,24 +80,53 @@ def _order_columns(df: DataFrame, date_col: str, tie_breakers) -> list[str]:
     return [date_col] + [c for c in tie_breakers if c in df.columns and c != date_col]
 
 
+def _key_counts(df: DataFrame, key_col: str) -> DataFrame:
+    return df.groupBy(key_col).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def hot_keys(
     df: DataFrame,
     key_col: str,
     hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Keys owning more than ``max(hot_group_rows, total / max_hot_keys)`` rows.
+    """Keys owning more than ``max(hot_group_rows, total / max_hot_keys)`` rows (lazy).
 
     The count is a partial (map-side) aggregate, so a hot key costs one row
     per map task in the shuffle.  By pigeonhole the result has at most
     ``max_hot_keys`` rows, which is what makes broadcasting it safe.
     """
-    counts = df.groupBy(key_col).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = _key_counts(df, key_col)
     total = counts.agg(F.sum("_rows")).scalar()
     threshold = F.greatest(F.lit(hot_group_rows).cast("double"), total / F.lit(float(max_hot_keys)))
     return counts.filter(F.col("_rows") > threshold)
 
 
+def find_hot_keys(
+    df: DataFrame,
+    key_col: str,
+    hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+):
+    """One pass over ``key_col``: ``None`` when no key is hot, else ``(hot keys, hot rows)``.
+
+    The pass returns three numbers (total rows, and count / rows of the keys
+    above ``hot_group_rows``); only when some key is above it is the exact hot
+    set (threshold ``max(hot_group_rows, total / max_hot_keys)``) built.
+    """
+    counts = _key_counts(df.select(key_col), key_col)
+    big = F.col("_rows") > F.lit(hot_group_rows)
+    s = counts.agg(
+        F.sum("_rows").alias("total"),
+        F.count_if(big).alias("k"),
+        F.sum(F.when(big, F.col("_rows"))).alias("r"),
+    ).first()
+    if not s["k"]:
+        return None
+    threshold = max(float(hot_group_rows), s["total"] / float(max_hot_keys))
+    return counts.filter(F.col("_rows") > F.lit(threshold)), int(s["r"])
+
+
 def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
     w = Window.partitionBy(pid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     prev_n = F.count(F.lit(1)).over(w)
@@ -141,7 +170,7 @@ def calculate_patient_history(
     tie_breakers=("appointment_time", "appointment_id"),
     hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    hot: DataFrame | None = None,
+    hot_source: DataFrame | None = None,
     max_chunks: int = 16384,
 ) -> DataFrame:
     """Adds ``previous_appointments``, ``previous_no_shows``, ``no_show_rate``.
@@ -153,19 +182,18 @@ def calculate_patient_history(
     Rows are ordered by date, then the tie-break columns present in ``df``
     (the reference orders by date only, which leaves same-day ties open).
 
-    ``hot`` may carry precomputed hot keys (column ``patient_id_col``); by
-    default they are derived from ``df``.  When no key is hot (the usual case)
+    Hot patients are counted on ``hot_source`` (default ``df``; a narrower
+    frame with the same keys is cheaper).  When none is hot (the usual case)
     the plan is a single window; otherwise hot patients take the split plan.
     """
     order = _order_columns(df, appointment_date_col, tie_breakers)
-    if hot is None:
-        hot = hot_keys(df, patient_id_col, hot_group_rows, max_hot_keys)
-    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_rows").alias("r")).first()
-    if not stats["k"]:
+    found = find_hot_keys(hot_source if hot_source is not None else df, patient_id_col, hot_group_rows, max_hot_keys)
+    if found is None:
         return _history_window(df, patient_id_col, order, no_show_col)
+    hot, hot_rows = found
     hot_ids = F.broadcast(hot.select(patient_id_col))
     # Enough ordered chunks that none holds more than about hot_group_rows rows.
-    n_chunks = min(max_chunks, max(2, math.ceil(stats["r"] / max(1, hot_group_rows)) + stats["k"]))
+    n_chunks = min(max_chunks, max(2, math.ceil(hot_rows / max(1, hot_group_rows)) * 2))
     cool = _history_window(df.join(hot_ids, patient_id_col, "left_anti"), patient_id_col, order, no_show_col)
     warm = _history_split(df.join(hot_ids, patient_id_col, "left_semi"), patient_id_col, order, no_show_col, n_chunks)
     return cool.unionByName(warm)
@@ -219,11 +247,10 @@ def generate_features(
             if c in appointments_df.columns
         ]
     )
-    # Hot patients are detected on the appointment keys alone (cheap, map-side combined).
-    hot = hot_keys(appt, "patient_id", hot_group_rows, max_hot_keys)
     df = appt.join(phy, "physician_id", "left").join(pat, "patient_id", "left")
+    # Hot patients are detected on the appointment keys alone (one column, map-side combined).
     df = calculate_patient_history(
-        df, hot_group_rows=hot_group_rows, max_hot_keys=max_hot_keys, hot=hot, max_chunks=max_chunks
+        df, hot_group_rows=hot_group_rows, max_hot_keys=max_hot_keys, hot_source=appt, max_chunks=max_chunks
     )
     df = extract_datetime_features(df)
     df = calculate_appointment_lead_time(df)

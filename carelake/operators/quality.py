@@ -41,21 +41,22 @@ def contract_check(df: DataFrame, required_columns: list[str], key_columns: list
     stats = df.agg(*aggs)
     rows = []
     for c in required_columns:
-        null_rows = F.col(f"n_{present.index(c)}") if c in present else F.lit(None).cast("bigint")
-        dup = (
-            F.col(f"d_{key_columns.index(c)}")
-            if c in key_columns and c in present
-            else F.lit(None).cast("bigint")
-        )
+        null_rows = F.col(f"n_{present.index(c)}") if c in present else F.lit(None)
+        dup = F.col(f"d_{key_columns.index(c)}") if c in key_columns and c in present else F.lit(None)
         rows.append(
-            stats.select(
+            F.struct(
                 F.lit(c).alias("column_name"),
                 F.lit(c in present).alias("present"),
                 null_rows.cast("bigint").alias("null_rows"),
                 dup.cast("bigint").alias("duplicate_rows"),
             )
         )
-    return reduce(DataFrame.unionByName, rows)
+    return _long(stats, rows)
+
+
+def _long(stats: DataFrame, rows: list) -> DataFrame:
+    """One output row per struct, all taken from the single aggregate row (no re-aggregation)."""
+    return stats.select(F.inline(F.array(*rows)))
 
 
 def dedup_latest(df: DataFrame, keys: list[str], order_col: str | None = "updated_at") -> DataFrame:
@@ -92,7 +93,7 @@ def profile_table(df: DataFrame, exact: bool = False, rsd: float = 0.05) -> Data
         aggs.append(dc.alias(f"d{i}"))
     stats = df.agg(*aggs)
     rows = [
-        stats.select(
+        F.struct(
             F.lit(c).alias("column_name"),
             F.lit(t).alias("data_type"),
             F.col("_rows").alias("row_count"),
@@ -101,7 +102,7 @@ def profile_table(df: DataFrame, exact: bool = False, rsd: float = 0.05) -> Data
         )
         for i, (c, t) in enumerate(df.dtypes)
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return _long(stats, rows)
 
 
 def describe_long(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
@@ -124,7 +125,7 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, digits: int =
         ]
     stats = df.agg(*aggs)
     rows = [
-        stats.select(
+        F.struct(
             F.lit(c).alias("column_name"),
             F.col(f"c{i}").alias("count"),
             F.col(f"m{i}").alias("mean"),
@@ -134,7 +135,7 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, digits: int =
         )
         for i, c in enumerate(cols)
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return _long(stats, rows)
 
 
 def describe(df: DataFrame, *cols: str) -> DataFrame:
