@@ -78,11 +78,12 @@ def build_pipeline(
 
     cats = list(categorical_cols or CATEGORICAL_COLS)
     nums = list(numerical_cols or NUMERICAL_COLS)
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cats]
-    encoders = [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_vec") for c in cats]
+    # One multi-column indexer: all category counts come from a single pass.
+    indexer = StringIndexer(inputCols=cats, outputCols=[f"{c}_idx" for c in cats], handleInvalid="keep")
+    encoder = OneHotEncoder(inputCols=[f"{c}_idx" for c in cats], outputCols=[f"{c}_vec" for c in cats])
     inputs = [f"{c}_vec" for c in cats] + [f"{c}_f" for c in nums]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
-    stages = [_imputer_and_label(nums, target_col), *indexers, *encoders, assembler]
+    stages = [_imputer_and_label(nums, target_col), indexer, encoder, assembler]
     if classifier is not None:
         stages.append(classifier)
     return Pipeline(stages=stages), inputs

@@ -706,8 +706,9 @@ def q_string_index(spark, sf_dir):
 
     a, p, d = _views(spark, sf_dir)
     f = generate_features(a, p, d)
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in _CATS]
-    return Pipeline(stages=stages).fit(f).transform(f).select("appointment_id", *[f"{c}_idx" for c in _CATS])
+    idx = [f"{c}_idx" for c in _CATS]
+    stages = [StringIndexer(inputCols=_CATS, outputCols=idx, handleInvalid="keep")]
+    return Pipeline(stages=stages).fit(f).transform(f).select("appointment_id", *idx)
 
 
 @register("one_hot", ONE_HOT_SQL)
@@ -720,8 +721,11 @@ def q_one_hot(spark, sf_dir):
 
     a, p, d = _views(spark, sf_dir)
     f = generate_features(a, p, d)
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in _CATS]
-    stages += [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_v") for c in _CATS]
+    idx = [f"{c}_idx" for c in _CATS]
+    stages = [
+        StringIndexer(inputCols=_CATS, outputCols=idx, handleInvalid="keep"),
+        OneHotEncoder(inputCols=idx, outputCols=[f"{c}_v" for c in _CATS]),
+    ]
     out = Pipeline(stages=stages).fit(f).transform(f)
     return out.select("appointment_id", *[vector_to_array(f"{c}_v").alias(f"{c}_vec") for c in _CATS])
 
