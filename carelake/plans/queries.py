@@ -870,3 +870,32 @@ def q_score_upcoming(spark, sf_dir):
     db = f"clinic_ml_{_uid()}"
     out = ml_training_job(spark, a, p, d, scratch_path(spark, db), db, as_of=AS_OF)
     return out["predictions"]
+
+
+# --------------------------------------------------------------------------
+# Incremental (streaming) form of the appointment ETL
+# --------------------------------------------------------------------------
+
+
+@register("incremental_appointments", ENRICH_BOTH_SQL)
+def q_incremental_appointments(spark, sf_dir):
+    """Two landing drops (visits before / from 1998), two availableNow runs: every row lands once."""
+    from pyspark.sql import functions as F
+
+    from carelake.plans.etl import run_patients, run_physicians
+    from carelake.session import scratch_path
+    from carelake.streaming import run_incremental_appointments
+
+    pt, dt_ = f"patients_{_uid()}", f"physicians_{_uid()}"
+    run_patients(spark, _staged(spark, sf_dir, "patients"), scratch_path(spark, pt), pt, AS_OF_TS)
+    run_physicians(spark, _staged(spark, sf_dir, "physicians"), scratch_path(spark, dt_), dt_, AS_OF_TS)
+    landing = scratch_path(spark, "landing-appointments")
+    at = f"appointments_{_uid()}"
+    target, ckpt = scratch_path(spark, at), scratch_path(spark, f"{at}-checkpoint")
+    early = F.coalesce(F.col("appointment_date") < F.lit("1998-01-01").cast("date"), F.lit(True))
+    appts = fx.appointments(spark, sf_dir)
+    out = None
+    for drop in (appts.filter(early), appts.filter(~early)):
+        drop.write.mode("append").option("header", "true").csv(landing)
+        out = run_incremental_appointments(spark, landing, at, target, ckpt, pt, dt_, AS_OF_TS)
+    return out
