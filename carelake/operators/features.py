@@ -210,6 +210,12 @@ def conform_to_schema(df: DataFrame, schema) -> DataFrame:
     )
 
 
+def _enrich(appt: DataFrame, phy: DataFrame, pat: DataFrame) -> DataFrame:
+    # Physicians first: the patient join then hash-partitions on patient_id,
+    # which the history window reuses without another exchange.
+    return appt.join(phy, "physician_id", "left").join(pat, "patient_id", "left")
+
+
 def generate_features(
     appointments_df: DataFrame,
     patients_df: DataFrame,
@@ -247,11 +253,24 @@ def generate_features(
             if c in appointments_df.columns
         ]
     )
-    df = appt.join(phy, "physician_id", "left").join(pat, "patient_id", "left")
-    # Hot patients are detected on the appointment keys alone (one column, map-side combined).
-    df = calculate_patient_history(
-        df, hot_group_rows=hot_group_rows, max_hot_keys=max_hot_keys, hot_source=appt, max_chunks=max_chunks
-    )
+    # Hot patients are found on the appointment keys alone (one column, map-side combined)
+    # and split off before the joins, so that no join or window task holds one of them whole.
+    order = _order_columns(appt, "appointment_date", ("appointment_time", "appointment_id"))
+    found = find_hot_keys(appt, "patient_id", hot_group_rows, max_hot_keys)
+    if found is None:
+        df = _history_window(_enrich(appt, phy, pat), "patient_id", order, "no_show")
+    else:
+        hot, hot_rows = found
+        hot_ids = F.broadcast(hot.select("patient_id"))
+        n_chunks = min(max_chunks, max(2, math.ceil(hot_rows / max(1, hot_group_rows)) * 2))
+        cool = _history_window(
+            _enrich(appt.join(hot_ids, "patient_id", "left_anti"), phy, pat), "patient_id", order, "no_show"
+        )
+        # The hot rows' patient join feeds a range exchange, so AQE may split the hot key.
+        warm = _history_split(
+            _enrich(appt.join(hot_ids, "patient_id", "left_semi"), phy, pat), "patient_id", order, "no_show", n_chunks
+        )
+        df = cool.unionByName(warm)
     df = extract_datetime_features(df)
     df = calculate_appointment_lead_time(df)
     df = calculate_patient_age(df)

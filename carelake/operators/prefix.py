@@ -11,6 +11,12 @@ Bound: a group spans consecutive chunks and each chunk boundary cuts at most
 one group, so there are at most ``#groups + n_chunks`` pieces.  Callers use
 this on a bounded set of groups (hot keys) or with no grouping at all, which
 keeps the offset table small enough to broadcast.
+
+The chunk ids come from a range shuffle whose bounds Spark samples; the local
+sums are therefore materialised once (reliable ``checkpoint()`` into the shared
+checkpoint folder) and the piece totals are computed from that same copy, so
+the two can never disagree about which chunk a row is in — also when a stage
+is re-run after an executor loss.
 """
 
 from __future__ import annotations
@@ -34,13 +40,17 @@ def running_sums(
     ``order_by`` must make the order total within a group (add a unique
     tie-break column) for the result to be deterministic.
     """
+    from carelake.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
     end = 0 if inclusive else -1
     ranged = df.repartitionByRange(max(1, n_chunks), *partition_by, *order_by).withColumn(
         "_chunk", F.spark_partition_id()
     )
     w_local = Window.partitionBy("_chunk", *partition_by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, end)
-    local = ranged.withColumns({f"_l_{n}": F.sum(v).over(w_local) for n, v in values.items()})
-    pieces = ranged.groupBy(*partition_by, "_chunk").agg(*[F.sum(v).alias(f"_p_{n}") for n, v in values.items()])
+    local = ranged.withColumns({f"_v_{n}": v for n, v in values.items()})
+    local = local.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(w_local) for n in values}).checkpoint()
+    pieces = local.groupBy(*partition_by, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_p_{n}") for n in values])
     w_chunk = (
         Window.partitionBy(*partition_by) if partition_by else Window.partitionBy(F.lit(0))
     ).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -77,6 +77,16 @@ def q_appointment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate_features(a, p, d)
 
 
+@register("appointment_features_skewed", FEATURES_SQL)
+def q_appointment_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship through its hot-patient plan: patients with more than a few
+    visits are split off before the joins and take the chunked prefix sums."""
+    from carelake.operators.features import generate_features
+
+    a, p, d = _views(spark, sf_dir)
+    return generate_features(a, p, d, hot_group_rows=8, max_chunks=16)
+
+
 # --------------------------------------------------------------------------
 # Features: single operators
 # --------------------------------------------------------------------------
