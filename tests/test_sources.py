@@ -85,3 +85,13 @@ def test_file_inventory_recursion(spark):
     deep = file_inventory(spark, root, recursive=True).collect()
     assert len(flat) == 1 and len(deep) == 2
     assert all(r.length == 2 for r in deep)
+
+
+def test_pipeline_definitions_need_a_pipeline_run(spark):
+    from pyspark.errors import PySparkRuntimeError
+
+    from carelake.plans.pipeline_definitions import define
+
+    spark.conf.set("carelake.trips.path", "/root/testdata/sf0.001/events.parquet")
+    with pytest.raises(PySparkRuntimeError):
+        define(spark)
