@@ -45,15 +45,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     checkpoint dir).  Sets a fresh one only where none is configured.
     """
     conf = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Connect session: the server side owns the checkpoint dir
+        sc = None
     if conf:
-        spark.sparkContext.setCheckpointDir(conf)
+        if sc is not None:
+            sc.setCheckpointDir(conf)
         return conf.rstrip("/")
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return str(jdir.get()).rstrip("/")
+    if sc is not None:
+        jdir = sc._jsc.sc().getCheckpointDir()
+        if jdir.isDefined():
+            return str(jdir.get()).rstrip("/")
     local = tempfile.mkdtemp(prefix="carelake-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 

@@ -95,3 +95,21 @@ def test_pipeline_definitions_need_a_pipeline_run(spark):
     spark.conf.set("carelake.trips.path", "/root/testdata/sf0.001/events.parquet")
     with pytest.raises(PySparkRuntimeError):
         define(spark)
+
+
+def test_checkpoint_root_reads_the_session_setting(spark):
+    from carelake.session import CHECKPOINT_CONF, checkpoint_root
+
+    current = checkpoint_root(spark)
+    assert spark.conf.get(CHECKPOINT_CONF) == current
+    assert scratch_path(spark, "x").startswith(current + "/x-")
+
+
+def test_create_database_and_use(spark):
+    from carelake.sources.sinks import create_database
+
+    create_database(spark, "carelake_db_test")
+    create_database(spark, "carelake_db_test")  # IF NOT EXISTS
+    create_database(spark, "carelake_db_test", use=True)
+    assert spark.catalog.currentDatabase() == "carelake_db_test"
+    spark.catalog.setCurrentDatabase("default")
