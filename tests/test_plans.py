@@ -33,3 +33,29 @@ def test_feature_scan_is_pruned(spark):
     assert "o_totalprice" not in orders and "o_orderpriority" not in orders
     customer = [s for s in schemas if "c_custkey" in s][0]
     assert "c_name" not in customer and "c_acctbal" not in customer
+
+
+PURE = [
+    "appointment_features", "patient_history", "datetime_features", "patient_age", "lead_days",
+    "transform_patients", "transform_physicians", "transform_appointments", "enrich_patient", "enrich_both",
+    "audit_columns", "upcoming", "partition_columns", "conform_schema", "contract_check", "dedup_latest",
+    "profile_table", "describe_features", "row_counts", "preview", "split_by_key", "eval_auc", "eval_accuracy",
+    "appointment_features_skewed", "patient_history_skewed",
+]
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+
+
+def test_no_python_in_plans(spark):
+    from carelake.plans.queries import QUERIES
+
+    for name in PURE:
+        plan = _plan(QUERIES[name](spark, SF001))
+        assert not any(node in plan for node in PYTHON_NODES), name
+
+
+def test_enrichment_preserves_rows_with_unique_keys(spark):
+    from carelake.plans.queries import QUERIES
+
+    n = fx.appointments(spark, SF001).count()
+    for name in ("enrich_patient", "enrich_both", "appointment_features"):
+        assert QUERIES[name](spark, SF001).count() == n, name
