@@ -1,14 +1,18 @@
 """Feature engineering for the no-show model.
 
 Plan of ``generate_features`` (one shuffle of the appointments when nothing
-is skewed)::
+is skewed, none when appointments and patients are bucketed on patient_id)::
 
-    appointments ⟕ physicians(physician_id, specialty)   -- broadcast if Spark's size check allows
-                 ⟕ patients(patient_id, date_of_birth, gender)  -- sort-merge on patient_id
-    → history window partitioned by patient_id            -- reuses the join's partitioning
+    appointments ⟕ patients(patient_id, date_of_birth, gender)   -- sort-merge on patient_id (or broadcast)
+    → history window partitioned by patient_id                    -- reuses the join's partitioning
+    ⟕ physicians(physician_id, specialty)                         -- broadcast if Spark's size check allows
     → calendar / age / lead-time projections (one codegen stage)
     → conform to the declared feature schema
 
+The physician join comes after the window; physician keys are unique in the
+published physician table (the ETL de-duplicates it).  With duplicate
+physician keys the fan-out copies are not counted as earlier visits.
+
 Skew: one patient may own a large share of all appointments.  Such *hot*
 patients are found by a map-side-combined count and routed through a split
 plan (range-partitioned prefix sums, see ``patient_history``) so that no task
@@ -210,12 +214,6 @@ def conform_to_schema(df: DataFrame, schema) -> DataFrame:
     )
 
 
-def _enrich(appt: DataFrame, phy: DataFrame, pat: DataFrame) -> DataFrame:
-    # Physicians first: the patient join then hash-partitions on patient_id,
-    # which the history window reuses without another exchange.
-    return appt.join(phy, "physician_id", "left").join(pat, "patient_id", "left")
-
-
 def generate_features(
     appointments_df: DataFrame,
     patients_df: DataFrame,
@@ -258,19 +256,20 @@ def generate_features(
     order = _order_columns(appt, "appointment_date", ("appointment_time", "appointment_id"))
     found = find_hot_keys(appt, "patient_id", hot_group_rows, max_hot_keys)
     if found is None:
-        df = _history_window(_enrich(appt, phy, pat), "patient_id", order, "no_show")
+        df = _history_window(appt.join(pat, "patient_id", "left"), "patient_id", order, "no_show")
     else:
         hot, hot_rows = found
         hot_ids = F.broadcast(hot.select("patient_id"))
         n_chunks = min(max_chunks, max(2, math.ceil(hot_rows / max(1, hot_group_rows)) * 2))
-        cool = _history_window(
-            _enrich(appt.join(hot_ids, "patient_id", "left_anti"), phy, pat), "patient_id", order, "no_show"
-        )
+        cool = appt.join(hot_ids, "patient_id", "left_anti").join(pat, "patient_id", "left")
         # The hot rows' patient join feeds a range exchange, so AQE may split the hot key.
-        warm = _history_split(
-            _enrich(appt.join(hot_ids, "patient_id", "left_semi"), phy, pat), "patient_id", order, "no_show", n_chunks
+        warm = appt.join(hot_ids, "patient_id", "left_semi").join(pat, "patient_id", "left")
+        df = _history_window(cool, "patient_id", order, "no_show").unionByName(
+            _history_split(warm, "patient_id", order, "no_show", n_chunks)
         )
-        df = cool.unionByName(warm)
+    # Physicians last: the patient join and the window share the patient_id
+    # partitioning (no exchange at all when both tables are bucketed on it).
+    df = df.join(phy, "physician_id", "left")
     df = extract_datetime_features(df)
     df = calculate_appointment_lead_time(df)
     df = calculate_patient_age(df)

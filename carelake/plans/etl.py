@@ -31,9 +31,15 @@ def stage_csv(df: DataFrame, path: str) -> str:
 
 
 def run_patients(
-    spark: SparkSession, source_path: str, target_path: str | None, table_name: str = "patients", as_of=None
+    spark: SparkSession,
+    source_path: str,
+    target_path: str | None,
+    table_name: str = "patients",
+    as_of=None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    return publish_table(transform_patients(extract_patients(spark, source_path), as_of), table_name, target_path)
+    df = transform_patients(extract_patients(spark, source_path), as_of)
+    return publish_table(df, table_name, target_path, bucket_by=["patient_id"], buckets=buckets)
 
 
 def run_physicians(
@@ -50,6 +56,7 @@ def run_appointments(
     physicians_table: str | None = None,
     table_name: str = "appointments",
     as_of=None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Appointments enriched from the registered patient/physician tables (each optional)."""
     df = transform_appointments(
@@ -58,7 +65,7 @@ def run_appointments(
         read_table(spark, physicians_table),
         as_of,
     )
-    return publish_table(df, table_name, target_path)
+    return publish_table(df, table_name, target_path, bucket_by=["patient_id"], buckets=buckets)
 
 
 def daily_etl(
@@ -67,11 +74,15 @@ def daily_etl(
     base_path: str | None,
     database: str,
     as_of=None,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Patients, then physicians, then enriched appointments into ``database``.
 
     ``sources`` maps ``patients``/``physicians``/``appointments`` to CSV paths;
     tables land under ``base_path/<entity>`` (warehouse default when ``None``).
+    With ``buckets``, patients and appointments are bucketed on ``patient_id``
+    with that many buckets, so the feature build (patient join + history
+    window) later runs without shuffling either table.
     """
     create_database(spark, database)
 
@@ -79,7 +90,9 @@ def daily_etl(
         return f"{base_path.rstrip('/')}/{entity}" if base_path else None
 
     out = {
-        "patients": run_patients(spark, sources["patients"], target("patients"), f"{database}.patients", as_of),
+        "patients": run_patients(
+            spark, sources["patients"], target("patients"), f"{database}.patients", as_of, buckets
+        ),
         "physicians": run_physicians(
             spark, sources["physicians"], target("physicians"), f"{database}.physicians", as_of
         ),
@@ -92,6 +105,7 @@ def daily_etl(
         f"{database}.physicians",
         f"{database}.appointments",
         as_of,
+        buckets,
     )
     return out
 

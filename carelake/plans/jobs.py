@@ -22,7 +22,7 @@ def daily_etl_main(args, spark: SparkSession) -> dict:
     from carelake.plans.etl import daily_etl
 
     sources = {"patients": args.patients, "physicians": args.physicians, "appointments": args.appointments}
-    tables = daily_etl(spark, sources, args.base_path, args.database, args.as_of)
+    tables = daily_etl(spark, sources, args.base_path, args.database, args.as_of, args.buckets)
     return {name: f"{args.database}.{name}" for name in tables}
 
 
@@ -69,6 +69,7 @@ def parser() -> argparse.ArgumentParser:
     e = sub.add_parser("daily-etl")
     for name in ("patients", "physicians", "appointments"):
         e.add_argument(f"--{name}", required=True, help=f"landing path of the {name} CSV files")
+    e.add_argument("--buckets", type=int, default=None, help="bucket patients/appointments on patient_id")
     m = sub.add_parser("ml-training")
     m.add_argument("--model-type", default="random_forest", choices=["random_forest", "gbt"])
     m.add_argument("--model-version", default=None)

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from carelake.functions import full_name, is_weekend, lead_days, season, weekday_name, whole_years
 
 
@@ -65,4 +63,3 @@ def test_no_python_udf_in_feature_plan(spark):
 
     plan = QUERIES["appointment_features"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert F is not None

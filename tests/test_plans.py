@@ -59,3 +59,18 @@ def test_enrichment_preserves_rows_with_unique_keys(spark):
     n = fx.appointments(spark, SF001).count()
     for name in ("enrich_patient", "enrich_both", "appointment_features"):
         assert QUERIES[name](spark, SF001).count() == n, name
+
+
+def test_bucketed_tables_make_feature_build_shuffle_free(spark):
+    from carelake.operators.features import generate_features
+    from carelake.plans.etl import daily_etl, stage_csv
+    from carelake.session import scratch_path
+
+    src = {
+        n: stage_csv(v(spark, SF001), scratch_path(spark, f"b-{n}"))
+        for n, v in (("patients", fx.patients), ("physicians", fx.physicians), ("appointments", fx.appointments))
+    }
+    daily_etl(spark, src, scratch_path(spark, "bucketed"), "bucketed_db", "2001-01-01", buckets=4)
+    t = {n: spark.table(f"bucketed_db.{n}") for n in ("appointments", "patients", "physicians")}
+    plan = _plan(generate_features(t["appointments"], t["patients"], t["physicians"]))
+    assert "Exchange" not in plan.replace("BroadcastExchange", ""), plan
