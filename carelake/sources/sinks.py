@@ -26,8 +26,17 @@ def write_path(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> None:
-    """Path-only sink with optional Hive-style partitioning."""
+    """Path-only sink with optional Hive-style partitioning.
+
+    With partitioning, rows are first rebalanced on the partition columns
+    (AQE's rebalance: small partitions coalesced, a hot partition value split
+    across several tasks), so each partition folder gets a few right-sized
+    files instead of one small file per writing task.
+    """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
@@ -45,6 +54,7 @@ def publish_table(
     fmt: str = "parquet",
     bucket_by: list[str] | None = None,
     buckets: int | None = None,
+    rebalance: bool = True,
 ) -> DataFrame:
     """Write ``df`` and register it as ``table_name``; returns the table scan.
 
@@ -52,8 +62,11 @@ def publish_table(
     warehouse chooses the location from the table name.  ``bucket_by`` +
     ``buckets`` hash-bucket (and sort) the files on those columns: later
     joins and windows on the same key between tables with the same bucket
-    count read co-located data and skip the shuffle.
+    count read co-located data and skip the shuffle.  Partitioned tables are
+    rebalanced on the partition columns first (see ``write_path``).
     """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")

@@ -113,3 +113,18 @@ def test_create_database_and_use(spark):
     create_database(spark, "carelake_db_test", use=True)
     assert spark.catalog.currentDatabase() == "carelake_db_test"
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_partitioned_write_rebalances_files(spark):
+    import glob
+
+    from .conftest import SF001
+    from carelake.sources import fixtures as fx
+
+    df = add_partition_columns(fx.appointments(spark, SF001)).repartition(6)
+    path = scratch_path(spark, "rebalanced")
+    write_path(df, path, partition_by=["year"])
+    dirs = glob.glob(path + "/year=*")
+    files = glob.glob(path + "/year=*/*.parquet")
+    assert len(files) == len(dirs)  # one right-sized file per folder instead of one per task
+    assert spark.read.parquet(path).count() == df.count()
