@@ -390,6 +390,25 @@ def q_dedup_latest(spark, sf_dir):
     return dedup_latest(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
+@register("dedup_any", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def q_dedup_any(spark, sf_dir):
+    """Plain ``dropDuplicates`` (the fast form): which row survives is arbitrary,
+    the surviving keys are not, so the check is on the key columns."""
+    return fx.table(spark, sf_dir, "lineitem").dropDuplicates(["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber"
+    )
+
+
+@register("describe_summary")
+def q_describe_summary(spark, sf_dir):
+    """Spark's string ``describe()`` of the feature table (rows-only: values are strings)."""
+    from carelake.operators.features import generate_features
+    from carelake.operators.quality import describe
+
+    a, p, d = _views(spark, sf_dir)
+    return describe(generate_features(a, p, d))
+
+
 _PATIENT_TYPES = [
     ("patient_id", "string"), ("first_name", "string"), ("last_name", "string"), ("date_of_birth", "date"),
     ("gender", "string"), ("contact_number", "string"), ("email", "string"), ("address", "string"),
