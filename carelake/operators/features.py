@@ -128,7 +128,11 @@ def find_hot_keys(
     if not s["k"]:
         return None
     threshold = max(float(hot_group_rows), s["total"] / float(max_hot_keys))
-    return counts.filter(F.col("_rows") > F.lit(threshold)), int(s["r"])
+    # Bounded (at most max_hot_keys rows) and used by two joins: materialise it once.
+    from carelake.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return counts.filter(F.col("_rows") > F.lit(threshold)).checkpoint(), int(s["r"])
 
 
 def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
