@@ -360,10 +360,10 @@ def q_conform_schema(spark, sf_dir):
     """
 SELECT 'patient_id' AS column_name, TRUE AS present, CAST(count_if(patient_id IS NULL) AS BIGINT) AS null_rows,
   CAST(count(patient_id) - count(DISTINCT patient_id) AS BIGINT) AS duplicate_rows FROM patients
-UNION ALL SELECT 'first_name', TRUE, count_if(first_name IS NULL), NULL FROM patients
-UNION ALL SELECT 'last_name', TRUE, count_if(last_name IS NULL), NULL FROM patients
-UNION ALL SELECT 'gender', TRUE, count_if(gender IS NULL), NULL FROM patients
-UNION ALL SELECT 'clinic_id', FALSE, NULL, NULL
+UNION ALL SELECT 'first_name', TRUE, CAST(count_if(first_name IS NULL) AS BIGINT), NULL FROM patients
+UNION ALL SELECT 'last_name', TRUE, CAST(count_if(last_name IS NULL) AS BIGINT), NULL FROM patients
+UNION ALL SELECT 'gender', TRUE, CAST(count_if(gender IS NULL) AS BIGINT), NULL FROM patients
+UNION ALL SELECT 'clinic_id', FALSE, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
 """,
 )
 def q_contract_check(spark, sf_dir):
@@ -717,7 +717,8 @@ ONE_HOT_SQL = (
     + ",\n".join(_index_cte(c) for c in _CATS)
     + "\nSELECT f.appointment_id, "
     + ", ".join(
-        f"list_transform(range(n_{c}.n), lambda j: CASE WHEN j = coalesce(ix_{c}.i, n_{c}.n) THEN 1.0 ELSE 0.0 END)"
+        f"list_transform(range(n_{c}.n), lambda j: CASE WHEN j = coalesce(ix_{c}.i, n_{c}.n) "
+        f"THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)"
         f" AS {c}_vec"
         for c in _CATS
     )
@@ -762,7 +763,11 @@ def q_one_hot(spark, sf_dir):
 @register(
     "impute_zero",
     f", f AS ({FEATURES_SQL})\nSELECT appointment_id, "
-    + ", ".join(f"coalesce({c}, 0) AS {c}_f" for c in _NUMERIC_FEATURES)
+    # Spark widens coalesce(float, 0) to double; DuckDB keeps float, hence the cast.
+    + ", ".join(
+        f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}_f" if c == "no_show_rate" else f"coalesce({c}, 0) AS {c}_f"
+        for c in _NUMERIC_FEATURES
+    )
     + ", CAST(no_show AS DOUBLE) AS label FROM f",
 )
 def q_impute_zero(spark, sf_dir):
