@@ -9,6 +9,10 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
+
+# ORACLE_EXACT=1 compares floats bit for bit instead of at 6 significant digits.
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
 
 import duckdb
 
@@ -32,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.6g}")
+        return v if EXACT else float(f"{v:.6g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.6g}")
     if isinstance(v, bool):
