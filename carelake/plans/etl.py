@@ -82,9 +82,18 @@ def daily_etl(
     tables land under ``base_path/<entity>`` (warehouse default when ``None``).
     With ``buckets``, patients and appointments are bucketed on ``patient_id``
     with that many buckets, so the feature build (patient join + history
-    window) later runs without shuffling either table.
+    window) later runs without shuffling either table.  A bucket is read by
+    one task, so a patient owning a large share of the visits would make its
+    bucket a straggler: bucketing is skipped when the one-pass hot-key check
+    on the landed appointments finds such a patient.
     """
     create_database(spark, database)
+    if buckets:
+        from carelake.operators.features import find_hot_keys
+
+        landed = extract_appointments(spark, sources["appointments"]).select("patient_id")
+        if find_hot_keys(landed, "patient_id") is not None:
+            buckets = None
 
     def target(entity):
         return f"{base_path.rstrip('/')}/{entity}" if base_path else None
