@@ -42,7 +42,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate data.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
-    checkpoint dir).  Sets a fresh one only where none is configured.
+    checkpoint dir).  Only a local-mode session (tests) without one gets a
+    fresh temporary folder; on a cluster a missing setting is an error.
     """
     conf = spark.conf.get(CHECKPOINT_CONF, None)
     try:
@@ -57,6 +58,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         if jdir.isDefined():
             return str(jdir.get()).rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
+        raise RuntimeError(
+            f"{CHECKPOINT_CONF} is not set: name a shared, durable folder for intermediate data "
+            "(a machine-local folder is not visible to other executors)"
+        )
     local = tempfile.mkdtemp(prefix="carelake-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
     if sc is not None:
