@@ -34,28 +34,6 @@ DEFAULT_HOT_GROUP_ROWS = 2_000_000
 # at most total_rows / threshold keys can exceed the threshold).
 DEFAULT_MAX_HOT_KEYS = 10_000
 
-FEATURE_COLUMNS = [
-    "appointment_id",
-    "patient_id",
-    "physician_id",
-    "appointment_date",
-    "appointment_time",
-    "patient_age",
-    "gender",
-    "specialty",
-    "appointment_lead_days",
-    "previous_no_shows",
-    "previous_appointments",
-    "no_show_rate",
-    "day_of_week",
-    "is_weekend",
-    "hour_of_day",
-    "season",
-    "no_show",
-]
-FEATURE_RENAMES = {"gender": "patient_gender", "hour_of_day": "appointment_hour", "specialty": "physician_specialty"}
-
-
 def extract_datetime_features(df: DataFrame, datetime_col: str = "appointment_time") -> DataFrame:
     """Adds hour_of_day, day_of_week, day_of_month, month, quarter, year, is_weekend, season."""
     return df.withColumns(datetime_feature_columns(datetime_col))
@@ -139,9 +117,9 @@ def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str)
     w = Window.partitionBy(pid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     prev_n = F.count(F.lit(1)).over(w)
     prev_ns = F.sum(F.col(no_show_col).cast("int")).over(w)
-    return (
-        df.withColumns({"previous_appointments": prev_n, "previous_no_shows": prev_ns})
-        .withColumn("no_show_rate", _rate(F.col("previous_no_shows"), F.col("previous_appointments")))
+    # one projection; the analyzer evaluates each distinct window expression once
+    return df.withColumns(
+        {"previous_appointments": prev_n, "previous_no_shows": prev_ns, "no_show_rate": _rate(prev_ns, prev_n)}
     )
 
 
@@ -236,8 +214,6 @@ def generate_features(
     without it the natural types (bigint counts, double rate) are kept and the
     column names follow the declared schema in both cases.
     """
-    from carelake.schemas import FEATURES
-
     pat = patients_df.select("patient_id", "date_of_birth", "gender")
     phy = physicians_df.select("physician_id", "specialty")
     appt = appointments_df.select(
@@ -274,14 +250,38 @@ def generate_features(
     # Physicians last: the patient join and the window share the patient_id
     # partitioning (no exchange at all when both tables are bucketed on it).
     df = df.join(phy, "physician_id", "left")
-    df = extract_datetime_features(df)
-    df = calculate_appointment_lead_time(df)
-    df = calculate_patient_age(df)
+    return df.select(*_feature_columns(df, conform))
+
+
+def _feature_columns(df: DataFrame, conform: bool) -> list[Column]:
+    """The 17 output columns as one projection (one analysis, one codegen stage)."""
+    from carelake.functions.columns import is_weekend, season, weekday_name
+    from carelake.schemas import FEATURES
+
     present = set(df.columns)
-    out = df.select(
-        *[
-            (F.col(c) if c in present else F.lit(None)).alias(FEATURE_RENAMES.get(c, c))
-            for c in FEATURE_COLUMNS
-        ]
-    )
-    return conform_to_schema(out, FEATURES) if conform else out
+
+    def col(c):
+        return F.col(c) if c in present else F.lit(None)
+
+    t = col("appointment_time")
+    exprs = {
+        "appointment_id": col("appointment_id"),
+        "patient_id": col("patient_id"),
+        "physician_id": col("physician_id"),
+        "appointment_date": col("appointment_date"),
+        "appointment_time": t,
+        "patient_age": whole_years(col("date_of_birth"), col("appointment_date")).cast("int"),
+        "patient_gender": col("gender"),
+        "physician_specialty": col("specialty"),
+        "appointment_lead_days": lead_days(col("appointment_date"), col("created_at")),
+        "previous_no_shows": col("previous_no_shows"),
+        "previous_appointments": col("previous_appointments"),
+        "no_show_rate": col("no_show_rate"),
+        "day_of_week": weekday_name(t),
+        "is_weekend": is_weekend(t),
+        "appointment_hour": F.hour(t),
+        "season": season(t),
+        "no_show": col("no_show"),
+    }
+    types = {f.name: f.dataType for f in FEATURES.fields}
+    return [(e.cast(types[n]) if conform else e).alias(n) for n, e in exprs.items()]

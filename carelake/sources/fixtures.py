@@ -13,91 +13,87 @@ the referenced columns and pushes filters into it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Parquet schemas per path: the driver tables are read-only, so the footer is
+# read once per process instead of on every query.
+_SCHEMAS: dict = {}
 
 
-def _ts(s: str):
-    return F.lit(s).cast("timestamp_ntz")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+# The views are SQL projections (one analysis, no per-expression round trips).
+PATIENTS_SQL = [
+    "CAST(c_custkey AS STRING) AS patient_id",
+    "CASE WHEN c_custkey % 50 = 0 THEN CAST(NULL AS STRING) ELSE 'Customer' END AS first_name",
+    "substring(c_name, 10) AS last_name",
+    "date_add(DATE'1930-01-01', CAST(c_custkey * 37 % 29000 AS INT)) AS date_of_birth",
+    "CASE WHEN c_custkey % 3 = 0 THEN 'F' WHEN c_custkey % 3 = 1 THEN 'M' END AS gender",
+    "CAST(NULL AS STRING) AS contact_number",
+    "concat('patient', CAST(c_custkey AS STRING), '@example.org') AS email",
+    "CAST(NULL AS STRING) AS address",
+    "concat('City', CAST(c_nationkey AS STRING)) AS city",
+    "CAST(NULL AS STRING) AS state",
+    "CAST(NULL AS STRING) AS zip_code",
+    "c_mktsegment AS insurance_provider",
+    "CAST(NULL AS STRING) AS insurance_id",
+    "timestampadd(MINUTE, c_custkey, TIMESTAMP_NTZ'1999-01-01 00:00:00') AS created_at",
+    "timestampadd(DAY, CAST(c_custkey % 400 AS INT), TIMESTAMP_NTZ'2000-01-01 00:00:00') AS updated_at",
+]
+
+PHYSICIANS_SQL = [
+    "CAST(s_suppkey AS STRING) AS physician_id",
+    "'Supplier' AS first_name",
+    "substring(s_name, 10) AS last_name",
+    "concat('SPEC_', CAST(s_nationkey % 5 AS STRING)) AS specialty",
+    "concat('LIC', CAST(s_suppkey AS STRING)) AS license_number",
+    "CAST(NULL AS STRING) AS email",
+    "CAST(NULL AS STRING) AS contact_number",
+    "concat('DEPT_', CAST(s_nationkey % 3 AS STRING)) AS department",
+    "date_add(DATE'1980-01-01', CAST(s_suppkey * 53 % 9000 AS INT)) AS hire_date",
+    "CASE WHEN s_suppkey % 10 = 0 THEN 'Inactive' ELSE 'Active' END AS status",
+    "CAST(date_add(DATE'1980-01-01', CAST(s_suppkey * 53 % 9000 AS INT)) AS TIMESTAMP_NTZ) AS created_at",
+    "timestampadd(DAY, CAST(s_suppkey % 30 AS INT), TIMESTAMP_NTZ'2001-06-01 00:00:00') AS updated_at",
+]
+
+APPOINTMENTS_SQL = [
+    "CAST(o_orderkey AS STRING) AS appointment_id",
+    "CAST(o_custkey AS STRING) AS patient_id",
+    "CAST(o_orderkey * 7 % 120 AS STRING) AS physician_id",
+    "CAST(o_orderdate AS DATE) AS appointment_date",
+    "timestampadd(HOUR, CAST(o_orderkey % 10 + 8 AS INT), o_orderdate) AS appointment_time",
+    "CAST(15 * (o_orderkey % 4 + 1) AS INT) AS duration_minutes",
+    "o_orderpriority AS reason",
+    "CASE o_orderstatus WHEN 'P' THEN 'Scheduled' WHEN 'F' THEN 'Completed' ELSE 'No-Show' END AS status",
+    "CASE o_orderstatus WHEN 'F' THEN FALSE WHEN 'O' THEN TRUE END AS no_show",
+    "CAST(NULL AS STRING) AS notes",
+    "timestampadd(HOUR, CAST(o_orderkey % 24 - (o_orderkey % 60) * 24 AS INT), o_orderdate) AS created_at",
+    "timestampadd(HOUR, CAST(o_orderkey % 10 + 9 AS INT), o_orderdate) AS updated_at",
+]
+
+TRIPS_SQL = ["event_id", "ts AS pickup_time", "event_type AS trip_kind", "value AS fare_amount"]
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    return c.select(
-        k.cast("string").alias("patient_id"),
-        F.when(k % 50 == 0, F.lit(None).cast("string")).otherwise(F.lit("Customer")).alias("first_name"),
-        F.substring("c_name", 10, 1 << 20).alias("last_name"),
-        F.date_add(F.lit("1930-01-01").cast("date"), (k * 37 % 29000).cast("int")).alias("date_of_birth"),
-        F.when(k % 3 == 0, F.lit("F")).when(k % 3 == 1, F.lit("M")).alias("gender"),
-        F.lit(None).cast("string").alias("contact_number"),
-        F.concat(F.lit("patient"), k.cast("string"), F.lit("@example.org")).alias("email"),
-        F.lit(None).cast("string").alias("address"),
-        F.concat(F.lit("City"), F.col("c_nationkey").cast("string")).alias("city"),
-        F.lit(None).cast("string").alias("state"),
-        F.lit(None).cast("string").alias("zip_code"),
-        F.col("c_mktsegment").alias("insurance_provider"),
-        F.lit(None).cast("string").alias("insurance_id"),
-        F.timestamp_add("MINUTE", k, _ts("1999-01-01 00:00:00")).alias("created_at"),
-        F.timestamp_add("DAY", (k % 400).cast("int"), _ts("2000-01-01 00:00:00")).alias("updated_at"),
-    )
+    return table(spark, sf_dir, "customer").selectExpr(*PATIENTS_SQL)
 
 
 def physicians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
-    k = F.col("s_suppkey")
-    hire = F.date_add(F.lit("1980-01-01").cast("date"), (k * 53 % 9000).cast("int"))
-    return s.select(
-        k.cast("string").alias("physician_id"),
-        F.lit("Supplier").alias("first_name"),
-        F.substring("s_name", 10, 1 << 20).alias("last_name"),
-        F.concat(F.lit("SPEC_"), (F.col("s_nationkey") % 5).cast("string")).alias("specialty"),
-        F.concat(F.lit("LIC"), k.cast("string")).alias("license_number"),
-        F.lit(None).cast("string").alias("email"),
-        F.lit(None).cast("string").alias("contact_number"),
-        F.concat(F.lit("DEPT_"), (F.col("s_nationkey") % 3).cast("string")).alias("department"),
-        hire.alias("hire_date"),
-        F.when(k % 10 == 0, F.lit("Inactive")).otherwise(F.lit("Active")).alias("status"),
-        hire.cast("timestamp_ntz").alias("created_at"),
-        F.timestamp_add("DAY", (k % 30).cast("int"), _ts("2001-06-01 00:00:00")).alias("updated_at"),
-    )
+    return table(spark, sf_dir, "supplier").selectExpr(*PHYSICIANS_SQL)
 
 
 def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    status = F.col("o_orderstatus")
-    return o.select(
-        k.cast("string").alias("appointment_id"),
-        F.col("o_custkey").cast("string").alias("patient_id"),
-        (k * 7 % 120).cast("string").alias("physician_id"),
-        F.col("o_orderdate").cast("date").alias("appointment_date"),
-        F.timestamp_add("HOUR", (k % 10 + 8).cast("int"), F.col("o_orderdate")).alias("appointment_time"),
-        (F.lit(15) * (k % 4 + 1)).cast("int").alias("duration_minutes"),
-        F.col("o_orderpriority").alias("reason"),
-        F.when(status == "P", F.lit("Scheduled"))
-        .when(status == "F", F.lit("Completed"))
-        .otherwise(F.lit("No-Show"))
-        .alias("status"),
-        F.when(status == "F", F.lit(False)).when(status == "O", F.lit(True)).alias("no_show"),
-        F.lit(None).cast("string").alias("notes"),
-        F.timestamp_add("HOUR", (k % 24 - (k % 60) * 24).cast("int"), F.col("o_orderdate")).alias("created_at"),
-        F.timestamp_add("HOUR", (k % 10 + 9).cast("int"), F.col("o_orderdate")).alias("updated_at"),
-    )
+    return table(spark, sf_dir, "orders").selectExpr(*APPOINTMENTS_SQL)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in for the sample taxi table: ``events.value`` plays ``fare_amount``."""
-    e = table(spark, sf_dir, "events")
-    return e.select(
-        F.col("event_id"),
-        F.col("ts").alias("pickup_time"),
-        F.col("event_type").alias("trip_kind"),
-        F.col("value").alias("fare_amount"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*TRIPS_SQL)
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
