@@ -587,12 +587,12 @@ def q_audited_append(spark, sf_dir):
 @register("feature_table", FEATURES_SQL)
 def q_feature_table(spark, sf_dir):
     from carelake.operators.features import generate_features
+    from carelake.plans.training import create_feature_table
     from carelake.session import scratch_path
-    from carelake.sources.sinks import publish_table
 
     a, p, d = _views(spark, sf_dir)
     name = f"appointment_features_{_uid()}"
-    return publish_table(generate_features(a, p, d), name, scratch_path(spark, name))
+    return create_feature_table(spark, generate_features(a, p, d, conform=False), name, scratch_path(spark, name))
 
 
 @register("view_filter_table", "SELECT * FROM trips WHERE fare_amount < 30")

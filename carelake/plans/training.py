@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.operators.features import generate_features
+from carelake.operators.features import conform_to_schema, generate_features
 from carelake.operators.ml import (
     conform_predictions,
     load_model,
@@ -24,6 +24,15 @@ from carelake.operators.transforms import upcoming_appointments
 from carelake.sources.sinks import publish_table
 
 
+def create_feature_table(
+    spark: SparkSession, features_df: DataFrame, target_table: str = "appointment_features", target_path: str | None = None
+) -> DataFrame:
+    """Publish features cast to the declared feature schema; the warehouse picks the path when none is given."""
+    from carelake.schemas import FEATURES
+
+    return publish_table(conform_to_schema(features_df, FEATURES), target_table, target_path)
+
+
 def ml_training_job(
     spark: SparkSession,
     appointments: DataFrame,
@@ -44,8 +53,8 @@ def ml_training_job(
     base = base_path.rstrip("/")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    features = publish_table(
-        generate_features(appointments, patients, physicians), f"{prefix}appointment_features", f"{base}/features"
+    features = create_feature_table(
+        spark, generate_features(appointments, patients, physicians), f"{prefix}appointment_features", f"{base}/features"
     )
     run_id = uuid.uuid4().hex
     model, metrics, _ = train_and_evaluate(features, model_type=model_type, run_id=run_id, **params)
