@@ -113,6 +113,13 @@ def find_hot_keys(
     return counts.filter(F.col("_rows") > F.lit(threshold)).checkpoint(), int(s["r"])
 
 
+def _split_by_keys(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of non-hot keys, rows of hot keys); NULL is a key like any other (null-safe match)."""
+    h = F.broadcast(hot.select(F.col(key).alias("_hot_key")))
+    cond = df[key].eqNullSafe(h["_hot_key"])
+    return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
+
+
 def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
     w = Window.partitionBy(pid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     prev_n = F.count(F.lit(1)).over(w)
@@ -177,12 +184,12 @@ def calculate_patient_history(
     if found is None:
         return _history_window(df, patient_id_col, order, no_show_col)
     hot, hot_rows = found
-    hot_ids = F.broadcast(hot.select(patient_id_col))
     # Enough ordered chunks that none holds more than about hot_group_rows rows.
     n_chunks = min(max_chunks, max(2, math.ceil(hot_rows / max(1, hot_group_rows)) * 2))
-    cool = _history_window(df.join(hot_ids, patient_id_col, "left_anti"), patient_id_col, order, no_show_col)
-    warm = _history_split(df.join(hot_ids, patient_id_col, "left_semi"), patient_id_col, order, no_show_col, n_chunks)
-    return cool.unionByName(warm)
+    cool, warm = _split_by_keys(df, hot, patient_id_col)
+    return _history_window(cool, patient_id_col, order, no_show_col).unionByName(
+        _history_split(warm, patient_id_col, order, no_show_col, n_chunks)
+    )
 
 
 def conform_to_schema(df: DataFrame, schema) -> DataFrame:
@@ -239,11 +246,11 @@ def generate_features(
         df = _history_window(appt.join(pat, "patient_id", "left"), "patient_id", order, "no_show")
     else:
         hot, hot_rows = found
-        hot_ids = F.broadcast(hot.select("patient_id"))
         n_chunks = min(max_chunks, max(2, math.ceil(hot_rows / max(1, hot_group_rows)) * 2))
-        cool = appt.join(hot_ids, "patient_id", "left_anti").join(pat, "patient_id", "left")
+        cool, warm = _split_by_keys(appt, hot, "patient_id")
+        cool = cool.join(pat, "patient_id", "left")
         # The hot rows' patient join feeds a range exchange, so AQE may split the hot key.
-        warm = appt.join(hot_ids, "patient_id", "left_semi").join(pat, "patient_id", "left")
+        warm = warm.join(pat, "patient_id", "left")
         df = _history_window(cool, "patient_id", order, "no_show").unionByName(
             _history_split(warm, "patient_id", order, "no_show", n_chunks)
         )

@@ -57,7 +57,10 @@ def running_sums(
     offsets = pieces.select(
         *partition_by, "_chunk", *[F.sum(f"_p_{n}").over(w_chunk).alias(f"_o_{n}") for n in values]
     )
-    out = local.join(F.broadcast(offsets), [*partition_by, "_chunk"], "left")
+    # NULL group keys are one group, as in a window: join them null-safely.
+    o = F.broadcast(offsets.select(*[F.col(c).alias(f"_g_{c}") for c in partition_by], *offsets.columns[len(partition_by):]))
+    cond = [local["_chunk"] == o["_chunk"]] + [local[c].eqNullSafe(o[f"_g_{c}"]) for c in partition_by]
+    out = local.join(o, cond, "left").drop(o["_chunk"])
     out = out.withColumns(
         {n: F.coalesce(F.col(f"_l_{n}"), F.lit(0)) + F.coalesce(F.col(f"_o_{n}"), F.lit(0)) for n in values}
     )

@@ -130,3 +130,17 @@ def test_feature_schema_is_declared(spark):
 
     df = QUERIES["appointment_features"](spark, SF001)
     assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in FEATURES.fields]
+
+
+def test_hot_null_patient_key_is_split_and_correct(spark):
+    """Many rows without a patient id form one (hot) window group; the split plan must agree."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(1200):
+        pid = None if i % 2 == 0 else f"p{rnd.randrange(40)}"
+        d = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(30))
+        rows.append((f"id{i:05d}", pid, d, dt.datetime.combine(d, dt.time(rnd.randrange(24))), rnd.choice([True, False, None])))
+    df = spark.createDataFrame(rows, HIST).repartition(4)
+    plain = _hist_rows(calculate_patient_history(df, hot_group_rows=10**9))
+    split = calculate_patient_history(df, hot_group_rows=50, max_chunks=8)
+    assert _hist_rows(split) == plain
