@@ -89,15 +89,27 @@ def find_hot_keys(
     key_col: str,
     hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    sample_hits: int = 100,
 ):
-    """One pass over ``key_col``: ``None`` when no key is hot, else ``(hot keys, hot rows)``.
-
-    The pass returns three numbers (total rows, and count / rows of the keys
-    above ``hot_group_rows``); only when some key is above it is the exact hot
-    set (threshold ``max(hot_group_rows, total / max_hot_keys)``) built.
+    """One pass over ``key_col``: ``None`` when no key is hot, else ``(hot keys, estimated hot rows)``.
+
+    Only the plan depends on this answer, never the result: rows of keys in
+    the hot set take the split plan, all other rows the window, and both give
+    the same values.  So the keys are counted on a Bernoulli sample whose
+    fraction gives a key of ``hot_group_rows`` rows about ``sample_hits``
+    expected hits (the whole column when that fraction reaches 1, i.e. on
+    small inputs): the shuffle is then tiny instead of one row per distinct
+    key.  A sampled key counts as hot from half the threshold on, so a key far
+    above it (a third of all rows) cannot be missed; at most
+    ``max_hot_keys`` keys qualify, which bounds the broadcast.
     """
-    counts = _key_counts(df.select(key_col), key_col)
-    big = F.col("_rows") > F.lit(hot_group_rows)
+    frac = min(1.0, sample_hits / float(max(1, hot_group_rows)))
+    keys = df.select(key_col)
+    if frac < 1.0:
+        keys = keys.sample(fraction=frac, seed=42)
+    counts = _key_counts(keys, key_col)
+    floor = hot_group_rows * frac * (0.5 if frac < 1.0 else 1.0)
+    big = F.col("_rows") > F.lit(floor)
     s = counts.agg(
         F.sum("_rows").alias("total"),
         F.count_if(big).alias("k"),
@@ -105,12 +117,14 @@ def find_hot_keys(
     ).first()
     if not s["k"]:
         return None
-    threshold = max(float(hot_group_rows), s["total"] / float(max_hot_keys))
-    # Bounded (at most max_hot_keys rows) and used by two joins: materialise it once.
+    # Pigeonhole on the (sampled) counts: at most max_hot_keys keys exceed total / max_hot_keys.
+    threshold = max(floor, s["total"] / float(max_hot_keys))
+    # Bounded and used by two joins: materialise it once.
     from carelake.session import checkpoint_root
 
     checkpoint_root(df.sparkSession)
-    return counts.filter(F.col("_rows") > F.lit(threshold)).checkpoint(), int(s["r"])
+    hot = counts.filter(F.col("_rows") > F.lit(threshold)).select(key_col).checkpoint()
+    return hot, int(s["r"] / frac)
 
 
 def _split_by_keys(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

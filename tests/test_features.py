@@ -144,3 +144,16 @@ def test_hot_null_patient_key_is_split_and_correct(spark):
     plain = _hist_rows(calculate_patient_history(df, hot_group_rows=10**9))
     split = calculate_patient_history(df, hot_group_rows=50, max_chunks=8)
     assert _hist_rows(split) == plain
+
+
+def test_sampled_hot_key_detection_finds_a_third(spark):
+    """With a sampled pre-check (fraction < 1) a key owning a third of the rows is found."""
+    from carelake.operators.features import find_hot_keys
+
+    df = spark.range(0, 300000).selectExpr("IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS patient_id")
+    found = find_hot_keys(df, "patient_id", hot_group_rows=20000)  # fraction 100/20000
+    assert found is not None
+    hot, rows = found
+    assert [r.patient_id for r in hot.collect()] == ["hot"]
+    assert 50000 < rows < 200000
+    assert find_hot_keys(df.filter("patient_id <> 'hot'"), "patient_id", hot_group_rows=20000) is None
