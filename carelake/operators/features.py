@@ -21,6 +21,7 @@ ever holds more than ``hot_group_rows`` rows of one patient.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -134,14 +135,18 @@ def _split_by_keys(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame,
     return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
 
 
-def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
+@functools.lru_cache(maxsize=64)
+def _history_exprs(pid: str, order: tuple, no_show_col: str) -> dict:
+    # Column objects are immutable, unresolved expressions: build them once per signature.
     w = Window.partitionBy(pid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     prev_n = F.count(F.lit(1)).over(w)
     prev_ns = F.sum(F.col(no_show_col).cast("int")).over(w)
+    return {"previous_appointments": prev_n, "previous_no_shows": prev_ns, "no_show_rate": _rate(prev_ns, prev_n)}
+
+
+def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
     # one projection; the analyzer evaluates each distinct window expression once
-    return df.withColumns(
-        {"previous_appointments": prev_n, "previous_no_shows": prev_ns, "no_show_rate": _rate(prev_ns, prev_n)}
-    )
+    return df.withColumns(_history_exprs(pid, tuple(order), no_show_col))
 
 
 def _history_split(
@@ -271,16 +276,19 @@ def generate_features(
     # Physicians last: the patient join and the window share the patient_id
     # partitioning (no exchange at all when both tables are bucketed on it).
     df = df.join(phy, "physician_id", "left")
-    return df.select(*_feature_columns(df, conform))
+    return df.select(*_feature_columns(frozenset(df.columns), conform))
+
 
+@functools.lru_cache(maxsize=64)
+def _feature_columns(present: frozenset, conform: bool) -> list[Column]:
+    """The 17 output columns as one projection (one analysis, one codegen stage).
 
-def _feature_columns(df: DataFrame, conform: bool) -> list[Column]:
-    """The 17 output columns as one projection (one analysis, one codegen stage)."""
+    Built once per input column set: Column objects are immutable, unresolved
+    expressions, and building them costs a JVM round trip per call.
+    """
     from carelake.functions.columns import is_weekend, season, weekday_name
     from carelake.schemas import FEATURES
 
-    present = set(df.columns)
-
     def col(c):
         return F.col(c) if c in present else F.lit(None)
 
