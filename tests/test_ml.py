@@ -90,3 +90,21 @@ def test_importances_cover_every_slot(small_run):
     imp = feature_importance(model, pred).collect()
     assert sum(r.importance for r in imp) == pytest.approx(1.0)
     assert {r.source_column for r in imp} >= {"patient_age_f", "no_show_rate_f"}
+
+
+def test_predictions_conform_to_declared_schema(spark, small_run):
+    from carelake.operators.ml import conform_predictions
+    from carelake.schemas import PREDICTIONS
+
+    feats, model, _, _ = small_run
+    pred = conform_predictions(predict_no_shows(model, feats, as_of="2001-01-01"), "v1")
+    assert [(f.name, f.dataType) for f in pred.schema.fields] == [(f.name, f.dataType) for f in PREDICTIONS.fields]
+    r = pred.first()
+    assert r.model_version == "v1" and isinstance(r.prediction, bool) and 0.0 <= r.no_show_probability <= 1.0
+
+
+def test_split_label_values(spark):
+    from carelake.operators.ml import split_label
+
+    df = split_label(spark.range(0, 200).selectExpr("CAST(id AS STRING) AS k"), "k")
+    assert {r.split for r in df.collect()} == {"train", "test"}

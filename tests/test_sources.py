@@ -128,3 +128,16 @@ def test_partitioned_write_rebalances_files(spark):
     files = glob.glob(path + "/year=*/*.parquet")
     assert len(files) == len(dirs)  # one right-sized file per folder instead of one per task
     assert spark.read.parquet(path).count() == df.count()
+
+
+def test_read_table_optional_and_audited_batches(spark):
+    from carelake.sources.readers import read_table
+    from carelake.sources.sinks import publish_audited
+
+    assert read_table(spark, None) is None
+    name, path = "audit_batches", scratch_path(spark, "audit")
+    df = spark.range(3)
+    publish_audited(df, name, path, "overwrite", as_of="2024-01-01 00:00:00")
+    out = publish_audited(df, name, path, "append", as_of="2024-01-02 03:04:05")
+    batches = sorted(r.etl_batch_id for r in out.select("etl_batch_id").distinct().collect())
+    assert batches == ["20240101000000", "20240102030405"] and out.count() == 6
