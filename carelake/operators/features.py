@@ -257,7 +257,7 @@ def generate_features(
             if c in appointments_df.columns
         ]
     )
-    # Hot patients are found on the appointment keys alone (one column, map-side combined)
+    # Hot patients are found on the appointment keys alone (one column, sampled at scale)
     # and split off before the joins, so that no join or window task holds one of them whole.
     order = _order_columns(appt, "appointment_date", ("appointment_time", "appointment_id"))
     found = find_hot_keys(appt, "patient_id", hot_group_rows, max_hot_keys)
