@@ -62,10 +62,15 @@ def publish_table(
     warehouse chooses the location from the table name.  ``bucket_by`` +
     ``buckets`` hash-bucket (and sort) the files on those columns: later
     joins and windows on the same key between tables with the same bucket
-    count read co-located data and skip the shuffle.  Partitioned tables are
-    rebalanced on the partition columns first (see ``write_path``).
+    count read co-located data and skip the shuffle.  Rows are hash-partitioned
+    into exactly ``buckets`` partitions on those columns first (the same hash
+    as bucketing), so each bucket is one file instead of one file per writing
+    task per bucket.  Partitioned tables are rebalanced on the partition
+    columns first (see ``write_path``).
     """
-    if partition_by and rebalance:
+    if bucket_by and buckets:
+        df = df.repartition(buckets, *bucket_by)
+    elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta":

@@ -141,3 +141,13 @@ def test_read_table_optional_and_audited_batches(spark):
     out = publish_audited(df, name, path, "append", as_of="2024-01-02 03:04:05")
     batches = sorted(r.etl_batch_id for r in out.select("etl_batch_id").distinct().collect())
     assert batches == ["20240101000000", "20240102030405"] and out.count() == 6
+
+
+def test_bucketed_publish_writes_one_file_per_bucket(spark):
+    import glob
+
+    df = spark.range(0, 5000).selectExpr("CAST(id % 97 AS STRING) AS patient_id", "id").repartition(7)
+    path = scratch_path(spark, "bucketed")
+    out = publish_table(df, "bucketed_files", path, bucket_by=["patient_id"], buckets=4)
+    assert len(glob.glob(path + "/*.parquet")) == 4
+    assert out.count() == 5000
