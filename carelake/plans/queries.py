@@ -584,6 +584,22 @@ def q_audited_append(spark, sf_dir):
     return publish_audited(d, name, path, "append", as_of="2001-01-02 06:30:00")
 
 
+# S8 under the inventory's own name: the audited sink in overwrite mode.
+@register(
+    "publish_audited",
+    """
+SELECT *, TIMESTAMP '2001-01-01 00:00:00' AS etl_timestamp, DATE '2001-01-01' AS etl_date,
+  '20010101000000' AS etl_batch_id FROM physicians
+""",
+)
+def q_publish_audited(spark, sf_dir):
+    from carelake.session import scratch_path
+    from carelake.sources.sinks import publish_audited
+
+    name = f"physicians_audited_{_uid()}"
+    return publish_audited(fx.physicians(spark, sf_dir), name, scratch_path(spark, name), "overwrite", as_of=AS_OF_TS)
+
+
 @register("feature_table", FEATURES_SQL)
 def q_feature_table(spark, sf_dir):
     from carelake.operators.features import generate_features
