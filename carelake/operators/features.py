@@ -135,8 +135,16 @@ def _split_by_keys(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame,
     return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
 
 
+def _session_key(df: DataFrame) -> str:
+    """Cache scope for built Column objects: one entry set per Spark application."""
+    try:
+        return df.sparkSession.sparkContext.applicationId
+    except Exception:  # Connect sessions: Columns are plain Python objects
+        return "connect"
+
+
 @functools.lru_cache(maxsize=64)
-def _history_exprs(pid: str, order: tuple, no_show_col: str) -> dict:
+def _history_exprs(pid: str, order: tuple, no_show_col: str, scope: str = "") -> dict:
     # Column objects are immutable, unresolved expressions: build them once per signature.
     w = Window.partitionBy(pid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     prev_n = F.count(F.lit(1)).over(w)
@@ -146,7 +154,7 @@ def _history_exprs(pid: str, order: tuple, no_show_col: str) -> dict:
 
 def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
     # one projection; the analyzer evaluates each distinct window expression once
-    return df.withColumns(_history_exprs(pid, tuple(order), no_show_col))
+    return df.withColumns(_history_exprs(pid, tuple(order), no_show_col, _session_key(df)))
 
 
 def _history_split(
@@ -276,11 +284,11 @@ def generate_features(
     # Physicians last: the patient join and the window share the patient_id
     # partitioning (no exchange at all when both tables are bucketed on it).
     df = df.join(phy, "physician_id", "left")
-    return df.select(*_feature_columns(frozenset(df.columns), conform))
+    return df.select(*_feature_columns(frozenset(df.columns), conform, _session_key(df)))
 
 
 @functools.lru_cache(maxsize=64)
-def _feature_columns(present: frozenset, conform: bool) -> list[Column]:
+def _feature_columns(present: frozenset, conform: bool, scope: str = "") -> list[Column]:
     """The 17 output columns as one projection (one analysis, one codegen stage).
 
     Built once per input column set: Column objects are immutable, unresolved
