@@ -75,6 +75,7 @@ def daily_etl(
     database: str,
     as_of=None,
     buckets: int | None = None,
+    hot_group_rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """Patients, then physicians, then enriched appointments into ``database``.
 
@@ -89,10 +90,10 @@ def daily_etl(
     """
     create_database(spark, database)
     if buckets:
-        from carelake.operators.features import find_hot_keys
+        from carelake.operators.features import DEFAULT_HOT_GROUP_ROWS, find_hot_keys
 
         landed = extract_appointments(spark, sources["appointments"]).select("patient_id")
-        if find_hot_keys(landed, "patient_id") is not None:
+        if find_hot_keys(landed, "patient_id", hot_group_rows or DEFAULT_HOT_GROUP_ROWS) is not None:
             buckets = None
 
     def target(entity):

@@ -74,3 +74,23 @@ def test_bucketed_tables_make_feature_build_shuffle_free(spark):
     t = {n: spark.table(f"bucketed_db.{n}") for n in ("appointments", "patients", "physicians")}
     plan = _plan(generate_features(t["appointments"], t["patients"], t["physicians"]))
     assert "Exchange" not in plan.replace("BroadcastExchange", ""), plan
+
+
+def test_bucketing_skipped_when_a_patient_is_hot(spark):
+    from carelake.plans.etl import daily_etl, stage_csv
+    from carelake.session import scratch_path
+
+    src = {
+        n: stage_csv(v(spark, SF001), scratch_path(spark, f"h-{n}"))
+        for n, v in (("patients", fx.patients), ("physicians", fx.physicians), ("appointments", fx.appointments))
+    }
+
+    def bucketed(db):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.appointments").collect()
+        return any(r.col_name == "Num Buckets" for r in rows)
+
+    daily_etl(spark, src, scratch_path(spark, "cool-db"), "cool_db", "2001-01-01", buckets=4)
+    assert bucketed("cool_db")
+    # with a tiny threshold some patients count as hot: one bucket would be a straggler
+    daily_etl(spark, src, scratch_path(spark, "hot-db"), "hot_db", "2001-01-01", buckets=4, hot_group_rows=3)
+    assert not bucketed("hot_db")
