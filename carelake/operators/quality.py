@@ -51,11 +51,13 @@ def contract_check(df: DataFrame, required_columns: list[str], key_columns: list
                 dup.cast("bigint").alias("duplicate_rows"),
             )
         )
-    return _long(stats, rows)
+    return _long(stats, rows, "column_name string, present boolean, null_rows bigint, duplicate_rows bigint")
 
 
-def _long(stats: DataFrame, rows: list) -> DataFrame:
+def _long(stats: DataFrame, rows: list, schema: str | None = None) -> DataFrame:
     """One output row per struct, all taken from the single aggregate row (no re-aggregation)."""
+    if not rows:
+        return stats.sparkSession.createDataFrame([], schema)
     return stats.select(F.inline(F.array(*rows)))
 
 
@@ -113,7 +115,7 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, digits: int =
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     cols = columns or [c for c, t in fields.items() if isinstance(t, NumericType)]
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [
@@ -135,7 +137,7 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, digits: int =
         )
         for i, c in enumerate(cols)
     ]
-    return _long(stats, rows)
+    return _long(stats, rows, "column_name string, count bigint, mean double, stddev double, min double, max double")
 
 
 def describe(df: DataFrame, *cols: str) -> DataFrame:

@@ -117,3 +117,12 @@ def test_profile_exact_and_approx(spark):
     assert (exact["k"].distinct_count, exact["v"].null_count, exact["v"].row_count) == (50, 50, 500)
     approx = {r.column_name: r for r in profile_table(df).collect()}
     assert abs(approx["v"].distinct_count - 450) <= 45
+
+
+def test_summaries_with_nothing_to_report(spark):
+    from carelake.operators.quality import describe_long
+
+    df = spark.createDataFrame([("a",)], "s string")
+    assert contract_check(df, []).count() == 0
+    assert describe_long(df).columns == ["column_name", "count", "mean", "stddev", "min", "max"]
+    assert describe_long(df).count() == 0
