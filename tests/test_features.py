@@ -157,3 +157,12 @@ def test_sampled_hot_key_detection_finds_a_third(spark):
     assert [r.patient_id for r in hot.collect()] == ["hot"]
     assert 50000 < rows < 200000
     assert find_hot_keys(df.filter("patient_id <> 'hot'"), "patient_id", hot_group_rows=20000) is None
+
+
+def test_running_sums_inclusive_with_groups(spark):
+    df = spark.range(0, 600).selectExpr("CAST(id % 3 AS STRING) AS g", "id", "id % 5 AS v")
+    out = running_sums(df, ["g"], ["id"], {"s": F.col("v")}, n_chunks=4, inclusive=True).collect()
+    acc = {}
+    for r in sorted(out, key=lambda r: r.id):
+        acc[r.g] = acc.get(r.g, 0) + r.v
+        assert r.s == acc[r.g]

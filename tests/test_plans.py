@@ -94,3 +94,10 @@ def test_bucketing_skipped_when_a_patient_is_hot(spark):
     # with a tiny threshold some patients count as hot: one bucket would be a straggler
     daily_etl(spark, src, scratch_path(spark, "hot-db"), "hot_db", "2001-01-01", buckets=4, hot_group_rows=3)
     assert not bucketed("hot_db")
+
+
+def test_preview_is_a_top_k(spark):
+    from carelake.operators.quality import preview
+
+    plan = _plan(preview(fx.appointments(spark, SF001), ["appointment_date", "appointment_id"], 10))
+    assert "TakeOrderedAndProject" in plan and "Exchange rangepartitioning" not in plan
