@@ -85,3 +85,27 @@ def test_auc_matches_brute_force(spark, rows):
         return
     wins = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
     assert abs(got - wins / (len(pos) * len(neg))) < 1e-12
+
+
+cell = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "a"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(cell, cell), min_size=0, max_size=40))
+def test_contract_and_profile_match_brute_force(spark, rows):
+    from carelake.operators.quality import contract_check, profile_table
+
+    df = spark.createDataFrame(rows, "k string, v string")
+    cc = {r.column_name: r for r in contract_check(df, ["k", "v", "missing"], ["k"]).collect()}
+    ks = [r[0] for r in rows]
+    vs = [r[1] for r in rows]
+    nonnull_k = [k for k in ks if k is not None]
+    assert cc["k"].null_rows == ks.count(None)
+    assert cc["k"].duplicate_rows == len(nonnull_k) - len(set(nonnull_k))
+    assert (cc["v"].null_rows, cc["v"].duplicate_rows) == (vs.count(None), None)
+    assert (cc["missing"].present, cc["missing"].null_rows) == (False, None)
+    prof = {r.column_name: r for r in profile_table(df, exact=True).collect()}
+    for name, values in (("k", ks), ("v", vs)):
+        p = prof[name]
+        assert (p.row_count, p.null_count) == (len(rows), values.count(None))
+        assert p.distinct_count == len({x for x in values if x is not None})
