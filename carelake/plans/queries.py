@@ -258,6 +258,21 @@ def q_enrich_patient(spark, sf_dir):
     return transform_appointments(a, transform_patients(p, AS_OF_TS), None, AS_OF_TS)
 
 
+@register(
+    "enrich_physician",
+    f"""
+SELECT {APPT_T_COLS}, d.first_name || ' ' || d.last_name AS physician_name, d.specialty
+FROM appointments a LEFT JOIN physicians d ON a.physician_id = d.physician_id
+""",
+)
+def q_enrich_physician(spark, sf_dir):
+    """Physician enrichment alone (the patient table is not given)."""
+    from carelake.operators.transforms import transform_appointments, transform_physicians
+
+    a, _, d = _views(spark, sf_dir)
+    return transform_appointments(a, None, transform_physicians(d, AS_OF_TS), AS_OF_TS)
+
+
 @register("enrich_both", ENRICH_BOTH_SQL)
 def q_enrich_both(spark, sf_dir):
     from carelake.operators.transforms import transform_appointments, transform_patients, transform_physicians
