@@ -23,3 +23,15 @@ def test_daily_etl_then_ml_then_incremental(spark):
         "appointment_date > DATE '2001-01-01' AND status = 'Scheduled'").count()
     inc = main(["incremental-appointments", "--landing", paths["appointments"], *common], spark)
     assert int(inc["rows"]) == fx.appointments(spark, SF001).count()
+
+
+def test_cli_arguments():
+    from carelake.plans.jobs import parser
+
+    a = parser().parse_args(["daily-etl", "--patients", "p", "--physicians", "d", "--appointments", "a",
+                             "--database", "db", "--base-path", "b", "--buckets", "8"])
+    assert (a.job, a.buckets, a.as_of) == ("daily-etl", 8, None)
+    m = parser().parse_args(["ml-training", "--database", "db", "--base-path", "b", "--model-type", "gbt"])
+    assert (m.model_type, m.model_version) == ("gbt", None)
+    i = parser().parse_args(["incremental-appointments", "--landing", "l", "--database", "db", "--base-path", "b"])
+    assert i.landing == "l"
