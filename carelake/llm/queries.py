@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from carelake.llm import bpe, dedup, jaccard, sharding
+from carelake.llm import bpe, dedup, jaccard, licences, neardup, packing, pii, sharding, toxicity, urls
 from carelake.llm.common import table, text_or_empty
 
 BPE_FILE = "byte_bpe_50k.json"
+SEQUENCE_TOKENS = 1024
+END_ID = 2
+#: The url rules of the contract: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +26,11 @@ def _query(name):
     return add
 
 
+@_query("op1_licence_scan")
+def op1_licence_scan(spark, sf_dir):
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 @_query("op2_bpe_roundtrip")
 def op2_bpe_roundtrip(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
@@ -56,3 +65,50 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PART
        doc_id = min(doc_id) OVER (PARTITION BY n) AS kept, sha256(n) AS text_sha256
 FROM t
 """
+
+
+@_query("op5_url_filter")
+def op5_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLE["op5_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM p
+), r(rhost, rpath, rverdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), best AS (
+  SELECT page_id, min((-length(rhost || rpath), rhost || rpath, rverdict)) AS b
+  FROM h JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id
+)
+SELECT h.page_id, host, path, b[2] AS rule, coalesce(b[3], 'allow') AS verdict FROM h LEFT JOIN best USING (page_id)
+"""
+
+
+@_query("op6_near_duplicates")
+def op6_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+@_query("op8_personal_data")
+def op8_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@_query("op9_packing")
+def op9_packing(spark, sf_dir):
+    pieces = bpe.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), SEQUENCE_TOKENS, END_ID)
+    return packing.pack(pieces.drop("ids"), SEQUENCE_TOKENS)
+
+
+@_query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
