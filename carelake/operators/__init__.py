@@ -6,9 +6,7 @@ from carelake.operators.features import (  # noqa: F401
     calculate_patient_history,
     conform_to_schema,
     extract_datetime_features,
-    find_hot_keys,
     generate_features,
-    hot_keys,
 )
 from carelake.operators.ml import (  # noqa: F401
     accuracy_frame,

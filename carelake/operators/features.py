@@ -13,27 +13,22 @@ The physician join comes after the window; physician keys are unique in the
 published physician table (the ETL de-duplicates it).  With duplicate
 physician keys the fan-out copies are not counted as earlier visits.
 
-Skew: one patient may own a large share of all appointments.  Such *hot*
-patients are found by a map-side-combined count and routed through a split
-plan (range-partitioned prefix sums, see ``patient_history``) so that no task
-ever holds more than ``hot_group_rows`` rows of one patient.
+Skew: one patient may own a large share of all appointments.  The default plan
+cuts every patient's history at the hours of its visits (see
+``calculate_patient_history``), so that no task needs a whole patient;
+``split=False`` asks for one window per patient, which is cheaper where no
+patient is large.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions.columns import datetime_feature_columns, lead_days, whole_years
 
-# Rows of one patient above which its history is computed by the split plan.
-DEFAULT_HOT_GROUP_ROWS = 2_000_000
-# Upper bound on the number of hot keys (keeps the broadcast key set bounded:
-# at most total_rows / threshold keys can exceed the threshold).
-DEFAULT_MAX_HOT_KEYS = 10_000
 
 def extract_datetime_features(df: DataFrame, datetime_col: str = "appointment_time") -> DataFrame:
     """Adds hour_of_day, day_of_week, day_of_month, month, quarter, year, is_weekend, season."""
@@ -63,78 +58,6 @@ def _order_columns(df: DataFrame, date_col: str, tie_breakers) -> list[str]:
     return [date_col] + [c for c in tie_breakers if c in df.columns and c != date_col]
 
 
-def _key_counts(df: DataFrame, key_col: str) -> DataFrame:
-    return df.groupBy(key_col).agg(F.count(F.lit(1)).alias("_rows"))
-
-
-def hot_keys(
-    df: DataFrame,
-    key_col: str,
-    hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-) -> DataFrame:
-    """Keys owning more than ``max(hot_group_rows, total / max_hot_keys)`` rows (lazy).
-
-    The count is a partial (map-side) aggregate, so a hot key costs one row
-    per map task in the shuffle.  By pigeonhole the result has at most
-    ``max_hot_keys`` rows, which is what makes broadcasting it safe.
-    """
-    counts = _key_counts(df, key_col)
-    total = counts.agg(F.sum("_rows")).scalar()
-    threshold = F.greatest(F.lit(hot_group_rows).cast("double"), total / F.lit(float(max_hot_keys)))
-    return counts.filter(F.col("_rows") > threshold)
-
-
-def find_hot_keys(
-    df: DataFrame,
-    key_col: str,
-    hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    sample_hits: int = 100,
-):
-    """One pass over ``key_col``: ``None`` when no key is hot, else ``(hot keys, estimated hot rows)``.
-
-    Only the plan depends on this answer, never the result: rows of keys in
-    the hot set take the split plan, all other rows the window, and both give
-    the same values.  So the keys are counted on a Bernoulli sample whose
-    fraction gives a key of ``hot_group_rows`` rows about ``sample_hits``
-    expected hits (the whole column when that fraction reaches 1, i.e. on
-    small inputs): the shuffle is then tiny instead of one row per distinct
-    key.  A sampled key counts as hot from half the threshold on, so a key far
-    above it (a third of all rows) cannot be missed; at most
-    ``max_hot_keys`` keys qualify, which bounds the broadcast.
-    """
-    frac = min(1.0, sample_hits / float(max(1, hot_group_rows)))
-    keys = df.select(key_col)
-    if frac < 1.0:
-        keys = keys.sample(fraction=frac, seed=42)
-    counts = _key_counts(keys, key_col)
-    floor = hot_group_rows * frac * (0.5 if frac < 1.0 else 1.0)
-    big = F.col("_rows") > F.lit(floor)
-    s = counts.agg(
-        F.sum("_rows").alias("total"),
-        F.count_if(big).alias("k"),
-        F.sum(F.when(big, F.col("_rows"))).alias("r"),
-    ).first()
-    if not s["k"]:
-        return None
-    # Pigeonhole on the (sampled) counts: at most max_hot_keys keys exceed total / max_hot_keys.
-    threshold = max(floor, s["total"] / float(max_hot_keys))
-    # Bounded and used by two joins: materialise it once.
-    from carelake.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
-    hot = counts.filter(F.col("_rows") > F.lit(threshold)).select(key_col).checkpoint()
-    return hot, int(s["r"] / frac)
-
-
-def _split_by_keys(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(rows of non-hot keys, rows of hot keys); NULL is a key like any other (null-safe match)."""
-    h = F.broadcast(hot.select(F.col(key).alias("_hot_key")))
-    cond = df[key].eqNullSafe(h["_hot_key"])
-    return df.join(h, cond, "left_anti"), df.join(h, cond, "left_semi")
-
-
 def _session_key(df: DataFrame) -> str:
     """Cache scope for built Column objects: one entry set per Spark application."""
     try:
@@ -157,41 +80,52 @@ def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str)
     return df.withColumns(_history_exprs(pid, tuple(order), no_show_col, _session_key(df)))
 
 
-def _history_split(
-    df: DataFrame, pid: str, order: list[str], no_show_col: str, n_chunks: int
-) -> DataFrame:
-    """History for hot patients via chunked prefix sums (see ``carelake.operators.prefix``).
+def _history_split(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
+    """The same history from sums over chunks: a patient's visits of one hour (one day without a time column).
 
-    The sum is NULL until a non-NULL flag was seen, so the number of known
-    flags is carried along with the count and the sum.
+    The chunk follows the sort order, so a row's sums are those of the earlier chunks of its
+    patient plus those of the earlier rows of its chunk.  Chunk totals are summed before
+    the shuffle; the window over a patient's chunks is as long as its distinct hours, the
+    window inside a chunk as long as its visits of that hour.  Rows with a null date or
+    time form one chunk, as nulls sort together.
     """
-    from carelake.operators.prefix import running_sums
-
-    flag = F.col(no_show_col).cast("int")
-    out = running_sums(
-        df,
-        [pid],
-        order,
-        {"_n": F.lit(1).cast("bigint"), "_s": flag.cast("bigint"), "_k": flag.isNotNull().cast("bigint")},
-        n_chunks,
-    )
-    out = out.withColumns(
-        {"previous_appointments": F.col("_n"), "previous_no_shows": F.when(F.col("_k") > 0, F.col("_s"))}
+    kinds = dict(df.dtypes)
+    cut = [F.date_trunc("hour", F.col(c)) if kinds[c].startswith("timestamp") else F.col(c) for c in order[:1]]
+    if len(order) > 1 and kinds[order[1]].startswith("timestamp"):
+        cut.append(F.date_trunc("hour", F.col(order[1])))
+    flag = F.col(no_show_col).cast("int").cast("bigint")
+    # Null keys are equal inside a struct, as they are in a window.
+    chunk = F.struct(F.col(pid).alias("p"), *[h.alias(f"h{i}") for i, h in enumerate(cut)])
+    keyed = df.withColumn("_chunk", chunk).withColumn("_flag", flag)
+    totals = keyed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"), F.sum("_flag").alias("_s"))
+    earlier = (
+        Window.partitionBy(F.col("_chunk.p")).orderBy(*[F.col(f"_chunk.h{i}") for i in range(len(cut))])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    offsets = totals.select("_chunk", F.sum("_n").over(earlier).alias("_n0"), F.sum("_s").over(earlier).alias("_s0"))
+    inside = Window.partitionBy("_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = keyed.withColumn("_n1", F.count(F.lit(1)).over(inside)).withColumn("_s1", F.sum("_flag").over(inside))
+    out = out.join(offsets, "_chunk", "left")
+    known = F.col("_s0").isNotNull() | F.col("_s1").isNotNull()
+    zero = F.lit(0).cast("bigint")
+    prev_n = F.coalesce("_n0", zero) + F.col("_n1")
+    prev_ns = F.when(known, F.coalesce("_s0", zero) + F.coalesce("_s1", zero))
+    out = out.withColumns({"previous_appointments": prev_n, "previous_no_shows": prev_ns})
     out = out.withColumn("no_show_rate", _rate(F.col("previous_no_shows"), F.col("previous_appointments")))
     return out.select(*df.columns, "previous_appointments", "previous_no_shows", "no_show_rate")
 
 
+def _history(df: DataFrame, pid: str, order: list[str], no_show_col: str, split: bool) -> DataFrame:
+    return (_history_split if split else _history_window)(df, pid, order, no_show_col)
+
+
 def calculate_patient_history(
     df: DataFrame,
     patient_id_col: str = "patient_id",
     appointment_date_col: str = "appointment_date",
     no_show_col: str = "no_show",
     tie_breakers=("appointment_time", "appointment_id"),
-    hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    hot_source: DataFrame | None = None,
-    max_chunks: int = 16384,
+    split: bool = True,
 ) -> DataFrame:
     """Adds ``previous_appointments``, ``previous_no_shows``, ``no_show_rate``.
 
@@ -202,21 +136,12 @@ def calculate_patient_history(
     Rows are ordered by date, then the tie-break columns present in ``df``
     (the reference orders by date only, which leaves same-day ties open).
 
-    Hot patients are counted on ``hot_source`` (default ``df``; a narrower
-    frame with the same keys is cheaper).  When none is hot (the usual case)
-    the plan is a single window; otherwise hot patients take the split plan.
+    ``split`` cuts each history into chunks of an hour, so that a patient with
+    any share of the rows is spread over tasks; without it one window per
+    patient gives the same values.  No job runs before the result is used.
     """
     order = _order_columns(df, appointment_date_col, tie_breakers)
-    found = find_hot_keys(hot_source if hot_source is not None else df, patient_id_col, hot_group_rows, max_hot_keys)
-    if found is None:
-        return _history_window(df, patient_id_col, order, no_show_col)
-    hot, hot_rows = found
-    # Enough ordered chunks that none holds more than about hot_group_rows rows.
-    n_chunks = min(max_chunks, max(2, math.ceil(hot_rows / max(1, hot_group_rows)) * 2))
-    cool, warm = _split_by_keys(df, hot, patient_id_col)
-    return _history_window(cool, patient_id_col, order, no_show_col).unionByName(
-        _history_split(warm, patient_id_col, order, no_show_col, n_chunks)
-    )
+    return _history(df, patient_id_col, order, no_show_col, split)
 
 
 def conform_to_schema(df: DataFrame, schema) -> DataFrame:
@@ -234,10 +159,8 @@ def generate_features(
     appointments_df: DataFrame,
     patients_df: DataFrame,
     physicians_df: DataFrame,
-    hot_group_rows: int = DEFAULT_HOT_GROUP_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     conform: bool = True,
-    max_chunks: int = 16384,
+    split: bool = True,
 ) -> DataFrame:
     """The 17-column feature table of the no-show model.
 
@@ -246,7 +169,8 @@ def generate_features(
     from the physician dimension.  With ``conform`` the result is cast to the
     declared feature schema (int counts, float rate), as it is published;
     without it the natural types (bigint counts, double rate) are kept and the
-    column names follow the declared schema in both cases.
+    column names follow the declared schema in both cases.  ``split`` as in
+    ``calculate_patient_history``.
     """
     pat = patients_df.select("patient_id", "date_of_birth", "gender")
     phy = physicians_df.select("physician_id", "specialty")
@@ -265,22 +189,9 @@ def generate_features(
             if c in appointments_df.columns
         ]
     )
-    # Hot patients are found on the appointment keys alone (one column, sampled at scale)
-    # and split off before the joins, so that no join or window task holds one of them whole.
+    # With ``split`` the join's output is shuffled by chunk, so Spark may cut a hot patient's join too.
     order = _order_columns(appt, "appointment_date", ("appointment_time", "appointment_id"))
-    found = find_hot_keys(appt, "patient_id", hot_group_rows, max_hot_keys)
-    if found is None:
-        df = _history_window(appt.join(pat, "patient_id", "left"), "patient_id", order, "no_show")
-    else:
-        hot, hot_rows = found
-        n_chunks = min(max_chunks, max(2, math.ceil(hot_rows / max(1, hot_group_rows)) * 2))
-        cool, warm = _split_by_keys(appt, hot, "patient_id")
-        cool = cool.join(pat, "patient_id", "left")
-        # The hot rows' patient join feeds a range exchange, so AQE may split the hot key.
-        warm = warm.join(pat, "patient_id", "left")
-        df = _history_window(cool, "patient_id", order, "no_show").unionByName(
-            _history_split(warm, "patient_id", order, "no_show", n_chunks)
-        )
+    df = _history(appt.join(pat, "patient_id", "left"), "patient_id", order, "no_show", split)
     # Physicians last: the patient join and the window share the patient_id
     # partitioning (no exchange at all when both tables are bucketed on it).
     df = df.join(phy, "physician_id", "left")

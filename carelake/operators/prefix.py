@@ -8,9 +8,8 @@ hot group is cut into several chunks), the sums run inside each
 the earlier pieces of its group.
 
 Bound: a group spans consecutive chunks and each chunk boundary cuts at most
-one group, so there are at most ``#groups + n_chunks`` pieces.  Callers use
-this on a bounded set of groups (hot keys) or with no grouping at all, which
-keeps the offset table small enough to broadcast.
+one group, so there are at most ``#groups + n_chunks`` pieces; Spark chooses
+how to join them by their size.
 
 The chunk ids come from a range shuffle whose bounds Spark samples; the local
 sums are therefore materialised once (reliable ``checkpoint()`` into the shared
@@ -58,7 +57,7 @@ def running_sums(
         *partition_by, "_chunk", *[F.sum(f"_p_{n}").over(w_chunk).alias(f"_o_{n}") for n in values]
     )
     # NULL group keys are one group, as in a window: join them null-safely.
-    o = F.broadcast(offsets.select(*[F.col(c).alias(f"_g_{c}") for c in partition_by], *offsets.columns[len(partition_by):]))
+    o = offsets.select(*[F.col(c).alias(f"_g_{c}") for c in partition_by], *offsets.columns[len(partition_by):])
     cond = [local["_chunk"] == o["_chunk"]] + [local[c].eqNullSafe(o[f"_g_{c}"]) for c in partition_by]
     out = local.join(o, cond, "left").drop(o["_chunk"])
     out = out.withColumns(

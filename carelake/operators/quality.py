@@ -16,39 +16,42 @@ from pyspark.sql.types import NumericType, StringType
 
 def validate_dataframe(df: DataFrame, required_columns: list[str]) -> bool:
     """True when every required column is present (schema check, no job)."""
-    missing = [c for c in required_columns if c not in df.columns]
-    if missing:
-        print(f"Validation failed. Missing columns: {missing}")
-        return False
-    return True
+    return set(required_columns) <= set(df.columns)
 
 
 def contract_check(df: DataFrame, required_columns: list[str], key_columns: list[str] | None = None) -> DataFrame:
     """One row per required column: presence, NULL rows, and duplicate keys.
 
     Columns: ``column_name, present, null_rows, duplicate_rows``.  ``null_rows``
-    is NULL for a missing column; ``duplicate_rows`` (rows with a non-NULL key
-    value that repeat an earlier one) is filled only for the key columns.  All
-    counts come from a single aggregate over ``df``.
+    is NULL for a missing column.  The key columns are one key together:
+    ``duplicate_rows`` (rows whose key has no NULL and repeats an earlier one) is
+    filled for each of them, and NULL if one is missing.  With a key the rows are
+    counted per key first (summed before the shuffle), then once over all.
     """
-    key_columns = list(key_columns or [])
+    keys = list(key_columns or [])
     present = [c for c in required_columns if c in df.columns]
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(present)]
-    for j, k in enumerate(key_columns):
-        aggs.append((F.count(F.col(k)) - F.count_distinct(F.col(k))).alias(f"d_{j}"))
-    if not aggs:
-        aggs = [F.count(F.lit(1)).alias("_rows")]
-    stats = df.agg(*aggs)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(present)]
+    checked = bool(keys) and set(keys) <= set(df.columns)
+    if checked:
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        per_key = df.groupBy(*[F.col(k).alias(f"k_{i}") for i, k in enumerate(keys)]).agg(
+            *nulls, (F.count_if(whole) - F.max(whole.cast("int"))).alias("d")
+        )
+        stats = per_key.agg(
+            *[F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"n_{i}") for i in range(len(present))],
+            F.coalesce(F.sum("d"), F.lit(0)).alias("d"),
+        )
+    else:
+        stats = df.agg(*(nulls or [F.count(F.lit(1)).alias("_rows")]))
     rows = []
     for c in required_columns:
         null_rows = F.col(f"n_{present.index(c)}") if c in present else F.lit(None)
-        dup = F.col(f"d_{key_columns.index(c)}") if c in key_columns and c in present else F.lit(None)
         rows.append(
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.lit(c in present).alias("present"),
                 null_rows.cast("bigint").alias("null_rows"),
-                dup.cast("bigint").alias("duplicate_rows"),
+                (F.col("d") if checked and c in keys else F.lit(None)).cast("bigint").alias("duplicate_rows"),
             )
         )
     return _long(stats, rows, "column_name string, present boolean, null_rows bigint, duplicate_rows bigint")

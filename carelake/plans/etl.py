@@ -75,7 +75,6 @@ def daily_etl(
     database: str,
     as_of=None,
     buckets: int | None = None,
-    hot_group_rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """Patients, then physicians, then enriched appointments into ``database``.
 
@@ -83,18 +82,11 @@ def daily_etl(
     tables land under ``base_path/<entity>`` (warehouse default when ``None``).
     With ``buckets``, patients and appointments are bucketed on ``patient_id``
     with that many buckets, so the feature build (patient join + history
-    window) later runs without shuffling either table.  A bucket is read by
-    one task, so a patient owning a large share of the visits would make its
-    bucket a straggler: bucketing is skipped when the one-pass hot-key check
-    on the landed appointments finds such a patient.
+    window) later runs without shuffling either table.  The layout is what the
+    caller asked for, whatever the data: a bucket is written and read by one
+    task, so ask for no buckets where one patient owns a large share of the visits.
     """
     create_database(spark, database)
-    if buckets:
-        from carelake.operators.features import DEFAULT_HOT_GROUP_ROWS, find_hot_keys
-
-        landed = extract_appointments(spark, sources["appointments"]).select("patient_id")
-        if find_hot_keys(landed, "patient_id", hot_group_rows or DEFAULT_HOT_GROUP_ROWS) is not None:
-            buckets = None
 
     def target(entity):
         return f"{base_path.rstrip('/')}/{entity}" if base_path else None

@@ -71,20 +71,20 @@ WINDOW w AS (PARTITION BY a.patient_id
 
 @register("appointment_features", FEATURES_SQL)
 def q_appointment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with one window per patient (no patient is large here)."""
     from carelake.operators.features import generate_features
 
     a, p, d = _views(spark, sf_dir)
-    return generate_features(a, p, d)
+    return generate_features(a, p, d, split=False)
 
 
 @register("appointment_features_skewed", FEATURES_SQL)
 def q_appointment_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship through its hot-patient plan: patients with more than a few
-    visits are split off before the joins and take the chunked prefix sums."""
+    """The flagship through its default plan: histories cut into chunks, no task needs a whole patient."""
     from carelake.operators.features import generate_features
 
     a, p, d = _views(spark, sf_dir)
-    return generate_features(a, p, d, hot_group_rows=8, max_chunks=16)
+    return generate_features(a, p, d)
 
 
 # --------------------------------------------------------------------------
@@ -110,18 +110,15 @@ HISTORY_COLS = ["appointment_id", "patient_id", "previous_appointments", "previo
 def q_patient_history(spark, sf_dir):
     from carelake.operators.features import calculate_patient_history
 
-    return calculate_patient_history(fx.appointments(spark, sf_dir)).select(*HISTORY_COLS)
+    return calculate_patient_history(fx.appointments(spark, sf_dir), split=False).select(*HISTORY_COLS)
 
 
 @register("patient_history_skewed", HISTORY_SQL)
 def q_patient_history_skewed(spark, sf_dir):
-    """Same result through the hot-key plan: every patient with more than a
-    handful of visits is treated as hot and split over ordered chunks."""
+    """Same result through the default plan: sums over hourly chunks."""
     from carelake.operators.features import calculate_patient_history
 
-    return calculate_patient_history(
-        fx.appointments(spark, sf_dir), hot_group_rows=8, max_chunks=16
-    ).select(*HISTORY_COLS)
+    return calculate_patient_history(fx.appointments(spark, sf_dir)).select(*HISTORY_COLS)
 
 
 @register(
@@ -389,6 +386,35 @@ def q_contract_check(spark, sf_dir):
     )
 
 
+@register(
+    "contract_check_composite",
+    """
+SELECT c AS column_name, c <> 'l_missing' AS present, CASE WHEN c <> 'l_missing' THEN CAST(0 AS BIGINT) END AS null_rows,
+  CASE WHEN c IN ('l_orderkey', 'l_linenumber') THEN
+    (SELECT CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) FROM lineitem) END AS duplicate_rows
+FROM (VALUES ('l_orderkey'), ('l_linenumber'), ('l_shipdate'), ('l_missing')) AS t(c)
+""",
+)
+def q_contract_check_composite(spark, sf_dir):
+    """A key of two columns, and a required column that is missing."""
+    from carelake.operators.quality import contract_check
+
+    required = ["l_orderkey", "l_linenumber", "l_shipdate", "l_missing"]
+    return contract_check(fx.table(spark, sf_dir, "lineitem"), required, ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "contract_check_missing_key",
+    "SELECT 'id' AS column_name, FALSE AS present, CAST(NULL AS BIGINT) AS null_rows, CAST(NULL AS BIGINT) AS duplicate_rows "
+    "UNION ALL SELECT 'name', TRUE, CAST(count_if(name IS NULL) AS BIGINT), NULL FROM (SELECT n_name AS name FROM nation)",
+)
+def q_contract_check_missing_key(spark, sf_dir):
+    from carelake.operators.quality import contract_check
+
+    nation = fx.table(spark, sf_dir, "nation").withColumnRenamed("n_name", "name")
+    return contract_check(nation, ["id", "name"], ["id"])
+
+
 @register(
     "dedup_latest",
     """
@@ -405,23 +431,42 @@ def q_dedup_latest(spark, sf_dir):
     return dedup_latest(fx.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
-@register("dedup_any", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@register(
+    "dedup_any",
+    "SELECT physician_id, count(*) AS kept, TRUE AS from_input FROM physicians GROUP BY physician_id HAVING count(*) >= 1",
+)
 def q_dedup_any(spark, sf_dir):
-    """Plain ``dropDuplicates`` (the fast form): which row survives is arbitrary,
-    the surviving keys are not, so the check is on the key columns."""
-    return fx.table(spark, sf_dir, "lineitem").dropDuplicates(["l_orderkey", "l_linenumber"]).select(
-        "l_orderkey", "l_linenumber"
+    """``transform_physicians(keep="any")`` on a doubled table: one row per physician, and it is one of the input's."""
+    from pyspark.sql import functions as F
+
+    from carelake.operators.transforms import transform_physicians
+
+    rows = fx.physicians(spark, sf_dir)
+    doubled = rows.union(rows.withColumn("last_name", F.concat("last_name", F.lit("-2"))))
+    out = transform_physicians(doubled, AS_OF_TS, keep="any")
+    given = doubled.select("physician_id", "last_name").distinct().withColumn("known", F.lit(True))
+    out = out.join(given, ["physician_id", "last_name"], "left")
+    return out.groupBy("physician_id").agg(
+        F.count("*").alias("kept"), F.min(F.coalesce("known", F.lit(False))).alias("from_input")
     )
 
 
-@register("describe_summary")
+@register(
+    "describe_summary",
+    f", f AS ({FEATURES_SQL})\n"
+    """SELECT 'count' AS summary, CAST(count(appointment_id) AS VARCHAR) AS appointment_id,
+  CAST(count(patient_age) AS VARCHAR) AS patient_age, CAST(count(season) AS VARCHAR) AS season FROM f
+UNION ALL SELECT 'max', max(appointment_id), CAST(max(patient_age) AS VARCHAR), max(season) FROM f
+UNION ALL SELECT 'min', min(appointment_id), CAST(min(patient_age) AS VARCHAR), min(season) FROM f""",
+)
 def q_describe_summary(spark, sf_dir):
-    """Spark's string ``describe()`` of the feature table (rows-only: values are strings)."""
+    """The exact rows (count, min, max) of the string summary of the feature table."""
     from carelake.operators.features import generate_features
     from carelake.operators.quality import describe
 
     a, p, d = _views(spark, sf_dir)
-    return describe(generate_features(a, p, d))
+    out = describe(generate_features(a, p, d, split=False)).filter("summary IN ('count', 'min', 'max')")
+    return out.select("summary", "appointment_id", "patient_age", "season")
 
 
 _PATIENT_TYPES = [
@@ -677,46 +722,56 @@ def q_daily_etl(spark, sf_dir):
     return daily_etl(spark, sources, scratch_path(spark, db), db, AS_OF_TS)["appointments"]
 
 
-@register("file_inventory")
+@register("daily_etl_bucketed", ENRICH_BOTH_SQL)
+def q_daily_etl_bucketed(spark, sf_dir):
+    """The daily run with patients and appointments bucketed on patient_id, as asked."""
+    from carelake.plans.etl import daily_etl
+    from carelake.session import scratch_path
+
+    sources = {n: _staged(spark, sf_dir, n) for n in ("patients", "physicians", "appointments")}
+    db = f"clinic_{_uid()}"
+    return daily_etl(spark, sources, scratch_path(spark, db), db, AS_OF_TS, buckets=4)["appointments"]
+
+
+@register("file_inventory", "SELECT TRUE AS all_csv, TRUE AS no_empty_file, count(*) AS n_rows FROM appointments")
 def q_file_inventory(spark, sf_dir):
-    """Rows-only: the CSV part files of the staged appointment landing folder."""
-    from carelake.sources.readers import file_inventory
+    """The CSV part files of a staged landing folder: their names, sizes, and the rows read back through them."""
+    from pyspark.sql import functions as F
+
+    from carelake.sources.readers import extract_appointments, file_inventory
 
-    return file_inventory(spark, _staged(spark, sf_dir, "appointments"), recursive=True, glob="*.csv")
+    path = _staged(spark, sf_dir, "appointments")
+    files = file_inventory(spark, path, recursive=True, glob="*.csv")
+    facts = files.agg(F.min(F.col("path").endswith(".csv")).alias("all_csv"), F.min(F.col("length") > 0).alias("no_empty_file"))
+    rows = extract_appointments(spark, path).agg(F.count("*").alias("n_rows"))
+    return facts.withColumn("k", F.lit(1)).join(rows.withColumn("k", F.lit(1)), "k").drop("k")
 
 
 # --------------------------------------------------------------------------
 # ML (M1-M9, A5-A6, P13-P15, S12-S13, C6)
 # --------------------------------------------------------------------------
 
-_ML_MEMO: dict = {}
-
-
-def _memo(spark, sf_dir, name, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _ML_MEMO:
-        _ML_MEMO[key] = build()
-    return _ML_MEMO[key]
-
 
 def _ml_features(spark, sf_dir):
-    """Feature frame for the model keys, checkpointed to the shared folder (lineage cut)."""
+    """Published feature table for the model keys (training iterates over it)."""
     from carelake.operators.features import generate_features
-    from carelake.session import checkpoint_root
+    from carelake.plans.training import create_feature_table
+    from carelake.session import scratch_path
 
-    def build():
-        checkpoint_root(spark)
-        a, p, d = _views(spark, sf_dir)
-        return generate_features(a, p, d).checkpoint()
+    a, p, d = _views(spark, sf_dir)
+    name = f"ml_features_{_uid()}"
+    return create_feature_table(spark, generate_features(a, p, d), name, scratch_path(spark, name))
 
-    return _memo(spark, sf_dir, "features", build)
 
+# Small models: these keys check the operators, not the defaults' accuracy.
+_SMALL_FOREST = {"max_depth": 4, "num_trees": 5}
 
-def _rf_run(spark, sf_dir):
-    """Random forest with the reference defaults (100 trees, depth 10), trained once per session."""
+
+def _forest(spark, sf_dir):
     from carelake.operators.ml import train_and_evaluate
 
-    return _memo(spark, sf_dir, "rf", lambda: train_and_evaluate(_ml_features(spark, sf_dir)))
+    features = _ml_features(spark, sf_dir)
+    return features, *train_and_evaluate(features, run_id="run", **_SMALL_FOREST)
 
 
 _CATS = ["patient_gender", "physician_specialty", "day_of_week", "season"]
@@ -760,35 +815,23 @@ ONE_HOT_SQL = (
 
 @register("string_index", STRING_INDEX_SQL)
 def q_string_index(spark, sf_dir):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer
+    from carelake.operators.ml import build_pipeline
 
-    from carelake.operators.features import generate_features
-
-    a, p, d = _views(spark, sf_dir)
-    f = generate_features(a, p, d)
-    idx = [f"{c}_idx" for c in _CATS]
-    stages = [StringIndexer(inputCols=_CATS, outputCols=idx, handleInvalid="keep")]
-    return Pipeline(stages=stages).fit(f).transform(f).select("appointment_id", *idx)
+    f = _ml_features(spark, sf_dir)
+    pipeline, _ = build_pipeline()
+    return pipeline.fit(f).transform(f).select("appointment_id", *[f"{c}_idx" for c in _CATS])
 
 
 @register("one_hot", ONE_HOT_SQL)
 def q_one_hot(spark, sf_dir):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
     from pyspark.ml.functions import vector_to_array
 
-    from carelake.operators.features import generate_features
+    from carelake.operators.ml import build_pipeline
 
-    a, p, d = _views(spark, sf_dir)
-    f = generate_features(a, p, d)
-    idx = [f"{c}_idx" for c in _CATS]
-    stages = [
-        StringIndexer(inputCols=_CATS, outputCols=idx, handleInvalid="keep"),
-        OneHotEncoder(inputCols=idx, outputCols=[f"{c}_v" for c in _CATS]),
-    ]
-    out = Pipeline(stages=stages).fit(f).transform(f)
-    return out.select("appointment_id", *[vector_to_array(f"{c}_v").alias(f"{c}_vec") for c in _CATS])
+    f = _ml_features(spark, sf_dir)
+    pipeline, _ = build_pipeline()
+    out = pipeline.fit(f).transform(f)
+    return out.select("appointment_id", *[vector_to_array(f"{c}_vec").alias(f"{c}_vec") for c in _CATS])
 
 
 @register(
@@ -803,10 +846,10 @@ def q_one_hot(spark, sf_dir):
 )
 def q_impute_zero(spark, sf_dir):
     from carelake.operators.features import generate_features
-    from carelake.operators.ml import _imputer_and_label
+    from carelake.operators.ml import _imputer, with_label
 
     a, p, d = _views(spark, sf_dir)
-    out = _imputer_and_label(_NUMERIC_FEATURES, "no_show").transform(generate_features(a, p, d))
+    out = with_label(_imputer(_NUMERIC_FEATURES).transform(generate_features(a, p, d, split=False)))
     return out.select("appointment_id", *[f"{c}_f" for c in _NUMERIC_FEATURES], "label")
 
 
@@ -857,84 +900,172 @@ def q_eval_accuracy(spark, sf_dir):
     return accuracy_frame(f, "prediction", "no_show").select(F.round("accuracy", 9).alias("accuracy"), "n")
 
 
-@register("prepared_features")
+_TEST_ROW = "substr(md5(appointment_id), 1, 4) >= 'cccd'"
+_ONE_HOT_FEATURES = " || ".join(f"o.{c}_vec" for c in _CATS)
+PREPARED_SQL = ONE_HOT_SQL.replace("\nSELECT f.appointment_id, ", ",\no AS (SELECT f.appointment_id, ", 1) + (
+    f")\nSELECT f.appointment_id, {_ONE_HOT_FEATURES} || ["
+    + ", ".join(f"CAST(coalesce(f.{c}, 0) AS DOUBLE)" for c in _NUMERIC_FEATURES)
+    + "] AS features, CAST(f.no_show AS DOUBLE) AS label FROM f JOIN o ON f.appointment_id = o.appointment_id"
+)
+
+
+@register("prepared_features", PREPARED_SQL)
 def q_prepared_features(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
     from carelake.operators.ml import prepare_training_data
 
-    _, out, _ = prepare_training_data(_ml_features(spark, sf_dir))
-    return out.select("appointment_id", "features", "label")
+    _, out, _ = prepare_training_data(_ml_features(spark, sf_dir), _CATS, _NUMERIC_FEATURES)
+    return out.select("appointment_id", vector_to_array("features").alias("features"), "label")
+
+
+_SCORED_SQL = (
+    f", f AS ({FEATURES_SQL})\nSELECT appointment_id, CAST(no_show AS DOUBLE) AS label, TRUE AS in_range, "
+    f"TRUE AS consistent FROM f WHERE no_show IS NOT NULL AND {_TEST_ROW}"
+)
+
+
+def _scored_test_rows(spark, sf_dir, train):
+    """Fit on the prepared train split, score the test split; probabilities in range and in line with predictions."""
+    from pyspark.sql import functions as F
 
+    from carelake.operators.ml import positive_score, prepare_training_data, split_by_key
 
-@register("train_random_forest")
+    _, prepared, _ = prepare_training_data(_ml_features(spark, sf_dir))
+    rows, test = split_by_key(prepared, "appointment_id")
+    out = train(rows).transform(test.filter("label IS NOT NULL")).withColumn("p", positive_score())
+    return out.select(
+        "appointment_id", "label", F.col("p").between(0, 1).alias("in_range"),
+        ((F.col("p") > 0.5).cast("double") == F.col("prediction")).alias("consistent"),
+    )
+
+
+@register("train_random_forest", _SCORED_SQL)
 def q_train_random_forest(spark, sf_dir):
-    """Test-split predictions of the random forest (reference defaults)."""
-    _, _, pred = _rf_run(spark, sf_dir)
-    return pred.select("appointment_id", "label", "prediction", "probability")
+    from carelake.operators.ml import train_random_forest
+
+    return _scored_test_rows(spark, sf_dir, lambda rows: train_random_forest(rows, **_SMALL_FOREST))
 
 
-@register("train_gbt")
+@register("train_gbt", _SCORED_SQL)
 def q_train_gbt(spark, sf_dir):
-    """Test-split predictions of gradient-boosted trees (reference defaults: 50 iterations, depth 5)."""
-    from carelake.operators.ml import train_and_evaluate
+    from carelake.operators.ml import train_gbt
+
+    return _scored_test_rows(spark, sf_dir, lambda rows: train_gbt(rows, max_depth=3, max_iter=4))
+
+
+_RUN_SQL = (
+    f", f AS ({FEATURES_SQL})\n"
+    f"""SELECT 'param' AS kind, 'model_type' AS name, CAST(NULL AS DOUBLE) AS value, 'random_forest' AS detail, TRUE AS in_range
+UNION ALL SELECT 'param', 'max_depth', 4.0, NULL, TRUE UNION ALL SELECT 'param', 'num_trees', 5.0, NULL, TRUE
+UNION ALL SELECT 'param', 'train_size', CAST(count_if(NOT {_TEST_ROW}) AS DOUBLE), NULL, TRUE FROM f WHERE no_show IS NOT NULL
+UNION ALL SELECT 'param', 'test_size', CAST(count_if({_TEST_ROW}) AS DOUBLE), NULL, TRUE FROM f WHERE no_show IS NOT NULL
+UNION ALL SELECT 'metric', 'auc', NULL, NULL, TRUE UNION ALL SELECT 'metric', 'accuracy', NULL, NULL, TRUE"""
+)
 
-    _, _, pred = train_and_evaluate(_ml_features(spark, sf_dir), model_type="gbt")
-    return pred.select("appointment_id", "label", "prediction", "probability")
 
+def _run_rows(metrics):
+    """Parameters as they are; of a metric only that it lies between 0 and 1."""
+    from pyspark.sql import functions as F
+
+    metric = F.col("kind") == "metric"
+    return metrics.filter("kind <> 'importance'").select(
+        "kind", "name", F.when(~metric, F.col("value")).alias("value"), "detail",
+        F.when(metric, F.col("value").between(0, 1)).otherwise(True).alias("in_range"),
+    )
 
-@register("train_and_evaluate")
+
+@register("train_and_evaluate", _RUN_SQL)
 def q_train_and_evaluate(spark, sf_dir):
-    _, metrics, _ = _rf_run(spark, sf_dir)
-    return metrics.filter("kind <> 'importance'")
+    return _run_rows(_forest(spark, sf_dir)[2])
 
 
-@register("feature_importance")
+@register(
+    "feature_importance",
+    f", f AS ({FEATURES_SQL})\n"
+    + " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}_vec_' || {c} AS feature, '{c}_vec' AS source_column, TRUE AS in_range, TRUE AS sums_to_one "
+        f"FROM f WHERE {c} IS NOT NULL AND no_show IS NOT NULL AND NOT {_TEST_ROW}" for c in _CATS
+    )
+    + "".join(f" UNION ALL SELECT '{c}_f', '{c}_f', TRUE, TRUE" for c in _NUMERIC_FEATURES),
+)
 def q_feature_importance(spark, sf_dir):
+    from pyspark.sql import functions as F
+
     from carelake.operators.ml import feature_importance
 
-    model, _, pred = _rf_run(spark, sf_dir)
-    return feature_importance(model, pred)
+    _, model, _, pred = _forest(spark, sf_dir)
+    out = feature_importance(model, pred)
+    total = out.agg(F.sum("importance")).scalar()
+    return out.select("feature", "source_column", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+
 
+_PREDICTED_SQL = (
+    f", f AS ({FEATURES_SQL})\nSELECT appointment_id, patient_id, appointment_date, "
+    f"TIMESTAMP '{AS_OF_TS}' AS prediction_timestamp, TRUE AS in_range FROM f"
+)
 
-@register("predict_no_shows")
+
+@register("predict_no_shows", _PREDICTED_SQL)
 def q_predict_no_shows(spark, sf_dir):
+    """Scoring rows that have no label column."""
+    from pyspark.sql import functions as F
+
     from carelake.operators.ml import predict_no_shows
 
-    model, _, _ = _rf_run(spark, sf_dir)
-    return predict_no_shows(model, _ml_features(spark, sf_dir), AS_OF_TS)
+    features, model, _, _ = _forest(spark, sf_dir)
+    out = predict_no_shows(model, features.drop("no_show"), AS_OF_TS)
+    in_range = F.col("no_show_probability").between(0, 1) & F.col("prediction").isin(0.0, 1.0)
+    return out.select("appointment_id", "patient_id", "appointment_date", "prediction_timestamp", in_range.alias("in_range"))
 
 
-@register("score_reloaded")
+@register("score_reloaded", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM appointments")
 def q_score_reloaded(spark, sf_dir):
-    """Save the fitted pipeline, load it back and score all rows."""
+    """Save the fitted pipeline, load it back: rows whose score differs from the unsaved model's."""
+    from pyspark.sql import functions as F
+
     from carelake.operators.ml import load_model, predict_no_shows, save_model
     from carelake.session import scratch_path
 
-    model, _, _ = _rf_run(spark, sf_dir)
+    features, model, _, _ = _forest(spark, sf_dir)
     reloaded = load_model(save_model(model, scratch_path(spark, "model")))
-    return predict_no_shows(reloaded, _ml_features(spark, sf_dir), AS_OF_TS)
+    one, two = (
+        predict_no_shows(m, features, AS_OF_TS).select("appointment_id", F.col("no_show_probability").alias(n))
+        for m, n in ((model, "a"), (reloaded, "b"))
+    )
+    both = one.join(two, "appointment_id", "full")
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
 
 
-@register("run_metrics")
+@register("run_metrics", _RUN_SQL)
 def q_run_metrics(spark, sf_dir):
     """Metrics of the run appended to a metrics table and read back."""
     from carelake.session import scratch_path
     from carelake.sources.sinks import publish_table
 
-    _, metrics, _ = _rf_run(spark, sf_dir)
     name = f"model_runs_{_uid()}"
-    return publish_table(metrics, name, scratch_path(spark, name), mode="append")
+    return _run_rows(publish_table(_forest(spark, sf_dir)[2], name, scratch_path(spark, name), mode="append"))
 
 
-@register("score_upcoming")
+@register(
+    "score_upcoming",
+    f"SELECT appointment_id, patient_id, appointment_date, 'v1' AS model_version, TIMESTAMP '{AS_OF_TS}' AS prediction_timestamp, "
+    "TRUE AS in_range FROM appointments WHERE appointment_date > DATE '2001-01-01' AND status = 'Scheduled'",
+)
 def q_score_upcoming(spark, sf_dir):
     """The whole ML job: feature table, training, model reload, scoring of upcoming visits."""
+    from pyspark.sql import functions as F
+
     from carelake.plans.training import ml_training_job
     from carelake.session import scratch_path
 
     a, p, d = _views(spark, sf_dir)
     db = f"clinic_ml_{_uid()}"
-    out = ml_training_job(spark, a, p, d, scratch_path(spark, db), db, as_of=AS_OF)
-    return out["predictions"]
+    out = ml_training_job(spark, a, p, d, scratch_path(spark, db), db, as_of=AS_OF, model_version="v1", **_SMALL_FOREST)
+    in_range = F.col("no_show_probability").between(0, 1) & F.col("prediction").isNotNull()
+    return out["predictions"].select(
+        "appointment_id", "patient_id", "appointment_date", "model_version", "prediction_timestamp", in_range.alias("in_range")
+    )
 
 
 # --------------------------------------------------------------------------

@@ -63,5 +63,9 @@ def ml_training_job(
     upcoming_ids = upcoming_appointments(appointments, as_of).select("appointment_id")
     to_score = features.join(upcoming_ids, "appointment_id", "left_semi")
     preds = conform_predictions(predict_no_shows(model, to_score, as_of), model_version or run_id)
-    predictions = publish_table(preds, f"{prefix}appointment_predictions", f"{base}/predictions")
+    name = f"{prefix}appointment_predictions"
+    if spark.catalog.tableExists(name) and to_score.isEmpty():
+        predictions = spark.table(name)  # nothing upcoming: the last predictions stay
+    else:
+        predictions = publish_table(preds, name, f"{base}/predictions")
     return {"features": features, "metrics": metrics, "predictions": predictions}

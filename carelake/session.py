@@ -8,7 +8,10 @@ cluster names in ``spark.checkpoint.dir``.  Only when that setting is absent
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -42,8 +45,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate data.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
-    checkpoint dir).  Only a local-mode session (tests) without one gets a
-    fresh temporary folder; on a cluster a missing setting is an error.
+    checkpoint dir).  Only a session whose master is ``local`` or ``local[...]``
+    (tests) gets a fresh temporary folder without one, removed when the process
+    ends; elsewhere, and where the master is unknown, a missing setting is an error.
     """
     conf = spark.conf.get(CHECKPOINT_CONF, None)
     try:
@@ -58,13 +62,14 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         if jdir.isDefined():
             return str(jdir.get()).rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set: name a shared, durable folder for intermediate data "
             "(a machine-local folder is not visible to other executors)"
         )
     local = tempfile.mkdtemp(prefix="carelake-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set(CHECKPOINT_CONF, local)
     if sc is not None:
         sc.setCheckpointDir(local)

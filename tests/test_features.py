@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from carelake.operators.features import calculate_patient_history, generate_features, hot_keys
+from carelake.operators.features import calculate_patient_history, generate_features
 from carelake.operators.prefix import running_sums
 
 HIST = "appointment_id string, patient_id string, appointment_date date, appointment_time timestamp, no_show boolean"
@@ -29,11 +29,10 @@ def _visits(spark, flags_by_patient):
     return spark.createDataFrame(rows, HIST)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1])
-def test_history_null_rules(spark, hot_rows):
+@pytest.mark.parametrize("split", [False, True])
+def test_history_null_rules(spark, split):
     df = _visits(spark, {"a": [True, None, False], "b": [None, True]})
-    kw = {} if hot_rows is None else {"hot_group_rows": hot_rows, "max_chunks": 3}
-    got = {r[0]: r[1:] for r in _hist_rows(calculate_patient_history(df, **kw))}
+    got = {r[0]: r[1:] for r in _hist_rows(calculate_patient_history(df, split=split))}
     assert got["a-0"] == (0, None, 0.0)
     assert got["a-1"] == (1, 1, 1.0)
     assert got["a-2"] == (2, 1, 0.5)
@@ -70,11 +69,9 @@ def test_hot_patient_split_matches_window(spark):
         flag = rnd.choice([True, False, None])
         rows.append((f"id{i:05d}", pid, d, dt.datetime.combine(d, dt.time(rnd.randrange(24))), flag))
     df = spark.createDataFrame(rows, HIST).repartition(6)
-    plain = _hist_rows(calculate_patient_history(df, hot_group_rows=10**9))
-    split = calculate_patient_history(df, hot_group_rows=100, max_chunks=12)
+    plain = _hist_rows(calculate_patient_history(df, split=False))
+    split = calculate_patient_history(df)
     assert _hist_rows(split) == plain
-    hk = hot_keys(df, "patient_id", 100).collect()
-    assert [r.patient_id for r in hk] == ["hot"]
 
 
 def test_running_sums_without_groups(spark):
@@ -141,22 +138,27 @@ def test_hot_null_patient_key_is_split_and_correct(spark):
         d = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(30))
         rows.append((f"id{i:05d}", pid, d, dt.datetime.combine(d, dt.time(rnd.randrange(24))), rnd.choice([True, False, None])))
     df = spark.createDataFrame(rows, HIST).repartition(4)
-    plain = _hist_rows(calculate_patient_history(df, hot_group_rows=10**9))
-    split = calculate_patient_history(df, hot_group_rows=50, max_chunks=8)
+    plain = _hist_rows(calculate_patient_history(df, split=False))
+    split = calculate_patient_history(df)
     assert _hist_rows(split) == plain
 
 
-def test_sampled_hot_key_detection_finds_a_third(spark):
-    """With a sampled pre-check (fraction < 1) a key owning a third of the rows is found."""
-    from carelake.operators.features import find_hot_keys
-
-    df = spark.range(0, 300000).selectExpr("IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS patient_id")
-    found = find_hot_keys(df, "patient_id", hot_group_rows=20000)  # fraction 100/20000
-    assert found is not None
-    hot, rows = found
-    assert [r.patient_id for r in hot.collect()] == ["hot"]
-    assert 50000 < rows < 200000
-    assert find_hot_keys(df.filter("patient_id <> 'hot'"), "patient_id", hot_group_rows=20000) is None
+def test_hot_patients_are_spread_over_tasks(spark):
+    """Two patients with 40% of the rows each, and one day of one patient: no chunk holds a large share,
+    and null dates and times are chunks of their own."""
+    from pyspark.sql import functions as F
+
+    one_day = "IF(id % 10 < 4, 'a', IF(id % 10 < 8, 'b', CAST(id AS STRING)))"
+    for days, pid in ((400, one_day), (1, "'a'")):
+        df = spark.range(0, 20000).selectExpr(
+            "CAST(id AS STRING) AS appointment_id", f"{pid} AS patient_id",
+            f"IF(id % 97 = 0, NULL, DATE_ADD(DATE'2020-01-01', CAST(id * 7 % {days} AS INT))) AS appointment_date",
+            "IF(id % 89 = 0, NULL, TIMESTAMP'2020-01-01 00:00:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id * 5 % 24 AS INT))) AS appointment_time",
+            "IF(id % 3 = 0, NULL, id % 2 = 0) AS no_show",
+        )
+        assert _hist_rows(calculate_patient_history(df)) == _hist_rows(calculate_patient_history(df, split=False))
+        chunks = df.groupBy("patient_id", "appointment_date", F.date_trunc("hour", "appointment_time")).count()
+        assert chunks.agg(F.max("count")).first()[0] < 20000 / 20
 
 
 def test_running_sums_inclusive_with_groups(spark):

@@ -72,11 +72,11 @@ def test_bucketed_tables_make_feature_build_shuffle_free(spark):
     }
     daily_etl(spark, src, scratch_path(spark, "bucketed"), "bucketed_db", "2001-01-01", buckets=4)
     t = {n: spark.table(f"bucketed_db.{n}") for n in ("appointments", "patients", "physicians")}
-    plan = _plan(generate_features(t["appointments"], t["patients"], t["physicians"]))
+    plan = _plan(generate_features(t["appointments"], t["patients"], t["physicians"], split=False))
     assert "Exchange" not in plan.replace("BroadcastExchange", ""), plan
 
 
-def test_bucketing_skipped_when_a_patient_is_hot(spark):
+def test_tables_are_bucketed_if_and_only_if_asked(spark):
     from carelake.plans.etl import daily_etl, stage_csv
     from carelake.session import scratch_path
 
@@ -91,9 +91,8 @@ def test_bucketing_skipped_when_a_patient_is_hot(spark):
 
     daily_etl(spark, src, scratch_path(spark, "cool-db"), "cool_db", "2001-01-01", buckets=4)
     assert bucketed("cool_db")
-    # with a tiny threshold some patients count as hot: one bucket would be a straggler
-    daily_etl(spark, src, scratch_path(spark, "hot-db"), "hot_db", "2001-01-01", buckets=4, hot_group_rows=3)
-    assert not bucketed("hot_db")
+    daily_etl(spark, src, scratch_path(spark, "plain-db"), "plain_db", "2001-01-01")
+    assert not bucketed("plain_db")
 
 
 def test_preview_is_a_top_k(spark):

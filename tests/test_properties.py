@@ -42,8 +42,8 @@ def brute_history(rows):
 
 
 @SETTINGS
-@given(st.lists(visit, min_size=1, max_size=60), st.sampled_from([10**9, 3]))
-def test_history_matches_brute_force(spark, rows, hot_rows):
+@given(st.lists(visit, min_size=1, max_size=60), st.booleans())
+def test_history_matches_brute_force(spark, rows, split):
     data = [
         (f"id{i:04d}", pid, dt.date(2024, 1, 1) + dt.timedelta(days=d), dt.datetime(2024, 1, 1 + d, h), f)
         for i, (pid, d, h, f) in enumerate(rows)
@@ -53,7 +53,7 @@ def test_history_matches_brute_force(spark, rows, hot_rows):
     )
     got = {
         r.appointment_id: (r.previous_appointments, r.previous_no_shows, r.no_show_rate)
-        for r in calculate_patient_history(df, hot_group_rows=hot_rows, max_chunks=5).collect()
+        for r in calculate_patient_history(df, split=split).collect()
     }
     assert got == brute_history(rows)
 
