@@ -22,8 +22,10 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-#: Encoded chunks a worker remembers, in two generations (see ``_Chunks``).
-CACHE_CHUNKS = 400_000
+#: Encoded chunks (words as they stand between spaces) and pieces (pre-tokens) a worker remembers,
+#: in two generations (see ``_Chunks``): about 0.2 KB each.
+CACHE_CHUNKS = 300_000
+CACHE_PIECES = 1_000_000
 #: How the byte-level vocabulary cuts a text into pre-tokens.
 _CUT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\x09-\x0D A-Za-z0-9]+|[\x09-\x0D ]+(?![^\x09-\x0D ])|[\x09-\x0D ]+")
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -84,9 +86,9 @@ class ByteBpe:
         self.data = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(size)), dtype=np.uint8)
 
         self._special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self._pieces = _Chunks(self._encode_piece)
-        self._later = _Chunks(lambda chunk: self._encode_chunk(" " + chunk))
-        self._first = _Chunks(self._encode_chunk)
+        self._pieces = _Chunks(self._encode_piece, CACHE_PIECES)
+        self._later = _Chunks(lambda chunk: self._encode_chunk(" " + chunk), CACHE_CHUNKS)
+        self._first = _Chunks(self._encode_chunk, CACHE_CHUNKS)
 
     def _neighbours(self, left: int, right: int) -> bool:
         """Whether merging in order leaves ``left`` and ``right`` side by side.
@@ -209,9 +211,10 @@ class _Chunks(dict):
     what is asked for again moves back.  Long chunks are not kept.
     """
 
-    def __init__(self, encode: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes], keep: int):
         super().__init__()
         self._encode = encode
+        self._half = keep // 2
         self._old: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
@@ -219,7 +222,7 @@ class _Chunks(dict):
         if ids is None:
             ids = self._encode(chunk)
         if len(chunk) <= 64:
-            if len(self) >= CACHE_CHUNKS // 2:
+            if len(self) >= self._half:
                 self._old = dict(self)
                 self.clear()
             self[chunk] = ids

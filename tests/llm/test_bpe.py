@@ -45,10 +45,11 @@ def test_cut_off_characters_decode_as_the_library_does(theirs):
 def test_cache_generations_do_not_change_results(monkeypatch):
     whole = bpe.codec(PATH)
     monkeypatch.setattr(bpe, "CACHE_CHUNKS", 8)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 8)
     small = bpe.ByteBpe(PATH)
     text = " ".join(f"word{i % 37} other{i % 11}" for i in range(500))
     assert small.encode(text) == whole.encode(text)
-    assert len(small._later) <= 8
+    assert len(small._later) <= 8 and len(small._pieces) <= 8
 
 
 def test_digests(spark, theirs):
