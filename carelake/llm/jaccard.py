@@ -6,9 +6,12 @@ Shingles in many sets come last in the order, so their long columns drop out of
 all rows.  Pairs are discarded by bounds on their sizes and overlap counts; the rest are
 checked on their full sets.
 
-Components need not see every pair.  First each column links its members to its smallest
-one; then only pairs that share a column and are still in different components are
-multiplied, the rows outside a column's largest component against the whole column.
+Components need not see every pair.  First each column ties its members to its most common
+one (fewest rare shingles: in a large group of near copies the least edited).  While columns
+that still join several components would give many pairs, rounds follow in which each
+row outside a column's largest component meets a few others of its column, other ones each
+time.  At last the rows outside meet the whole column, so that no link between two
+components is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm.common import materialize
@@ -28,6 +31,11 @@ from carelake.llm.graph import connected_components
 LONG_COLUMN = 64
 #: ... as far as they fit a broadcast of this many 8-byte numbers; else the limit doubles until they do.
 LONG_COLUMNS = 2_000_000
+#: Shingles of a block of documents, counted together in a worker (32 MB).
+BLOCK_SHINGLES = 4_000_000
+#: Rounds end when all that is left to multiply is so many pairs for each shared row, or a round links too little.
+PAIRS_PER_ROW = 4
+PARTNERS = 12
 #: Id tables up to this many rows (8 bytes each) may be broadcast.
 BROADCAST_IDS = 2_000_000
 
@@ -77,19 +85,42 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _column_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(s, k): each document's first shingles in plain hash order, and of its other shingles those
+    that come again in the same block of documents; to be summed by s."""
+
+    def summed(first: list, others: list) -> pd.DataFrame:
+        s, k = np.unique(np.concatenate(first), return_counts=True)
+        t, m = np.unique(np.concatenate(others), return_counts=True)
+        return pd.DataFrame({"s": np.concatenate([s, t[m > 1]]), "k": np.concatenate([k, m[m > 1]])})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, others, held = [], [], 0
         for b in batches:
-            parts = [s[: prefix_length(len(s), percent)] for t in b["text"] if len(s := shingle_set(t, width))]
-            yield pd.DataFrame({"s": np.concatenate(parts) if parts else np.empty(0, np.int64)})
+            for t in b["text"]:
+                if n := len(s := shingle_set(t, width)):
+                    cut = prefix_length(n, percent)
+                    first.append(s[:cut])
+                    others.append(s[cut:])
+                    held += n
+                if held > BLOCK_SHINGLES:
+                    yield summed(first, others)
+                    first, others, held = [], [], 0
+        if held:
+            yield summed(first, others)
 
-    return docs.select("text").mapInPandas(run, "s long")
+    return docs.select("text").mapInPandas(run, "s long, k long")
 
 
 def long_columns(docs: DataFrame, width: int, percent: int) -> np.ndarray:
-    """Sorted shingles that are among the first of more than LONG_COLUMN documents (by plain hash order)."""
-    counts = _prefixes(docs, width, percent).groupBy("s").count().filter(F.col("count") > LONG_COLUMN)
-    counts = materialize(counts, "columns")
+    """Sorted shingles in more than LONG_COLUMN documents.
+
+    Exact for shingles that come first in some document by plain hash order; the others are
+    found if they repeat inside blocks of neighbouring documents.  Whichever are found, any
+    set gives a valid order; it only decides how much is multiplied.
+    """
+    counts = _column_counts(docs, width, percent).groupBy("s").agg(F.sum("k").alias("count"))
+    counts = materialize(counts.filter(F.col("count") > LONG_COLUMN), "columns")
     limit, n = LONG_COLUMN, counts.count()
     while n > LONG_COLUMNS:
         limit *= 2
@@ -99,24 +130,29 @@ def long_columns(docs: DataFrame, width: int, percent: int) -> np.ndarray:
 
 
 def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """One row per document: id, n (set size), sig (of the whole set), prefix (its first shingles in order)."""
+    """One row per document: id, n (set size), sig (of the whole set), prefix (its first shingles in
+    order), rare (how many of all its shingles are in no long column)."""
     late = docs.sparkSession.sparkContext.broadcast(long_columns(docs, width, percent))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hot = late.value
         for b in batches:
-            sizes, sigs, prefixes = [], [], []
+            sizes, sigs, prefixes, rare = [], [], [], []
             for t in b["text"]:
                 s = shingle_set(t, width)
                 sizes.append(len(s))
                 sigs.append(hashlib.sha256(s.tobytes()).digest())
+                late_ones = 0
                 if len(s) and len(hot):
                     at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-                    s = np.sort(np.where(hot[at] == s, s | _LAST, s))
+                    is_late = hot[at] == s
+                    late_ones = int(is_late.sum())
+                    s = np.sort(np.where(is_late, s | _LAST, s))
+                rare.append(len(s) - late_ones)
                 prefixes.append(s[: prefix_length(len(s), percent)] if len(s) else s)
-            yield pd.DataFrame({"id": b["id"], "n": sizes, "sig": sigs, "prefix": prefixes})
+            yield pd.DataFrame({"id": b["id"], "n": sizes, "sig": sigs, "prefix": prefixes, "rare": rare})
 
-    return docs.mapInPandas(run, "id long, n long, sig binary, prefix array<long>")
+    return docs.mapInPandas(run, "id long, n long, sig binary, prefix array<long>, rare long")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -141,13 +177,37 @@ def _needed(percent: int, n: Column, m: Column) -> Column:
 
 def _checked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the (a, b) pairs whose full sets link."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
+    ids = materialize(pairs.select("a").union(pairs.select("b")).toDF("id").distinct(), "jaccard-ids")
     sets = materialize(full_sets(docs, ids, width), "jaccard-sets")
     left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
     both = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("set_a", "set_b")))
     return both.filter(100 * F.col("o") >= percent * (F.size("set_a") + F.size("set_b") - F.col("o"))).select("a", "b")
 
 
+def _met(rest: DataFrame, percent: int, round_no: int | None) -> DataFrame:
+    """Distinct pairs (idx, idy) of different components that share a column and could link.
+
+    In a round, a row outside its column's largest component meets about PARTNERS rows of one
+    column of its document, chosen by hash; without a round, all rows of all its columns.
+    """
+    one = rest.filter("comp <> main").select("s", "first", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "pos", "comp")), "all")
+    main = (F.col("comp") == F.col("main")).alias("main2")
+    two = rest.select("s", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "comp")), main, "all")
+    on = ["s"]
+    if round_no is not None:
+        salt, slots = F.lit(round_no), F.greatest(F.lit(1), (F.col("all") / PARTNERS).cast("long"))
+        choice = one.groupBy("id1").agg(F.min_by("s", F.xxhash64("s", "id1", salt)).alias("s"))
+        one = one.join(choice, ["id1", "s"]).withColumn("slot", F.pmod(F.xxhash64("id1", salt, F.lit("one")), slots))
+        two = two.withColumn("slot", F.pmod(F.xxhash64("id2", salt), slots))
+        on = ["s", "slot"]
+        kept = F.expr("comp1 <> comp2 and id2 <> first and id1 <> first")
+    else:
+        kept = F.expr("comp1 <> comp2 and (main2 or id1 < id2) and id1 <> first and id2 <> first")
+    room = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
+    met = one.drop("all").join(two.drop("all"), on).filter(kept & (room >= _needed(percent, F.col("n1"), F.col("n2"))))
+    return met.select(F.least("id1", "id2").alias("idx"), F.greatest("id1", "id2").alias("idy")).distinct()
+
+
 def jaccard_components(
     docs: DataFrame, width: int, percent: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -170,46 +230,42 @@ def jaccard_components(
     members = materialize(members.select("id", "sig", "rep").distinct(), "jaccard-copies")
 
     matrix = usable.join(members, ["id", "sig"], "left_anti").dropDuplicates(["id", "sig"]).select(
-        "id", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"), F.posexplode("prefix").alias("pos", "s")
+        "id", "n", "rare", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"), F.posexplode("prefix").alias("pos", "s")
     )
-    columns = matrix.groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("first")).filter("c > 1")
-    shared = materialize(matrix.join(columns, "s"), "jaccard-shared")
+    columns = matrix.groupBy("s").agg(F.count("*").alias("c"), F.min(F.struct("rare", "id")).alias("first")).filter("c > 1")
+    shared = materialize(matrix.drop("rare").join(columns.withColumn("first", F.col("first.id")), "s"), "jaccard-shared")
 
     # What a document can share within its prefix is at most its number of shared columns.
-    facts = shared.groupBy("id", "n", "p", "last").agg(F.count("*").alias("m"))
-    facts = materialize(facts, "jaccard-facts")
+    facts = materialize(shared.groupBy("id", "n", "p", "last").agg(F.count("*").alias("m")), "jaccard-facts")
     x, y = (facts.select([F.col(c).alias(f"{c}{k}") for c in facts.columns]) for k in "xy")
 
-    def plausible(pairs: DataFrame) -> DataFrame:
-        """Pairs (idx, idy) that their sizes and shared columns still allow to link."""
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """Of distinct pairs (idx, idy), those that link; sizes and shared columns discard most at once."""
         rest = F.when(F.col("lastx") <= F.col("lasty"), F.col("nx") - F.col("px")).otherwise(F.col("ny") - F.col("py"))
         bound = F.least(F.least("mx", "my") + rest, "nx", "ny")
-        return pairs.join(x, "idx").join(y, "idy").filter(bound >= _needed(percent, F.col("nx"), F.col("ny"))).dropDuplicates(["idx", "idy"])
+        left = pairs.join(x, "idx").join(y, "idy").filter(bound >= _needed(percent, F.col("nx"), F.col("ny")))
+        left = materialize(left.selectExpr("idx as a", "idy as b").distinct(), "jaccard-pairs")
+        return materialize(_checked(left, given, width, percent), "jaccard-links") if not left.isEmpty() else left
 
-    star = shared.filter("id <> first").select(F.col("first").alias("idx"), F.col("id").alias("idy")).distinct()
-    pairs = materialize(plausible(star).selectExpr("idx as a", "idy as b"), "jaccard-star")
-    links = materialize(_checked(pairs, given, width, percent), "jaccard-links")
+    links = links_of(shared.filter("id <> first").select(F.col("first").alias("idx"), F.col("id").alias("idy")).distinct())
     found = connected_components(links)
-
-    # Columns that still join several components: the rows outside the largest one meet the whole column.
-    labelled = shared.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
-    labelled = labelled.filter("id <> first or c > 2").drop("root", "p", "last")
-    parts = labelled.groupBy("s", "comp").agg(F.count("*").alias("k"))
-    largest = parts.groupBy("s").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps"))
-    open_columns = largest.filter("comps > 1").select("s", F.col("top.comp").alias("main"))
-    rest = materialize(labelled.join(open_columns, "s"), "jaccard-open")
-    one = rest.filter("comp <> main").select("s", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "pos", "comp")), "first")
-    two = rest.select("s", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "comp")), F.col("comp").eqNullSafe(F.col("main")).alias("main2"))
-    met = one.join(two, "s").filter(
-        "comp1 <> comp2 and (main2 or id1 < id2) and id1 <> first and id2 <> first"
-    )
-    room = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
-    met = met.filter(room >= _needed(percent, F.col("n1"), F.col("n2")))
-    met = met.groupBy(F.least("id1", "id2").alias("idx"), F.greatest("id1", "id2").alias("idy")).agg(F.count("*").alias("o"))
-    more = materialize(plausible(met).selectExpr("idx as a", "idy as b"), "jaccard-rest")
-    if not more.isEmpty():
-        more = materialize(_checked(more, given, width, percent), "jaccard-links")
-    edges = found.toDF("a", "b").union(more).union(members.select("id", "rep"))
+    n_shared, round_no, before = shared.count(), 0, None
+    while True:
+        # Columns that still join several components.
+        rows_now = shared.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
+        rows_now = rows_now.filter("id <> first or c > 2").drop("root", "p", "last")
+        parts = rows_now.groupBy("s", "comp").agg(F.count("*").alias("k"))
+        largest = parts.groupBy("s").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("k").alias("all"))
+        open_columns = largest.filter("comps > 1").select("s", F.col("top.comp").alias("main"), "all")
+        rest = materialize(rows_now.join(open_columns, "s"), "jaccard-open")
+        cost = rest.filter("comp <> main").agg(F.sum("all")).first()[0] or 0
+        last = cost <= PAIRS_PER_ROW * n_shared or (before is not None and cost > 0.8 * before)
+        links = links_of(_met(rest, percent, None if last else round_no))
+        found = connected_components(found.toDF("a", "b").union(links))
+        if last:
+            break
+        round_no, before = round_no + 1, cost
+    edges = found.toDF("a", "b").union(members.select("id", "rep"))
     whole = connected_components(edges).withColumnRenamed("node", "id")
     out = rows.select("id", "n").join(whole, "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
