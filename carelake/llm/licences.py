@@ -68,7 +68,7 @@ def scan_licences(
         with_no = F.transform(array, lambda x, i: F.struct(F.lit(scope).alias("scope"), i.alias("unit"), x.alias("x")))
         return F.filter(with_no, lambda u: wanted(u["x"]) & (F.length(u["x"]) >= int(low)))
 
-    several = lambda x: F.instr(F.trim(F.translate(x, "\n", "\x00")), "\x00") > 0
+    several = lambda x: F.instr(F.trim(F.translate(x, "\n", "\x01")), "\x01") > 0
     all_units = F.concat(
         units("line", lines, lambda x: F.lit(True)),
         units("paragraph", paragraphs, several),
