@@ -188,16 +188,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             coded = [featurize(t) for t in b["text"]]
-            yield pd.DataFrame({"k": b["k"], "y": b["y"], "rows": [c[0] for c in coded], "language": [c[1] for c in coded]})
+            yield pd.DataFrame({"k": b["k"], "y": b["y"], "rows": [c[0].tobytes() for c in coded], "language": [c[1] for c in coded]})
 
-    pdf = rows.mapInPandas(run, "k long, y int, rows array<int>, language int").toPandas()
+    # four bytes a word: as arrays of numbers the rows would take the driver ten times that
+    pdf = rows.mapInPandas(run, "k long, y int, rows binary, language int").toPandas()
     pdf = pdf.sort_values("k", kind="stable").drop_duplicates("k")
     model = Model()
     y = pdf["y"].to_numpy() if len(pdf) else np.zeros(0, int)
     if not len(y) or y.min() == y.max():
         model.bias = -3.0
         return model
-    texts = [np.asarray(r, dtype=np.int64) for r in pdf["rows"]]
+    texts = [np.frombuffer(r, dtype=np.int32) for r in pdf["rows"]]
     languages = pdf["language"].to_numpy()
     kept = np.array([zlib.crc32(f"calibration {k}".encode()) % CALIBRATION == 0 for k in pdf["k"]])
     fit = [t for t, c in zip(texts, kept) if not c]
