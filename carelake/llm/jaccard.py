@@ -125,7 +125,7 @@ def long_columns(docs: DataFrame, width: int, percent: int) -> np.ndarray:
     while n > LONG_COLUMNS:
         limit *= 2
         n = counts.filter(F.col("count") > limit).count()
-    found = counts.filter(F.col("count") > limit).select("s").toPandas()["s"].to_numpy(np.int64)
+    found = counts.filter(F.col("count") > limit).select("s").toArrow()["s"].to_numpy()
     return np.sort(found)
 
 
@@ -152,7 +152,11 @@ def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 prefixes.append(s[: prefix_length(len(s), percent)] if len(s) else s)
             yield pd.DataFrame({"id": b["id"], "n": sizes, "sig": sigs, "prefix": prefixes, "rare": rare})
 
-    return docs.mapInPandas(run, "id long, n long, sig binary, prefix array<long>, rare long")
+    # as a string: pandas would make floats of the keys beside a null one
+    found = docs.withColumn("id", F.col("id").cast("string")).mapInPandas(
+        run, "id string, n long, sig binary, prefix array<long>, rare long"
+    )
+    return found.withColumn("id", F.col("id").cast("long"))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:

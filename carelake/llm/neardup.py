@@ -35,7 +35,7 @@ def _unit(vectors) -> np.ndarray:
 def _cells(classes: DataFrame, eps: float, n: int) -> DataFrame:
     """A row (cell, own, cid, vec) for every cell a vector belongs or is copied to."""
     every = max(CELL_VECTORS, -(-n // MAX_PIVOTS))
-    chosen = classes.filter(F.pmod(F.xxhash64("vec_key"), F.lit(every)) == 0).select("part", "vec").limit(4 * MAX_PIVOTS).toPandas()
+    chosen = classes.filter(F.pmod(F.xxhash64("vec_key"), F.lit(every)) == 0).select("part", "vec").limit(4 * MAX_PIVOTS).toArrow().to_pandas()
     pivots = {p: _unit(g["vec"]) for p, g in chosen.groupby("part")}
     shared = classes.sparkSession.sparkContext.broadcast(pivots)
 

@@ -191,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield pd.DataFrame({"k": b["k"], "y": b["y"], "rows": [c[0].tobytes() for c in coded], "language": [c[1] for c in coded]})
 
     # four bytes a word: as arrays of numbers the rows would take the driver ten times that
-    pdf = rows.mapInPandas(run, "k long, y int, rows binary, language int").toPandas()
+    pdf = rows.mapInPandas(run, "k long, y int, rows binary, language int").toArrow().to_pandas()
     pdf = pdf.sort_values("k", kind="stable").drop_duplicates("k")
     model = Model()
     y = pdf["y"].to_numpy() if len(pdf) else np.zeros(0, int)

@@ -52,6 +52,13 @@ def test_awkward_rows(spark):
     assert jaccard.jaccard_components(empty(spark), 4, 85).count() == 0
 
 
+def test_large_keys_beside_null_ones(spark):
+    big = (1 << 60) + 1
+    docs = spark.createDataFrame([(big, "a b c d"), (None, "a b c d"), (big + 1, "A b c d")], "doc_id long, text string")
+    got = result(jaccard.jaccard_components(docs.coalesce(1), 4, 85))
+    assert got == {big: (1, big), big + 1: (1, big), None: (1, None)}
+
+
 def test_connected_components(spark):
     path = [(i, i + 1) for i in range(100, 140)] + [(3, 7), (7, 9), (9, 3), (5, 5), (None, 4)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
