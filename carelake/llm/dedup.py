@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import text_or_empty
+from carelake.llm.common import materialize, text_or_empty
 
 #: Bits of the filter for each row, and the bits one bitmap row holds (4 KB).
 BITS_PER_ROW = 16
@@ -51,7 +51,7 @@ def mark_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tu
     norm = normalized(text)
     n_rows = docs.count()
     n_bits = max(BITMAP_BITS, 1 << (BITS_PER_ROW * max(1, n_rows) - 1).bit_length())
-    bitmaps = repeated_slots(docs.select(F.xxhash64(norm).alias("_h")), n_bits)
+    bitmaps = materialize(repeated_slots(docs.select(F.xxhash64(norm).alias("_h")), n_bits), "bitmaps")
     if n_bits // 8 <= BROADCAST_BYTES:
         bitmaps = F.broadcast(bitmaps)
     hashed = docs.withColumn("_norm", norm).withColumn("_slot", F.pmod(F.xxhash64("_norm"), F.lit(n_bits)))
@@ -67,7 +67,8 @@ def mark_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tu
     alone = tested.filter("not _maybe").drop("_maybe")
     maybe = tested.filter("_maybe").drop("_maybe")
     groups = maybe.groupBy("_sha").agg(F.min(key).alias("_keep"), F.count("*").alias("_n"))
-    return alone, maybe.join(groups, "_sha")
+    # written first: its size is known then, so the join is a broadcast of few groups, or one whose large groups may be split
+    return alone, maybe.join(materialize(groups, "repeated"), "_sha")
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -80,6 +81,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     gives no rows.
     """
     alone, repeats = mark_repeats(docs.select(key, text), text, key)
+    # dealt anew by text and key, so that the join before need not keep a group together
+    repeats = repeats.repartition("_sha", key)
     first = F.row_number().over(Window.partitionBy("_sha", key).orderBy(F.lit(1)))
     keeper = F.col(key).eqNullSafe(F.col("_keep"))
     both = alone.select(
@@ -98,6 +101,8 @@ def drop_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     renamed = docs.select([F.col(f"`{c}`").alias(a) for c, a in names.items()])
     alone, repeats = mark_repeats(renamed, names[text], names[key])
     first = F.row_number().over(Window.partitionBy("_sha").orderBy(F.lit(1)))
-    stays = repeats.filter(F.col(names[key]).eqNullSafe(F.col("_keep"))).withColumn("_r", first).filter("_r = 1")
+    # dealt anew once only the smallest keys are left, so that the join before need not keep a group together
+    stays = repeats.filter(F.col(names[key]).eqNullSafe(F.col("_keep"))).repartition("_sha")
+    stays = stays.withColumn("_r", first).filter("_r = 1")
     out = alone.select(*names.values()).unionByName(stays.select(*names.values()))
     return out.select([F.col(a).alias(c) for c, a in names.items()])
