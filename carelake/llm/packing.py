@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections import defaultdict
 
 import numpy as np
@@ -14,8 +13,6 @@ from carelake.llm.common import materialize
 
 #: Pieces packed together in one task; groups are dealt at random, so each sees all lengths.
 GROUP_PIECES = 40_000
-#: The search ends when so many bins in a row could not be emptied.
-PATIENCE = 64
 
 
 def _best_fit(order: list[int], size: list[int], capacity: int) -> tuple[list[list[int]], list[int]]:
@@ -43,94 +40,134 @@ def _best_fit(order: list[int], size: list[int], capacity: int) -> tuple[list[li
     return bins, free
 
 
+def _bits(marks: int) -> list[int]:
+    """Places of the bits that are set."""
+    out = []
+    while marks:
+        low = marks & -marks
+        out.append(low.bit_length() - 1)
+        marks ^= low
+    return out
+
+
 class _Search:
-    """Moves and exchanges between underfull bins; each makes the sum of squared fills larger."""
+    """Moves, one-for-one and two-for-one exchanges between underfull bins; each makes the sum of squared fills larger.
+
+    Tokens flow from a source to a target: one or two items for none, one or two of the target's
+    (not two for two, nor two for none).  A flow of d <= free raises the squares when the target
+    becomes fuller than the source was.  Full bins can take no part.
+    """
 
     def __init__(self, bins: list[list[int]], free: list[int], size: list[int], capacity: int):
         self.bins, self.free, self.size, self.capacity = bins, free, size, capacity
-        self.single = defaultdict(list)  # (free of the bin, size of one item in it) -> bins
-        self.double = defaultdict(list)  # (free of the bin, size of two items in it) -> bins
-        self.room = defaultdict(list)  # free -> bins
+        self.room: dict[int, set[int]] = defaultdict(set)  # free -> bins
+        self.holders: dict[tuple, set[int]] = defaultdict(set)  # (free, how many items, their total) -> bins
+        self.marks = {1: defaultdict(int), 2: defaultdict(int)}  # free -> bits of the totals that bins hold
+        self.clock = 0
+        self.stamp: dict[int, int] = defaultdict(int)  # free -> when a bin last came to it
+        self.seen: dict[tuple, int] = {}  # (fill, totals) -> when such a bin was last tried in vain
         for at in range(len(bins)):
             self.index(at)
 
+    def _totals(self, at: int) -> tuple[int, int]:
+        """Totals of one and of two of a bin's items, as bits of an integer."""
+        one = two = 0
+        for i in self.bins[at]:
+            two |= one << self.size[i]
+            one |= 1 << self.size[i]
+        return one, two
+
     def index(self, at: int) -> None:
-        f, own = self.free[at], self.bins[at]
-        if not f or not own:
+        f = self.free[at]
+        if not f or not self.bins[at]:
+            return
+        self.room[f].add(at)
+        for many, totals in enumerate(self._totals(at), 1):
+            self.marks[many][f] |= totals
+            for t in _bits(totals):
+                self.holders[f, many, t].add(at)
+
+    def unindex(self, at: int) -> None:
+        f = self.free[at]
+        if at not in self.room[f]:
             return
-        self.room[f].append(at)
-        sizes = [self.size[i] for i in own]
-        for s in set(sizes):
-            self.single[f, s].append(at)
-        if len(own) <= 24:  # bins of many tiny items offer enough single ones
-            for s in {a + b for k, a in enumerate(sizes) for b in sizes[:k]}:
-                self.double[f, s].append(at)
-
-    def _items(self, at: int, total: int, many: int) -> list[int] | None:
-        own, size = self.bins[at], self.size
-        if many == 1:
-            return next(([i] for i in own if size[i] == total), None)
+        self.room[f].discard(at)
+        for many, totals in enumerate(self._totals(at), 1):
+            for t in _bits(totals):
+                held = self.holders[f, many, t]
+                held.discard(at)
+                if not held:
+                    del self.holders[f, many, t]
+                    self.marks[many][f] &= ~(1 << t)
+
+    def _items(self, at: int, many: int, total: int) -> list[int]:
+        """``many`` items of the bin that make ``total``."""
+        if not many:
+            return []
         seen: dict[int, int] = {}
-        for i in own:
-            if total - size[i] in seen:
-                return [seen[total - size[i]], i]
-            seen[size[i]] = i
-        return None
-
-    def _partner(self, table: dict, f: int, total: int, many: int, source: int):
-        stack = table.get((f, total))
-        while stack:
-            at = stack[-1]
-            if at != source and self.free[at] == f and (items := self._items(at, total, many)):
-                return at, items
-            stack.pop()  # out of date
-        return None
-
-    def _apply(self, source: int, item: int, target: int, back: list[int]) -> None:
-        gain = self.size[item] - sum(self.size[i] for i in back)
-        self.bins[source].remove(item)
-        self.bins[source] += back
-        self.bins[target] = [i for i in self.bins[target] if i not in back] + [item]
-        self.free[source] += gain
-        self.free[target] -= gain
+        for i in self.bins[at]:
+            if many == 1 and self.size[i] == total:
+                return [i]
+            if many == 2 and total - self.size[i] in seen:
+                return [seen[total - self.size[i]], i]
+            seen[self.size[i]] = i
+        raise AssertionError("index out of date")
+
+    def _exchange(self, source: int, given: list[int], target: int, taken: list[int]) -> None:
+        self.unindex(target)
+        flow = sum(self.size[i] for i in given) - sum(self.size[i] for i in taken)
+        self.bins[source] = [i for i in self.bins[source] if i not in given] + taken
+        self.bins[target] = [i for i in self.bins[target] if i not in taken] + given
+        self.free[source] += flow
+        self.free[target] -= flow
+        self.clock += 1
+        self.stamp[self.free[target]] = self.clock
         self.index(target)
 
     def step(self, source: int) -> bool:
-        """One move, one-for-one or two-for-one exchange that takes tokens out of ``source``."""
-        size, fill = self.size, self.capacity - self.free[source]
-        frees = sorted((f for f, x in self.room.items() if x), reverse=True)
-        for item in sorted(self.bins[source], key=size.__getitem__, reverse=True):
-            a = size[item]
-            for f in reversed(frees):  # move it to the fullest bin with room
-                if f >= a and self.capacity - f + a > fill:
-                    while self.room[f]:
-                        at = self.room[f][-1]
-                        if at != source and self.free[at] == f and self.bins[at]:
-                            self._apply(source, item, at, [])
-                            return True
-                        self.room[f].pop()
-            for f in frees:  # exchange it for less, so that the other bin becomes full
-                if f < a and self.capacity > fill:
-                    for table, many in ((self.single, 1), (self.double, 2)):
-                        if found := self._partner(table, f, a - f, many, source):
-                            self._apply(source, item, *found)
-                            return True
+        """The largest flow out of ``source`` (not indexed now) into the fullest bin that allows one."""
+        fill = self.capacity - self.free[source]
+        ones, twos = state = self._totals(source)
+        since = self.seen.get((fill, state), -1)
+        offers = [(1, a) for a in _bits(ones)] + [(2, a) for a in _bits(twos)]
+        for f in sorted(f for f, x in self.room.items() if x and self.stamp[f] > since):
+            least = max(1, fill - (self.capacity - f) + 1)
+            best = (least - 1,)
+            for many, a in offers:
+                if many == 1 and best[0] < a <= f:
+                    best = (a, many, a, 0, 0)
+                low = max(1, a - f)
+                for back in (1, 2) if many == 1 else (1,):
+                    fitting = self.marks[back][f] >> low
+                    if fitting:
+                        total = low + (fitting & -fitting).bit_length() - 1
+                        if a - total > best[0]:
+                            best = (a - total, many, a, back, total)
+            if len(best) > 1:
+                _, many, a, back, total = best
+                target = next(iter(self.holders[f, back, total] if back else self.room[f]))
+                self._exchange(source, self._items(source, many, a), target, self._items(target, back, total))
+                return True
+        self.seen[fill, state] = self.clock
         return False
 
     def run(self) -> None:
-        heap = [(self.capacity - f, at) for at, f in enumerate(self.free) if f]
-        heapq.heapify(heap)
-        failed = 0
-        while heap and failed < PATIENCE:
-            fill, source = heapq.heappop(heap)
-            if fill != self.capacity - self.free[source] or not self.bins[source]:
-                if self.bins[source] and self.free[source]:
-                    heapq.heappush(heap, (self.capacity - self.free[source], source))
-                continue
-            while self.bins[source] and self.step(source):
-                pass
-            failed = 0 if not self.bins[source] else failed + 1
-            self.index(source)
+        """Passes over all underfull bins, emptiest first, until one changes nothing."""
+        changed = True
+        while changed:
+            changed = False
+            for source in sorted((at for own in self.room.values() for at in own), key=lambda at: (-self.free[at], at)):
+                if not self.free[source] or not self.bins[source]:
+                    continue
+                self.unindex(source)
+                moved = False
+                while self.bins[source] and self.step(source):
+                    moved = True
+                self.index(source)
+                if moved:
+                    changed = True
+                    self.clock += 1
+                    self.stamp[self.free[source]] = self.clock
 
 
 def pack_sizes(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,8 +190,7 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
     Lengths lie between 1 and ``capacity``.  A piece that fills a sequence alone passes
     straight through; the others are dealt at random into groups of about GROUP_PIECES,
     written once, and each group is packed in one task: best fit first, then moves and
-    exchanges until no bin can be emptied.  A group wastes less than a few sequences,
-    whatever the number of groups.  An empty table gives no rows.
+    exchanges until none raises the squared fill.  An empty table gives no rows.
     """
     pieces = pieces.select([c for c in pieces.columns if c.lower() not in ("sequence_id", "offset", "_group", "_id")])
     stored = materialize(pieces, "pieces")

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -45,6 +46,30 @@ def test_exchanges_empty_bins():
     assert saved > 0
 
 
+def test_few_distinct_lengths():
+    """No exchange fills a bin exactly here: 400+400 and 300+300+300 become 400+300+300."""
+    n = 300
+    sizes = np.array([400] * n + [300] * 2 * n)
+    bins, offsets = packing.pack_sizes(sizes, 1024)
+    assert check_packing(sizes.tolist(), bins.tolist(), offsets.tolist(), 1024) == n
+
+
+def test_search_ends_where_no_exchange_is_left():
+    """By brute force, many tiny items and underfull bins beyond the first ones included."""
+    r = random.Random(7)
+    for sizes in ([r.choice([400, 300, 210, 77]) for _ in range(60)], [r.randint(250, 300) for _ in range(60)], [r.randint(1, 60) for _ in range(120)] + [700] * 9):
+        bins, free = packing._best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, 1024)
+        search = packing._Search(bins, free, sizes, 1024)
+        search.run()
+        left = [[sizes[i] for i in b] for b in search.bins if b]
+        some = lambda b, n: {sum(c) for c in itertools.combinations(b, n)}
+        for s in left:
+            for t in left:
+                if s is not t:
+                    flows = {a - b for m, n in ((1, 0), (1, 1), (1, 2), (2, 1)) for a in some(s, m) for b in some(t, n)}
+                    assert not any(0 < d <= 1024 - sum(t) and sum(t) + d > sum(s) for d in flows)
+
+
 def test_pack_frame(spark):
     rows = [(i, 0, (i * 37) % 1024 + 1) for i in range(3000)] + [(None, 0, 1024), (7, 1, 1024), (7, 1, 1024)]
     out = packing.pack(spark.createDataFrame(rows, "doc_id long, piece int, length long"), 1024).collect()
