@@ -1,4 +1,5 @@
 import random
+import textwrap
 import zlib
 
 import pytest
@@ -94,3 +95,38 @@ def test_licence_over_several_lines(spark):
     }  # the few words round it leave the whole first document above 0.8 too
     assert licences.scan_licences(awkward(spark)).count() == 0
     assert licences.scan_licences(empty(spark)).count() == 0
+
+
+def test_licence_windows_inside_units(spark):
+    grant = licences.TEMPLATES[2][1]
+    wrapped = "\n".join(textwrap.wrap(grant, 80))
+    prose = " ".join(f"word{i}" for i in range(300))
+    rows = [
+        (1, "Copyright 2020 Foo. Released under the MIT License. All rights reserved."),
+        (2, f"{prose} {grant.replace('publish,', '')} {prose}"),
+        (3, f"{prose}\n{wrapped}\n{prose}"),
+        (4, f"{prose} Released under the MIT License. Released under the MIT License. {prose} released under the mit"),
+        (5, "Released under the MIT License."),
+    ]
+    got = {(x.doc_id, x.scope, x.unit, x.licence): x.dice for x in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    edited = got.pop((2, "window", 299, "MIT"))  # a word shorter: two starts share as much
+    assert 0.9 < edited < 1
+    assert got == {(1, "window", 3, "MIT"): 1, (3, "window", 300, "MIT"): 1, (4, "window", 300, "MIT"): 1, (4, "window", 305, "MIT"): 1, (5, "line", 0, "MIT"): 1}
+
+
+def test_licence_windows_equal_brute_force(spark):
+    r = random.Random(6)
+    templates = [("X", "a b c a b d e f a b"), ("Y", "g h g h g h i j")]
+    texts = [" ".join(r.choice([t.split(), [r.choice("abcdefghij")]])[0] if r.random() < 0.3 else t for t in r.choices([x[1] for x in templates] + list("abcdefghij"), k=8)) for _ in range(80)]
+    got = {}
+    for x in licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates).collect():
+        if x.scope == "window":
+            got[x.doc_id] = max(got.get(x.doc_id, 0), x.dice)
+    want = {}
+    for i, text in enumerate(texts):
+        words = text.split()
+        scores = [brute_dice(" ".join(words[s : s + len(t.split())]), t) for _, t in templates for s in range(len(words) - len(t.split()) + 1)]
+        whole = any(brute_dice(text, t) >= 0.8 for _, t in templates)
+        if not whole and max(scores, default=0) >= 0.8:
+            want[i] = round(max(scores), 6)
+    assert len(want) > 20 and {i: d for i, d in got.items() if i in want} == pytest.approx(want)
