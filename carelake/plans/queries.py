@@ -763,15 +763,15 @@ def _ml_features(spark, sf_dir):
     return create_feature_table(spark, generate_features(a, p, d), name, scratch_path(spark, name))
 
 
-# Small models: these keys check the operators, not the defaults' accuracy.
-_SMALL_FOREST = {"max_depth": 4, "num_trees": 5}
+# The parameters that _RUN_SQL lists; only its two keys train with them, the others with the functions' defaults.
+_RUN_FOREST = {"max_depth": 4, "num_trees": 5}
 
 
-def _forest(spark, sf_dir):
+def _forest(spark, sf_dir, **params):
     from carelake.operators.ml import train_and_evaluate
 
     features = _ml_features(spark, sf_dir)
-    return features, *train_and_evaluate(features, run_id="run", **_SMALL_FOREST)
+    return features, *train_and_evaluate(features, run_id="run", **params)
 
 
 _CATS = ["patient_gender", "physician_specialty", "day_of_week", "season"]
@@ -944,14 +944,14 @@ def _scored_test_rows(spark, sf_dir, train):
 def q_train_random_forest(spark, sf_dir):
     from carelake.operators.ml import train_random_forest
 
-    return _scored_test_rows(spark, sf_dir, lambda rows: train_random_forest(rows, **_SMALL_FOREST))
+    return _scored_test_rows(spark, sf_dir, train_random_forest)
 
 
 @register("train_gbt", _SCORED_SQL)
 def q_train_gbt(spark, sf_dir):
     from carelake.operators.ml import train_gbt
 
-    return _scored_test_rows(spark, sf_dir, lambda rows: train_gbt(rows, max_depth=3, max_iter=4))
+    return _scored_test_rows(spark, sf_dir, train_gbt)
 
 
 _RUN_SQL = (
@@ -977,7 +977,7 @@ def _run_rows(metrics):
 
 @register("train_and_evaluate", _RUN_SQL)
 def q_train_and_evaluate(spark, sf_dir):
-    return _run_rows(_forest(spark, sf_dir)[2])
+    return _run_rows(_forest(spark, sf_dir, **_RUN_FOREST)[2])
 
 
 @register(
@@ -1044,7 +1044,7 @@ def q_run_metrics(spark, sf_dir):
     from carelake.sources.sinks import publish_table
 
     name = f"model_runs_{_uid()}"
-    return _run_rows(publish_table(_forest(spark, sf_dir)[2], name, scratch_path(spark, name), mode="append"))
+    return _run_rows(publish_table(_forest(spark, sf_dir, **_RUN_FOREST)[2], name, scratch_path(spark, name), mode="append"))
 
 
 @register(
@@ -1061,7 +1061,7 @@ def q_score_upcoming(spark, sf_dir):
 
     a, p, d = _views(spark, sf_dir)
     db = f"clinic_ml_{_uid()}"
-    out = ml_training_job(spark, a, p, d, scratch_path(spark, db), db, as_of=AS_OF, model_version="v1", **_SMALL_FOREST)
+    out = ml_training_job(spark, a, p, d, scratch_path(spark, db), db, as_of=AS_OF, model_version="v1")
     in_range = F.col("no_show_probability").between(0, 1) & F.col("prediction").isNotNull()
     return out["predictions"].select(
         "appointment_id", "patient_id", "appointment_date", "model_version", "prediction_timestamp", in_range.alias("in_range")

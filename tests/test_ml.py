@@ -108,3 +108,29 @@ def test_split_label_values(spark):
 
     df = split_label(spark.range(0, 200).selectExpr("CAST(id AS STRING) AS k"), "k")
     assert {r.split for r in df.collect()} == {"train", "test"}
+
+
+class _Called(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name, where", [
+    ("train_random_forest", "carelake.operators.ml.train_random_forest"),
+    ("train_gbt", "carelake.operators.ml.train_gbt"),
+    ("feature_importance", "carelake.operators.ml.train_and_evaluate"),
+    ("predict_no_shows", "carelake.operators.ml.train_and_evaluate"),
+    ("score_reloaded", "carelake.operators.ml.train_and_evaluate"),
+    ("score_upcoming", "carelake.plans.training.ml_training_job"),
+])
+def test_queries_train_with_the_defaults(spark, monkeypatch, name, where):
+    from carelake.plans.queries import QUERIES
+
+    from .conftest import SF001
+
+    def called(*_, **params):
+        assert not set(params) & {"max_depth", "num_trees", "max_iter"}
+        raise _Called
+
+    monkeypatch.setattr(where, called)
+    with pytest.raises(_Called):
+        QUERIES[name](spark, SF001)
