@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction on top.
 
-The matches of the fixed patterns are seeds.  The two words before a seed are a lexical
-pattern; identifier-like tokens (with a digit) that no seed covers are instances of the
-pattern they follow.  Patterns and instances form a graph over the whole corpus: a
-pattern's confidence for a kind is the mean score of its distinct instances, an instance's
-score comes from the patterns it follows.  After a few rounds, patterns with enough distinct
-seeds and high confidence give their kind to the unseen tokens that follow them.
+The matches of the fixed patterns are seeds.  The two words before the word in which a seed
+starts are a lexical pattern; words with a digit or inner marks that no seed covers, and short
+runs of words of digits, are instances of the pattern they follow.  Patterns and instances
+form a graph over the whole corpus: a pattern's confidence for a kind is the mean score of its
+distinct instances, an instance's score comes from the trusted patterns it follows, but for
+the one that is judged.  In each round the accepted instances are seeds for further patterns.
+Trusted patterns give their kind to what follows them, and accepted instances
+are marked wherever they occur.
 
 Everything runs in Spark's own expressions.  Places come from ``split`` and
 ``regexp_extract_all`` by the same expression: gaps and matches alternate, so running sums of
@@ -28,14 +30,23 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A word with a digit, an at sign or marks between letters; every seed starts in such a word.
+_INNER = r"[0-9@]|[\p{L}\p{N}][^\x20\x09-\x0D\p{L}\p{N}]++[\p{L}\p{N}]"
+TOKEN = rf"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*(?:{_INNER}))[^\x20\x09-\x0D]++"
 #: What a text must have for a pattern to be tried at all.
-_NEEDS = {"email": "instr(t, '@') > 0", "ip": r"t rlike '[0-9][.][0-9]'", "card": r"t rlike '[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9]'", "phone": "instr(t, '+') > 0", "token": "t rlike '[0-9]'"}
+_NEEDS = {"email": "instr(t, '@') > 0", "ip": r"t rlike '[0-9][.][0-9]'", "card": r"t rlike '[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9]'", "phone": "instr(t, '+') > 0", "token": f"t rlike r'{_INNER}'"}
 
 #: A pattern counts from so many distinct seeds and such a mean score of its instances.
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
-ROUNDS = 3
+#: An instance with such a score is a seed of the next round and is marked wherever it occurs, if it has
+#: so many letters and digits: a shorter one is no identifier outside its pattern.
+MIN_SCORE = 0.8
+MIN_IDENTIFIER = 5
+#: Rounds end when one accepts nothing new, or after so many.
+MAX_ROUNDS = 10
+#: Words of digits in a row that make one instance; the words of a longer row are instances each.
+RUN_WORDS = 6
 #: Row numbers up to this many (8 bytes each) may be broadcast.
 BROADCAST_ROWS = 2_000_000
 
@@ -63,19 +74,17 @@ def _valid(kind: Column, match: Column) -> Column:
 
 
 def _matches(kind: str, pattern: str) -> Column:
-    """Array of (kind, i, gap, m, before): gap is the number of code points since the last match,
-    before the two words in front."""
+    """Array of (kind, i, gap, m, tail): gap is the number of code points since the last match,
+    tail (of tokens) the last two words among them."""
     gaps, found = F.split(F.col("t"), pattern, -1), F.regexp_extract_all(F.col("t"), F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("m"))
 
     def entry(x, i):
-        tail = F.rtrim(F.translate(x["gap"], "\t\n\x0b\f\r", "     "))
-        return F.struct(
-            F.lit(kind).alias("kind"), i.alias("i"), F.length(x["gap"]).alias("gap"), x["m"].alias("m"),
-            F.lower(F.trim(F.substring_index(tail, " ", -2))).alias("before"),
-        )
+        words = F.trim(F.regexp_replace(x["gap"], r"[\x20\x09-\x0D]+", " "))
+        tail = F.substring_index(words, " ", -2) if kind == "token" else F.lit("")
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.length(x["gap"]).alias("gap"), x["m"].alias("m"), tail.alias("tail"))
 
-    none = F.array().cast("array<struct<kind:string,i:int,gap:int,m:string,before:string>>")
+    none = F.array().cast("array<struct<kind:string,i:int,gap:int,m:string,tail:string>>")
     return F.when(F.expr(_NEEDS[kind]), F.transform(pairs, entry)).otherwise(none)
 
 
@@ -87,37 +96,84 @@ def find_matches(docs: DataFrame, key: str, text: str, row: Column) -> DataFrame
 
 
 def _placed(matches: DataFrame) -> DataFrame:
-    """(row, kind, start, stop, m, before) of the valid matches and tokens."""
+    """(row, kind, start, stop, m, before, i, next_to) of the valid matches and tokens.
+
+    before (of tokens) are the two words in front, which may be tokens themselves; next_to tells
+    whether only white space parts a token from the one before.
+    """
     hits = matches.select("row", F.explode("hits").alias("h")).select("row", "h.*")
-    along = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    stop = F.sum((F.col("gap") + F.length("m")).cast("long")).over(along)
-    placed = hits.withColumn("stop", stop).withColumn("start", F.col("stop") - F.length("m"))
-    return placed.filter(_valid(F.col("kind"), F.col("m"))).select("row", "kind", "start", "stop", "m", "before")
+    order = Window.partitionBy("row", "kind").orderBy("i")
+    stop = F.sum((F.col("gap") + F.length("m")).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    filled = lambda c: F.nullif(c, F.lit(""))
+    words = F.concat_ws(" ", F.lag("m", 2).over(order), filled(F.lag("tail").over(order)), F.lag("m").over(order), filled(F.col("tail")))
+    before = F.when(F.col("kind") == "token", F.lower(F.substring_index(words, " ", -2))).otherwise("")
+    placed = hits.withColumn("stop", stop).withColumn("start", F.col("stop") - F.length("m")).withColumn("before", before)
+    placed = placed.withColumn("next_to", (F.col("tail") == "") & (F.col("i") > 0))
+    return placed.filter(_valid(F.col("kind"), F.col("m"))).select("row", "kind", "start", "stop", "m", "before", "i", "next_to")
 
 
-def score_patterns(seeds: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(before, kind) of the patterns that are trusted, from the pattern-instance graph of the corpus."""
+def _instances(free: DataFrame) -> DataFrame:
+    """(row, start, stop, m, before) of tokens outside the seeds, without the marks round them; a short
+    run of words of digits is one."""
+    digits = F.col("m").rlike(r"^[^\p{L}]*[0-9][^\p{L}]*$")
+    along = Window.partitionBy("row").orderBy("i")
+    follows = F.col("next_to") & digits & F.lag(digits).over(along) & (F.lag("i").over(along) == F.col("i") - 1)
+    runs = free.withColumn("new", F.when(follows, 0).otherwise(1))
+    runs = runs.withColumn("run", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    of_run = Window.partitionBy("row", "run")
+    runs = runs.withColumn("run", F.when(F.count("*").over(of_run) <= RUN_WORDS, F.col("run")).otherwise(-1 - F.col("i")))
+    whole = F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("start", "m"))), lambda x: x["m"]))
+    made = runs.groupBy("row", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("before", "start").alias("before"), whole.alias("m")
+    )
+    marks = r"^[^\p{L}\p{N}+]+"
+    trimmed = F.regexp_extract("m", r"^(.*[\p{L}\p{N}])", 1)
+    made = made.withColumn("stop", F.col("stop") - F.length("m") + F.length(trimmed)).withColumn("m", trimmed)
+    made = made.withColumn("start", F.col("start") + F.length("m") - F.length(F.regexp_replace("m", marks, "")))
+    return made.withColumn("m", F.regexp_replace("m", marks, "")).filter("m <> ''").select("row", "start", "stop", "m", "before")
+
+
+def score_patterns(seeds: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(before, kind) of the patterns that are trusted and (m, kind) of the instances that are accepted,
+    from the pattern-instance graph of the corpus."""
     has_words = "before <> ''"
-    seed_edges = seeds.filter(has_words).select("before", "m", "kind").distinct()
-    all_edges = seed_edges.select("before", "m").union(tokens.filter(has_words).select("before", "m")).distinct()
-    seeded = seed_edges.groupBy("before", "kind").agg(F.countDistinct("m").alias("seeds"))
-    # only patterns with enough seeds can ever be trusted: the graph is theirs
-    seeded = materialize(seeded.filter(F.col("seeds") >= MIN_SEEDS), "pii-patterns")
-    edges = materialize(all_edges.join(seeded.select("before").distinct(), "before", "left_semi"), "pii-edges")
-    known = seed_edges.select("m", "kind").distinct().withColumn("score", F.lit(1.0))
-    scores = known
+    known = materialize(seeds.select("m", "kind").distinct(), "pii-seeds")
+    edges = seeds.filter(has_words).select("before", "m").union(tokens.filter(has_words).select("before", "m")).distinct()
+    edges = materialize(edges, "pii-edges")
     sizes = edges.groupBy("before").agg(F.count("*").alias("n"))
-    trusted = seeded.select("before", "kind").limit(0)
-    for _ in range(ROUNDS):
-        sums = edges.join(scores, "m").groupBy("before", "kind").agg(F.sum("score").alias("sum"))
-        confidence = sums.join(sizes, "before").join(seeded, ["before", "kind"]).withColumn("confidence", F.col("sum") / F.col("n"))
-        confidence = materialize(confidence.select("before", "kind", "confidence"), "pii-confidence")
-        trusted = confidence.filter(F.col("confidence") >= MIN_CONFIDENCE).select("before", "kind")
-        heard = edges.join(confidence, "before").groupBy("m", "kind").agg((1 - F.product(1 - F.col("confidence"))).alias("heard"))
-        # seeds keep their score of 1
-        scores = heard.toDF("m", "kind", "score").union(known).groupBy("m", "kind").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("before").orderBy("kind")
-    return trusted.withColumn("r", F.row_number().over(best)).filter("r = 1").drop("r")
+    # (m, kind, doubt): the product of 1 - confidence over the trusted patterns, as a logarithm
+    heard = known.select("m", "kind").limit(0).withColumn("doubt", F.lit(0.0))
+    trusted = known.select(F.col("m").alias("before"), "kind").limit(0).withColumn("confidence", F.lit(0.0))
+    accepted, count = known.select("m", "kind").limit(0), 0
+    for _ in range(MAX_ROUNDS):
+        fixed = known.withColumn("fixed", F.lit(True)).withColumn("doubt", F.lit(0.0))
+        scored = heard.join(known, ["m", "kind"], "left_anti").withColumn("fixed", F.lit(False)).select("m", "kind", "fixed", "doubt")
+        # the pattern that is judged does not speak for its own instances
+        own = F.coalesce(F.log1p(-F.col("confidence")), F.lit(0.0))
+        heard_without = edges.join(fixed.unionByName(scored), "m").join(trusted, ["before", "kind"], "left")
+        score = F.when(F.col("fixed"), 1.0).otherwise(F.greatest(F.lit(0.0), 1 - F.exp(F.col("doubt") - own)))
+        judged = heard_without.withColumn("score", F.round(score, 9))
+        counts_as_seed = F.col("fixed") | ((F.col("score") >= MIN_SCORE) & _identifies("m"))
+        sums = judged.groupBy("before", "kind").agg(F.sum("score").alias("sum"), F.count_if(counts_as_seed).alias("seeds"))
+        sums = sums.filter(F.col("seeds") >= MIN_SEEDS).join(sizes, "before").withColumn("confidence", F.col("sum") / F.col("n"))
+        trusted = sums.filter(F.col("confidence") >= MIN_CONFIDENCE).select("before", "kind", "confidence")
+        trusted = materialize(trusted, "pii-trusted")
+        # confidence 1 means that all instances are seeds
+        doubts = edges.join(trusted.filter("confidence < 1"), "before").groupBy("m", "kind").agg(F.sum(F.log1p(-F.col("confidence"))).alias("doubt"))
+        heard = materialize(doubts, "pii-heard")
+        accepted = heard.filter((1 - F.exp("doubt") >= MIN_SCORE - 1e-9) & _identifies("m")).join(known, ["m", "kind"], "left_anti")
+        now = accepted.count()
+        if now <= count:
+            break
+        count = now
+    best = Window.partitionBy("before").orderBy(F.desc("confidence"), "kind")
+    patterns = trusted.withColumn("r", F.row_number().over(best)).filter("r = 1").select("before", "kind")
+    best = Window.partitionBy("m").orderBy("doubt", "kind")
+    return patterns, accepted.withColumn("r", F.row_number().over(best)).filter("r = 1").select("m", "kind")
+
+
+def _identifies(m: str) -> Column:
+    return F.length(F.regexp_replace(m, r"[^\p{L}\p{N}]", "")) >= MIN_IDENTIFIER
 
 
 def find_personal_data(
@@ -139,12 +195,15 @@ def find_personal_data(
     of_base = lambda c: F.when(F.col("kind") != "token", F.col(c))
     marked = placed.withColumn("covered", F.max(of_base("stop")).over(before)).withColumn("next", F.min(of_base("start")).over(after))
     free = marked.filter("kind = 'token' and coalesce(covered, 0) <= start and (next is null or next >= stop)")
-    trimmed = F.regexp_extract("m", r"^(.*?)[^\p{L}\p{N}]*$", 1)
-    lead = F.length("m") - F.length(F.regexp_replace("m", r"^[^\p{L}\p{N}+]+", ""))
-    free = free.withColumn("stop", F.col("start") + F.length(trimmed)).withColumn("start", F.col("start") + lead)
-    free = free.withColumn("m", F.regexp_replace(trimmed, r"^[^\p{L}\p{N}+]+", "")).select("row", "start", "stop", "m", "before")
-    patterns = score_patterns(base.select("before", "m", "kind"), free.select("before", "m"))
-    found = free.join(patterns, "before").select("row", "kind", "start", "stop", F.lit(False).alias("base"))
+    free = materialize(_instances(free.select("row", "i", "next_to", "start", "stop", "m", "before")), "pii-instances")
+    # a seed has the words before the token in which it starts
+    till = in_text.orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    token = F.max(F.when(F.col("kind") == "token", F.struct("start", "before"))).over(till)
+    seeds = placed.withColumn("before", token["before"]).filter("kind <> 'token'")
+    patterns, accepted = score_patterns(seeds.select("before", "m", "kind"), free.select("before", "m"))
+    found = free.join(patterns, "before", "left").join(accepted.withColumnRenamed("kind", "known_as"), "m", "left")
+    found = found.withColumn("kind", F.coalesce("kind", "known_as")).filter("kind is not null")
+    found = found.select("row", "kind", "start", "stop", F.lit(False).alias("base"))
     spans = base.select("row", "kind", "start", "stop", F.lit(True).alias("base")).unionByName(found)
     return matches.select("row", "key"), materialize(spans, "pii-found")
 

@@ -76,3 +76,42 @@ def test_awkward_rows_and_redaction(spark):
     out = pii.redact(awkward(spark, rows))
     assert out.columns == awkward(spark).columns
     assert sorted(str(r.text) for r in out.collect()) == ["None", "[CARD]", "none 😀", "é [EMAIL], [IP] or [PHONE]"]
+
+
+def spans_of(spark, rows):
+    return {x.doc_id: x.spans for x in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def marked(text, what, kind="email"):
+    return f"{kind}:{text.index(what)}:{text.index(what) + len(what)}"
+
+
+def test_seeds_and_tokens_have_the_same_context(spark):
+    """Digit words before, leading marks, a seed right after one of its kind, doubled spaces."""
+    rows = [(i, f"so Ticket {42} contact u{i}@x.org goes") for i in range(12)]
+    rows += [(20 + i, f"the mail:  <v{i}@x.org> goes") for i in range(12)]
+    rows += [(40 + i, f"either aa{i}@x.org bb{i}@x.org") for i in range(12)]
+    texts = {60: "my Ticket 42 contact u77(at)x.org goes", 61: "the mail: <v77(at)x.org> goes", 62: "so 42 call v78(at)x.org"}
+    got = spans_of(spark, rows + list(texts.items()))
+    assert got[60] == marked(texts[60], "u77(at)x.org")
+    assert got[61] == marked(texts[61], "v77(at)x.org")
+    assert got[62] == ""
+
+
+def test_accepted_instances_are_marked_and_induce_patterns(spark):
+    rows = [(i, f"so my user id u{i}@x.org goes on") for i in range(80)]
+    rows += [(100 + i, f"so my user id jane{'abcdefgh'[i]}(at)example.com goes on") for i in range(8)]
+    rows += [(200 + i, f"please write to jane{'abcdefgh'[i]}(at)example.com") for i in range(8)]
+    texts = {300: "please write to joe(at)example.com now", 301: "and ring janea(at)example.com", 302: "and ring joy(at)example.com"}
+    got = spans_of(spark, rows + list(texts.items()))
+    assert got[100] == marked(rows[80][1], "janea(at)example.com")
+    assert got[200] == marked(rows[88][1], "janea(at)example.com")  # marked in another context
+    assert got[300] == marked(texts[300], "joe(at)example.com")  # by a pattern that accepted instances induced
+    assert got[301] == marked(texts[301], "janea(at)example.com") and got[302] == ""
+
+
+def test_runs_of_digit_words(spark):
+    rows = [(i, f"so call me at +1 330 555 85{i:02d} please") for i in range(12)]
+    text = "do call me at 330 555 8577, please"
+    got = spans_of(spark, [*rows, (50, text)])
+    assert got[50] == marked(text, "330 555 8577", "phone")
