@@ -14,6 +14,8 @@ windows share with the template, all starts included.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,11 +40,41 @@ TEMPLATES = [
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
 ]
 
+#: Notices of siblings and other versions, which ``known_templates`` adds.
+NOTICES = [
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+]
+
+
+def known_templates() -> list[tuple[str, str]]:
+    """TEMPLATES, NOTICES and the whole texts beside this module, by SPDX name; read on the driver."""
+    texts = sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))
+    # both BSD licences begin with the same words
+    notices = [("BSD-2-Clause OR BSD-3-Clause" if t.startswith("Redistribution and use") else n, t) for n, t in TEMPLATES + NOTICES]
+    return notices + [(p.stem, p.read_text()) for p in texts]
+
+
 _BLANK = r"\n[ \n]*\n"
 
 
 def _bigrams(words):
-    return F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
+    rest = F.size(words) - 1
+    return F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def _cleaned(text):
@@ -68,7 +100,7 @@ def _anchors(counts: list, dice: float) -> list[str]:
 
 
 def _windows(texts: DataFrame, counts: DataFrame, dice: float) -> DataFrame:
-    """(row, key, licence, unit, n, dice) of windows of a template's size; of overlapping ones the best."""
+    """(row, key, licence, unit, n, dice) of windows of a template's size; of overlapping ones that which shares most."""
     words = texts.withColumn("words", _words(F.col("clean"))).withColumn("own", F.size("words") - 1).filter("own > 0")
     hits = words.select("row", "key", "own", F.posexplode(_bigrams(F.col("words"))).alias("p", "bigram"))
     hits = hits.join(F.broadcast(counts), "bigram").filter("own >= n")  # templates: a given list
@@ -95,20 +127,20 @@ def _windows(texts: DataFrame, counts: DataFrame, dice: float) -> DataFrame:
           WHEN x.shared > element_at(a, -1).shared THEN concat(slice(a, 1, size(a) - 1), array({one})) ELSE a END)"""
     )
     found = steps.groupBy(*by).agg(along.alias("along")).withColumn("x", F.explode(chosen))
-    found = found.select("row", "key", F.struct((-F.col("x.shared") / F.col("n")).alias("less"), (-F.col("n")).alias("shorter"), F.col("x.start").alias("start"), "licence").alias("w"))
-    # of several templates: best first, each window that overlaps none before it
+    found = found.select("row", "key", F.struct((-F.col("x.shared")).alias("fewer"), F.col("n").cast("int").alias("n"), F.col("x.start").cast("int").alias("start"), "licence").alias("w"))
+    # of several templates: the one that shares most first, each window that overlaps none before it
     of_row = found.groupBy("row", "key").agg(F.sort_array(F.collect_list("w")).alias("ws"))
     kept = F.expr(
         """aggregate(ws, slice(ws, 1, 0), (a, x) ->
-          IF(exists(a, y -> x.start <= y.start - y.shorter AND y.start <= x.start - x.shorter), a, concat(a, array(x))))"""
+          IF(exists(a, y -> x.start <= y.start + y.n AND y.start <= x.start + x.n), a, concat(a, array(x))))"""
     )
     return of_row.select("row", "key", F.explode(kept).alias("w")).select(
-        "row", "key", "w.licence", F.col("w.start").cast("int").alias("unit"), (-F.col("w.shorter")).alias("n"), (-F.col("w.less")).alias("dice")
+        "row", "key", "w.licence", F.col("w.start").alias("unit"), "w.n", (-F.col("w.fewer") / F.col("w.n")).alias("dice")
     )
 
 
 def _beside(windows: DataFrame, units: DataFrame, texts: DataFrame, same: list[str]) -> DataFrame:
-    """The windows that lie in no unit's words; units have row, scope, unit and the columns ``same``."""
+    """The windows in no unit's words that matched as long a template; units have row, scope, unit, n and the columns ``same``."""
 
     def ends(parts):
         sizes = F.transform(parts, lambda x: F.size(F.filter(F.split(x, r"\s+"), lambda w: w != "")))
@@ -125,14 +157,15 @@ def _beside(windows: DataFrame, units: DataFrame, texts: DataFrame, same: list[s
     within = F.col("u.scope") == "document"
     for scope in ("line", "paragraph"):
         within |= (F.col("u.scope") == scope) & F.col("u.unit").between(F.col(f"w.{scope}_0"), F.col(f"w.{scope}_1"))
-    cond = within
+    cond = within & (F.col("u.n") >= F.col("w.n"))
     for c in ["row", *same]:
         cond = (F.col(f"w.{c}") == F.col(f"u.{c}")) & cond
     return w.join(u, cond, "left_anti")
 
 
 def scan_licences(
-    docs: DataFrame, templates: list[tuple[str, str]] | None = None, dice: float = 0.8, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, templates: list[tuple[str, str]] | None = None, dice: float = 0.8, key: str = "doc_id", text: str = "text",
+    best_only: bool = False,
 ) -> DataFrame:
     """One row per unit of a text and licence it matches: key, scope, unit, licence, dice.
 
@@ -140,7 +173,9 @@ def scan_licences(
     paragraphs) or window; unit counts the units of that scope in the text from 0, and is the
     number of the first word of a window.  Of several templates of a licence the best counts.
     Windows have a template's number of words and lie anywhere in the text; of overlapping
-    ones the best counts, and those in a unit found for their licence are left out.  Texts need two words to match; null and empty
+    ones that which shares most bigrams counts, and those in a unit found for their licence by
+    as long a template are left out.  With ``best_only`` a unit has the one licence whose template
+    fits best, of equals the longest, and windows in it are left out whatever their licence.  Texts need two words to match; null and empty
     texts give no rows, repeated rows of ``docs`` each give theirs.  Work is done by
     Spark's own functions; only bigrams that occur in a template reach the shuffle.
     """
@@ -159,7 +194,7 @@ def scan_licences(
     lines = F.split(F.col("clean"), "\n")
     paragraphs = F.split(F.col("clean"), _BLANK)
     given = docs.select(F.col(key).alias("key"), clean.alias("clean")).withColumn("row", F.monotonically_increasing_id())
-    hopeful = F.arrays_overlap(F.split("clean", r"[ \n]+"), F.array(*map(F.lit, anchors)))
+    hopeful = F.arrays_overlap(F.split("clean", r"[ \n]+"), F.split(F.lit(" ".join(anchors)), " "))
     given = materialize(given.filter(hopeful), "licence-texts")
 
     def units(scope, array, wanted):
@@ -184,9 +219,10 @@ def scan_licences(
     )
     measured = shared.groupBy("row", "key", "scope", "unit", "licence", "template", "own", "n").agg(F.sum("shared").alias("shared"))
     measured = measured.withColumn("dice", 2.0 * F.col("shared") / (F.col("own") + F.col("n"))).filter(F.col("dice") >= dice - 1e-12)
-    best = measured.groupBy("row", "key", "scope", "unit", "licence").agg(F.max("dice").alias("dice"))
+    rank = Window.partitionBy("row", "scope", "unit", *([] if best_only else ["licence"])).orderBy(F.desc("dice"), F.desc("n"), "licence", "template")
+    best = measured.withColumn("r", F.row_number().over(rank)).filter("r = 1").select("row", "key", "scope", "unit", "licence", "n", "dice")
     best = materialize(best, "licence-units")
     windows = materialize(_windows(given, counts, dice), "licence-windows")
-    windows = _beside(windows, best, given, ["licence"]).withColumn("scope", F.lit("window"))
+    windows = _beside(windows, best, given, [] if best_only else ["licence"]).withColumn("scope", F.lit("window"))
     out = best.unionByName(windows.select(best.columns))
     return out.select(F.col("key").alias(key), "scope", "unit", "licence", F.round("dice", 6).alias("dice"))

@@ -28,7 +28,7 @@ def _query(name):
 
 @_query("op1_licence_scan")
 def op1_licence_scan(spark, sf_dir):
-    return licences.scan_licences(table(spark, sf_dir, "documents"))
+    return licences.scan_licences(table(spark, sf_dir, "documents"), licences.known_templates(), best_only=True)
 
 
 @_query("op2_bpe_roundtrip")

@@ -118,15 +118,29 @@ def test_licence_windows_equal_brute_force(spark):
     r = random.Random(6)
     templates = [("X", "a b c a b d e f a b"), ("Y", "g h g h g h i j")]
     texts = [" ".join(r.choice([t.split(), [r.choice("abcdefghij")]])[0] if r.random() < 0.3 else t for t in r.choices([x[1] for x in templates] + list("abcdefghij"), k=8)) for _ in range(80)]
-    got = {}
-    for x in licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates).collect():
-        if x.scope == "window":
-            got[x.doc_id] = max(got.get(x.doc_id, 0), x.dice)
-    want = {}
-    for i, text in enumerate(texts):
-        words = text.split()
-        scores = [brute_dice(" ".join(words[s : s + len(t.split())]), t) for _, t in templates for s in range(len(words) - len(t.split()) + 1)]
-        whole = any(brute_dice(text, t) >= 0.8 for _, t in templates)
-        if not whole and max(scores, default=0) >= 0.8:
-            want[i] = round(max(scores), 6)
+    got, want = {}, {}
+    for name, t in templates:
+        for x in licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), [(name, t)]).collect():
+            if x.scope == "window":
+                got[x.doc_id, name] = max(got.get((x.doc_id, name), 0), x.dice)
+        for i, text in enumerate(texts):
+            words = text.split()
+            scores = [brute_dice(" ".join(words[s : s + len(t.split())]), t) for s in range(len(words) - len(t.split()) + 1)]
+            if brute_dice(text, t) < 0.8 <= max(scores, default=0):
+                want[i, name] = round(max(scores), 6)
     assert len(want) > 20 and {i: d for i, d in got.items() if i in want} == pytest.approx(want)
+
+
+def test_siblings_and_whole_texts(spark):
+    known = licences.known_templates()
+    texts = {n: t for n, t in known if len(t) > 500 and n not in ("GPL-1.0", "LGPL-2.0")}
+    rows = [(1, "This work is licensed under the GNU General Public License, version 2."),
+            (2, "This work is licensed under the GNU Lesser General Public License, version 3."),
+            (3, "Copyright 2020 Foo\n\n" + texts["BSD-2-Clause"].replace("HOLDERS", "OWNERS")), (4, "a line\n" + texts["ISC"]),
+            (5, texts["GPL-2.0"]), (6, "Prose first. " * 9 + texts["Unlicense"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = licences.scan_licences(docs, known, best_only=True).collect()
+    found = {(x.doc_id, x.licence) for x in got if x.scope in ("document", "window") or x.doc_id < 3}
+    assert {(1, "GPL-2.0"), (2, "LGPL-3.0"), (3, "BSD-2-Clause"), (4, "ISC"), (5, "GPL-2.0"), (6, "Unlicense")} <= found
+    assert len({(x.doc_id, x.scope, x.unit) for x in got}) == len(got)
+    assert not {"GPL-3.0", "BSD-3-Clause"} & {x.licence for x in got}
