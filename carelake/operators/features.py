@@ -13,11 +13,12 @@ The physician join comes after the window; physician keys are unique in the
 published physician table (the ETL de-duplicates it).  With duplicate
 physician keys the fan-out copies are not counted as earlier visits.
 
-Skew: one patient may own a large share of all appointments.  The default plan
-cuts every patient's history at the hours of its visits (see
-``calculate_patient_history``), so that no task needs a whole patient;
-``split=False`` asks for one window per patient, which is cheaper where no
-patient is large.
+Skew: one patient may own a large share of all appointments.  By default the rows of
+each patient are counted first; patients that own more than a task's share (fewer than there
+are shuffle partitions) leave the plan above.  Their rows meet the patient dimension by
+(patient_id, salt) and are cut into ranges of the whole sort order, visit id included, so
+that even visits without a date are spread; totals of the earlier ranges are added to the sums inside
+each (see ``operators.prefix``).  ``split=False`` asks for one window per patient without the count.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions.columns import datetime_feature_columns, lead_days, whole_years
+from carelake.operators.prefix import running_sums
+
+#: A patient with fewer rows is never treated apart.
+HOT_ROWS = 2_000
 
 
 def extract_datetime_features(df: DataFrame, datetime_col: str = "appointment_time") -> DataFrame:
@@ -80,43 +85,53 @@ def _history_window(df: DataFrame, pid: str, order: list[str], no_show_col: str)
     return df.withColumns(_history_exprs(pid, tuple(order), no_show_col, _session_key(df)))
 
 
-def _history_split(df: DataFrame, pid: str, order: list[str], no_show_col: str) -> DataFrame:
-    """The same history from sums over chunks: a patient's visits of one hour (one day without a time column).
+class HotKeys:
+    """Patients that own more than a task's share of the rows, and how many pieces their rows are cut into."""
+
+    def __init__(self, key: str, values: list, pieces: int):
+        self.key, self.values, self.pieces = key, values, pieces
+
+    def __bool__(self) -> bool:
+        return bool(self.values)
+
+    def has(self) -> Column:
+        """Whether a row belongs to one of them; rows without a key are one patient, as in a window."""
+        known = [v for v in self.values if v is not None]
+        return F.coalesce(F.col(self.key).isin(known), F.lit(None in self.values))
+
+
+def hot_keys(df: DataFrame, key: str, least: int = HOT_ROWS) -> HotKeys:
+    """Count the rows of each key (summed before the shuffle) and name those above a task's share.
 
-    The chunk follows the sort order, so a row's sums are those of the earlier chunks of its
-    patient plus those of the earlier rows of its chunk.  Chunk totals are summed before
-    the shuffle; the window over a patient's chunks is as long as its distinct hours, the
-    window inside a chunk as long as its visits of that hour.  Rows with a null date or
-    time form one chunk, as nulls sort together.
+    The share is the rows over the number of shuffle partitions, ``least`` at least; fewer
+    keys than partitions can be above it, so their list is small whatever the data.
     """
-    kinds = dict(df.dtypes)
-    cut = [F.date_trunc("hour", F.col(c)) if kinds[c].startswith("timestamp") else F.col(c) for c in order[:1]]
-    if len(order) > 1 and kinds[order[1]].startswith("timestamp"):
-        cut.append(F.date_trunc("hour", F.col(order[1])))
-    flag = F.col(no_show_col).cast("int").cast("bigint")
-    # Null keys are equal inside a struct, as they are in a window.
-    chunk = F.struct(F.col(pid).alias("p"), *[h.alias(f"h{i}") for i, h in enumerate(cut)])
-    keyed = df.withColumn("_chunk", chunk).withColumn("_flag", flag)
-    totals = keyed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"), F.sum("_flag").alias("_s"))
-    earlier = (
-        Window.partitionBy(F.col("_chunk.p")).orderBy(*[F.col(f"_chunk.h{i}") for i in range(len(cut))])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = totals.select("_chunk", F.sum("_n").over(earlier).alias("_n0"), F.sum("_s").over(earlier).alias("_s0"))
-    inside = Window.partitionBy("_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = keyed.withColumn("_n1", F.count(F.lit(1)).over(inside)).withColumn("_s1", F.sum("_flag").over(inside))
-    out = out.join(offsets, "_chunk", "left")
-    known = F.col("_s0").isNotNull() | F.col("_s1").isNotNull()
-    zero = F.lit(0).cast("bigint")
-    prev_n = F.coalesce("_n0", zero) + F.col("_n1")
-    prev_ns = F.when(known, F.coalesce("_s0", zero) + F.coalesce("_s1", zero))
-    out = out.withColumns({"previous_appointments": prev_n, "previous_no_shows": prev_ns})
-    out = out.withColumn("no_show_rate", _rate(F.col("previous_no_shows"), F.col("previous_appointments")))
-    return out.select(*df.columns, "previous_appointments", "previous_no_shows", "no_show_rate")
+    tasks = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    total = df.count()
+    share = max(least, total // tasks, 1)
+    if total <= share:
+        return HotKeys(key, [], 0)
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > share).collect()
+    return HotKeys(key, [r[0] for r in hot], -(-2 * sum(r.n for r in hot) // share))
+
 
+def salted_left_join(left: DataFrame, right: DataFrame, hot: HotKeys, spread: list[str]) -> DataFrame:
+    """Left join of rows with hot keys: each row of ``right`` is there once for every salt, each row of
+    ``left`` has the salt of its ``spread`` columns, so that a key meets in as many places as there are salts."""
+    salt = F.pmod(F.xxhash64(*spread), F.lit(hot.pieces)).cast("int")
+    copies = right.filter(hot.has()).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(hot.pieces - 1))))
+    return left.withColumn("_salt", salt).join(copies, [hot.key, "_salt"], "left").drop("_salt")
 
-def _history(df: DataFrame, pid: str, order: list[str], no_show_col: str, split: bool) -> DataFrame:
-    return (_history_split if split else _history_window)(df, pid, order, no_show_col)
+
+def _history_ranges(df: DataFrame, hot: HotKeys, order: list[str], no_show_col: str) -> DataFrame:
+    """The same history for the rows of hot patients, from sums over ranges of the sort order."""
+    flag = F.col(no_show_col).cast("int").cast("bigint")
+    values = {"_n": F.lit(1).cast("bigint"), "_s": F.coalesce(flag, F.lit(0)), "_k": flag.isNotNull().cast("bigint")}
+    out = running_sums(df, [hot.key], order, values, hot.pieces)
+    prev_ns = F.when(F.col("_k") > 0, F.col("_s"))
+    return out.select(
+        *df.columns, F.col("_n").alias("previous_appointments"), prev_ns.alias("previous_no_shows"), _rate(prev_ns, F.col("_n")).alias("no_show_rate")
+    )
 
 
 def calculate_patient_history(
@@ -126,6 +141,7 @@ def calculate_patient_history(
     no_show_col: str = "no_show",
     tie_breakers=("appointment_time", "appointment_id"),
     split: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds ``previous_appointments``, ``previous_no_shows``, ``no_show_rate``.
 
@@ -136,12 +152,16 @@ def calculate_patient_history(
     Rows are ordered by date, then the tie-break columns present in ``df``
     (the reference orders by date only, which leaves same-day ties open).
 
-    ``split`` cuts each history into chunks of an hour, so that a patient with
-    any share of the rows is spread over tasks; without it one window per
-    patient gives the same values.  No job runs before the result is used.
+    ``split`` counts the rows of each patient first; histories of more than a task's share of
+    the rows (``hot_rows`` at least) are cut into ranges of that order, the others are one
+    window per patient.  Without it all are.
     """
     order = _order_columns(df, appointment_date_col, tie_breakers)
-    return _history(df, patient_id_col, order, no_show_col, split)
+    hot = hot_keys(df, patient_id_col, hot_rows) if split else None
+    if not hot:
+        return _history_window(df, patient_id_col, order, no_show_col)
+    rest = _history_window(df.filter(~hot.has()), patient_id_col, order, no_show_col)
+    return rest.unionByName(_history_ranges(df.filter(hot.has()), hot, order, no_show_col))
 
 
 def conform_to_schema(df: DataFrame, schema) -> DataFrame:
@@ -161,6 +181,7 @@ def generate_features(
     physicians_df: DataFrame,
     conform: bool = True,
     split: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The 17-column feature table of the no-show model.
 
@@ -169,8 +190,8 @@ def generate_features(
     from the physician dimension.  With ``conform`` the result is cast to the
     declared feature schema (int counts, float rate), as it is published;
     without it the natural types (bigint counts, double rate) are kept and the
-    column names follow the declared schema in both cases.  ``split`` as in
-    ``calculate_patient_history``.
+    column names follow the declared schema in both cases.  ``split`` and ``hot_rows`` as in
+    ``calculate_patient_history``; the patient join of hot patients is salted.
     """
     pat = patients_df.select("patient_id", "date_of_birth", "gender")
     phy = physicians_df.select("physician_id", "specialty")
@@ -189,9 +210,13 @@ def generate_features(
             if c in appointments_df.columns
         ]
     )
-    # With ``split`` the join's output is shuffled by chunk, so Spark may cut a hot patient's join too.
     order = _order_columns(appt, "appointment_date", ("appointment_time", "appointment_id"))
-    df = _history(appt.join(pat, "patient_id", "left"), "patient_id", order, "no_show", split)
+    hot = hot_keys(appt.select("patient_id"), "patient_id", hot_rows) if split else None
+    rest = appt.filter(~hot.has()) if hot else appt
+    df = _history_window(rest.join(pat, "patient_id", "left"), "patient_id", order, "no_show")
+    if hot:
+        spread = salted_left_join(appt.filter(hot.has()), pat, hot, ["appointment_id"])
+        df = df.unionByName(_history_ranges(spread, hot, order, "no_show"))
     # Physicians last: the patient join and the window share the patient_id
     # partitioning (no exchange at all when both tables are bucketed on it).
     df = df.join(phy, "physician_id", "left")

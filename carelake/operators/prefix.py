@@ -5,7 +5,8 @@ sends every row of a group to one task.  Here the rows are range-partitioned
 on ``(g, o...)`` into balanced, ordered chunks (Spark samples the keys, so a
 hot group is cut into several chunks), the sums run inside each
 ``(chunk, group)`` piece, and the per-piece totals give every piece the sum of
-the earlier pieces of its group.
+the earlier pieces of its group.  There are PIECES_PER_TASK times as many chunks as tasks:
+neighbouring chunks share a task, which evens out what the sampled bounds leave uneven.
 
 Bound: a group spans consecutive chunks and each chunk boundary cuts at most
 one group, so there are at most ``#groups + n_chunks`` pieces; Spark chooses
@@ -24,6 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Ranges for each task of the sums.
+PIECES_PER_TASK = 4
+
+
 def running_sums(
     df: DataFrame,
     partition_by: list[str],
@@ -43,9 +48,9 @@ def running_sums(
 
     checkpoint_root(df.sparkSession)
     end = 0 if inclusive else -1
-    ranged = df.repartitionByRange(max(1, n_chunks), *partition_by, *order_by).withColumn(
-        "_chunk", F.spark_partition_id()
-    )
+    tasks = max(1, n_chunks)
+    ranged = df.repartitionByRange(PIECES_PER_TASK * tasks, *partition_by, *order_by).withColumn("_chunk", F.spark_partition_id())
+    ranged = ranged.repartitionByRange(tasks, "_chunk")  # all of a chunk in one task: the window below needs no shuffle of its own
     w_local = Window.partitionBy("_chunk", *partition_by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, end)
     local = ranged.withColumns({f"_v_{n}": v for n, v in values.items()})
     local = local.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(w_local) for n in values}).checkpoint()

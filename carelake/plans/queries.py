@@ -69,22 +69,28 @@ WINDOW w AS (PARTITION BY a.patient_id
 """
 
 
+# A third of the visits belongs to one patient and has no date, the rest is as it is.
+SKEWED_SQL = """(SELECT * REPLACE (
+    CASE WHEN CAST(appointment_id AS BIGINT) % 3 = 0 THEN '1' ELSE patient_id END AS patient_id,
+    CASE WHEN CAST(appointment_id AS BIGINT) % 3 = 0 THEN NULL ELSE appointment_date END AS appointment_date,
+    CASE WHEN CAST(appointment_id AS BIGINT) % 3 = 0 THEN NULL ELSE appointment_time END AS appointment_time)
+  FROM appointments)"""
+
+
 @register("appointment_features", FEATURES_SQL)
 def q_appointment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship with one window per patient (no patient is large here)."""
     from carelake.operators.features import generate_features
 
-    a, p, d = _views(spark, sf_dir)
-    return generate_features(a, p, d, split=False)
+    return generate_features(*_views(spark, sf_dir))
 
 
-@register("appointment_features_skewed", FEATURES_SQL)
+@register("appointment_features_skewed", FEATURES_SQL.replace("FROM appointments a", f"FROM {SKEWED_SQL} a"))
 def q_appointment_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship through its default plan: histories cut into chunks, no task needs a whole patient."""
+    """The flagship where one patient owns a third of the visits, all without a date."""
     from carelake.operators.features import generate_features
 
-    a, p, d = _views(spark, sf_dir)
-    return generate_features(a, p, d)
+    _, p, d = _views(spark, sf_dir)
+    return generate_features(fx.skewed_appointments(spark, sf_dir), p, d)
 
 
 # --------------------------------------------------------------------------
@@ -110,15 +116,15 @@ HISTORY_COLS = ["appointment_id", "patient_id", "previous_appointments", "previo
 def q_patient_history(spark, sf_dir):
     from carelake.operators.features import calculate_patient_history
 
-    return calculate_patient_history(fx.appointments(spark, sf_dir), split=False).select(*HISTORY_COLS)
+    return calculate_patient_history(fx.appointments(spark, sf_dir)).select(*HISTORY_COLS)
 
 
-@register("patient_history_skewed", HISTORY_SQL)
+@register("patient_history_skewed", HISTORY_SQL.replace("FROM appointments", f"FROM {SKEWED_SQL}"))
 def q_patient_history_skewed(spark, sf_dir):
-    """Same result through the default plan: sums over hourly chunks."""
+    """Histories where one patient owns a third of the visits, all without a date."""
     from carelake.operators.features import calculate_patient_history
 
-    return calculate_patient_history(fx.appointments(spark, sf_dir)).select(*HISTORY_COLS)
+    return calculate_patient_history(fx.skewed_appointments(spark, sf_dir)).select(*HISTORY_COLS)
 
 
 @register(

@@ -91,6 +91,18 @@ def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*APPOINTMENTS_SQL)
 
 
+def skewed_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appointments of which every third belongs to patient 1 and has neither date nor time."""
+    hot = "CAST(appointment_id AS BIGINT) % 3 = 0"
+    parts = {
+        "patient_id": f"IF({hot}, '1', patient_id) AS patient_id",
+        "appointment_date": f"IF({hot}, NULL, appointment_date) AS appointment_date",
+        "appointment_time": f"IF({hot}, NULL, appointment_time) AS appointment_time",
+    }
+    df = appointments(spark, sf_dir)
+    return df.selectExpr(*[parts.get(c, c) for c in df.columns])
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in for the sample taxi table: ``events.value`` plays ``fare_amount``."""
     return table(spark, sf_dir, "events").selectExpr(*TRIPS_SQL)

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from carelake.operators import features
 from carelake.operators.features import calculate_patient_history, generate_features
 from carelake.operators.prefix import running_sums
 
@@ -32,7 +33,7 @@ def _visits(spark, flags_by_patient):
 @pytest.mark.parametrize("split", [False, True])
 def test_history_null_rules(spark, split):
     df = _visits(spark, {"a": [True, None, False], "b": [None, True]})
-    got = {r[0]: r[1:] for r in _hist_rows(calculate_patient_history(df, split=split))}
+    got = {r[0]: r[1:] for r in _hist_rows(calculate_patient_history(df, split=split, hot_rows=1))}
     assert got["a-0"] == (0, None, 0.0)
     assert got["a-1"] == (1, 1, 1.0)
     assert got["a-2"] == (2, 1, 0.5)
@@ -70,7 +71,7 @@ def test_hot_patient_split_matches_window(spark):
         rows.append((f"id{i:05d}", pid, d, dt.datetime.combine(d, dt.time(rnd.randrange(24))), flag))
     df = spark.createDataFrame(rows, HIST).repartition(6)
     plain = _hist_rows(calculate_patient_history(df, split=False))
-    split = calculate_patient_history(df)
+    split = calculate_patient_history(df, hot_rows=1)
     assert _hist_rows(split) == plain
 
 
@@ -139,26 +140,58 @@ def test_hot_null_patient_key_is_split_and_correct(spark):
         rows.append((f"id{i:05d}", pid, d, dt.datetime.combine(d, dt.time(rnd.randrange(24))), rnd.choice([True, False, None])))
     df = spark.createDataFrame(rows, HIST).repartition(4)
     plain = _hist_rows(calculate_patient_history(df, split=False))
-    split = calculate_patient_history(df)
+    split = calculate_patient_history(df, hot_rows=1)
     assert _hist_rows(split) == plain
 
 
-def test_hot_patients_are_spread_over_tasks(spark):
-    """Two patients with 40% of the rows each, and one day of one patient: no chunk holds a large share,
-    and null dates and times are chunks of their own."""
-    from pyspark.sql import functions as F
-
-    one_day = "IF(id % 10 < 4, 'a', IF(id % 10 < 8, 'b', CAST(id AS STRING)))"
-    for days, pid in ((400, one_day), (1, "'a'")):
-        df = spark.range(0, 20000).selectExpr(
-            "CAST(id AS STRING) AS appointment_id", f"{pid} AS patient_id",
-            f"IF(id % 97 = 0, NULL, DATE_ADD(DATE'2020-01-01', CAST(id * 7 % {days} AS INT))) AS appointment_date",
-            "IF(id % 89 = 0, NULL, TIMESTAMP'2020-01-01 00:00:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id * 5 % 24 AS INT))) AS appointment_time",
-            "IF(id % 3 = 0, NULL, id % 2 = 0) AS no_show",
-        )
-        assert _hist_rows(calculate_patient_history(df)) == _hist_rows(calculate_patient_history(df, split=False))
-        chunks = df.groupBy("patient_id", "appointment_date", F.date_trunc("hour", "appointment_time")).count()
-        assert chunks.agg(F.max("count")).first()[0] < 20000 / 20
+def _many_visits(spark, pid, days):
+    return spark.range(0, 60000, 1, 8).selectExpr(
+        "LPAD(CAST(id * 7919 % 60000 AS STRING), 6, '0') AS appointment_id", f"{pid} AS patient_id",
+        f"IF({days} = 0 OR id % 97 = 0, NULL, DATE_ADD(DATE'2020-01-01', CAST(id * 7 % {max(days, 1)} AS INT))) AS appointment_date",
+        f"IF({days} = 0 OR id % 89 = 0, NULL, TIMESTAMP'2020-01-01 00:00:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id * 5 % 24 AS INT))) AS appointment_time",
+        "IF(id % 3 = 0, NULL, id % 2 = 0) AS no_show",
+    )
+
+
+@pytest.mark.parametrize("pid, days", [
+    ("IF(id % 3 = 0, 'hot', CAST(id AS STRING))", 0),  # a third of the rows, none with a date
+    ("IF(id % 10 < 4, 'a', IF(id % 10 < 8, NULL, CAST(id AS STRING)))", 400),  # a patient and the rows without one
+    ("'a'", 1),  # one day of one patient
+])
+def test_hot_patients_are_spread_over_tasks(spark, pid, days):
+    """The values of one window per patient, and no task of the sums holds twice the median."""
+    df = _many_visits(spark, pid, days)
+    assert _hist_rows(calculate_patient_history(df)) == _hist_rows(calculate_patient_history(df, split=False))
+    hot = features.hot_keys(df, "patient_id")
+    order = ["appointment_date", "appointment_time", "appointment_id"]
+    ranges = features._history_ranges(df.filter(hot.has()), hot, order, "no_show")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = [r["count"] for r in ranges.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(tasks) == hot.pieces and max(tasks) < 2 * sorted(tasks)[len(tasks) // 2]
+
+
+def test_salted_join_spreads_a_hot_patient(spark):
+    df = _many_visits(spark, "IF(id % 3 = 0, 'hot', CAST(id AS STRING))", 30)
+    pats = spark.createDataFrame([("hot", 1), ("hot", 2), ("4", 3), (None, 4)], "patient_id string, v int")
+    hot = features.hot_keys(df, "patient_id")
+    assert hot.values == ["hot"]
+    rows = df.filter(hot.has())
+    want = rows.join(pats, "patient_id", "left")
+    got = features.salted_left_join(rows, pats, hot, ["appointment_id"])
+    assert got.columns == want.columns and got.count() == 40000 and got.exceptAll(want).isEmpty()
+    salts = rows.groupBy(F.pmod(F.xxhash64("appointment_id"), F.lit(hot.pieces))).count().collect()
+    assert len(salts) == hot.pieces and max(r["count"] for r in salts) < 2 * min(r["count"] for r in salts)
+
+
+def test_only_large_patients_leave_the_plain_plan(spark):
+    df = _many_visits(spark, "CAST(id % 100 AS STRING)", 30)
+    assert not features.hot_keys(df, "patient_id")
+    plan = calculate_patient_history(df)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bWindow \[", plan)) == 1 and "Union" not in plan
+    assert len(features.hot_keys(df, "patient_id", 1).values) <= 8
 
 
 def test_running_sums_inclusive_with_groups(spark):
