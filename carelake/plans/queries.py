@@ -64,7 +64,7 @@ FROM appointments a
 LEFT JOIN patients p ON a.patient_id = p.patient_id
 LEFT JOIN physicians d ON a.physician_id = d.physician_id
 WINDOW w AS (PARTITION BY a.patient_id
-             ORDER BY a.appointment_date, a.appointment_time, a.appointment_id
+             ORDER BY a.appointment_date NULLS FIRST, a.appointment_time NULLS FIRST, a.appointment_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 """
 
@@ -105,7 +105,7 @@ SELECT appointment_id, patient_id,
        THEN CAST(CAST(CAST(sum(CAST(no_show AS INTEGER)) OVER w AS DOUBLE) / count(*) OVER w AS FLOAT) AS DOUBLE)
        ELSE 0.0 END AS no_show_rate
 FROM appointments
-WINDOW w AS (PARTITION BY patient_id ORDER BY appointment_date, appointment_time, appointment_id
+WINDOW w AS (PARTITION BY patient_id ORDER BY appointment_date NULLS FIRST, appointment_time NULLS FIRST, appointment_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 """
 
