@@ -6,7 +6,6 @@ from carelake.functions.columns import (  # noqa: F401
     is_weekend,
     lead_days,
     season,
-    second_class_probability,
     weekday_name,
     whole_years,
 )

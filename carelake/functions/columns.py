@@ -97,10 +97,3 @@ def datetime_feature_columns(x: ColumnOrName) -> dict[str, Column]:
         "is_weekend": is_weekend(c),
         "season": season(c),
     }
-
-
-def second_class_probability(prob: ColumnOrName = "probability") -> Column:
-    """P(class 1) from an ML probability vector."""
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(_c(prob))[1]

@@ -15,7 +15,8 @@ WITH patients AS (
          CASE WHEN c_custkey % 3 = 0 THEN 'F' WHEN c_custkey % 3 = 1 THEN 'M' END AS gender,
          CAST(NULL AS VARCHAR) AS contact_number,
          'patient' || CAST(c_custkey AS VARCHAR) || '@example.org' AS email,
-         CAST(NULL AS VARCHAR) AS address,
+         CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Street ' || CAST(c_custkey AS VARCHAR) || ', "upper" floor'
+              WHEN 3 THEN 'Street ' || CAST(c_custkey AS VARCHAR) || chr(10) || 'Yard' ELSE 'Main Street' END AS address,
          'City' || CAST(c_nationkey AS VARCHAR) AS city,
          CAST(NULL AS VARCHAR) AS state,
          CAST(NULL AS VARCHAR) AS zip_code,
@@ -32,7 +33,7 @@ physicians AS (
          'SPEC_' || CAST(s_nationkey % 5 AS VARCHAR) AS specialty,
          'LIC' || CAST(s_suppkey AS VARCHAR) AS license_number,
          CAST(NULL AS VARCHAR) AS email,
-         CAST(NULL AS VARCHAR) AS contact_number,
+         CASE s_suppkey % 3 WHEN 0 THEN 'desk' || chr(10) || '"' || CAST(s_suppkey AS VARCHAR) || '"' END AS contact_number,
          'DEPT_' || CAST(s_nationkey % 3 AS VARCHAR) AS department,
          CAST(DATE '1980-01-01' + CAST(s_suppkey * 53 % 9000 AS INTEGER) AS DATE) AS hire_date,
          CASE WHEN s_suppkey % 10 = 0 THEN 'Inactive' ELSE 'Active' END AS status,
@@ -50,7 +51,7 @@ appointments AS (
          o_orderpriority AS reason,
          CASE o_orderstatus WHEN 'P' THEN 'Scheduled' WHEN 'F' THEN 'Completed' ELSE 'No-Show' END AS status,
          CASE o_orderstatus WHEN 'F' THEN FALSE WHEN 'O' THEN TRUE END AS no_show,
-         CAST(NULL AS VARCHAR) AS notes,
+         CASE o_orderkey % 7 WHEN 0 THEN 'said "fine", left early' WHEN 1 THEN 'line one' || chr(10) || chr(10) || 'line, three' WHEN 2 THEN 'on time' END AS notes,
          o_orderdate + to_hours(CAST(o_orderkey % 24 - (o_orderkey % 60) * 24 AS BIGINT)) AS created_at,
          o_orderdate + to_hours(CAST(o_orderkey % 10 + 9 AS BIGINT)) AS updated_at
   FROM orders

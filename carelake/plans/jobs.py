@@ -22,8 +22,11 @@ def daily_etl_main(args, spark: SparkSession) -> dict:
     from carelake.plans.etl import daily_etl
 
     sources = {"patients": args.patients, "physicians": args.physicians, "appointments": args.appointments}
-    tables = daily_etl(spark, sources, args.base_path, args.database, args.as_of, args.buckets)
-    return {name: f"{args.database}.{name}" for name in tables}
+    tables = daily_etl(spark, sources, args.base_path, args.database, args.as_of, args.buckets, args.format, args.rejects, args.escape)
+    out = {name: f"{args.database}.{name}" for name in tables}
+    if args.rejects:
+        out["rejects"] = {name: spark.table(f"{args.database}.{name}_rejects").count() for name in tables}
+    return out
 
 
 def ml_training_main(args, spark: SparkSession) -> dict:
@@ -40,6 +43,7 @@ def ml_training_main(args, spark: SparkSession) -> dict:
         as_of=args.as_of,
         model_type=args.model_type,
         model_version=args.model_version,
+        fmt=args.format,
     )
     return {name: str(df.count()) for name, df in out.items()}
 
@@ -70,11 +74,15 @@ def parser() -> argparse.ArgumentParser:
     for name in ("patients", "physicians", "appointments"):
         e.add_argument(f"--{name}", required=True, help=f"landing path of the {name} CSV files")
     e.add_argument("--buckets", type=int, default=None, help="bucket patients/appointments on patient_id")
+    e.add_argument("--rejects", action="store_true", help="land unreadable records in <entity>_rejects instead of nulls")
+    e.add_argument("--escape", default="\\", help="character that escapes a quote inside quotes (default: backslash)")
     m = sub.add_parser("ml-training")
     m.add_argument("--model-type", default="random_forest", choices=["random_forest", "gbt"])
     m.add_argument("--model-version", default=None)
     i = sub.add_parser("incremental-appointments")
     i.add_argument("--landing", required=True)
+    for s in (e, m):
+        s.add_argument("--format", default="parquet", help="table format (delta needs its jar)")
     for s in (e, m, i):
         s.add_argument("--database", required=True)
         s.add_argument("--base-path", required=True)

@@ -457,22 +457,38 @@ def q_dedup_any(spark, sf_dir):
     )
 
 
+_DESCRIBED = [
+    "appointment_id", "patient_id", "physician_id", "patient_age", "patient_gender", "physician_specialty", "appointment_lead_days",
+    "previous_no_shows", "previous_appointments", "no_show_rate", "day_of_week", "appointment_hour", "season",
+]
+
+
+def _described(row: str, value: str) -> str:
+    return f"SELECT '{row}' AS summary, " + ", ".join(f"{value.format(c=c)} AS {c}" for c in _DESCRIBED) + " FROM f"
+
+
 @register(
     "describe_summary",
     f", f AS ({FEATURES_SQL})\n"
-    """SELECT 'count' AS summary, CAST(count(appointment_id) AS VARCHAR) AS appointment_id,
-  CAST(count(patient_age) AS VARCHAR) AS patient_age, CAST(count(season) AS VARCHAR) AS season FROM f
-UNION ALL SELECT 'max', max(appointment_id), CAST(max(patient_age) AS VARCHAR), max(season) FROM f
-UNION ALL SELECT 'min', min(appointment_id), CAST(min(patient_age) AS VARCHAR), min(season) FROM f""",
+    + "\nUNION ALL ".join([
+        _described("count", "CAST(count({c}) AS VARCHAR)"),
+        _described("mean", "printf('%.4f', avg(TRY_CAST({c} AS DOUBLE)))"),
+        _described("stddev", "printf('%.4f', stddev_samp(TRY_CAST({c} AS DOUBLE)))"),
+        _described("min", "CAST(min({c}) AS VARCHAR)"),
+        _described("max", "CAST(max({c}) AS VARCHAR)"),
+    ]),
 )
 def q_describe_summary(spark, sf_dir):
-    """The exact rows (count, min, max) of the string summary of the feature table."""
+    """The string summary of the feature table: all five rows of its numeric and string columns; means to four digits."""
+    from pyspark.sql import functions as F
+
     from carelake.operators.features import generate_features
     from carelake.operators.quality import describe
 
-    a, p, d = _views(spark, sf_dir)
-    out = describe(generate_features(a, p, d, split=False)).filter("summary IN ('count', 'min', 'max')")
-    return out.select("summary", "appointment_id", "patient_age", "season")
+    out = describe(generate_features(*_views(spark, sf_dir)))
+    digits = [F.when(F.col("summary").isin("mean", "stddev"), F.format_string("%.4f", F.col(c).cast("double"))).otherwise(F.col(c)).alias(c) for c in _DESCRIBED]
+    missing = [F.when(F.col(c) != "null", F.col(c)).alias(c) for c in _DESCRIBED]
+    return out.select("summary", *digits).select("summary", *missing)
 
 
 _PATIENT_TYPES = [
@@ -576,7 +592,11 @@ def _staged(spark, sf_dir, entity):
     return stage_csv(view(spark, sf_dir), scratch_path(spark, f"landing-{entity}"))
 
 
-@register("scan_csv_patients", "SELECT * FROM patients")
+# Spark's reader takes an empty field for a missing one.
+LANDED_PATIENTS = "FROM (SELECT * REPLACE (nullif(address, '') AS address) FROM patients) patients"
+
+
+@register("scan_csv_patients", f"SELECT * {LANDED_PATIENTS}")
 def q_scan_csv_patients(spark, sf_dir):
     from carelake.sources.readers import extract_patients
 
@@ -686,7 +706,7 @@ def q_view_filter_table(spark, sf_dir):
     return view_filter_table(spark, fx.trips(spark, sf_dir), name, scratch_path(spark, name), f"taxi_raw_{_uid()}")
 
 
-@register("etl_patients", PATIENTS_T_SQL)
+@register("etl_patients", PATIENTS_T_SQL.replace("FROM patients", LANDED_PATIENTS))
 def q_etl_patients(spark, sf_dir):
     from carelake.plans.etl import run_patients
     from carelake.session import scratch_path
@@ -739,6 +759,39 @@ def q_daily_etl_bucketed(spark, sf_dir):
     return daily_etl(spark, sources, scratch_path(spark, db), db, AS_OF_TS, buckets=4)["appointments"]
 
 
+@register(
+    "daily_etl_rejects",
+    """SELECT 'appointments' AS landed_in, appointment_id, NULL AS reason FROM appointments
+WHERE CAST(appointment_id AS BIGINT) % 11 <> 0 AND CAST(appointment_id AS BIGINT) % 13 <> 0
+UNION ALL SELECT 'rejects', CASE WHEN CAST(appointment_id AS BIGINT) % 13 <> 0 THEN appointment_id END,
+  concat_ws('; ', CASE WHEN CAST(appointment_id AS BIGINT) % 11 = 0 THEN 'appointment_date: bad value; duration_minutes: bad value' END,
+            CASE WHEN CAST(appointment_id AS BIGINT) % 11 <> 0 THEN 'appointment_id: missing' END)
+FROM appointments WHERE CAST(appointment_id AS BIGINT) % 11 = 0 OR CAST(appointment_id AS BIGINT) % 13 = 0""",
+)
+def q_daily_etl_rejects(spark, sf_dir):
+    """The daily run over files with bad dates and numbers and missing keys: what landed in which of the two tables."""
+    from pyspark.sql import functions as F
+
+    from carelake.plans.etl import daily_etl, stage_csv
+    from carelake.session import scratch_path
+
+    sources = {e: _staged(spark, sf_dir, e) for e in ("patients", "physicians")}
+    bad, key = "CAST(appointment_id AS BIGINT) % 11 = 0", "CAST(appointment_id AS BIGINT) % 13 = 0"
+    broken = {
+        "appointment_id": f"IF({key}, NULL, appointment_id) AS appointment_id",
+        "appointment_date": f"IF({bad}, '31.12.99', CAST(appointment_date AS STRING)) AS appointment_date",
+        "duration_minutes": f"IF({bad}, 'an hour, about', CAST(duration_minutes AS STRING)) AS duration_minutes",
+    }
+    rows = fx.appointments(spark, sf_dir)
+    sources["appointments"] = stage_csv(rows.selectExpr(*[broken.get(c, c) for c in rows.columns]), scratch_path(spark, "landing-broken"))
+    db = f"clinic_{_uid()}"
+    good = daily_etl(spark, sources, scratch_path(spark, db), db, AS_OF_TS, rejects=True)["appointments"]
+    first = F.when(~F.col("raw_record").startswith(","), F.substring_index("raw_record", ",", 1))
+    return good.select(F.lit("appointments").alias("landed_in"), "appointment_id", F.lit(None).cast("string").alias("reason")).unionByName(
+        spark.table(f"{db}.appointments_rejects").select(F.lit("rejects").alias("landed_in"), first.alias("appointment_id"), "reason")
+    )
+
+
 @register("file_inventory", "SELECT TRUE AS all_csv, TRUE AS no_empty_file, count(*) AS n_rows FROM appointments")
 def q_file_inventory(spark, sf_dir):
     """The CSV part files of a staged landing folder: their names, sizes, and the rows read back through them."""
@@ -769,10 +822,6 @@ def _ml_features(spark, sf_dir):
     return create_feature_table(spark, generate_features(a, p, d), name, scratch_path(spark, name))
 
 
-# The parameters that _RUN_SQL lists; only its two keys train with them, the others with the functions' defaults.
-_RUN_FOREST = {"max_depth": 4, "num_trees": 5}
-
-
 def _forest(spark, sf_dir, **params):
     from carelake.operators.ml import train_and_evaluate
 
@@ -855,7 +904,7 @@ def q_impute_zero(spark, sf_dir):
     from carelake.operators.ml import _imputer, with_label
 
     a, p, d = _views(spark, sf_dir)
-    out = with_label(_imputer(_NUMERIC_FEATURES).transform(generate_features(a, p, d, split=False)))
+    out = with_label(_imputer(_NUMERIC_FEATURES).transform(generate_features(a, p, d)))
     return out.select("appointment_id", *[f"{c}_f" for c in _NUMERIC_FEATURES], "label")
 
 
@@ -963,7 +1012,7 @@ def q_train_gbt(spark, sf_dir):
 _RUN_SQL = (
     f", f AS ({FEATURES_SQL})\n"
     f"""SELECT 'param' AS kind, 'model_type' AS name, CAST(NULL AS DOUBLE) AS value, 'random_forest' AS detail, TRUE AS in_range
-UNION ALL SELECT 'param', 'max_depth', 4.0, NULL, TRUE UNION ALL SELECT 'param', 'num_trees', 5.0, NULL, TRUE
+UNION ALL SELECT 'param', 'max_depth', 10.0, NULL, TRUE UNION ALL SELECT 'param', 'num_trees', 100.0, NULL, TRUE
 UNION ALL SELECT 'param', 'train_size', CAST(count_if(NOT {_TEST_ROW}) AS DOUBLE), NULL, TRUE FROM f WHERE no_show IS NOT NULL
 UNION ALL SELECT 'param', 'test_size', CAST(count_if({_TEST_ROW}) AS DOUBLE), NULL, TRUE FROM f WHERE no_show IS NOT NULL
 UNION ALL SELECT 'metric', 'auc', NULL, NULL, TRUE UNION ALL SELECT 'metric', 'accuracy', NULL, NULL, TRUE"""
@@ -983,7 +1032,7 @@ def _run_rows(metrics):
 
 @register("train_and_evaluate", _RUN_SQL)
 def q_train_and_evaluate(spark, sf_dir):
-    return _run_rows(_forest(spark, sf_dir, **_RUN_FOREST)[2])
+    return _run_rows(_forest(spark, sf_dir)[2])
 
 
 @register(
@@ -1050,7 +1099,7 @@ def q_run_metrics(spark, sf_dir):
     from carelake.sources.sinks import publish_table
 
     name = f"model_runs_{_uid()}"
-    return _run_rows(publish_table(_forest(spark, sf_dir, **_RUN_FOREST)[2], name, scratch_path(spark, name), mode="append"))
+    return _run_rows(publish_table(_forest(spark, sf_dir)[2], name, scratch_path(spark, name), mode="append"))
 
 
 @register(

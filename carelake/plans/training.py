@@ -25,12 +25,16 @@ from carelake.sources.sinks import publish_table
 
 
 def create_feature_table(
-    spark: SparkSession, features_df: DataFrame, target_table: str = "appointment_features", target_path: str | None = None
+    spark: SparkSession,
+    features_df: DataFrame,
+    target_table: str = "appointment_features",
+    target_path: str | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Publish features cast to the declared feature schema; the warehouse picks the path when none is given."""
     from carelake.schemas import FEATURES
 
-    return publish_table(conform_to_schema(features_df, FEATURES), target_table, target_path)
+    return publish_table(conform_to_schema(features_df, FEATURES), target_table, target_path, fmt=fmt)
 
 
 def ml_training_job(
@@ -44,6 +48,7 @@ def ml_training_job(
     model_type: str = "random_forest",
     model_version: str | None = None,
     metrics_mode: str = "append",
+    fmt: str = "parquet",
     **params,
 ) -> dict[str, DataFrame]:
     """Returns the published ``features``, ``metrics`` and ``predictions`` tables."""
@@ -54,11 +59,11 @@ def ml_training_job(
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     features = create_feature_table(
-        spark, generate_features(appointments, patients, physicians), f"{prefix}appointment_features", f"{base}/features"
+        spark, generate_features(appointments, patients, physicians), f"{prefix}appointment_features", f"{base}/features", fmt
     )
     run_id = uuid.uuid4().hex
     model, metrics, _ = train_and_evaluate(features, model_type=model_type, run_id=run_id, **params)
-    metrics = publish_table(metrics, f"{prefix}model_runs", f"{base}/model_runs", mode=metrics_mode)
+    metrics = publish_table(metrics, f"{prefix}model_runs", f"{base}/model_runs", mode=metrics_mode, fmt=fmt)
     model = load_model(save_model(model, f"{base}/models/{run_id}"))
     upcoming_ids = upcoming_appointments(appointments, as_of).select("appointment_id")
     to_score = features.join(upcoming_ids, "appointment_id", "left_semi")
@@ -67,5 +72,5 @@ def ml_training_job(
     if spark.catalog.tableExists(name) and to_score.isEmpty():
         predictions = spark.table(name)  # nothing upcoming: the last predictions stay
     else:
-        predictions = publish_table(preds, name, f"{base}/predictions")
+        predictions = publish_table(preds, name, f"{base}/predictions", fmt=fmt)
     return {"features": features, "metrics": metrics, "predictions": predictions}

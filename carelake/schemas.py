@@ -7,7 +7,6 @@ source files and the published feature / prediction tables.
 from pyspark.sql.types import (
     BooleanType,
     DateType,
-    DoubleType,
     FloatType,
     IntegerType,
     StringType,
@@ -103,29 +102,3 @@ PREDICTIONS = StructType(
         StructField("prediction_timestamp", TimestampType(), True),
     ]
 )
-
-# The declarative-pipeline sample only ever reads ``fare_amount``.
-TRIPS = StructType([StructField("fare_amount", DoubleType(), True)])
-
-BY_NAME = {
-    "patients": PATIENTS,
-    "physicians": PHYSICIANS,
-    "appointments": APPOINTMENTS,
-    "features": FEATURES,
-    "predictions": PREDICTIONS,
-    "trips": TRIPS,
-}
-
-# Key columns that the declared schemas mark non-nullable.
-KEYS = {
-    "patients": ["patient_id"],
-    "physicians": ["physician_id"],
-    "appointments": ["appointment_id"],
-    "features": ["appointment_id"],
-    "predictions": ["appointment_id"],
-}
-
-
-def required_columns(schema: StructType) -> list[str]:
-    """Columns declared non-nullable in ``schema``."""
-    return [f.name for f in schema.fields if not f.nullable]

@@ -70,9 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         )
     local = tempfile.mkdtemp(prefix="carelake-ckpt-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
-    spark.conf.set(CHECKPOINT_CONF, local)
     if sc is not None:
-        sc.setCheckpointDir(local)
+        sc.setCheckpointDir(local)  # the setting itself cannot change in a running session; this is read above
     return local
 
 

@@ -15,16 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Parquet schemas per path: the driver tables are read-only, so the footer is
-# read once per process instead of on every query.
-_SCHEMAS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The views are SQL projections (one analysis, no per-expression round trips).
@@ -36,7 +28,9 @@ PATIENTS_SQL = [
     "CASE WHEN c_custkey % 3 = 0 THEN 'F' WHEN c_custkey % 3 = 1 THEN 'M' END AS gender",
     "CAST(NULL AS STRING) AS contact_number",
     "concat('patient', CAST(c_custkey AS STRING), '@example.org') AS email",
-    "CAST(NULL AS STRING) AS address",
+    # free text as it comes: commas, quotes, line breaks, empty and missing
+    "CASE c_custkey % 5 WHEN 0 THEN CAST(NULL AS STRING) WHEN 1 THEN '' WHEN 2 THEN concat('Street ', CAST(c_custkey AS STRING), ', \"upper\" floor')"
+    " WHEN 3 THEN concat('Street ', CAST(c_custkey AS STRING), char(10), 'Yard') ELSE 'Main Street' END AS address",
     "concat('City', CAST(c_nationkey AS STRING)) AS city",
     "CAST(NULL AS STRING) AS state",
     "CAST(NULL AS STRING) AS zip_code",
@@ -53,7 +47,7 @@ PHYSICIANS_SQL = [
     "concat('SPEC_', CAST(s_nationkey % 5 AS STRING)) AS specialty",
     "concat('LIC', CAST(s_suppkey AS STRING)) AS license_number",
     "CAST(NULL AS STRING) AS email",
-    "CAST(NULL AS STRING) AS contact_number",
+    "CASE s_suppkey % 3 WHEN 0 THEN concat('desk', char(10), '\"', CAST(s_suppkey AS STRING), '\"') ELSE CAST(NULL AS STRING) END AS contact_number",
     "concat('DEPT_', CAST(s_nationkey % 3 AS STRING)) AS department",
     "date_add(DATE'1980-01-01', CAST(s_suppkey * 53 % 9000 AS INT)) AS hire_date",
     "CASE WHEN s_suppkey % 10 = 0 THEN 'Inactive' ELSE 'Active' END AS status",
@@ -71,7 +65,7 @@ APPOINTMENTS_SQL = [
     "o_orderpriority AS reason",
     "CASE o_orderstatus WHEN 'P' THEN 'Scheduled' WHEN 'F' THEN 'Completed' ELSE 'No-Show' END AS status",
     "CASE o_orderstatus WHEN 'F' THEN FALSE WHEN 'O' THEN TRUE END AS no_show",
-    "CAST(NULL AS STRING) AS notes",
+    "CASE o_orderkey % 7 WHEN 0 THEN 'said \"fine\", left early' WHEN 1 THEN concat('line one', char(10), char(10), 'line, three') WHEN 2 THEN 'on time' ELSE CAST(NULL AS STRING) END AS notes",
     "timestampadd(HOUR, CAST(o_orderkey % 24 - (o_orderkey % 60) * 24 AS INT), o_orderdate) AS created_at",
     "timestampadd(HOUR, CAST(o_orderkey % 10 + 9 AS INT), o_orderdate) AS updated_at",
 ]
@@ -106,11 +100,3 @@ def skewed_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in for the sample taxi table: ``events.value`` plays ``fare_amount``."""
     return table(spark, sf_dir, "events").selectExpr(*TRIPS_SQL)
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register ``patients``, ``physicians``, ``appointments`` and ``trips`` temp views."""
-    patients(spark, sf_dir).createOrReplaceTempView("patients")
-    physicians(spark, sf_dir).createOrReplaceTempView("physicians")
-    appointments(spark, sf_dir).createOrReplaceTempView("appointments")
-    trips(spark, sf_dir).createOrReplaceTempView("trips")

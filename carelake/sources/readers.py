@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from carelake import schemas
+from carelake.sources.records import RAW, REASON, line_facts, read_records
 
 
 def read_csv(
@@ -15,6 +17,8 @@ def read_csv(
     enforce_header: bool = True,
     mode: str = "PERMISSIVE",
     corrupt_record_column: str | None = None,
+    escape: str = "\\",
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with header and a declared schema; inference off.
 
@@ -34,22 +38,45 @@ def read_csv(
         .option("inferSchema", "false")
         .option("enforceSchema", "false" if enforce_header else "true")
         .option("mode", mode)
+        .option("escape", escape)
+        .option("multiLine", str(multi_line).lower())
     )
     if corrupt_record_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_record_column)
     return reader.load(path)
 
 
+def extract(
+    spark: SparkSession, source_path: str, schema: StructType, multi_line: bool | None = None, escape: str = "\\", **kw
+) -> DataFrame:
+    """``read_csv`` of files whose quoted fields may hold line breaks.
+
+    ``None`` looks at the files first (one scan): where no field runs over a line end Spark's reader takes them
+    line by line; where one does, but every file is small enough for one task, Spark's reader takes
+    whole files; otherwise ``records.read_records`` puts the lines of all splits together.  All give the same rows.
+    ``True`` and ``False`` ask for the last and the first way.
+    """
+    split = True
+    if multi_line is None:
+        multi_line, split = line_facts(spark, source_path, escape)
+    if not multi_line or not split:
+        return read_csv(spark, source_path, schema, escape=escape, multi_line=multi_line, **kw)
+    corrupt = kw.get("corrupt_record_column")
+    rows = read_records(spark, source_path, schema, escape)
+    names = [f.name for f in schema.fields]
+    return rows.select(*names, F.when(F.col(REASON).isNotNull(), F.col(RAW)).alias(corrupt)) if corrupt else rows.select(*names)
+
+
 def extract_patients(spark: SparkSession, source_path: str, **kw) -> DataFrame:
-    return read_csv(spark, source_path, schemas.PATIENTS, **kw)
+    return extract(spark, source_path, schemas.PATIENTS, **kw)
 
 
 def extract_physicians(spark: SparkSession, source_path: str, **kw) -> DataFrame:
-    return read_csv(spark, source_path, schemas.PHYSICIANS, **kw)
+    return extract(spark, source_path, schemas.PHYSICIANS, **kw)
 
 
 def extract_appointments(spark: SparkSession, source_path: str, **kw) -> DataFrame:
-    return read_csv(spark, source_path, schemas.APPOINTMENTS, **kw)
+    return extract(spark, source_path, schemas.APPOINTMENTS, **kw)
 
 
 def read_table(spark: SparkSession, name: str | None) -> DataFrame | None:

@@ -26,6 +26,7 @@ def appointment_stream(spark: SparkSession, landing_path: str, max_files_per_tri
         .schema(schemas.APPOINTMENTS)
         .option("header", "true")
         .option("enforceSchema", "false")
+        .option("multiLine", "true")  # a landed file is read by one task; its fields may hold line breaks
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -105,6 +105,25 @@ def test_checkpoint_root_reads_the_session_setting(spark):
     assert scratch_path(spark, "x").startswith(current + "/x-")
 
 
+def test_a_local_session_without_settings_gets_a_folder(tmp_path):
+    """In a process of its own, with no defaults file: publishing works, and the folder stays the same."""
+    import subprocess
+    import sys
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from carelake.session import checkpoint_root, scratch_path\n"
+        "from carelake.sources.sinks import publish_table\n"
+        f"s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.warehouse.dir', '{tmp_path}/wh').getOrCreate()\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert checkpoint_root(s) == checkpoint_root(s)\n"
+        "assert publish_table(s.range(3), 't', scratch_path(s, 't')).count() == 3\n"
+    )
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_create_database_and_use(spark):
     from carelake.sources.sinks import create_database
 
@@ -149,5 +168,72 @@ def test_bucketed_publish_writes_one_file_per_bucket(spark):
     df = spark.range(0, 5000).selectExpr("CAST(id % 97 AS STRING) AS patient_id", "id").repartition(7)
     path = scratch_path(spark, "bucketed")
     out = publish_table(df, "bucketed_files", path, bucket_by=["patient_id"], buckets=4)
-    assert len(glob.glob(path + "/*.parquet")) == 4
+    assert len(glob.glob(path + "/v-*/*.parquet")) == 4
     assert out.count() == 5000
+
+
+def test_readers_see_old_or_new_rows_only(spark):
+    """A reader in a loop during publishes, one of them failing: every read is one whole version."""
+    import threading
+
+    from pyspark.sql import functions as F
+
+    name, path = "t_swapped", scratch_path(spark, "swapped")
+
+    def version(k):
+        return spark.range(0, 4000, 1, 8).select("id", F.lit(k).alias("k"))
+
+    publish_table(version(0), name, path)
+    seen, stop, errors = [], threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(tuple(spark.table(name).agg(F.count("*"), F.min("k"), F.max("k")).first()))
+            except Exception as e:
+                errors.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for k in range(1, 6):
+            publish_table(version(k), name, path)
+        with pytest.raises(Exception):
+            publish_table(version(6).withColumn("k", F.expr("IF(id = 3999, raise_error('lost'), k)").cast("int")), name, path)
+        # a table may be replaced from its own rows
+        publish_table(spark.table(name).withColumn("k", F.col("k") + 2), name, path)
+    finally:
+        stop.set()
+        reader.join()
+    assert not errors, errors[0]
+    assert spark.table(name).agg(F.min("k"), F.max("k"), F.count("*")).first() == (7, 7, 4000)
+    assert {s[0] for s in seen} == {4000} and all(a == b for _, a, b in seen)
+    assert [s[1] for s in seen] == sorted(s[1] for s in seen) and len({s[1] for s in seen}) > 1
+
+
+def test_old_versions_go_after_the_delay(spark):
+    from carelake.sources.sinks import remove_old_versions, versions
+
+    name, path = "t_versions", scratch_path(spark, "versions")
+    for n in range(3):
+        publish_table(spark.range(n + 1), name, path)
+    assert len(versions(spark, path)) == 3  # all of them replaced just now
+    assert len(remove_old_versions(spark, name, path, keep_hours=0)) == 2
+    assert len(versions(spark, path)) == 1 and spark.table(name).count() == 3
+    publish_table(spark.range(9), name, path, keep_hours=0)
+    publish_table(spark.range(5), name, path, mode="append")
+    assert spark.table(name).count() == 14 and remove_old_versions(spark, name, path, keep_hours=0) == []
+
+
+def test_publish_keeps_layouts_apart(spark):
+    name, path = "t_layouts", scratch_path(spark, "layouts")
+    df = spark.range(20).selectExpr("id", "id % 2 AS p")
+    publish_table(df, name, path)
+    publish_table(df, name, path, partition_by=["p"])
+    assert spark.table(name).filter("p = 1").count() == 10
+    publish_table(df.filter("id > 9"), name, path, partition_by=["p"])
+    assert spark.table(name).filter("p = 1").count() == 5
+    out = publish_table(df, name, path, bucket_by=["id"], buckets=2)
+    assert out.count() == 20 and "PARTITIONED" not in spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
+    publish_table(df.limit(0), name)  # the warehouse's folder
+    assert spark.table(name).count() == 0
