@@ -63,16 +63,16 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             return str(jdir.get()).rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+    if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set: name a shared, durable folder for intermediate data "
             "(a machine-local folder is not visible to other executors)"
         )
     local = tempfile.mkdtemp(prefix="carelake-ckpt-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
-    if sc is not None:
-        sc.setCheckpointDir(local)  # the setting itself cannot change in a running session; this is read above
-    return local
+    # the setting itself cannot change in a running session: the context keeps the folder, for later calls too
+    sc.setCheckpointDir(local)
+    return str(sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
