@@ -22,15 +22,16 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-#: Encoded chunks (words as they stand between spaces) and pieces (pre-tokens) a worker remembers,
-#: in two generations (see ``_Chunks``): about 0.2 KB each.
-CACHE_CHUNKS = 300_000
+#: Encoded pieces (pre-tokens) a worker remembers, in two generations (see ``_Pieces``): about 0.2 KB each.
 CACHE_PIECES = 1_000_000
 #: How the byte-level vocabulary cuts a text into pre-tokens.
-_CUT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\x09-\x0D A-Za-z0-9]+|[\x09-\x0D ]+(?![^\x09-\x0D ])|[\x09-\x0D ]+")
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: A space that belongs to a longer run of white space: such texts are not cut at spaces.
-_SPACE_RUN = re.compile(r" (?<=\s )(?=\s|\Z)")
+#: The same cuts by Python's faster engine, for texts of ASCII and the Latin letters U+00C0 to U+024F alone.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_IS_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ɏ]*")
+_CUT_LATIN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\x09-\x0D 0-9{_LATIN}]+|[\x09-\x0D ]+(?![^\x09-\x0D ])|[\x09-\x0D ]+"
+)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -76,7 +77,9 @@ class ByteBpe:
         for n, i in number.items():
             self.automaton.add_word(n, i)
         self.automaton.make_automaton()
-        self._names, self._number, self._shorter, self._pairs = names, number, {}, {}
+        self._pairs: dict[tuple[int, int], bool] = {}
+        #: For each token the longest one that is a proper prefix of it; -1 if there is none.
+        self.shorter = [next((number[n[:e]] for e in range(len(n) - 1, 0, -1) if n[:e] in number), -1) for n in names]
 
         # Offset table for decoding: the bytes of token id i are data[offsets[i]:offsets[i + 1]].
         by_id = {i: n.encode("latin-1") for n, i in ids.items()}
@@ -86,9 +89,8 @@ class ByteBpe:
         self.data = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(size)), dtype=np.uint8)
 
         self._special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self._pieces = _Chunks(self._encode_piece, CACHE_PIECES)
-        self._later = _Chunks(lambda chunk: self._encode_chunk(" " + chunk), CACHE_CHUNKS)
-        self._first = _Chunks(self._encode_chunk, CACHE_CHUNKS)
+        self._special_ids = {c: np.array([i], dtype="<u4").tobytes() for c, i in self.special.items()}
+        self._pieces = _Pieces(self._encode_piece, CACHE_PIECES)
 
     def _neighbours(self, left: int, right: int) -> bool:
         """Whether merging in order leaves ``left`` and ``right`` side by side.
@@ -125,21 +127,9 @@ class ByteBpe:
             found = pairs[(left, right)] = self._neighbours(left, right)
         return found
 
-    def shorter(self, token: int) -> int:
-        """The longest token that is a proper prefix of ``token``; -1 if there is none."""
-        found = self._shorter.get(token)
-        if found is None:
-            name, found = self._names[token], -1
-            for end in range(len(name) - 1, 0, -1):
-                if (i := self._number.get(name[:end])) is not None:
-                    found = i
-                    break
-            self._shorter[token] = found
-        return found
-
     def encode_piece(self, piece: str) -> list[int]:
         """Tokens (by merge number) of one pre-token, written as Latin-1 characters, one for each byte."""
-        n, lengths = len(piece), self.lengths
+        n, lengths, shorter = len(piece), self.lengths, self.shorter
         longest = [-1] * n
         for last, token in self.automaton.iter(piece):  # at each end from the longest match to the shortest
             start = last + 1 - lengths[token]
@@ -159,7 +149,7 @@ class ByteBpe:
                     return path
                 at, before, token = end, token, longest[end]
                 continue
-            token = self.shorter(token)
+            token = shorter[token]
             if token < 0:  # nothing fits here: step back and shorten the token that led here
                 dead[at] = 1
                 token = path.pop()
@@ -170,28 +160,22 @@ class ByteBpe:
         of = self._id_bytes
         return b"".join([of[t] for t in self.encode_piece(piece.encode().decode("latin-1"))])
 
-    def _encode_chunk(self, chunk: str) -> bytes:
-        cut = _CUT_ASCII if chunk.isascii() else _CUT
-        pieces = self._pieces
-        return b"".join([pieces[p] for p in cut.findall(chunk)])
-
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text as little-endian unsigned 32-bit integers; null is empty."""
         if not text:
             return b""
-        if self._special is not None and (found := self._special.search(text)):
-            special = np.array([self.special[found[0]]], dtype="<u4").tobytes()
-            return self._plain(text[: found.start()]) + special + self.encode(text[found.end() :])
-        return self._plain(text)
+        if self._special is None:
+            return self._plain(text)
+        out, at = [], 0
+        for found in self._special.finditer(text):
+            out += [self._plain(text[at : found.start()]), self._special_ids[found[0]]]
+            at = found.end()
+        out.append(self._plain(text[at:] if at else text))
+        return b"".join(out)
 
     def _plain(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if "  " in text or _SPACE_RUN.search(text):
-            # a run of white space with a space inside: cut before its first character instead
-            return b"".join(map(self._first.__getitem__, re.findall(r"\s*\S+|\s+\Z", text)))
-        first, *later = text.split(" ")
-        return self._first[first] + b"".join(map(self._later.__getitem__, later))
+        cut = _CUT_LATIN if _IS_LATIN.fullmatch(text) else _CUT
+        return b"".join(map(self._pieces.__getitem__, cut.findall(text)))
 
     def decode_bytes(self, ids: bytes) -> bytes:
         """Bytes of the tokens, gathered through the offset table in one step."""
@@ -204,11 +188,11 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
 
-class _Chunks(dict):
-    """Chunk -> encoded ids, filled on first use.
+class _Pieces(dict):
+    """Piece -> encoded ids, filled on first use.
 
     Two generations bound the memory: when the young one is full it becomes the old one, and
-    what is asked for again moves back.  Long chunks are not kept.
+    what is asked for again moves back.  Long pieces are not kept.
     """
 
     def __init__(self, encode: Callable[[str], bytes], keep: int):
@@ -217,15 +201,15 @@ class _Chunks(dict):
         self._half = keep // 2
         self._old: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._old.get(chunk)
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._old.get(piece)
         if ids is None:
-            ids = self._encode(chunk)
-        if len(chunk) <= 64:
+            ids = self._encode(piece)
+        if len(piece) <= 64:
             if len(self) >= self._half:
                 self._old = dict(self)
                 self.clear()
-            self[chunk] = ids
+            self[piece] = ids
         return ids
 
 
