@@ -17,7 +17,8 @@ components is lost.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,8 +32,11 @@ from carelake.llm.graph import connected_components
 LONG_COLUMN = 64
 #: ... as far as they fit a broadcast of this many 8-byte numbers; else the limit doubles until they do.
 LONG_COLUMNS = 2_000_000
-#: Shingles of a block of documents, counted together in a worker (32 MB).
-BLOCK_SHINGLES = 4_000_000
+#: Shingles of a block of documents, counted together in a worker (16 MB).
+BLOCK_SHINGLES = 2_000_000
+#: Bytes of text hashed in one step (about 40 bytes each are needed on the way), and words hashed by table.
+STEP_BYTES = 1 << 20
+TABLE_BYTES = 64
 #: Rounds end when all that is left to multiply is so many pairs for each shared row, or a round links too little.
 PAIRS_PER_ROW = 4
 PARTNERS = 12
@@ -43,19 +47,10 @@ _MASK = np.uint64((1 << 62) - 1)
 _LAST = np.int64(1 << 62)
 
 
-class _Words(dict):
-    """Word -> 64-bit hash (SHA-1 based), emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        h = int.from_bytes(hashlib.sha1(word).digest()[:8], "little")
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_WORDS = _Words()
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_SOLID = np.array([c not in b" \t\n\v\f\r" for c in range(256)])
+#: A random number for each place in a word and byte there; a word's hash is their sum, its length mixed in.
+_TABLE = np.random.Generator(np.random.PCG64(4)).integers(0, 1 << 64, TABLE_BYTES << 8, dtype=np.uint64)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -64,20 +59,65 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 62-bit hashes of the text's word shingles (ASCII white space, A-Z lower-cased).
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of the words of lower-cased bytes, cut at ASCII white space.  Words beyond the table are hashed by SHA-1."""
+    starts, hashes, at = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    while at < len(text):
+        end = len(text)
+        if at + STEP_BYTES < end and (space := _SPACE.search(text, at + STEP_BYTES)):
+            end = space.start()
+        part = np.frombuffer(text, np.uint8, end - at, at)
+        solid = _SOLID[part]
+        edges = np.flatnonzero(np.diff(solid, prepend=False, append=False))
+        first, length = edges[::2], edges[1::2] - edges[::2]
+        if len(first):
+            place = np.flatnonzero(solid)
+            inside = place - np.repeat(first, length)
+            codes = _TABLE[((inside & (TABLE_BYTES - 1)) << 8) | part[place]]
+            h = _mixed(np.add.reduceat(codes, np.cumsum(length) - length) + length.astype(np.uint64))
+            for i in np.flatnonzero(length > TABLE_BYTES):
+                word = text[at + first[i] : at + first[i] + length[i]]
+                h[i] = int.from_bytes(hashlib.sha1(word).digest()[:8], "little")
+            starts.append(first + at)
+            hashes.append(h)
+        at = end
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def shingle_sets(texts: Iterable[str | None], width: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct 62-bit hashes of its word shingles (ASCII white space, A-Z lower-cased).
 
     A text with fewer words than ``width`` is one shingle; one without words has none.
     """
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.empty(0, np.int64)
-    h = np.array(list(map(_WORDS.__getitem__, words)), dtype=np.uint64)
-    n = max(1, len(h) - width + 1)
-    acc = np.full(n, min(width, len(h)), dtype=np.uint64)
-    for k in range(min(width, len(h))):
-        acc = _mixed(acc + h[k : k + n])
-    return np.unique((acc & _MASK).astype(np.int64))
+
+    def made(held: list[bytes]) -> Iterator[np.ndarray]:
+        starts, h = _word_hashes(b"\n".join(held).lower())
+        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in held]))
+        acc = np.full(len(h), width, dtype=np.uint64)
+        for k in range(width):
+            acc = _mixed(acc[: len(h) - k] + h[k:])
+        first = 0
+        for end in ends.tolist():
+            n = end - first
+            if n >= width:
+                own = acc[first : end - width + 1]
+            else:
+                own = np.full(min(n, 1), n, dtype=np.uint64)
+                for k in range(n):
+                    own = _mixed(own + h[first + k])
+            own = np.sort((own & _MASK).astype(np.int64))
+            yield own[np.append(True, own[1:] != own[:-1])] if n > 1 else own
+            first = end
+
+    held, size = [], 0
+    for t in texts:
+        held.append(t.encode() if t else b"")
+        size += len(held[-1])
+        if size > STEP_BYTES:
+            yield from made(held)
+            held, size = [], 0
+    if held:
+        yield from made(held)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -97,8 +137,8 @@ def _column_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first, others, held = [], [], 0
         for b in batches:
-            for t in b["text"]:
-                if n := len(s := shingle_set(t, width)):
+            for s in shingle_sets(b["text"], width):
+                if n := len(s):
                     cut = prefix_length(n, percent)
                     first.append(s[:cut])
                     others.append(s[cut:])
@@ -138,8 +178,7 @@ def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
         hot = late.value
         for b in batches:
             sizes, sigs, prefixes, rare = [], [], [], []
-            for t in b["text"]:
-                s = shingle_set(t, width)
+            for s in shingle_sets(b["text"], width):
                 sizes.append(len(s))
                 sigs.append(hashlib.sha256(s.tobytes()).digest())
                 late_ones = 0
@@ -164,7 +203,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "set": [shingle_set(t, width) for t in b["text"]]})
+            yield pd.DataFrame({"id": b["id"], "set": list(shingle_sets(b["text"], width))})
 
     return _among(docs, ids).mapInPandas(run, "id long, set array<long>")
 
@@ -229,8 +268,9 @@ def jaccard_components(
     given = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     rows = materialize(incidence(given, width, percent), "incidence")
     usable = rows.filter("id is not null and n > 0")
-    classes = usable.groupBy("sig").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    members = usable.select("id", "sig").join(classes.filter("copies > 1"), "sig").filter("id <> rep")
+    classes = usable.groupBy("sig").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1")
+    # written first: its size is known then, so the join is a broadcast, or one whose large classes may be split
+    members = usable.select("id", "sig").join(materialize(classes, "jaccard-classes"), "sig").filter("id <> rep")
     members = materialize(members.select("id", "sig", "rep").distinct(), "jaccard-copies")
 
     matrix = usable.join(members, ["id", "sig"], "left_anti").dropDuplicates(["id", "sig"]).select(

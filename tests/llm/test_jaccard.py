@@ -63,3 +63,14 @@ def test_connected_components(spark):
     path = [(i, i + 1) for i in range(100, 140)] + [(3, 7), (7, 9), (9, 3), (5, 5), (None, 4)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 141)} | {3: 3, 7: 3, 9: 3}
+
+
+def test_shingle_sets_of_any_step(monkeypatch):
+    """Equal shingles have equal hashes wherever the texts are cut, and different ones do not."""
+    texts = ["a b c d e f", "B  c\tD e", None, "", " \n", "x" * 200 + " y", "x" * 199 + "z y", "word " * 300, "é É ñ b c d e"] * 3
+    want = [s.tolist() for s in jaccard.shingle_sets(texts, 4)]
+    assert [len(w) for w in want[:9]] == [3, 1, 0, 0, 0, 1, 1, 1, 4]
+    assert set(want[1]) < set(want[0]) and want[5] != want[6] and want[8][0] != want[8][1] and set(want[1]) < set(want[8])
+    for step in (1, 7, 50):
+        monkeypatch.setattr(jaccard, "STEP_BYTES", step)
+        assert [s.tolist() for s in jaccard.shingle_sets(texts, 4)] == want
