@@ -26,6 +26,8 @@ DIM = 4
 WIDTHS = (1, 2, 3)
 FILTERS = 4
 EPOCHS = 3
+#: Words a worker remembers the row of (about 0.15 KB each).
+CACHE_WORDS = 150_000
 #: Words of a text convolved at a time.
 CHUNK = 100_000
 
@@ -48,7 +50,7 @@ class _Buckets(dict):
     """Word -> 8 * bucket + language vote (7: none), emptied when full."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > CACHE_WORDS:
             self.clear()
         code = 8 * (zlib.crc32(word.encode()) % BUCKETS) + _VOTES.get(word, 7)
         if len(word) <= 64:
@@ -221,6 +223,7 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFra
         m = shared.value
         for s in texts:
             yield pd.Series([m.score(t) for t in s], dtype="float64")
+        _CODES.clear()  # a worker outlives its stage
 
     kept = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")])
     return kept.withColumn("score", score(F.col(text))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

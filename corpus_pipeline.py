@@ -29,11 +29,19 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays; null ids stay."""
-    groups = jaccard.jaccard_components(docs, SHINGLE_WORDS, SIMILARITY)
-    gone = materialize(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    """Of each group of linked documents one with the smallest doc_id stays.
+
+    Rows are numbered first, so that rows that share a doc_id, or have none, are documents of their own;
+    null ids count as the largest.
+    """
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard.jaccard_components(numbered, SHINGLE_WORDS, SIMILARITY, key="_row")
+    linked = groups.select("_row", F.col("component_id").alias("_group")).join(numbered.select("_row", "doc_id"), "_row")
+    best = linked.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best"))
+    stays = best.select(F.col("best._row").alias("_row"))
+    gone = materialize(linked.select("_row").join(stays, "_row", "left_anti"), "near-copies")
     few = gone.count() <= jaccard.BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    return numbered.join(F.broadcast(gone) if few else gone, "_row", "left_anti").select(docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
