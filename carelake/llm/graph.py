@@ -19,6 +19,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     hi, lo = F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")
     now = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     now = materialize(now.select(hi, lo).distinct(), "cc")
+    n_now = now.count()
     while True:
         # large star: every larger neighbour of u is tied to the smallest of u and its neighbours
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))
@@ -29,7 +30,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         tied = large.join(least, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).filter("hi <> lo")
         new = materialize(tied.union(least.select("hi", F.col("m").alias("lo"))).distinct(), "cc")
         # the edges are stars round their roots as soon as a round leaves every one of them as it was
-        if new.count() == now.count() and new.join(now, ["hi", "lo"], "left_anti").isEmpty():
+        n_new = new.count()
+        if n_new == n_now and new.join(now, ["hi", "lo"], "left_anti").isEmpty():
             roots = new.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
             return new.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(roots)
-        now = new
+        now, n_now = new, n_new
