@@ -11,7 +11,8 @@ one (fewest rare shingles: in a large group of near copies the least edited).  W
 that still join several components would give many pairs, rounds follow in which each
 row outside a column's largest component meets a few others of its column, other ones each
 time.  At last the rows outside meet the whole column, so that no link between two
-components is lost.
+components is lost: blocks of columns give partial overlap counts, which are summed by pair, and
+pairs whose sum and sizes cannot make a link are discarded before the full check.
 """
 
 from __future__ import annotations
@@ -227,30 +228,45 @@ def _checked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return both.filter(100 * F.col("o") >= percent * (F.size("set_a") + F.size("set_b") - F.col("o"))).select("a", "b")
 
 
-def _met(rest: DataFrame, percent: int, round_no: int | None) -> DataFrame:
+def _met(rest: DataFrame, percent: int, round_no: int) -> DataFrame:
     """Distinct pairs (idx, idy) of different components that share a column and could link.
 
-    In a round, a row outside its column's largest component meets about PARTNERS rows of one
-    column of its document, chosen by hash; without a round, all rows of all its columns.
+    A row outside its column's largest component meets about PARTNERS rows of one
+    column of its document, chosen by hash.
     """
     one = rest.filter("comp <> main").select("s", "first", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "pos", "comp")), "all")
-    main = (F.col("comp") == F.col("main")).alias("main2")
-    two = rest.select("s", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "comp")), main, "all")
-    on = ["s"]
-    if round_no is not None:
-        salt, slots = F.lit(round_no), F.greatest(F.lit(1), (F.col("all") / PARTNERS).cast("long"))
-        choice = one.groupBy("id1").agg(F.min_by("s", F.xxhash64("s", "id1", salt)).alias("s"))
-        one = one.join(choice, ["id1", "s"]).withColumn("slot", F.pmod(F.xxhash64("id1", salt, F.lit("one")), slots))
-        two = two.withColumn("slot", F.pmod(F.xxhash64("id2", salt), slots))
-        on = ["s", "slot"]
-        kept = F.expr("comp1 <> comp2 and id2 <> first and id1 <> first")
-    else:
-        kept = F.expr("comp1 <> comp2 and (main2 or id1 < id2) and id1 <> first and id2 <> first")
+    two = rest.select("s", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "comp")), "all")
+    salt, slots = F.lit(round_no), F.greatest(F.lit(1), (F.col("all") / PARTNERS).cast("long"))
+    choice = one.groupBy("id1").agg(F.min_by("s", F.xxhash64("s", "id1", salt)).alias("s"))
+    one = one.join(choice, ["id1", "s"]).withColumn("slot", F.pmod(F.xxhash64("id1", salt, F.lit("one")), slots))
+    two = two.withColumn("slot", F.pmod(F.xxhash64("id2", salt), slots))
     room = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
-    met = one.drop("all").join(two.drop("all"), on).filter(kept & (room >= _needed(percent, F.col("n1"), F.col("n2"))))
+    kept = F.expr("comp1 <> comp2 and id2 <> first and id1 <> first") & (room >= _needed(percent, F.col("n1"), F.col("n2")))
+    met = one.drop("all").join(two.drop("all"), ["s", "slot"]).filter(kept)
     return met.select(F.least("id1", "id2").alias("idx"), F.greatest("id1", "id2").alias("idy")).distinct()
 
 
+def _product(rest: DataFrame, percent: int) -> DataFrame:
+    """(idx, idy, overlap) of the pairs of different components that could link, by their overlap within both prefixes.
+
+    The product of the prefix matrix with itself, over the open columns: each block of columns (a
+    partition of the shuffle by shingle) counts the overlaps of its pairs, and the counts are summed by pair.
+    A common shingle outside the prefixes comes after the end of the prefix that ends first, so that
+    row's other shingles are the most that can be added; pairs that stay below the overlap their
+    sizes demand are discarded.  Columns whose first row is one of the pair are left out: such a pair is checked already.
+    """
+    sides = ("id", "n", "p", "last", "comp")
+    one = rest.filter("comp <> main").select("s", "first", *(F.col(c).alias(f"{c}1") for c in sides))
+    two = rest.select("s", *(F.col(c).alias(f"{c}2") for c in sides), (F.col("comp") == F.col("main")).alias("main2"))
+    needed = _needed(percent, F.col("n1"), F.col("n2"))
+    after = F.when(F.col("last1") <= F.col("last2"), F.col("n1") - F.col("p1")).otherwise(F.col("n2") - F.col("p2"))
+    kept = F.expr("comp1 <> comp2 and (main2 or id1 < id2) and id1 <> first and id2 <> first") & (F.least("n1", "n2") >= needed)
+    met = one.join(two, "s").filter(kept).select(
+        F.least("id1", "id2").alias("idx"), F.greatest("id1", "id2").alias("idy"), (needed - after).alias("least")
+    )
+    return met.groupBy("idx", "idy", "least").agg(F.count("*").alias("overlap")).filter("overlap >= least").drop("least")
+
+
 def jaccard_components(
     docs: DataFrame, width: int, percent: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -283,13 +299,16 @@ def jaccard_components(
     facts = materialize(shared.groupBy("id", "n", "p", "last").agg(F.count("*").alias("m")), "jaccard-facts")
     x, y = (facts.select([F.col(c).alias(f"{c}{k}") for c in facts.columns]) for k in "xy")
 
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of distinct pairs (idx, idy), those whose full sets link."""
+        left = materialize(pairs.selectExpr("idx as a", "idy as b"), "jaccard-pairs")
+        return materialize(_checked(left, given, width, percent), "jaccard-links") if not left.isEmpty() else left
+
     def links_of(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs (idx, idy), those that link; sizes and shared columns discard most at once."""
+        """Of distinct pairs (idx, idy) met in some columns, those that link; sizes and shared columns discard most at once."""
         rest = F.when(F.col("lastx") <= F.col("lasty"), F.col("nx") - F.col("px")).otherwise(F.col("ny") - F.col("py"))
         bound = F.least(F.least("mx", "my") + rest, "nx", "ny")
-        left = pairs.join(x, "idx").join(y, "idy").filter(bound >= _needed(percent, F.col("nx"), F.col("ny")))
-        left = materialize(left.selectExpr("idx as a", "idy as b").distinct(), "jaccard-pairs")
-        return materialize(_checked(left, given, width, percent), "jaccard-links") if not left.isEmpty() else left
+        return linked(pairs.join(x, "idx").join(y, "idy").filter(bound >= _needed(percent, F.col("nx"), F.col("ny"))))
 
     links = links_of(shared.filter("id <> first").select(F.col("first").alias("idx"), F.col("id").alias("idy")).distinct())
     found = connected_components(links)
@@ -297,14 +316,14 @@ def jaccard_components(
     while True:
         # Columns that still join several components.
         rows_now = shared.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
-        rows_now = rows_now.filter("id <> first or c > 2").drop("root", "p", "last")
+        rows_now = rows_now.filter("id <> first or c > 2").drop("root")
         parts = rows_now.groupBy("s", "comp").agg(F.count("*").alias("k"))
         largest = parts.groupBy("s").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("k").alias("all"))
         open_columns = largest.filter("comps > 1").select("s", F.col("top.comp").alias("main"), "all")
         rest = materialize(rows_now.join(open_columns, "s"), "jaccard-open")
         cost = rest.filter("comp <> main").agg(F.sum("all")).first()[0] or 0
         last = cost <= PAIRS_PER_ROW * n_shared or (before is not None and cost > 0.8 * before)
-        links = links_of(_met(rest, percent, None if last else round_no))
+        links = linked(_product(rest, percent)) if last else links_of(_met(rest, percent, round_no))
         found = connected_components(found.toDF("a", "b").union(links))
         if last:
             break
