@@ -43,6 +43,8 @@ PAIRS_PER_ROW = 4
 PARTNERS = 12
 #: Id tables up to this many rows (8 bytes each) may be broadcast.
 BROADCAST_IDS = 2_000_000
+#: Copies (about 0.1 KB each with their set's signature) that may be broadcast.
+BROADCAST_COPIES = 200_000
 
 _MASK = np.uint64((1 << 62) - 1)
 _LAST = np.int64(1 << 62)
@@ -288,12 +290,20 @@ def jaccard_components(
     # written first: its size is known then, so the join is a broadcast, or one whose large classes may be split
     members = usable.select("id", "sig").join(materialize(classes, "jaccard-classes"), "sig").filter("id <> rep")
     members = materialize(members.select("id", "sig", "rep").distinct(), "jaccard-copies")
-
-    matrix = usable.join(members, ["id", "sig"], "left_anti").dropDuplicates(["id", "sig"]).select(
+    gone = members.select("id", "sig")
+    single = usable.join(F.broadcast(gone) if gone.count() <= BROADCAST_COPIES else gone, ["id", "sig"], "left_anti")
+    # equal rows that share their key too: hardly any, so that the other rows need not meet for them
+    twice = materialize(usable.groupBy("id", "sig").agg(F.count("*").alias("k")).filter("k > 1").select("id", "sig"), "jaccard-rows")
+    if not twice.isEmpty():
+        once = single.join(twice, ["id", "sig"], "left_semi").dropDuplicates(["id", "sig"])
+        single = single.join(twice, ["id", "sig"], "left_anti").unionByName(once)
+
+    matrix = single.select(
         "id", "n", "rare", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"), F.posexplode("prefix").alias("pos", "s")
     )
-    columns = matrix.groupBy("s").agg(F.count("*").alias("c"), F.min(F.struct("rare", "id")).alias("first")).filter("c > 1")
-    shared = materialize(matrix.drop("rare").join(columns.withColumn("first", F.col("first.id")), "s"), "jaccard-shared")
+    # min_by keeps to two numbers, which a hash aggregate can hold; written, so that ties fall once
+    columns = matrix.groupBy("s").agg(F.count("*").alias("c"), F.min_by("id", "rare").alias("first")).filter("c > 1")
+    shared = materialize(matrix.drop("rare").join(materialize(columns, "jaccard-shingles"), "s"), "jaccard-shared")
 
     # What a document can share within its prefix is at most its number of shared columns.
     facts = materialize(shared.groupBy("id", "n", "p", "last").agg(F.count("*").alias("m")), "jaccard-facts")
