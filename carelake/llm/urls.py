@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.llm.common import materialize
+
 #: Bits for each listed key, and the most 32-byte blocks of the filter (32 MB).  A fuller filter
 #: lets more false hits through; the join removes them.
 BITS_PER_KEY = 16
@@ -63,7 +65,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     path starts with the rule's; the longest rule (host and path together) wins, of equally
     long ones the first by text.  Where none fits the verdict is ``default``.  Each url's keys
     are its host's suffixes with its path's prefixes, of the lengths that occur in the
-    list; only keys that the Bloom filter knows reach the join.  Null urls have an empty
+    list; only urls with a key that the Bloom filter knows reach the join.  Null urls have an empty
     host and path.  Keys may be null or repeat.
     """
     listed = rules.filter("host is not null and path is not null").select(
@@ -89,13 +91,15 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     kind = pages.schema[key].dataType.simpleString()
     given = pages.select(F.col(key).cast("string").alias("k"), host.alias("host"), path.alias("path"))
     tested = given.mapInPandas(run, "k string, host string, path string, hits array<string>")
-    tested = tested.withColumn("row", F.monotonically_increasing_id())
-    joined = tested.select("row", "k", "host", "path", F.explode_outer("hits").alias("key")).join(
-        listed.select("key", "rule", "verdict"), "key", "left"
-    )
+    # written once: the urls without a hit pass by, only the others are joined and grouped
+    tested = materialize(tested.withColumn("row", F.monotonically_increasing_id()), "urls")
+    hit = tested.filter(F.size("hits") > 0).select("row", "k", "host", "path", F.explode("hits").alias("key"))
+    joined = hit.join(listed.select("key", "rule", "verdict"), "key", "left")
     best = F.min(F.when(F.col("rule").isNotNull(), F.struct((-F.length("rule")).alias("n"), "rule", "verdict")))
     out = joined.groupBy("row", "k", "host", "path").agg(best.alias("best"))
+    out = out.select("k", "host", "path", "best.rule", "best.verdict").unionByName(
+        tested.filter(F.size("hits") == 0).select("k", "host", "path", *(F.lit(None).cast("string").alias(c) for c in ("rule", "verdict")))
+    )
     return out.select(
-        F.expr(f"cast(k as {kind})").alias(key), "host", "path", F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
+        F.expr(f"cast(k as {kind})").alias(key), "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
     )
