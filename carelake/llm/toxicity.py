@@ -17,8 +17,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.llm.common import materialize
+
 #: About so many labelled rows at most are fitted on, chosen by a hash of the key.
 MAX_TRAINING_ROWS = 16_000
+#: So many words of them at most (four bytes each on the driver), in whole texts.
+MAX_TRAINING_WORDS = 16_000_000
 #: One in so many of them is kept for the thresholds.
 CALIBRATION = 4
 BUCKETS = 1 << 20
@@ -174,11 +178,21 @@ def held_out(key: str = "doc_id") -> Column:
     return F.crc32(F.encode(F.coalesce(F.col(key).cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
+def within_budget(keys: np.ndarray, words: np.ndarray, budget: int) -> np.ndarray:
+    """Those of the keys, in the order of a hash, whose texts fit ``budget`` words together; one that does not fit is passed over."""
+    left, taken = budget, []
+    for i in sorted(range(len(keys)), key=lambda i: (zlib.crc32(f"training {keys[i]}".encode()), keys[i])):
+        if words[i] <= left:
+            left -= words[i]
+            taken.append(keys[i])
+    return np.array(taken, dtype=np.int64)
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Fit on labelled rows that are not held out: about MAX_TRAINING_ROWS, as word codes, on the driver.
+    """Fit on labelled rows that are not held out: about MAX_TRAINING_ROWS with MAX_TRAINING_WORDS at most, as word codes, on the driver.
 
     The rows are chosen by a hash of their key over the whole table and read by a
-    broadcast of their bounded list of keys.
+    broadcast of their bounded list of keys; of texts that share a key one is used, the same in every run.
     Without a row of either class the model gives every text the same score below 0.5.
     """
     usable = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
@@ -190,11 +204,21 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             coded = [featurize(t) for t in b["text"]]
-            yield pd.DataFrame({"k": b["k"], "y": b["y"], "rows": [c[0].tobytes() for c in coded], "language": [c[1] for c in coded]})
+            yield pd.DataFrame({
+                "k": b["k"], "y": b["y"], "n": [len(c[0]) for c in coded], "rows": [c[0].tobytes() for c in coded], "language": [c[1] for c in coded],
+            })
+        _CODES.clear()  # a worker outlives its stage
 
     # four bytes a word: as arrays of numbers the rows would take the driver ten times that
-    pdf = rows.mapInPandas(run, "k long, y int, rows binary, language int").toArrow().to_pandas()
-    pdf = pdf.sort_values("k", kind="stable").drop_duplicates("k")
+    coded = rows.mapInPandas(run, "k long, y int, n long, rows binary, language int")
+    coded = coded.groupBy("k", "y").agg(F.min(F.struct("n", "rows", "language")).alias("t")).select("k", "y", "t.*")
+    coded = materialize(coded, "training-rows")
+    sizes = coded.select("k", "n").toArrow().to_pandas()
+    if sizes["n"].sum() > MAX_TRAINING_WORDS:
+        fitting = within_budget(sizes["k"].to_numpy(), sizes["n"].to_numpy(), MAX_TRAINING_WORDS)
+        wanted = docs.sparkSession.createDataFrame(pd.DataFrame({"k": fitting}), "k long")
+        coded = coded.join(F.broadcast(wanted), "k", "left_semi")
+    pdf = coded.drop("n").toArrow().to_pandas().sort_values("k", kind="stable")
     model = Model()
     y = pdf["y"].to_numpy() if len(pdf) else np.zeros(0, int)
     if not len(y) or y.min() == y.max():

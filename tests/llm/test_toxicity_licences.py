@@ -48,6 +48,25 @@ def test_whole_texts_count(model):
     assert model.score(chunked) < 0.5 and model.score(chunked) < model.score(chunked + " vile")
 
 
+def test_training_words_are_bounded(spark, monkeypatch):
+    keys, words = list(range(100)), [i % 7 * 10 for i in range(100)]
+    taken = toxicity.within_budget(keys, words, 500)
+    assert sum(words[i] for i in taken) <= 500 and set(taken) >= {i for i in keys if not words[i]}
+    assert all(words[i] > 500 - sum(words[j] for j in taken) for i in set(keys) - set(taken))
+    rows = corpus()
+    docs = spark.createDataFrame([x[:2] for x in rows] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity.Model, "fit", lambda self, texts, y: seen.append((len(texts), sum(map(len, texts)))))
+    monkeypatch.setattr(toxicity.Model, "calibrate", lambda self, texts, languages, y: seen.append((len(texts), sum(map(len, texts)))))
+    toxicity.train(docs, labels)
+    every = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, *_ in rows)
+    assert seen[0][0] + seen[1][0] == every
+    monkeypatch.setattr(toxicity, "MAX_TRAINING_WORDS", 20_000)
+    toxicity.train(docs, labels)
+    assert 19_000 < seen[2][1] + seen[3][1] <= 20_000
+
+
 def test_awkward_rows(spark, model):
     got = toxicity.score_toxicity(awkward(spark), model)
     assert got.columns == [*awkward(spark).columns, "score", "predicted"] and got.count() == awkward(spark).count()
