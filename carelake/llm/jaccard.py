@@ -249,24 +249,26 @@ def _met(rest: DataFrame, percent: int, round_no: int) -> DataFrame:
 
 
 def _product(rest: DataFrame, percent: int) -> DataFrame:
-    """(idx, idy, overlap) of the pairs of different components that could link, by their overlap within both prefixes.
+    """(idx, idy, overlap) of the pairs of different components that could link, by the overlap counted within their prefixes.
 
     The product of the prefix matrix with itself, over the open columns: each block of columns (a
     partition of the shuffle by shingle) counts the overlaps of its pairs, and the counts are summed by pair.
-    A common shingle outside the prefixes comes after the end of the prefix that ends first, so that
-    row's other shingles are the most that can be added; pairs that stay below the overlap their
-    sizes demand are discarded.  Columns whose first row is one of the pair are left out: such a pair is checked already.
+    A column counts while what the smaller remainder from it on holds could still reach the overlap that the
+    sizes demand; remainders shrink along the prefix, so that of a pair which links its first common columns count.  What
+    comes after the last counted one is the most that can be added; pairs that stay below the demand are
+    discarded.  Columns whose first row is one of the pair are left out: such a pair is checked already.
     """
-    sides = ("id", "n", "p", "last", "comp")
+    sides = ("id", "n", "pos", "comp")
     one = rest.filter("comp <> main").select("s", "first", *(F.col(c).alias(f"{c}1") for c in sides))
     two = rest.select("s", *(F.col(c).alias(f"{c}2") for c in sides), (F.col("comp") == F.col("main")).alias("main2"))
     needed = _needed(percent, F.col("n1"), F.col("n2"))
-    after = F.when(F.col("last1") <= F.col("last2"), F.col("n1") - F.col("p1")).otherwise(F.col("n2") - F.col("p2"))
-    kept = F.expr("comp1 <> comp2 and (main2 or id1 < id2) and id1 <> first and id2 <> first") & (F.least("n1", "n2") >= needed)
+    room = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
+    kept = F.expr("comp1 <> comp2 and (main2 or id1 < id2) and id1 <> first and id2 <> first") & (room >= needed)
     met = one.join(two, "s").filter(kept).select(
-        F.least("id1", "id2").alias("idx"), F.greatest("id1", "id2").alias("idy"), (needed - after).alias("least")
+        F.least("id1", "id2").alias("idx"), F.greatest("id1", "id2").alias("idy"), needed.alias("needed"), (room - 1).alias("after")
     )
-    return met.groupBy("idx", "idy", "least").agg(F.count("*").alias("overlap")).filter("overlap >= least").drop("least")
+    counted = met.groupBy("idx", "idy", "needed").agg(F.count("*").alias("overlap"), F.min("after").alias("after"))
+    return counted.filter("overlap + after >= needed").select("idx", "idy", "overlap")
 
 
 def jaccard_components(
@@ -309,16 +311,13 @@ def jaccard_components(
     facts = materialize(shared.groupBy("id", "n", "p", "last").agg(F.count("*").alias("m")), "jaccard-facts")
     x, y = (facts.select([F.col(c).alias(f"{c}{k}") for c in facts.columns]) for k in "xy")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs (idx, idy), those whose full sets link."""
-        left = materialize(pairs.selectExpr("idx as a", "idy as b"), "jaccard-pairs")
-        return materialize(_checked(left, given, width, percent), "jaccard-links") if not left.isEmpty() else left
-
     def links_of(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs (idx, idy) met in some columns, those that link; sizes and shared columns discard most at once."""
+        """Of distinct pairs (idx, idy), those that link; sizes and shared columns discard most at once."""
         rest = F.when(F.col("lastx") <= F.col("lasty"), F.col("nx") - F.col("px")).otherwise(F.col("ny") - F.col("py"))
         bound = F.least(F.least("mx", "my") + rest, "nx", "ny")
-        return linked(pairs.join(x, "idx").join(y, "idy").filter(bound >= _needed(percent, F.col("nx"), F.col("ny"))))
+        left = pairs.join(x, "idx").join(y, "idy").filter(bound >= _needed(percent, F.col("nx"), F.col("ny")))
+        left = materialize(left.selectExpr("idx as a", "idy as b"), "jaccard-pairs")
+        return materialize(_checked(left, given, width, percent), "jaccard-links") if not left.isEmpty() else left
 
     links = links_of(shared.filter("id <> first").select(F.col("first").alias("idx"), F.col("id").alias("idy")).distinct())
     found = connected_components(links)
@@ -326,14 +325,14 @@ def jaccard_components(
     while True:
         # Columns that still join several components.
         rows_now = shared.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
-        rows_now = rows_now.filter("id <> first or c > 2").drop("root")
+        rows_now = rows_now.filter("id <> first or c > 2").drop("root", "p", "last")
         parts = rows_now.groupBy("s", "comp").agg(F.count("*").alias("k"))
         largest = parts.groupBy("s").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("k").alias("all"))
         open_columns = largest.filter("comps > 1").select("s", F.col("top.comp").alias("main"), "all")
         rest = materialize(rows_now.join(open_columns, "s"), "jaccard-open")
         cost = rest.filter("comp <> main").agg(F.sum("all")).first()[0] or 0
         last = cost <= PAIRS_PER_ROW * n_shared or (before is not None and cost > 0.8 * before)
-        links = linked(_product(rest, percent)) if last else links_of(_met(rest, percent, round_no))
+        links = links_of(_product(rest, percent)) if last else links_of(_met(rest, percent, round_no))
         found = connected_components(found.toDF("a", "b").union(links))
         if last:
             break

@@ -77,17 +77,23 @@ def test_shingle_sets_of_any_step(monkeypatch):
 
 
 def test_product_counts_overlaps_within_prefixes(spark):
-    """Every pair's count is its overlap within both prefixes; only pairs that sizes and counts rule out are missing."""
+    """Counts are those of the common columns that could still begin a link; pairs that link are never discarded."""
     rows = [(i, t) for i, t in near_copies() if t]
-    sets = dict(zip([i for i, _ in rows], jaccard.shingle_sets([t for _, t in rows], 4), strict=True))
-    prefix = {i: s[: jaccard.prefix_length(len(s), 60)] for i, s in sets.items() if len(s)}
-    cells = [(i, len(sets[i]), len(p), int(p[-1]), k, int(s), i, -1, -1) for i, p in prefix.items() for k, s in enumerate(p)]
-    rest = spark.createDataFrame(cells, "id long, n long, p int, last long, pos int, s long, comp long, main long, first long")
+    sets = dict(zip([i for i, _ in rows], (s.tolist() for s in jaccard.shingle_sets([t for _, t in rows], 4)), strict=True))
+    sets = {i: s for i, s in sets.items() if s}
+    prefix = {i: s[: jaccard.prefix_length(len(s), 60)] for i, s in sets.items()}
+    cells = [(i, len(sets[i]), k, s, i, -1, -1) for i, p in prefix.items() for k, s in enumerate(p)]
+    rest = spark.createDataFrame(cells, "id long, n long, pos int, s long, comp long, main long, first long")
     got = {(r.idx, r.idy): r.overlap for r in jaccard._product(rest, 60).collect()}
-    both = {(a, b): len(set(prefix[a].tolist()) & set(prefix[b].tolist())) for a, b in itertools.combinations(sorted(prefix), 2)}
-    assert got and all(both[k] == n for k, n in got.items())
-    for a, b in both:
-        x, y = set(sets[a].tolist()), set(sets[b].tolist())
-        if 100 * len(x & y) >= 60 * len(x | y):
-            assert (a, b) in got
-    assert len(got) < sum(n > 0 for n in both.values())
+    met = 0
+    for a, b in itertools.combinations(sorted(prefix), 2):
+        n, m = len(sets[a]), len(sets[b])
+        needed = -(-(n + m) * 60 // 160)
+        rooms = [min(n - prefix[a].index(s), m - prefix[b].index(s)) for s in sorted(set(prefix[a]) & set(prefix[b]))]
+        counted = [r for r in rooms if r >= needed]
+        met += bool(rooms)
+        could = bool(counted) and len(counted) + counted[-1] - 1 >= needed
+        assert got.get((a, b)) == (len(counted) if could else None)
+        x, y = set(sets[a]), set(sets[b])
+        assert (a, b) in got or 100 * len(x & y) < 60 * len(x | y)
+    assert 0 < len(got) < met
