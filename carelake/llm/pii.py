@@ -43,10 +43,9 @@ MIN_CONFIDENCE = 0.8
 #: so many letters and digits: a shorter one is no identifier outside its pattern.
 MIN_SCORE = 0.8
 MIN_IDENTIFIER = 5
-#: Rounds end when one accepts nothing new, or after so many.
-MAX_ROUNDS = 10
-#: Words of digits in a row that make one instance; the words of a longer row are instances each.
-RUN_WORDS = 6
+#: The score of an instance that is no seed stays below 1 by this much, so that a pattern has confidence 1
+#: only where all its instances are seeds, and no score falls from one round to the next.
+DOUBT = 1e-9
 #: Row numbers up to this many (8 bytes each) may be broadcast.
 BROADCAST_ROWS = 2_000_000
 
@@ -113,15 +112,13 @@ def _placed(matches: DataFrame) -> DataFrame:
 
 
 def _instances(free: DataFrame) -> DataFrame:
-    """(row, start, stop, m, before) of tokens outside the seeds, without the marks round them; a short
-    run of words of digits is one."""
+    """(row, start, stop, m, before) of tokens outside the seeds, without the marks round them; a run
+    of words of digits, however long, is one."""
     digits = F.col("m").rlike(r"^[^\p{L}]*[0-9][^\p{L}]*$")
     along = Window.partitionBy("row").orderBy("i")
     follows = F.col("next_to") & digits & F.lag(digits).over(along) & (F.lag("i").over(along) == F.col("i") - 1)
     runs = free.withColumn("new", F.when(follows, 0).otherwise(1))
     runs = runs.withColumn("run", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    of_run = Window.partitionBy("row", "run")
-    runs = runs.withColumn("run", F.when(F.count("*").over(of_run) <= RUN_WORDS, F.col("run")).otherwise(-1 - F.col("i")))
     whole = F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("start", "m"))), lambda x: x["m"]))
     made = runs.groupBy("row", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("before", "start").alias("before"), whole.alias("m")
@@ -135,7 +132,11 @@ def _instances(free: DataFrame) -> DataFrame:
 
 def score_patterns(seeds: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(before, kind) of the patterns that are trusted and (m, kind) of the instances that are accepted,
-    from the pattern-instance graph of the corpus."""
+    from the pattern-instance graph of the corpus.
+
+    Scores and confidences only grow from round to round: an instance that is accepted stays so.  The rounds
+    end when one accepts no instance and trusts no pattern that the round before had not.
+    """
     has_words = "before <> ''"
     known = materialize(seeds.select("m", "kind").distinct(), "pii-seeds")
     edges = seeds.filter(has_words).select("before", "m").union(tokens.filter(has_words).select("before", "m")).distinct()
@@ -144,15 +145,15 @@ def score_patterns(seeds: DataFrame, tokens: DataFrame) -> tuple[DataFrame, Data
     # (m, kind, doubt): the product of 1 - confidence over the trusted patterns, as a logarithm
     heard = known.select("m", "kind").limit(0).withColumn("doubt", F.lit(0.0))
     trusted = known.select(F.col("m").alias("before"), "kind").limit(0).withColumn("confidence", F.lit(0.0))
-    accepted, count = known.select("m", "kind").limit(0), 0
-    for _ in range(MAX_ROUNDS):
+    n_accepted, n_trusted = 0, 0
+    while True:
         fixed = known.withColumn("fixed", F.lit(True)).withColumn("doubt", F.lit(0.0))
         scored = heard.join(known, ["m", "kind"], "left_anti").withColumn("fixed", F.lit(False)).select("m", "kind", "fixed", "doubt")
         # the pattern that is judged does not speak for its own instances
         own = F.coalesce(F.log1p(-F.col("confidence")), F.lit(0.0))
         heard_without = edges.join(fixed.unionByName(scored), "m").join(trusted, ["before", "kind"], "left")
-        score = F.when(F.col("fixed"), 1.0).otherwise(F.greatest(F.lit(0.0), 1 - F.exp(F.col("doubt") - own)))
-        judged = heard_without.withColumn("score", F.round(score, 9))
+        score = F.greatest(F.lit(0.0), F.least(F.round(1 - F.exp(F.col("doubt") - own), 9), F.lit(1 - DOUBT)))
+        judged = heard_without.withColumn("score", F.when(F.col("fixed"), 1.0).otherwise(score))
         counts_as_seed = F.col("fixed") | ((F.col("score") >= MIN_SCORE) & _identifies("m"))
         sums = judged.groupBy("before", "kind").agg(F.sum("score").alias("sum"), F.count_if(counts_as_seed).alias("seeds"))
         sums = sums.filter(F.col("seeds") >= MIN_SEEDS).join(sizes, "before").withColumn("confidence", F.col("sum") / F.col("n"))
@@ -162,10 +163,10 @@ def score_patterns(seeds: DataFrame, tokens: DataFrame) -> tuple[DataFrame, Data
         doubts = edges.join(trusted.filter("confidence < 1"), "before").groupBy("m", "kind").agg(F.sum(F.log1p(-F.col("confidence"))).alias("doubt"))
         heard = materialize(doubts, "pii-heard")
         accepted = heard.filter((1 - F.exp("doubt") >= MIN_SCORE - 1e-9) & _identifies("m")).join(known, ["m", "kind"], "left_anti")
-        now = accepted.count()
-        if now <= count:
+        before, now = (n_accepted, n_trusted), (accepted.count(), trusted.count())
+        if now[0] <= before[0] and now[1] <= before[1]:
             break
-        count = now
+        n_accepted, n_trusted = now
     best = Window.partitionBy("before").orderBy(F.desc("confidence"), "kind")
     patterns = trusted.withColumn("r", F.row_number().over(best)).filter("r = 1").select("before", "kind")
     best = Window.partitionBy("m").orderBy("doubt", "kind")
@@ -210,7 +211,11 @@ def find_personal_data(
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, n_email, n_ip, n_card, n_phone and base_sha256 of the fixed
-    patterns' spans, spans (all of them as kind:start:stop, by kind and start, comma-joined)."""
+    patterns' spans, spans (all of them as kind:start:stop, by kind and start, comma-joined).
+
+    Null text is empty.  Rows whose keys are null or repeat are rows of their own; an empty table
+    gives no rows; other columns do not matter.
+    """
     rows, spans = find_personal_data(docs, key, text)
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     spans = spans.withColumn("e", F.struct(order.alias("o"), "start", F.concat_ws(":", "kind", "start", "stop").alias("s")))

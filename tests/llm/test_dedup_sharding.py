@@ -41,6 +41,28 @@ def test_bitmaps_larger_than_a_broadcast(spark, monkeypatch):
     assert dedup.exact_dedup(awkward(spark)).filter("kept").count() == len({norm(r[1]) for r in AWKWARD})
 
 
+def exchanges(df):
+    """Output columns of the shuffles in the plan of ``df``."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange " in line and "Broadcast" not in line and "rangepartitioning" not in line]
+
+
+def test_large_filter_shuffles_only_stubs(spark, monkeypatch):
+    """Beyond one broadcast: right results in several parts, and no row that is alone moves."""
+    rows = [(i, f"own {i}" if i % 3 else f"same {i % 5}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(dedup, "BROADCAST_BYTES", dedup.BITMAP_BITS // 8)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t, []).append(i)
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in dedup.exact_dedup(docs).collect()}
+    assert got == {i: (min(groups[t]), len(groups[t]), i == min(groups[t])) for i, t in rows}
+    assert sorted(r.doc_id for r in dedup.drop_duplicates(docs).collect()) == sorted(min(g) for g in groups.values())
+    alone, _ = dedup.mark_repeats(docs, "text", "doc_id", ["doc_id", "text"])
+    assert not exchanges(alone) and alone.count() >= 0.9 * sum(len(g) == 1 for g in groups.values())
+
+
 def sized(docs):
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select("doc_id", "shard", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc"))

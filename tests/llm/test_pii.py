@@ -115,3 +115,70 @@ def test_runs_of_digit_words(spark):
     text = "do call me at 330 555 8577, please"
     got = spans_of(spark, [*rows, (50, text)])
     assert got[50] == marked(text, "330 555 8577", "phone")
+
+
+def test_runs_of_any_length(spark):
+    rows = [(i, f"so call me at +1 330 555 85{i:02d} please") for i in range(12)]
+    run = " ".join(str(10 + i) for i in range(40))
+    text = f"do call me at {run} please"
+    assert spans_of(spark, [*rows, (50, text)])[50] == marked(text, run, "phone")
+
+
+def brute_scores(seeds, tokens):
+    """Trusted patterns and accepted instances of the pattern-instance graph, with kinds."""
+    known = {(m, k) for _, m, k in seeds}
+    kinds = {k for _, _, k in seeds}
+    edges = {(b, m) for b, m, _ in seeds if b} | {(b, m) for b, m in tokens if b}
+    sizes = {b: sum(x == b for x, _ in edges) for b, _ in edges}
+    long = {m: sum(c.isalnum() for c in m) >= pii.MIN_IDENTIFIER for _, m in edges}
+    trusted, accepted = {}, set()
+    while True:
+        new = {}
+        for b, k in {(b, k) for b in sizes for k in kinds}:
+            total, n_seeds = 0.0, 0
+            for m in (m for x, m in edges if x == b):
+                if (m, k) in known:
+                    score = 1.0
+                else:
+                    rest = 1.0
+                    for x, m2 in edges:
+                        if m2 == m and x != b and (x, k) in trusted:
+                            rest *= 1 - trusted[x, k]
+                    score = min(round(1 - rest, 9), 1 - pii.DOUBT)
+                total += score
+                n_seeds += score == 1.0 or (score >= pii.MIN_SCORE and long[m])
+            if n_seeds >= pii.MIN_SEEDS and total / sizes[b] >= pii.MIN_CONFIDENCE:
+                new[b, k] = total / sizes[b]
+        found = set()
+        for m, k in {(m, k) for _, m in edges for k in kinds} - known:
+            rest = 1.0
+            for x, m2 in edges:
+                if m2 == m and (x, k) in new and new[x, k] < 1:
+                    rest *= 1 - new[x, k]
+            if 1 - rest >= pii.MIN_SCORE - 1e-9 and long[m]:
+                found.add((m, k))
+        if len(found) <= len(accepted) and len(new) <= len(trusted):
+            return {b: max(((c, k) for (x, k), c in new.items() if x == b))[1] for b, _ in new}, found
+        trusted, accepted = new, found
+
+
+def test_scores_equal_brute_force(spark):
+    """A chain in which each round trusts the next pattern, for more rounds than any fixed number of ten."""
+    r = random.Random(4)
+    seeds = [("pattern 0", f"seed{i}@x.org", "email") for i in range(30)]
+    tokens = []
+    for step in range(14):
+        seeds += [(f"pattern {step + 1}", f"seed{step}.{i}@x.org", "email") for i in range(18)]
+        for i in range(4):
+            tokens += [(f"pattern {step}", f"inst{step}(at)x{i}"), (f"pattern {step + 1}", f"inst{step}(at)x{i}")]
+    tokens += [("pattern 14", f"last(at)x{i}") for i in range(4)]
+    for i in range(200):
+        tokens.append((f"other {r.randrange(12)}", f"token{r.randrange(60)}"))
+        if r.random() < 0.3:
+            seeds.append((f"other {r.randrange(12)}", f"token{r.randrange(60)}", r.choice(["phone", "email"])))
+    patterns, found = pii.score_patterns(
+        spark.createDataFrame(seeds, "before string, m string, kind string"), spark.createDataFrame(tokens, "before string, m string")
+    )
+    want_patterns, want = brute_scores(seeds, tokens)
+    assert {x.before: x.kind for x in patterns.collect()} == want_patterns and len(want_patterns) > 12
+    assert {(x.m, x.kind) for x in found.collect()} == want and len(want) >= 60
