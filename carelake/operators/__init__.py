@@ -12,7 +12,10 @@ from carelake.operators.ml import (  # noqa: F401
     accuracy_frame,
     auc_frame,
     build_pipeline,
+    category_dictionary,
     feature_importance,
+    importance_from_nodes,
+    index_by_dictionary,
     load_model,
     predict_no_shows,
     prepare_training_data,
@@ -21,6 +24,7 @@ from carelake.operators.ml import (  # noqa: F401
     train_and_evaluate,
     train_gbt,
     train_random_forest,
+    tree_nodes,
 )
 from carelake.operators.prefix import running_sums  # noqa: F401
 from carelake.operators.quality import (  # noqa: F401
@@ -28,9 +32,12 @@ from carelake.operators.quality import (  # noqa: F401
     dedup_latest,
     describe,
     describe_long,
+    merge_profiles,
     preview,
+    profile_sketches,
     profile_table,
     row_counts,
+    update_profile,
     validate_dataframe,
 )
 from carelake.operators.transforms import (  # noqa: F401

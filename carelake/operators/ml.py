@@ -124,20 +124,20 @@ def gbt(max_depth: int = GBT_MAX_DEPTH, max_iter: int = GBT_MAX_ITER, seed: int
 
 def train_random_forest(
     df: DataFrame, feature_col: str = "features", target_col: str = "label",
-    max_depth: int = RF_MAX_DEPTH, num_trees: int = RF_NUM_TREES,
+    max_depth: int = RF_MAX_DEPTH, num_trees: int = RF_NUM_TREES, **kw,
 ):
     """Random forest on an assembled frame; the label is cast to double and NULL labels are skipped."""
     data = df.filter(F.col(target_col).isNotNull()).withColumn("label", F.col(target_col).cast("double"))
-    return random_forest(max_depth, num_trees).setFeaturesCol(feature_col).fit(data)
+    return random_forest(max_depth, num_trees, **kw).setFeaturesCol(feature_col).fit(data)
 
 
 def train_gbt(
     df: DataFrame, feature_col: str = "features", target_col: str = "label",
-    max_depth: int = GBT_MAX_DEPTH, max_iter: int = GBT_MAX_ITER,
+    max_depth: int = GBT_MAX_DEPTH, max_iter: int = GBT_MAX_ITER, **kw,
 ):
     """Gradient-boosted trees on an assembled frame (labels as in ``train_random_forest``)."""
     data = df.filter(F.col(target_col).isNotNull()).withColumn("label", F.col(target_col).cast("double"))
-    return gbt(max_depth, max_iter).setFeaturesCol(feature_col).fit(data)
+    return gbt(max_depth, max_iter, **kw).setFeaturesCol(feature_col).fit(data)
 
 
 def positive_score(prob_col: str = "probability") -> Column:
@@ -212,6 +212,74 @@ def feature_importance(model, transformed: DataFrame, features_col: str = "featu
     return spark.createDataFrame(rows, "feature string, source_column string, importance double")
 
 
+def tree_nodes(model, spark) -> DataFrame:
+    """The nodes of a fitted tree ensemble (or of the last stage of a pipeline), one row each, from its saved form.
+
+    ``tree, node, feature, threshold, left_categories, gain, weight, stats, prediction, left, right``.  Leaves have
+    null ``feature``, ``gain`` and children; ``threshold`` is null where a category splits, ``left_categories`` where
+    a number does.  ``weight`` is the weight of the training rows that reach the node; ``stats`` are their weights by
+    label (classification trees), or weight, sum and sum of squares (regression trees, as in boosting).
+    """
+    from carelake.session import scratch_path
+
+    tree_model = model.stages[-1] if hasattr(model, "stages") else model
+    saved = spark.read.parquet(f"{save_model(tree_model, scratch_path(spark, 'trees'))}/data")
+    boosted = "GBT" in type(tree_model).__name__
+    inner, numeric = F.col("n.leftChild") >= 0, F.col("n.split.numCategories") == -1
+    stats = F.col("n.impurityStats")
+    weight = stats[0] if boosted else F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
+    return saved.select("treeID", F.col("nodeData").alias("n")).select(
+        F.col("treeID").alias("tree"), F.col("n.id").alias("node"),
+        F.when(inner, F.col("n.split.featureIndex")).alias("feature"),
+        F.when(inner & numeric, F.get(F.col("n.split.leftCategoriesOrThreshold"), F.lit(0))).alias("threshold"),
+        F.when(inner & ~numeric, F.col("n.split.leftCategoriesOrThreshold")).alias("left_categories"),
+        F.when(inner, F.col("n.gain")).alias("gain"), weight.alias("weight"), stats.alias("stats"),
+        F.col("n.prediction").alias("prediction"),
+        F.when(inner, F.col("n.leftChild")).alias("left"), F.when(inner, F.col("n.rightChild")).alias("right"),
+    )
+
+
+def importance_from_nodes(nodes: DataFrame, per_tree: bool = True) -> DataFrame:
+    """``(feature, importance)`` of the vector slots that split any node of ``tree_nodes``.
+
+    A split counts its gain times the weight of its rows; ``per_tree`` gives every tree the same total (forests),
+    else trees count as they are (boosting).  The importances sum to 1.
+    """
+    split = nodes.filter("feature is not null").groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("part"))
+    if per_tree:
+        totals = split.groupBy("tree").agg(F.sum("part").alias("of_tree"))
+        split = split.join(totals, "tree").select("feature", F.try_divide("part", "of_tree").alias("part"))
+    by_feature = split.groupBy("feature").agg(F.sum("part").alias("part"))
+    total = by_feature.agg(F.sum("part").alias("total"))
+    return by_feature.join(F.broadcast(total)).select("feature", F.try_divide("part", "total").alias("importance"))
+
+
+def category_dictionary(df: DataFrame, column: str) -> DataFrame:
+    """``(value, index)`` of the non-null values of ``column``: 0 is the most frequent, equal counts in the order of
+    the values.  A table like any other, for categories whose values no driver could hold as an array."""
+    from carelake.operators.prefix import running_sums
+
+    counts = df.filter(F.col(f"`{column}`").isNotNull()).groupBy(F.col(f"`{column}`").cast("string").alias("value")).agg(F.count(F.lit(1)).alias("_n"))
+    n_chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = running_sums(counts, [], [F.desc("_n"), F.col("value")], {"_before": F.lit(1)}, n_chunks)
+    return ranked.select("value", F.col("_before").cast("double").alias("index"))
+
+
+def index_by_dictionary(df: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
+    """``df`` plus ``<column>_idx`` for each dictionary: the index of the column's value, and the size of the dictionary
+    for values that it lacks and for NULL (as ``StringIndexer`` with ``handleInvalid="keep"`` does).
+
+    Spark chooses each join by the dictionary's size; a hot value of a sort-merge join is AQE's to split.
+    """
+    out = df
+    for column, words in dictionaries.items():
+        words = words.select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+        size = float(words.count())
+        out = out.join(words, F.col(f"`{column}`").cast("string") == F.col("_value"), "left")
+        out = out.withColumn(f"{column}_idx", F.coalesce("_index", F.lit(size))).drop("_value", "_index")
+    return out
+
+
 def predict_no_shows(model, df: DataFrame, as_of=None, model_version: str | None = None) -> DataFrame:
     """Score ``df``: ids, ``prediction``, ``prediction_timestamp``, ``no_show_probability`` = P(no-show)."""
     from carelake.functions.columns import as_of_timestamp

@@ -110,6 +110,52 @@ def profile_table(df: DataFrame, exact: bool = False, rsd: float = 0.05) -> Data
     return _long(stats, rows)
 
 
+#: Types whose values a sketch takes as they are; all others go in as strings.
+_SKETCHED = ("int", "bigint", "string", "binary")
+
+
+def profile_sketches(df: DataFrame, partition_by: str, lg: int = 12) -> DataFrame:
+    """``partition_by, column_name, data_type, row_count, null_count, sketch`` for each value of ``partition_by``
+    and each other column: the part of a profile that later runs can merge.
+
+    One scan and one aggregate; a sketch is at most 2^lg bytes or so.  The relative standard error of the merged
+    distinct count is about 1.04 / sqrt(2^lg): 1.6 % by default.
+    """
+    columns = [(c, t) for c, t in df.dtypes if c != partition_by]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, (c, t) in enumerate(columns):
+        value = F.col(f"`{c}`")
+        aggs += [
+            F.count_if(value.isNull()).alias(f"n{i}"),
+            F.hll_sketch_agg(value if t in _SKETCHED else value.cast("string"), lg).alias(f"s{i}"),
+        ]
+    parts = df.groupBy(F.col(f"`{partition_by}`").alias("_part")).agg(*aggs)
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), F.col("_rows").alias("row_count"),
+            F.col(f"n{i}").cast("bigint").alias("null_count"), F.col(f"s{i}").alias("sketch"),
+        )
+        for i, (c, t) in enumerate(columns)
+    ]
+    return parts.select(F.col("_part").alias(partition_by), F.inline(F.array(*rows)))
+
+
+def merge_profiles(sketches: DataFrame) -> DataFrame:
+    """``column_name, data_type, row_count, null_count, distinct_count`` over all partitions of ``profile_sketches``."""
+    return sketches.groupBy("column_name", "data_type").agg(
+        F.sum("row_count").cast("bigint").alias("row_count"), F.sum("null_count").cast("bigint").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"),
+    )
+
+
+def update_profile(df: DataFrame, partition_by: str, path: str, lg: int = 12) -> DataFrame:
+    """Profile of a table that grows by partitions: the sketches of the partitions in ``df`` replace those stored
+    under ``path``, the others stay; returns the profile of all of them.  Only ``df`` is scanned."""
+    sketches = profile_sketches(df, partition_by, lg)
+    sketches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    return merge_profiles(df.sparkSession.read.parquet(path))
+
+
 def describe_long(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
     """Typed ``describe()``: ``column_name, count, mean, stddev, min, max`` per numeric column.
 

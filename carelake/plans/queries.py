@@ -513,6 +513,35 @@ def q_profile_table(spark, sf_dir):
     return profile_table(fx.patients(spark, sf_dir), exact=True)
 
 
+_APPOINTMENT_COLS = ["appointment_id", "patient_id", "physician_id", "appointment_time", "status", "no_show", "created_at"]
+
+
+@register(
+    "profile_merged",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
+        f"count(DISTINCT {c}) AS distinct_count, TRUE AS estimate_within_error FROM appointments"
+        for c in _APPOINTMENT_COLS
+    ),
+)
+def q_profile_merged(spark, sf_dir):
+    """Sketches stored by year in two runs, the second of which replaces a year that was half there, and merged;
+    the estimates against exact counts: four standard errors."""
+    from pyspark.sql import functions as F
+
+    from carelake.operators.quality import profile_table, update_profile
+    from carelake.session import scratch_path
+
+    rows = fx.appointments(spark, sf_dir).select(*_APPOINTMENT_COLS, F.year("appointment_date").alias("visit_year"))
+    path = scratch_path(spark, "profile")
+    late = F.coalesce(F.col("visit_year") >= 1995, F.lit(False))
+    update_profile(rows.filter(~late | ((F.col("visit_year") == 1995) & (F.crc32("appointment_id") % 2 == 0))), "visit_year", path)
+    merged = update_profile(rows.filter(late), "visit_year", path).withColumnRenamed("distinct_count", "estimate")
+    exact = profile_table(rows.drop("visit_year"), exact=True).select("column_name", "distinct_count")
+    within = F.abs(F.col("estimate") - F.col("distinct_count")) <= 4 * 1.04 / 64 * F.col("distinct_count")
+    return merged.join(exact, "column_name").select("column_name", "row_count", "null_count", "distinct_count", within.alias("estimate_within_error"))
+
+
 _NUMERIC_FEATURES = [
     "patient_age", "appointment_lead_days", "previous_no_shows", "previous_appointments", "no_show_rate",
     "appointment_hour",
@@ -806,6 +835,50 @@ def q_file_inventory(spark, sf_dir):
     return facts.withColumn("k", F.lit(1)).join(rows.withColumn("k", F.lit(1)), "k").drop("k")
 
 
+_LINE = "appointment_id || ',' || coalesce(patient_id, '')"
+
+
+@register(
+    "inventory_changes",
+    f""", l AS (
+  SELECT 'visit_year=' || year(appointment_date) AS folder, year(appointment_date) AS y, octet_length(encode({_LINE})) + 1 AS b,
+         appointment_id FROM appointments WHERE appointment_date IS NOT NULL
+), a AS (
+  SELECT folder, count(*) AS n, sum(b) AS b FROM l WHERE y <= 1996 AND (y <> 1995 OR CAST(appointment_id AS BIGINT) % 2 = 0) GROUP BY folder
+), b AS (SELECT folder, count(*) AS n, sum(b) AS b FROM l WHERE y >= 1994 GROUP BY folder)
+SELECT coalesce(a.folder, b.folder) AS folder,
+       CASE WHEN a.folder IS NULL THEN 'added' WHEN b.folder IS NULL THEN 'removed'
+            WHEN a.n = b.n AND a.b = b.b THEN 'unchanged' ELSE 'changed' END AS status,
+       CAST(a.b AS BIGINT) AS old_length, CAST(b.b AS BIGINT) AS new_length, a.n AS old_n_rows, b.n AS new_n_rows
+FROM a FULL JOIN b ON a.folder = b.folder""",
+)
+def q_inventory_changes(spark, sf_dir):
+    """Two inventories of a landing folder, before and after a delivery that adds, drops, completes and repeats years."""
+    from pyspark.sql import functions as F
+
+    from carelake.session import scratch_path
+    from carelake.sources.readers import inventory_changes, inventory_with_rows
+
+    lines = fx.appointments(spark, sf_dir).filter("appointment_date IS NOT NULL").select(
+        F.expr(_LINE).alias("value"), F.year("appointment_date").alias("visit_year"), "appointment_id"
+    )
+    path = scratch_path(spark, "deliveries")
+
+    def delivered(rows):
+        rows.select("value", "visit_year").write.mode("overwrite").partitionBy("visit_year").text(path)
+        files = inventory_with_rows(spark, path, recursive=True, glob="*.txt", header=False)
+        folder = F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder")
+        totals = files.groupBy(folder).agg(F.sum("length").alias("length"), F.sum("n_rows").alias("n_rows"))
+        kept = scratch_path(spark, "inventory")
+        totals.write.parquet(kept)
+        return spark.read.parquet(kept)
+
+    half = (F.col("visit_year") != 1995) | (F.col("appointment_id").cast("bigint") % 2 == 0)
+    before = delivered(lines.filter((F.col("visit_year") <= 1996) & half))
+    after = delivered(lines.filter("visit_year >= 1994"))
+    return inventory_changes(before, after, "folder", ("length", "n_rows"))
+
+
 # --------------------------------------------------------------------------
 # ML (M1-M9, A5-A6, P13-P15, S12-S13, C6)
 # --------------------------------------------------------------------------
@@ -868,6 +941,16 @@ ONE_HOT_SQL = (
 )
 
 
+@register("string_index_dictionary", STRING_INDEX_SQL)
+def q_string_index_dictionary(spark, sf_dir):
+    """The same indices from dictionary tables joined to the rows."""
+    from carelake.operators.ml import category_dictionary, index_by_dictionary
+
+    features = _ml_features(spark, sf_dir)
+    out = index_by_dictionary(features, {c: category_dictionary(features, c) for c in _CATS})
+    return out.select("appointment_id", *[f"{c}_idx" for c in _CATS])
+
+
 @register("string_index", STRING_INDEX_SQL)
 def q_string_index(spark, sf_dir):
     from carelake.operators.ml import build_pipeline
@@ -1009,6 +1092,92 @@ def q_train_gbt(spark, sf_dir):
     return _scored_test_rows(spark, sf_dir, train_gbt)
 
 
+# Trees of depth 1 in SQL: the best split over all midpoints of all values of these columns.
+_STUMP_COLS = ["patient_age", "appointment_lead_days", "previous_no_shows", "previous_appointments", "appointment_hour"]
+_STUMP = {"maxBins": 4096}
+_STUMP_X = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS x{j}" for j, c in enumerate(_STUMP_COLS))
+_STUMP_TRAIN = (
+    f", f AS ({FEATURES_SQL}),\nr AS (SELECT appointment_id, {_TEST_ROW} AS test, {_STUMP_X}, CAST(no_show AS DOUBLE) AS label "
+    "FROM f WHERE no_show IS NOT NULL)"
+)
+
+
+def _best_split(name: str, rows: str) -> str:
+    """CTEs ``name``: one row (j, t, gain by variance, row counts, means) of the best split of y in ``rows``."""
+    values = " UNION ALL ".join(f"SELECT {j} AS j, x{j} AS v, y FROM {rows}" for j in range(len(_STUMP_COLS)))
+    return f"""{name}_v AS (
+  SELECT j, v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q FROM ({values}) GROUP BY j, v
+), {name}_c AS (
+  SELECT j, (v + lead(v) OVER o) / 2 AS t, sum(n) OVER c AS nl, sum(s) OVER c AS sl, sum(q) OVER c AS ql,
+         sum(n) OVER a AS n, sum(s) OVER a AS s, sum(q) OVER a AS q
+  FROM {name}_v WINDOW o AS (PARTITION BY j ORDER BY v), c AS (PARTITION BY j ORDER BY v ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY j)
+), {name} AS (
+  SELECT *, sl / nl AS lm, (s - sl) / (n - nl) AS rm,
+         ((q - s * s / n) - (ql - sl * sl / nl) - ((q - ql) - (s - sl) * (s - sl) / (n - nl))) / n AS gain
+  FROM {name}_c WHERE t IS NOT NULL ORDER BY gain DESC, j, t LIMIT 1
+)"""
+
+
+def _leaf(split: str) -> str:
+    return f"CASE WHEN [{', '.join(f'x{j}' for j in range(len(_STUMP_COLS)))}][{split}.j + 1] <= {split}.t THEN {split}.lm ELSE {split}.rm END"
+
+
+def _stump_rows(spark, sf_dir):
+    """(train, test): labelled rows with the stump columns in ``features``."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    from carelake.operators.ml import split_by_key, with_label
+
+    rows = with_label(_ml_features(spark, sf_dir).filter("no_show IS NOT NULL"))
+    rows = rows.select("appointment_id", "label", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in _STUMP_COLS])
+    return split_by_key(VectorAssembler(inputCols=_STUMP_COLS, outputCol="features").transform(rows), "appointment_id")
+
+
+@register(
+    "forest_stump",
+    _STUMP_TRAIN + ",\ntr AS (SELECT *, label AS y FROM r WHERE NOT test),\n" + _best_split("b", "tr")
+    + f"""
+SELECT {_STUMP_COLS}[j + 1] AS feature, t AS threshold, round(2 * gain, 9) AS gain, CAST(nl AS BIGINT) AS left_rows,
+       CAST(n - nl AS BIGINT) AS right_rows, round(lm, 9) AS left_share, round(rm, 9) AS right_share, 1.0::DOUBLE AS importance FROM b""",
+)
+def q_forest_stump(spark, sf_dir):
+    """One tree of depth 1 without sampling: its split, the gain in Gini impurity, both leaves and the importance."""
+    from pyspark.sql import functions as F
+
+    from carelake.operators.ml import importance_from_nodes, train_random_forest, tree_nodes
+
+    train, _ = _stump_rows(spark, sf_dir)
+    model = train_random_forest(train, max_depth=1, num_trees=1, featureSubsetStrategy="all", bootstrap=False, **_STUMP)
+    nodes = tree_nodes(model, spark)
+    root = nodes.filter("node = 0").select("feature", "threshold", "gain", "left", "right")
+    side = lambda s: nodes.select(
+        F.col("node").alias(s), F.col("weight").cast("bigint").alias(f"{s}_rows"), F.round(F.col("stats")[1] / F.col("weight"), 9).alias(f"{s}_share")
+    )
+    out = root.join(side("left"), "left").join(side("right"), "right").join(importance_from_nodes(nodes), "feature")
+    name = F.element_at(F.array(*[F.lit(c) for c in _STUMP_COLS]), F.col("feature") + 1)
+    return out.select(name.alias("feature"), "threshold", F.round("gain", 9).alias("gain"), "left_rows", "right_rows", "left_share", "right_share", "importance")
+
+
+@register(
+    "boosted_stumps",
+    _STUMP_TRAIN + ",\nt1 AS (SELECT *, 2 * label - 1 AS y FROM r WHERE NOT test),\n" + _best_split("b1", "t1")
+    + f""",
+t2 AS (SELECT t1.* REPLACE (4 * y / (1 + exp(2 * y * ({_leaf("b1")}))) AS y) FROM t1, b1),\n""" + _best_split("b2", "t2")
+    + f"""
+SELECT appointment_id, label, round(1 / (1 + exp(-2 * (({_leaf("b1")}) + 0.1 * ({_leaf("b2")})))), 9) AS p FROM r, b1, b2 WHERE test""",
+)
+def q_boosted_stumps(spark, sf_dir):
+    """Two boosting rounds of depth 1: the probabilities of the test rows."""
+    from pyspark.sql import functions as F
+
+    from carelake.operators.ml import positive_score, train_gbt
+
+    train, test = _stump_rows(spark, sf_dir)
+    model = train_gbt(train, max_depth=1, max_iter=2, **_STUMP)
+    return model.transform(test).select("appointment_id", "label", F.round(positive_score(), 9).alias("p"))
+
+
 _RUN_SQL = (
     f", f AS ({FEATURES_SQL})\n"
     f"""SELECT 'param' AS kind, 'model_type' AS name, CAST(NULL AS DOUBLE) AS value, 'random_forest' AS detail, TRUE AS in_range

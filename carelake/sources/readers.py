@@ -95,3 +95,27 @@ def file_inventory(spark: SparkSession, path: str, recursive: bool = False, glob
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path).select("path", "length", "modificationTime")
+
+
+def inventory_with_rows(spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None, header: bool = True) -> DataFrame:
+    """``file_inventory`` plus ``n_rows``: the lines of each file, less the header line.  A large file is counted
+    in splits, and summed before the shuffle."""
+    options = {"recursiveFileLookup": str(bool(recursive)).lower(), **({"pathGlobFilter": glob} if glob else {})}
+    key = F.col("_metadata.file_path").alias("_file")
+    files = spark.read.format("binaryFile").options(**options).load(path).select(key, "path", "length", "modificationTime")
+    lines = spark.read.format("text").options(**options).load(path).select(key).groupBy("_file").agg(F.count(F.lit(1)).alias("_lines"))
+    rows = F.greatest(F.coalesce("_lines", F.lit(0)) - (1 if header else 0), F.lit(0))
+    return files.join(lines, "_file", "left").select("path", "length", "modificationTime", rows.alias("n_rows"))
+
+
+def inventory_changes(old: DataFrame, new: DataFrame, key: str = "path", compare: tuple[str, ...] = ("length", "modificationTime")) -> DataFrame:
+    """Two inventories of the same place side by side: key, status (added, removed, changed or unchanged), and the
+    ``compare`` columns as ``old_...`` and ``new_...``.  Write ``old`` somewhere before the place changes."""
+    a = old.select(F.col(key).alias("_a"), *[F.col(c).alias(f"old_{c}") for c in compare])
+    b = new.select(F.col(key).alias("_b"), *[F.col(c).alias(f"new_{c}") for c in compare])
+    same = F.lit(True)
+    for c in compare:
+        same = same & F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
+    status = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(same, "unchanged").otherwise("changed")
+    both = a.join(b, F.col("_a") == F.col("_b"), "full")
+    return both.select(F.coalesce("_a", "_b").alias(key), status.alias("status"), *[f"{w}_{c}" for c in compare for w in ("old", "new")])

@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from carelake.operators.ml import (
     accuracy_frame,
     auc_frame,
+    category_dictionary,
     feature_importance,
+    gbt,
+    importance_from_nodes,
+    index_by_dictionary,
     load_model,
     positive_score,
     predict_no_shows,
+    random_forest,
     save_model,
     split_by_key,
     train_and_evaluate,
+    tree_nodes,
 )
 from carelake.session import scratch_path
 
@@ -134,3 +140,48 @@ def test_queries_train_with_the_defaults(spark, monkeypatch, name, where):
     monkeypatch.setattr(where, called)
     with pytest.raises(_Called):
         QUERIES[name](spark, SF001)
+
+
+def _assembled(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(0, 2000).selectExpr(
+        "cast(id % 17 as double) a", "cast(id * 7 % 23 as double) b", "cast(id * 13 % 5 as double) c",
+        "cast((id % 17 > 8) <> (id * 7 % 23 > 15 or id % 29 = 0) as double) label",
+    )
+    return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+
+
+@pytest.mark.parametrize("learner, per_tree", [(lambda: random_forest(4, 7), True), (lambda: gbt(3, 4), False)])
+def test_importance_from_node_table(spark, learner, per_tree):
+    model = learner().fit(_assembled(spark))
+    nodes = tree_nodes(model, spark)
+    got = {r.feature: r.importance for r in importance_from_nodes(nodes, per_tree).collect()}
+    want = model.featureImportances.toArray()
+    assert len(got) > 1
+    assert [got.get(i, 0.0) for i in range(3)] == pytest.approx(list(want), abs=1e-9)
+    # every inner node's rows are its children's
+    kids = {(r.tree, r.node): r for r in nodes.collect()}
+    inner = [r for r in kids.values() if r.feature is not None]
+    assert inner and all(r.weight == kids[r.tree, r.left].weight + kids[r.tree, r.right].weight for r in inner)
+
+
+def test_node_table_of_one_leaf(spark):
+    data = _assembled(spark).withColumn("label", F.lit(1.0)).union(_assembled(spark).limit(0))
+    nodes = tree_nodes(random_forest(3, 1).fit(data), spark)
+    assert [(r.node, r.feature, r.left) for r in nodes.collect()] == [(0, None, None)]
+    assert importance_from_nodes(nodes).count() == 0
+
+
+def test_dictionary_index_equals_string_indexer(spark):
+    words = [f"w{i % 700}" if i % 3 else "hot" for i in range(5000)] + [None] * 50 + ["", "ä"]
+    train = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "g string, index int")
+    test = train.union(spark.createDataFrame([("unseen", -1)], "g string, index int"))
+    model = StringIndexer(inputCol="g", outputCol="want", handleInvalid="keep").fit(train)
+    words = category_dictionary(train, "g")
+    assert [r.value for r in words.orderBy("index").collect()] == list(model.labels)
+    got = index_by_dictionary(model.transform(test), {"g": words})
+    assert got.columns == ["g", "index", "want", "g_idx"] and got.count() == test.count()
+    assert got.filter("want <> g_idx or g_idx is null").count() == 0
+    none = category_dictionary(train.filter("g is null"), "g")
+    assert none.count() == 0 and {r.g_idx for r in index_by_dictionary(train.limit(3), {"g": none}).collect()} == {0.0}

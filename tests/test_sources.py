@@ -237,3 +237,30 @@ def test_publish_keeps_layouts_apart(spark):
     assert out.count() == 20 and "PARTITIONED" not in spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
     publish_table(df.limit(0), name)  # the warehouse's folder
     assert spark.table(name).count() == 0
+
+
+def test_inventory_counts_and_changes(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from carelake.sources.readers import inventory_changes, inventory_with_rows
+
+    place = tmp_path / "in coming"
+    place.mkdir()
+    for name, text in {"a.csv": "h\n1\n2\n", "b c.csv": "h\n1\n", "empty.csv": "", "gone.csv": "h\n"}.items():
+        (place / name).write_text(text)
+
+    def seen():
+        files = inventory_with_rows(spark, str(place), glob="*.csv")
+        return files.withColumn("name", F.regexp_extract("path", "[^/]+$", 0)).select("name", "length", "n_rows").collect()
+
+    schema = "name string, length long, n_rows long"
+    before = seen()
+    assert {(r.name, r.length, r.n_rows) for r in before} == {("a.csv", 6, 2), ("b c.csv", 4, 1), ("empty.csv", 0, 0), ("gone.csv", 2, 0)}
+    (place / "gone.csv").unlink()
+    (place / "a.csv").write_text("h\n1\n2\n3\n")
+    (place / "new.csv").write_text("h\n1")
+    out = inventory_changes(spark.createDataFrame(before, schema), spark.createDataFrame(seen(), schema), "name", ("length", "n_rows"))
+    assert {(r.name, r.status, r.old_n_rows, r.new_n_rows) for r in out.collect()} == {
+        ("a.csv", "changed", 2, 3), ("b c.csv", "unchanged", 1, 1), ("empty.csv", "unchanged", 0, 0),
+        ("gone.csv", "removed", 0, None), ("new.csv", "added", None, 1),
+    }

@@ -126,3 +126,23 @@ def test_summaries_with_nothing_to_report(spark):
     assert contract_check(df, []).count() == 0
     assert describe_long(df).columns == ["column_name", "count", "mean", "stddev", "min", "max"]
     assert describe_long(df).count() == 0
+
+
+def test_profile_by_partition_merges(spark, tmp_path):
+    from carelake.operators.quality import profile_sketches, update_profile
+
+    df = spark.range(0, 20000).selectExpr(
+        "id % 5 as part", "id", "cast(id % 300 as double) as d", "date_add(date'2020-01-01', cast(id % 90 as int)) as day",
+        "if(id % 4 = 0, null, concat('s', id % 7000)) as s", "cast(null as int) as nothing",
+    )
+    path = str(tmp_path / "profile")
+    update_profile(df.filter("part < 3").filter("id % 2 = 0"), "part", path)
+    got = {r.column_name: r for r in update_profile(df, "part", path).collect()}
+    assert {c: (r.row_count, r.null_count) for c, r in got.items()} == {
+        "id": (20000, 0), "d": (20000, 0), "day": (20000, 0), "s": (20000, 5000), "nothing": (20000, 20000)
+    }
+    want = {"id": 20000, "d": 300, "day": 90, "s": df.select("s").distinct().count() - 1, "nothing": 0}
+    assert all(abs(got[c].distinct_count - n) <= 0.065 * n for c, n in want.items())
+    plan = profile_sketches(df, "part")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    assert update_profile(df.limit(0), "part", path).count() == 5  # nothing new: the stored parts stay
