@@ -88,8 +88,8 @@ def file_inventory(spark: SparkSession, path: str, recursive: bool = False, glob
     """``(path, length, modificationTime)`` of the files under ``path``.
 
     A distributed listing through the ``binaryFile`` source; the file
-    contents are pruned away, so only metadata is read.  Directories are not
-    listed as rows.
+    contents are pruned away, so only metadata is read.  Directories and files
+    without a byte are not listed as rows (Spark's file index leaves both out).
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(bool(recursive)).lower())
     if glob:
