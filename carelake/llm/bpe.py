@@ -22,8 +22,12 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from carelake.llm.common import released_after
+
 #: Encoded pieces (pre-tokens) a worker remembers, in two generations (see ``_Pieces``): about 0.2 KB each.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
+#: Documents whose results are held at a time.
+BATCH_ROWS = 1_000
 #: How the byte-level vocabulary cuts a text into pre-tokens.
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: The same cuts by Python's faster engine, for texts of ASCII and the Latin letters U+00C0 to U+024F alone.
@@ -122,7 +126,7 @@ class ByteBpe:
         pairs = self._pairs
         found = pairs.get((left, right))
         if found is None:
-            if len(pairs) > 1_000_000:
+            if len(pairs) > 300_000:
                 pairs.clear()
             found = pairs[(left, right)] = self._neighbours(left, right)
         return found
@@ -281,9 +285,16 @@ def pieces(docs: DataFrame, path: str, size: int, end_id: int, key: str = "doc_i
     return _mapped(docs, key, text, run, "piece int, start long, length long, ids_crc32 long, ids binary")
 
 
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in smaller batches, as what is made of a batch is held beside it."""
+    for b in batches:
+        for at in range(0, len(b), BATCH_ROWS):
+            yield b.iloc[at : at + BATCH_ROWS].reset_index(drop=True)
+
+
 def _mapped(docs: DataFrame, key: str, text: str, run: Callable, out: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
     given = docs.selectExpr(f"cast(`{key}` as string) AS key", f"`{text}` AS text")
-    done = given.mapInPandas(run, f"key string, {out}")
+    done = given.mapInPandas(lambda batches: released_after(run(_cut(batches))), f"key string, {out}")
     rest = [c for c in done.columns if c != "key"]
     return done.selectExpr(f"cast(key as {kind}) AS `{key}`", *rest)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +34,18 @@ def text_or_empty(col="text"):
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def released_after(results: Iterable) -> Iterator:
+    """``results``; at their end the memory that this Python worker freed goes back to the system.
+
+    Workers are used again by later stages: what the allocators keep would add up over a pipeline.
+    """
+    try:
+        yield from results
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import materialize
+from carelake.llm.common import materialize, released_after
 from carelake.llm.graph import connected_components
 
 #: Shingles whose column is longer than this go to the end of the global order ...
@@ -152,7 +152,7 @@ def _column_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if held:
             yield summed(first, others)
 
-    return docs.select("text").mapInPandas(run, "s long, k long")
+    return docs.select("text").mapInPandas(lambda batches: released_after(run(batches)), "s long, k long")
 
 
 def long_columns(docs: DataFrame, width: int, percent: int) -> np.ndarray:
@@ -196,7 +196,7 @@ def incidence(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     # as a string: pandas would make floats of the keys beside a null one
     found = docs.withColumn("id", F.col("id").cast("string")).mapInPandas(
-        run, "id string, n long, sig binary, prefix array<long>, rare long"
+        lambda batches: released_after(run(batches)), "id string, n long, sig binary, prefix array<long>, rare long"
     )
     return found.withColumn("id", F.col("id").cast("long"))
 
@@ -206,9 +206,11 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "set": list(shingle_sets(b["text"], width))})
+            for at in range(0, len(b), 1000):  # a set is larger than its text
+                part = b.iloc[at : at + 1000]
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "set": list(shingle_sets(part["text"], width))})
 
-    return _among(docs, ids).mapInPandas(run, "id long, set array<long>")
+    return _among(docs, ids).mapInPandas(lambda batches: released_after(run(batches)), "id long, set array<long>")
 
 
 def _among(rows: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:

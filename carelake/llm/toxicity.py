@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import materialize
+from carelake.llm.common import materialize, released_after
 
 #: About so many labelled rows at most are fitted on, chosen by a hash of the key.
 MAX_TRAINING_ROWS = 16_000
@@ -210,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         _CODES.clear()  # a worker outlives its stage
 
     # four bytes a word: as arrays of numbers the rows would take the driver ten times that
-    coded = rows.mapInPandas(run, "k long, y int, n long, rows binary, language int")
+    coded = rows.mapInPandas(lambda batches: released_after(run(batches)), "k long, y int, n long, rows binary, language int")
     coded = coded.groupBy("k", "y").agg(F.min(F.struct("n", "rows", "language")).alias("t")).select("k", "y", "t.*")
     coded = materialize(coded, "training-rows")
     sizes = coded.select("k", "n").toArrow().to_pandas()
@@ -242,12 +242,15 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFra
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
         for s in texts:
             yield pd.Series([m.score(t) for t in s], dtype="float64")
         _CODES.clear()  # a worker outlives its stage
 
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return released_after(scored(texts))
+
     kept = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")])
     return kept.withColumn("score", score(F.col(text))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
