@@ -88,14 +88,16 @@ def profile_table(df: DataFrame, exact: bool = False, rsd: float = 0.05) -> Data
     """Long-format profile: ``column_name, data_type, row_count, null_count, distinct_count``.
 
     Default distinct counts are HyperLogLog++ sketches (one pass, no
-    per-column expansion of the data); ``exact=True`` uses exact distinct
-    counts (one shuffle per column's distinct values).
+    per-column expansion of the data); ``exact=True`` counts the rows of each
+    value column by column: every column is scanned and shuffled alone, summed
+    before the shuffle, so a task holds values of one column and not whole rows.
     """
+    if exact and df.columns:
+        return reduce(DataFrame.unionByName, [_exact_column(df, c, t) for c, t in df.dtypes])
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(df.columns):
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"n{i}"))
-        dc = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), rsd)
-        aggs.append(dc.alias(f"d{i}"))
+        aggs.append(F.approx_count_distinct(F.col(c), rsd).alias(f"d{i}"))
     stats = df.agg(*aggs)
     rows = [
         F.struct(
@@ -110,6 +112,17 @@ def profile_table(df: DataFrame, exact: bool = False, rsd: float = 0.05) -> Data
     return _long(stats, rows)
 
 
+def _exact_column(df: DataFrame, column: str, data_type: str) -> DataFrame:
+    """The row of ``profile_table`` for one column, from the number of rows of each of its values."""
+    per_value = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    empty = F.col("_value").isNull()
+    return per_value.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.when(empty, F.col("_n"))), F.lit(0)).alias("null_count"),
+        F.count_if(~empty).alias("distinct_count"),
+    ).select(F.lit(column).alias("column_name"), F.lit(data_type).alias("data_type"), "row_count", "null_count", "distinct_count")
+
+
 #: Types whose values a sketch takes as they are; all others go in as strings.
 _SKETCHED = ("int", "bigint", "string", "binary")
 

@@ -119,6 +119,16 @@ def test_profile_exact_and_approx(spark):
     assert abs(approx["v"].distinct_count - 450) <= 45
 
 
+def test_exact_profile_takes_columns_one_by_one(spark):
+    df = spark.range(0, 60).selectExpr("CAST(id AS STRING) AS k", "IF(id % 2 = 0, NULL, id % 5) AS v", "CAST(NULL AS DATE) AS d", "double(-0.0) AS z")
+    out = profile_table(df.union(df), exact=True)
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()  # whole rows, once for each column
+    want = [("k", "string", 120, 0, 60), ("v", "bigint", 120, 60, 5), ("d", "date", 120, 120, 0), ("z", "double", 120, 0, 1)]
+    assert [tuple(r) for r in out.collect()] == want
+    assert {tuple(r)[2:] for r in profile_table(df.limit(0), exact=True).collect()} == {(0, 0, 0)}
+    assert [(f.name, f.dataType) for f in out.schema.fields] == [(f.name, f.dataType) for f in profile_table(df).schema.fields]
+
+
 def test_summaries_with_nothing_to_report(spark):
     from carelake.operators.quality import describe_long
 
