@@ -61,6 +61,20 @@ def test_any_split_gives_the_same_records(spark, doubled):
             spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_pieces_of_a_split_give_the_same_records(spark, monkeypatch):
+    """What one task sorts is bounded by the piece, not by the split."""
+    monkeypatch.setattr(records, "PIECE_BITS", 3)
+    path = folder(spark, [HEADER + random_file(random.Random(n), n, False) for n in (90, 30)])
+    pieces = records._lines(spark, path, "\\").groupBy("file", "block").count()
+    assert pieces.count() > 10 and max(r["count"] for r in pieces.collect()) <= 8
+    want = as_rows(spark.read.schema(SCHEMA).option("header", True).option("multiLine", True).csv(path))
+    assert len(want) == 120 and as_rows(extract(spark, path, SCHEMA, multi_line=True)) == want
+    size = sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path))
+    monkeypatch.setattr(records, "PART_BYTES", size // 20)
+    assert records.shuffle_parts(spark, path) in (20, 21)
+    assert as_rows(extract(spark, path, SCHEMA, multi_line=True)) == want
+
+
 def test_rejects_keep_file_text_and_reason(spark):
     path = folder(spark, [
         HEADER + 'a,"one\ntwo",1,2024-01-06\nb,x,oops,2024-01-06\nc,x,1\nd,x,1,2024-13-99\n,x,1,2024-01-06\n\ne,"ok ""q""",2,\n',
