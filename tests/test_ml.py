@@ -9,6 +9,7 @@ from carelake.operators.ml import (
     accuracy_frame,
     auc_frame,
     category_dictionary,
+    dealt_for_training,
     feature_importance,
     gbt,
     importance_from_nodes,
@@ -20,6 +21,7 @@ from carelake.operators.ml import (
     save_model,
     split_by_key,
     train_and_evaluate,
+    training_parts,
     tree_nodes,
 )
 from carelake.session import scratch_path
@@ -142,6 +144,24 @@ def test_queries_train_with_the_defaults(spark, monkeypatch, name, where):
         QUERIES[name](spark, SF001)
 
 
+@pytest.mark.parametrize("rows, cores, parts", [
+    (0, 8, 1), (5_000, 8, 1), (12_000, 8, 3), (40_000, 8, 8), (4_000_000, 8, 8), (4_000_001, 8, 16), (43_000_000, 12, 96)
+])
+def test_training_parts_fill_the_cores(rows, cores, parts):
+    assert training_parts(rows, cores) == parts
+
+
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr("carelake.operators.ml.LEAST_TASK_ROWS", 10)
+    data = _assembled(spark).repartition(3)
+    rows = dealt_for_training(data)
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    cores = spark.sparkContext.defaultParallelism
+    assert len(sizes) == cores and sum(sizes) == 2000 and max(sizes) - min(sizes) <= 2 * cores
+    assert rows.schema["features"].metadata == data.schema["features"].metadata
+    assert rows.exceptAll(data.select(rows.columns)).count() == 0
+
+
 def _assembled(spark):
     from pyspark.ml.feature import VectorAssembler
 
