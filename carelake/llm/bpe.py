@@ -18,11 +18,11 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from carelake.llm.common import released_after
+from carelake.llm.common import KEPT, released_after
 
 #: Encoded pieces (pre-tokens) a worker remembers, in two generations (see ``_Pieces``): about 0.2 KB each.
 CACHE_PIECES = 400_000
@@ -81,7 +81,7 @@ class ByteBpe:
         for n, i in number.items():
             self.automaton.add_word(n, i)
         self.automaton.make_automaton()
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}  # left * number of tokens + right
         #: For each token the longest one that is a proper prefix of it; -1 if there is none.
         self.shorter = [next((number[n[:e]] for e in range(len(n) - 1, 0, -1) if n[:e] in number), -1) for n in names]
 
@@ -123,12 +123,12 @@ class ByteBpe:
                 return True
 
     def compatible(self, left: int, right: int) -> bool:
-        pairs = self._pairs
-        found = pairs.get((left, right))
+        pairs, pair = self._pairs, left * len(self.lengths) + right
+        found = pairs.get(pair)
         if found is None:
             if len(pairs) > 300_000:
                 pairs.clear()
-            found = pairs[(left, right)] = self._neighbours(left, right)
+            found = pairs[pair] = self._neighbours(left, right)
         return found
 
     def encode_piece(self, piece: str) -> list[int]:
@@ -140,12 +140,12 @@ class ByteBpe:
             longest[start] = token  # ends only grow, so what is written last is the longest
         dead = bytearray(n + 1)
         path: list[int] = []
-        pairs = self._pairs
+        pairs, many = self._pairs, len(lengths)
         at, token, before = 0, longest[0], -1
         while True:
             end = at + lengths[token]
             fits = not dead[end]
-            if fits and before >= 0 and (fits := pairs.get((before, token))) is None:
+            if fits and before >= 0 and (fits := pairs.get(before * many + token)) is None:
                 fits = self.compatible(before, token)
             if fits:
                 path.append(token)
@@ -218,6 +218,7 @@ class _Pieces(dict):
 
 
 _LOADED: dict[str, ByteBpe] = {}
+KEPT["bpe"] = _LOADED
 
 
 def codec(path: str) -> ByteBpe:
@@ -236,11 +237,11 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     besides its Arrow batch.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(rows: Iterator[tuple[list, list]]) -> Iterator[list[list]]:
         bpe = codec(path)
-        for b in batches:
-            ids = [bpe.encode(t) for t in b["text"]]
-            yield pd.DataFrame({"key": b["key"], "ids": ids, "decoded": [bpe.decode(i) for i in ids]})
+        for keys, texts in rows:
+            ids = [bpe.encode(t) for t in texts]
+            yield [keys, ids, [bpe.decode(i) for i in ids]]
 
     return _mapped(docs, key, text, run, "ids binary, decoded string")
 
@@ -248,16 +249,16 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """As ``encode_decode``, but only n_tokens and the SHA-256 of ids and decoded text leave the workers."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(rows: Iterator[tuple[list, list]]) -> Iterator[list[list]]:
         bpe = codec(path)
-        for b in batches:
+        for keys, texts in rows:
             n, of_ids, of_text = [], [], []
-            for t in b["text"]:
+            for t in texts:
                 ids = bpe.encode(t)
                 n.append(len(ids) // 4)
                 of_ids.append(hashlib.sha256(ids).hexdigest())
                 of_text.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-            yield pd.DataFrame({"key": b["key"], "n_tokens": n, "ids_sha256": of_ids, "decoded_sha256": of_text})
+            yield [keys, n, of_ids, of_text]
 
     return _mapped(docs, key, text, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
@@ -268,33 +269,46 @@ def pieces(docs: DataFrame, path: str, size: int, end_id: int, key: str = "doc_i
     Columns: key, piece (from 0), start, length, ids_crc32, ids (binary).
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(rows: Iterator[tuple[list, list]]) -> Iterator[list[list]]:
         bpe = codec(path)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for b in batches:
-            rows = []
-            for k, t in zip(b["key"], b["text"]):
+        for keys, texts in rows:
+            made: list[list] = [[] for _ in range(6)]
+            for k, t in zip(keys, texts):
                 ids = bpe.encode(t) + end
                 n = len(ids) // 4
                 cuts = [0, *range(n - (n - 1) // size * size, n + 1, size)]
                 for p, (s, e) in enumerate(zip(cuts, cuts[1:])):
                     part = ids[4 * s : 4 * e]
-                    rows.append((k, p, s, e - s, zlib.crc32(part), part))
-            yield pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32", "ids"])
+                    for column, value in zip(made, (k, p, s, e - s, zlib.crc32(part), part)):
+                        column.append(value)
+            yield made
 
     return _mapped(docs, key, text, run, "piece int, start long, length long, ids_crc32 long, ids binary")
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The same rows in smaller batches, as what is made of a batch is held beside it."""
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Keys and texts in smaller batches, as what is made of a batch is held beside it."""
     for b in batches:
-        for at in range(0, len(b), BATCH_ROWS):
-            yield b.iloc[at : at + BATCH_ROWS].reset_index(drop=True)
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            part = b.slice(at, BATCH_ROWS)
+            yield part.column(0).to_pylist(), part.column(1).to_pylist()
+
+
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
 def _mapped(docs: DataFrame, key: str, text: str, run: Callable, out: str) -> DataFrame:
+    """``run`` over keys (as strings) and texts; it yields the columns key and ``out`` as lists."""
     kind = docs.schema[key].dataType.simpleString()
     given = docs.selectExpr(f"cast(`{key}` as string) AS key", f"`{text}` AS text")
-    done = given.mapInPandas(lambda batches: released_after(run(_cut(batches))), f"key string, {out}")
+    out = f"key string, {out}"
+    schema = pa.schema([(name, _ARROW[kind]) for name, kind in map(str.split, out.split(", "))])
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in run(_cut(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    done = given.mapInArrow(lambda batches: released_after(mapped(batches), "bpe"), out)
     rest = [c for c in done.columns if c != "key"]
     return done.selectExpr(f"cast(key as {kind}) AS `{key}`", *rest)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import materialize, released_after
+from carelake.llm.common import TEXT_BATCH_BYTES, materialize, released_after
 from carelake.llm.graph import connected_components
 
 #: Shingles whose column is longer than this go to the end of the global order ...
@@ -163,7 +163,7 @@ def long_columns(docs: DataFrame, width: int, percent: int) -> np.ndarray:
     set gives a valid order; it only decides how much is multiplied.
     """
     counts = _column_counts(docs, width, percent).groupBy("s").agg(F.sum("k").alias("count"))
-    counts = materialize(counts.filter(F.col("count") > LONG_COLUMN), "columns")
+    counts = materialize(counts.filter(F.col("count") > LONG_COLUMN), "columns", TEXT_BATCH_BYTES)
     limit, n = LONG_COLUMN, counts.count()
     while n > LONG_COLUMNS:
         limit *= 2
@@ -226,7 +226,7 @@ def _needed(percent: int, n: Column, m: Column) -> Column:
 def _checked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the (a, b) pairs whose full sets link."""
     ids = materialize(pairs.select("a").union(pairs.select("b")).toDF("id").distinct(), "jaccard-ids")
-    sets = materialize(full_sets(docs, ids, width), "jaccard-sets")
+    sets = materialize(full_sets(docs, ids, width), "jaccard-sets", TEXT_BATCH_BYTES)
     left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
     both = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("set_a", "set_b")))
     return both.filter(100 * F.col("o") >= percent * (F.size("set_a") + F.size("set_b") - F.col("o"))).select("a", "b")
@@ -288,7 +288,7 @@ def jaccard_components(
     is shuffled as long as the ids of the candidates fit a checked broadcast.
     """
     given = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    rows = materialize(incidence(given, width, percent), "incidence")
+    rows = materialize(incidence(given, width, percent), "incidence", TEXT_BATCH_BYTES)
     usable = rows.filter("id is not null and n > 0")
     classes = usable.groupBy("sig").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1")
     # written first: its size is known then, so the join is a broadcast, or one whose large classes may be split

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import materialize
+from carelake.llm.common import TEXT_BATCH_BYTES, drop_others, give_back, materialize
 
 #: Pieces packed together in one task; groups are dealt at random, so each sees all lengths.
 GROUP_PIECES = 40_000
@@ -193,13 +193,15 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
     exchanges until none raises the squared fill.  An empty table gives no rows.
     """
     pieces = pieces.select([c for c in pieces.columns if c.lower() not in ("sequence_id", "offset", "_group", "_id")])
-    stored = materialize(pieces, "pieces")
+    stored = materialize(pieces, "pieces", TEXT_BATCH_BYTES)
     part = stored.filter(F.col(length) < capacity)
     groups = max(1, -(-part.count() // GROUP_PIECES))
     names = pieces.columns
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        drop_others("packing")
         bin_of, offset = pack_sizes(pdf[length].to_numpy(), capacity)
+        give_back()
         pdf = pdf.assign(sequence_id=pdf["_group"].astype("int64") * (1 << 32) + bin_of, offset=offset)
         return pdf[[*names, "sequence_id", "offset"]]
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import materialize, released_after
+from carelake.llm.common import TEXT_BATCH_BYTES, materialize, released_after
 
 #: About so many labelled rows at most are fitted on, chosen by a hash of the key.
 MAX_TRAINING_ROWS = 16_000
@@ -212,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # four bytes a word: as arrays of numbers the rows would take the driver ten times that
     coded = rows.mapInPandas(lambda batches: released_after(run(batches)), "k long, y int, n long, rows binary, language int")
     coded = coded.groupBy("k", "y").agg(F.min(F.struct("n", "rows", "language")).alias("t")).select("k", "y", "t.*")
-    coded = materialize(coded, "training-rows")
+    coded = materialize(coded, "training-rows", TEXT_BATCH_BYTES)
     sizes = coded.select("k", "n").toArrow().to_pandas()
     if sizes["n"].sum() > MAX_TRAINING_WORDS:
         fitting = within_budget(sizes["k"].to_numpy(), sizes["n"].to_numpy(), MAX_TRAINING_WORDS)
