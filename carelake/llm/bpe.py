@@ -5,6 +5,9 @@ vocabulary token (found by an Aho-Corasick automaton in one pass over the piece)
 accepts it only if a table of merges says that the merge order would really leave it beside
 the token before; otherwise it tries the next shorter token or steps back.  Places from
 which no tiling exists are remembered, so every place is left for good at most once.
+Texts are encoded in runs of pieces; the short pieces of a run that are new walk side by
+side, one step of all of them at a time.  An automaton of the reversed tokens reads them from
+their ends: after each byte its state tells the longest token that begins there.
 
 The automaton and tables are built once in each Python worker from the vocabulary file.
 """
@@ -15,7 +18,7 @@ import hashlib
 import json
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,13 @@ from carelake.llm.common import KEPT, released_after
 
 #: Encoded pieces (pre-tokens) a worker remembers, in two generations (see ``_Pieces``): about 0.2 KB each.
 CACHE_PIECES = 400_000
+#: Characters of the longest piece that is remembered.
+CACHE_CHARACTERS = 64
+#: Fewer pieces than this walk one by one; no more than these side by side.
+FEW_PIECES = 32
+MOST_PIECES = 8_192
+#: Pairs of tokens whose verdict the walk side by side finds without a call, as a power of two; 8 bytes each.
+PAIR_BITS = 20
 #: Documents whose results are held at a time.
 BATCH_ROWS = 1_000
 #: How the byte-level vocabulary cuts a text into pre-tokens.
@@ -34,7 +44,7 @@ _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Sp
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 _IS_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ɏ]*")
 _CUT_LATIN = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\x09-\x0D 0-9{_LATIN}]+|[\x09-\x0D ]+(?![^\x09-\x0D ])|[\x09-\x0D ]+"
+    rf" ?[{_LATIN}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\x09-\x0D 0-9{_LATIN}]+|[\x09-\x0D ]+(?![^\x09-\x0D ])|[\x09-\x0D ]+"
 )
 
 
@@ -94,7 +104,11 @@ class ByteBpe:
 
         self._special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self._special_ids = {c: np.array([i], dtype="<u4").tobytes() for c, i in self.special.items()}
-        self._pieces = _Pieces(self._encode_piece, CACHE_PIECES)
+        self._reversed = _Reversed(number)
+        self._length_of, self._shorter_of = np.array(self.lengths), np.array(self.shorter)
+        self._verdicts = np.full(1 << PAIR_BITS, -1)  # at a pair's place: twice the last pair asked there, plus its verdict
+        self._pieces = _Pieces(self._encode_piece, self._encode_pieces, CACHE_PIECES)
+        self._run = max(1, CACHE_PIECES // 4)
 
     def _neighbours(self, left: int, right: int) -> bool:
         """Whether merging in order leaves ``left`` and ``right`` side by side.
@@ -160,26 +174,124 @@ class ByteBpe:
                 before = path[-1] if path else -1
                 at -= lengths[token]
 
+    def _compatible(self, pair: np.ndarray) -> np.ndarray:
+        """``compatible`` of many pairs (left * number of tokens + right)."""
+        place = (pair * 0x9E3779B97F4A7C1 >> 64 - PAIR_BITS - 4) & ((1 << PAIR_BITS) - 1)
+        found = self._verdicts[place]
+        new = np.flatnonzero(found >> 1 != pair)
+        if new.size:
+            fresh, many = pair[new], len(self.lengths)
+            found[new] = fresh * 2 + [self.compatible(*divmod(p, many)) for p in fresh.tolist()]
+            self._verdicts[place[new]] = found[new]
+        return (found & 1).astype(bool)
+
+    def _walk(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """At each place of ``data`` the token that begins there, else -1, as ``encode_piece`` cuts data[start:end].
+
+        All pieces go one step at a time; a byte that belongs to no piece stands at each end.
+        """
+        many = len(self.lengths)
+        longest = self._reversed.longest(data, start, end)
+        none = data.size  # the place before a piece's first token
+        chosen, came = np.full(none + 1, -1), np.full(none + 1, none)  # token at a place; where the token before begins
+        dead, final = np.zeros(none + 1, bool), np.zeros(none + 1, bool)
+        final[end] = True
+        at, token, before, piece = start, longest[start], np.full(start.size, -1), np.arange(start.size)
+        while at.size >= FEW_PIECES:
+            after = at + self._length_of[token]
+            fits = ~dead[after]
+            asked = np.flatnonzero(fits & (before >= 0))
+            fits[asked] = self._compatible(before[asked] * many + token[asked])
+            there, next_place = at[fits], after[fits]
+            chosen[there], came[next_place] = token[fits], there
+            at = np.where(fits, after, at)
+            before = np.where(fits, token, before)
+            token = np.where(fits, longest[after], self._shorter_of[token])
+            back = np.flatnonzero(~fits & (token < 0))  # nothing fits here: step back
+            if back.size:
+                dead[at[back]] = True
+                place = came[at[back]]
+                at[back], token[back] = place, chosen[place]
+                chosen[place] = -1
+                before[back] = chosen[came[place]]
+            going = ~final[at]
+            at, token, before, piece = at[going], token[going], before[going], piece[going]
+        for s, e in zip(start[piece].tolist(), end[piece].tolist()):  # the last few
+            path = self.encode_piece(data[s:e].tobytes().decode("latin-1"))
+            chosen[s:e] = -1
+            chosen[s : s + len(path)] = path
+        return chosen
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each pre-token."""
+        if len(pieces) < FEW_PIECES:
+            return [self._encode_piece(p) for p in pieces]
+        if len(pieces) > MOST_PIECES:
+            parts = (pieces[at : at + MOST_PIECES] for at in range(0, len(pieces), MOST_PIECES))
+            return [ids for part in parts for ids in self._encode_pieces(part)]
+        written = b"\xff".join(map(str.encode, pieces)) + b"\xff"  # a byte that UTF-8 never has
+        data = np.frombuffer(written, np.uint8)
+        end = np.flatnonzero(data == 0xFF)
+        chosen = self._walk(data, np.concatenate([[0], end[:-1] + 1]), end)
+        ids = self.ids[chosen[chosen >= 0]].tobytes()
+        to = (4 * np.cumsum(chosen >= 0)[end]).tolist()
+        found = [ids[a:b] for a, b in zip([0, *to], to)]
+        for i, p in enumerate(pieces) if self._special else ():
+            if p in self._special_ids:
+                found[i] = self._special_ids[p]
+        return found
+
     def _encode_piece(self, piece: str) -> bytes:
+        if piece in self._special_ids:
+            return self._special_ids[piece]
         of = self._id_bytes
         return b"".join([of[t] for t in self.encode_piece(piece.encode().decode("latin-1"))])
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text as little-endian unsigned 32-bit integers; null is empty."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """``encode`` of each text, in runs of texts; a text longer than a run is a run in several parts."""
+        held: list[list[str]] = []
+        n = 0
+        for text in texts:
+            cut = self._cut(text)
+            size = max(len(cut), len(text or "") // 16)  # a run has few characters, too
+            if held and n + size > self._run:
+                yield from self._looked_up(held)
+                held, n = [], 0
+            held.append(cut)
+            n += size
+        yield from self._looked_up(held)
+
+    def _looked_up(self, cuts: list[list[str]]) -> list[bytes]:
+        if len(cuts) == 1 and len(cuts[0]) > self._run:
+            parts = (cuts[0][at : at + self._run] for at in range(0, len(cuts[0]), self._run))
+            return [b"".join([self._looked_up([part])[0] for part in parts])]
+        pieces = self._pieces
+        found = [list(map(pieces.get, cut)) for cut in cuts]
+        gaps = [[i for i, ids in enumerate(own) if ids is None] for own in found]
+        pieces.learn({cut[i] for cut, gap in zip(cuts, gaps) for i in gap})
+        for cut, own, gap in zip(cuts, found, gaps):
+            for i in gap:
+                own[i] = pieces[cut[i]]
+        return [b"".join(own) for own in found]
+
+    def _cut(self, text: str | None) -> list[str]:
+        """Pre-tokens and special tokens of the whole text; a pre-token never equals a special token, which splits first."""
         if not text:
-            return b""
+            return []
         if self._special is None:
             return self._plain(text)
         out, at = [], 0
         for found in self._special.finditer(text):
-            out += [self._plain(text[at : found.start()]), self._special_ids[found[0]]]
+            out += [*self._plain(text[at : found.start()]), found[0]]
             at = found.end()
-        out.append(self._plain(text[at:] if at else text))
-        return b"".join(out)
+        return out + self._plain(text[at:]) if at else self._plain(text)
 
-    def _plain(self, text: str) -> bytes:
-        cut = _CUT_LATIN if _IS_LATIN.fullmatch(text) else _CUT
-        return b"".join(map(self._pieces.__getitem__, cut.findall(text)))
+    def _plain(self, text: str) -> list[str]:
+        return (_CUT_LATIN if _IS_LATIN.fullmatch(text) else _CUT).findall(text)
 
     def decode_bytes(self, ids: bytes) -> bytes:
         """Bytes of the tokens, gathered through the offset table in one step."""
@@ -192,16 +304,98 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
 
+class _Reversed:
+    """Aho-Corasick automaton of the reversed tokens that reads many pieces side by side.
+
+    A transition (state * 256 + byte) lies in an open hash table, its target in the low 32 bits.
+    Every byte is a token, so the root (state 0) has a transition for each.
+    """
+
+    def __init__(self, number: dict[str, int]):
+        states: dict[int, int] = {}
+        word = {}
+        depth = [0]
+        for name, token in number.items():
+            state = 0
+            for byte in reversed(name.encode("latin-1")):
+                key = state << 8 | byte
+                state = states.get(key, 0)
+                if not state:
+                    state = states[key] = len(depth)
+                    depth.append(depth[key >> 8] + 1)
+            word[state] = token
+        keys, targets = np.fromiter(states, np.int64, len(states)), np.fromiter(states.values(), np.int64, len(states))
+        self._bits = int(4 * len(states) - 1).bit_length()
+        self._slots = np.full(1 << self._bits, -1)
+        place, left = self._place(keys), np.arange(keys.size)
+        while left.size:
+            left_free = left[self._slots[place[left]] < 0]
+            self._slots[place[left_free]] = keys[left_free] << 32 | targets[left_free]
+            left = left[self._slots[place[left]] >> 32 != keys[left]]
+            place[left] = place[left] + 1 & (1 << self._bits) - 1
+
+        self._fail = np.zeros(len(depth), np.int64)
+        self._token = np.full(len(depth), -1)
+        self._token[list(word)] = list(word.values())
+        level = np.array(depth)[targets]
+        order = np.argsort(level, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(level[order])) + 1):
+            state = targets[at]
+            if level[at[0]] > 1:
+                self._fail[state] = self._next(self._fail[keys[at] >> 8], keys[at] & 255)
+            self._token[state] = np.where(self._token[state] < 0, self._token[self._fail[state]], self._token[state])
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return (key * 0x9E3779B97F4A7C1 >> 60 - self._bits) & ((1 << self._bits) - 1)
+
+    def _goto(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """Target of each transition, -1 where there is none."""
+        key = state << 8 | byte
+        place = self._place(key)
+        entry = self._slots[place]
+        other = np.flatnonzero((entry >> 32 != key) & (entry >= 0))
+        while other.size:  # another key's slot: the next one
+            place[other] = place[other] + 1 & (1 << self._bits) - 1
+            entry[other] = self._slots[place[other]]
+            other = other[(entry[other] >> 32 != key[other]) & (entry[other] >= 0)]
+        return np.where(entry < 0, -1, entry & 0xFFFFFFFF)
+
+    def _next(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """State after ``byte``, by failure links where there is no transition."""
+        after = self._goto(state, byte)
+        stuck = np.flatnonzero(after < 0)
+        state = state[stuck]
+        while stuck.size:
+            state = self._fail[state]
+            after[stuck] = target = self._goto(state, byte[stuck])
+            stuck, state = stuck[target < 0], state[target < 0]
+        return after
+
+    def longest(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The longest token that begins at each place and ends within its piece data[start:end]; -1 between pieces."""
+        found = np.full(data.size, -1)
+        size = end - start
+        order = np.argsort(-size, kind="stable")
+        place, size = end[order], -size[order]
+        state = np.zeros(place.size, np.int64)
+        for read in range(int(-size[0])):
+            going = np.searchsorted(size, -read)  # pieces longer than what is read come first
+            place = place[:going] - 1
+            state = self._next(state[:going], data[place].astype(np.int64))
+            found[place] = self._token[state]
+        return found
+
+
 class _Pieces(dict):
-    """Piece -> encoded ids, filled on first use.
+    """Piece -> encoded ids, filled on first use or, many at once, by ``learn``.
 
     Two generations bound the memory: when the young one is full it becomes the old one, and
     what is asked for again moves back.  Long pieces are not kept.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], keep: int):
+    def __init__(self, encode: Callable[[str], bytes], encode_many: Callable[[list[str]], list[bytes]], keep: int):
         super().__init__()
-        self._encode = encode
+        self._encode, self._encode_many = encode, encode_many
         self._half = keep // 2
         self._old: dict[str, bytes] = {}
 
@@ -209,13 +403,26 @@ class _Pieces(dict):
         ids = self._old.get(piece)
         if ids is None:
             ids = self._encode(piece)
-        if len(piece) <= 64:
-            if len(self) >= self._half:
-                self._old = dict(self)
-                self.clear()
+        if len(piece) <= CACHE_CHARACTERS:
+            self._room(1)
             self[piece] = ids
         return ids
 
+    def _room(self, n: int) -> None:
+        if len(self) + n > self._half:
+            self._old = dict(self)
+            self.clear()
+
+    def learn(self, pieces: set[str]) -> None:
+        """Keep those of ``pieces``, none of them young, that are not long: at most half of what is kept in all."""
+        old = self._old
+        new = [p for p in pieces if len(p) <= CACHE_CHARACTERS]
+        back = {p: old[p] for p in new if p in old}
+        unknown = [p for p in new if p not in back]
+        self._room(len(new))
+        self.update(back)
+        self.update(zip(unknown, self._encode_many(unknown)))
+
 
 _LOADED: dict[str, ByteBpe] = {}
 KEPT["bpe"] = _LOADED
@@ -240,7 +447,7 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     def run(rows: Iterator[tuple[list, list]]) -> Iterator[list[list]]:
         bpe = codec(path)
         for keys, texts in rows:
-            ids = [bpe.encode(t) for t in texts]
+            ids = list(bpe.encode_all(texts))
             yield [keys, ids, [bpe.decode(i) for i in ids]]
 
     return _mapped(docs, key, text, run, "ids binary, decoded string")
@@ -253,8 +460,7 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         bpe = codec(path)
         for keys, texts in rows:
             n, of_ids, of_text = [], [], []
-            for t in texts:
-                ids = bpe.encode(t)
+            for ids in bpe.encode_all(texts):
                 n.append(len(ids) // 4)
                 of_ids.append(hashlib.sha256(ids).hexdigest())
                 of_text.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
@@ -274,8 +480,8 @@ def pieces(docs: DataFrame, path: str, size: int, end_id: int, key: str = "doc_i
         end = np.array([end_id], dtype="<u4").tobytes()
         for keys, texts in rows:
             made: list[list] = [[] for _ in range(6)]
-            for k, t in zip(keys, texts):
-                ids = bpe.encode(t) + end
+            for k, ids in zip(keys, bpe.encode_all(texts)):
+                ids += end
                 n = len(ids) // 4
                 cuts = [0, *range(n - (n - 1) // size * size, n + 1, size)]
                 for p, (s, e) in enumerate(zip(cuts, cuts[1:])):

@@ -91,3 +91,54 @@ def test_pieces(spark, theirs):
         assert all(x[2] == 1024 for x in own[1:]) and 1 <= own[0][2] <= 1024
         for p, s, n, crc in own:
             assert crc == zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes())
+
+
+def _new_pieces(r, n):
+    """Distinct pre-tokens with letters of one to four bytes, digits, signs and spaces, up to 64 characters."""
+    kinds = ["abcdehinorst", "éèßçñüðđ", "日本語京", "𝒜𝒷😀", "0123456789", "-.!?*#'", " "]
+    out = {"".join(r.choices(r.choice(kinds), k=r.choice([1, 2, 5, 9, 20, 64]))) for _ in range(n)}
+    return sorted(out | {" " + p for p in list(out)[:: 3] if len(p) < 64} | {"the", " the", "Ā", "a" * 64, "ab" * 32, "\x00", "\x7f"})
+
+
+@pytest.mark.parametrize("most", [100, 8_192])
+def test_new_pieces_side_by_side_equal_one_by_one(monkeypatch, most):
+    monkeypatch.setattr(bpe, "MOST_PIECES", most)
+    ours = bpe.ByteBpe(PATH)
+    pieces = _new_pieces(random.Random(5), 3000)
+    want = [ours._encode_piece(p) for p in pieces]
+    assert ours._encode_pieces(pieces) == want
+    assert ours._encode_pieces(pieces[:3]) == want[:3] and ours._encode_pieces([]) == []
+
+
+def test_pairs_that_share_a_place_keep_their_own_verdict(monkeypatch):
+    pieces = _new_pieces(random.Random(6), 500)
+    want = [bpe.codec(PATH)._encode_piece(p) for p in pieces]
+    monkeypatch.setattr(bpe, "PAIR_BITS", 2)
+    assert bpe.ByteBpe(PATH)._encode_pieces(pieces) == want
+
+
+def test_reversed_automaton_gives_the_longest_token_at_each_place():
+    words = [chr(b) for b in range(256)] + ["ab", "abc", "bca", "cab", "abcab", "aaaa"]
+    r = random.Random(7)
+    pieces = ["".join(r.choices("abc", k=r.randint(1, 12))) for _ in range(200)] + ["aaaaaaa", "abcabcab"]
+    data = np.frombuffer(b"\xff".join(p.encode() for p in pieces) + b"\xff", np.uint8)
+    end = np.flatnonzero(data == 0xFF)
+    found = bpe._Reversed({w: i for i, w in enumerate(words)}).longest(data, np.concatenate([[0], end[:-1] + 1]), end)
+    want = []
+    for p in pieces:
+        want += [max((w for w in words if p.startswith(w, at)), key=len) for at in range(len(p))] + [None]
+    assert [words[i] if i >= 0 else None for i in found] == want
+
+
+def test_runs_do_not_change_results_and_new_pieces_walk_side_by_side(theirs):
+    """Nulls, empty texts, special tokens, repeats and texts longer than a run, in order; no new word alone."""
+    texts = [None, "", "<|endoftext|>a<|endoftext|>", " ".join(_new_pieces(random.Random(8), 800)), "a" * 200, "x <|endoftext|>"] * 2
+    want = [theirs.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for run in (1, 7, 1000, 100_000):
+        ours = bpe.ByteBpe(PATH)
+        ours._run = run
+        assert [np.frombuffer(i, "<u4").tolist() for i in ours.encode_all(texts)] == want
+    ours, alone = bpe.ByteBpe(PATH), []
+    ours.encode_piece = lambda piece: alone.append(piece) or bpe.ByteBpe.encode_piece(ours, piece)
+    list(ours.encode_all([" ".join("".join(random.Random(i).choices("aeinorst", k=9)) for i in range(5000))]))
+    assert len(alone) < 200
